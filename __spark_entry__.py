@@ -19,8 +19,23 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_sql as osql  # noqa: E402
-from gridtally.operators.cover import coverage  # noqa: E402
+from gridtally.functions.columns import (  # noqa: E402
+    cast_all_except, clock_decimal_hours, clock_minutes, clock_to_timestamp, env_tag,
+)
+from gridtally.functions.dates import day_str, trailing_days, weekly_window  # noqa: E402
+from gridtally.functions.grid import coarsen, with_mgrs  # noqa: E402
+from gridtally.operators.bursts import access_bursts, burst_witnesses  # noqa: E402
+from gridtally.operators.cover import coverage, topn_with_others  # noqa: E402
+from gridtally.operators.kpi import grid_kpi  # noqa: E402
+from gridtally.operators.quality import (  # noqa: E402
+    day_gaps, freshness, profile, reconcile, sample_by_hash,
+)
+from gridtally.operators.text import corpus_token_counts, doc_token_counts  # noqa: E402
+from gridtally.plans.session import staging_path  # noqa: E402
+from gridtally.sources.alerts import ALERT_FIELDS, read_alerts  # noqa: E402
 from gridtally.sources.calls import calls_from_events  # noqa: E402
+from gridtally.sources.scan import scan_days  # noqa: E402
+from gridtally.sources.sinks import preview, read_csv, write_csv, write_parquet  # noqa: E402
 
 # Stamp written into every coverage row (the first day of the test data).
 DATE_TD = "20240101"
@@ -41,16 +56,243 @@ def _cover(id_col: str, id_name: str, resolution: int):
     return run
 
 
+# Fixed parameters of the date-based queries.
+AS_OF = "2024-01-17"  # a Wednesday inside the test data
+SCAN_DAYS = [f"2023{d:04d}" for d in (1230, 1231)] + [f"202401{d:02d}" for d in range(1, 32)] + [
+    "20240201", "20240202"]
+KPI_WEEK = ("20240108", "20240114")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """eNB coverage at 1 km on sf0.001."""
     return _cover("current_enodeb_id", "enb", 1000)(spark, "/root/testdata/sf0.001")
 
 
+# ---------------------------------------------------------------- queries
+def q_nation_top_customers(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    customer = _table(spark, sf_dir, "customer")
+    nation = _table(spark, sf_dir, "nation")
+    per_customer = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("cnt"))
+    pairs = (per_customer.join(customer, per_customer.o_custkey == customer.c_custkey)
+             .join(nation, customer.c_nationkey == nation.n_nationkey)
+             .select("n_name", F.col("c_custkey").cast("string").alias("customer"), "cnt"))
+    return topn_with_others(pairs, "n_name", "customer", n=10)
+
+
+def q_grid_kpi(spark, sf_dir):
+    return grid_kpi(_calls(spark, sf_dir), precision=3,
+                    start_week=KPI_WEEK[0], end_week=KPI_WEEK[1])
+
+
+def q_grid_of_points(spark, sf_dir):
+    calls = _calls(spark, sf_dir).select("event_id", "end_latitude", "end_longitude")
+    return with_mgrs(calls, "end_latitude", "end_longitude",
+                     {"g5": 5, "g3": 3, "g2": 2, "g1": 1})
+
+
+def q_grid_coarsen(spark, sf_dir):
+    calls = _calls(spark, sf_dir).select("event_id", "end_latitude", "end_longitude")
+    fine = with_mgrs(calls, "end_latitude", "end_longitude", {"g5": 5})
+    return fine.select("event_id", *[coarsen("g5", p, 5).alias(f"g{p}") for p in (3, 2, 1)])
+
+
+def q_cast_all_except(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    text = ev.select(
+        F.col("event_id").cast("string").alias("event_id"), "ts",
+        F.col("user_id").cast("string").alias("user_id"), "event_type",
+        F.col("value").cast("string").alias("value"), "props",
+        F.regexp_extract("props", "[0-9]+", 0).alias("k_text"))
+    return cast_all_except(text, keep=["ts", "event_type"])
+
+
+def q_env_tag_counts(spark, sf_dir):
+    calls = _calls(spark, sf_dir)
+    located = calls.filter(F.col("end_latitude").isNotNull() & F.col("end_longitude").isNotNull())
+    return located.groupBy(env_tag("indoor_outdoor_indicator_name").alias("env_tag"),
+                           "indoor_outdoor_indicator_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_date_range_scan(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    root = staging_path(spark, "events_by_day")
+    write_csv(ev.withColumn("UTC_date", day_str("ts")), root, partition_by=["UTC_date"])
+    cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    text = scan_days(spark, root, SCAN_DAYS, columns=cols)
+    return text.select(
+        F.col("event_id").try_cast("bigint").alias("event_id"),
+        F.col("ts").try_cast("timestamp_ntz").alias("ts"),
+        F.col("user_id").try_cast("bigint").alias("user_id"),
+        "event_type",
+        F.col("value").try_cast("double").alias("value"),
+        "props", "UTC_date")
+
+
+def q_weekly_window_counts(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    daily = ev.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_events"))
+    windows = [(v, weekly_window(AS_OF, v)) for v in ("kpi", "enb", "gnb")]
+    windows.append(("trailing_9", trailing_days(AS_OF, 9)))
+    days = daily.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("window_name"), arr.alias("days")) for name, arr in windows
+    ])).alias("w")).select("w.window_name", F.explode("w.days").alias("day"))
+    return (days.join(daily, "day", "left")
+            .select("window_name", day_str("day").alias("day"),
+                    F.coalesce("n_events", F.lit(0)).alias("n_events")))
+
+
+def q_access_burst(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    return access_bursts(ev, "user_id", "ts", n=3, within_seconds=3600, order=["event_id"])
+
+
+def q_burst_witnesses(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    return burst_witnesses(ev, "user_id", "ts", n=3, within_seconds=3600, order=["event_id"])
+
+
+def q_clock_text(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    hhmm = F.date_format("ts", "HHmm")
+    return ev.select("event_id", hhmm.alias("hhmm"),
+                     clock_minutes(hhmm).alias("minute_of_day"),
+                     clock_decimal_hours(hhmm).alias("decimal_hours"),
+                     clock_to_timestamp(F.to_date("ts"), hhmm).alias("ts_minute"))
+
+
+def q_id_reconcile(spark, sf_dir):
+    cust = _table(spark, sf_dir, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("id"))
+    ords = _table(spark, sf_dir, "orders").select(
+        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("id")).distinct()
+    return reconcile(cust, ords, "id")
+
+
+def q_freshness_gaps(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    return day_gaps(ev, F.to_date("ts"), by=["user_id"])
+
+
+def q_data_freshness(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    return freshness(ev, F.to_date("ts"), as_of="2024-01-31", delay_days=1,
+                     floor_day="2023-01-01", by=["user_id"])
+
+
+def q_order_day_gaps(spark, sf_dir):
+    return day_gaps(_table(spark, sf_dir, "orders"), F.to_date("o_orderdate"))
+
+
+def q_sample_md5(spark, sf_dir):
+    return sample_by_hash(_table(spark, sf_dir, "events"), ["event_id"], 0.1)
+
+
+def q_table_profile(spark, sf_dir):
+    return profile(_calls(spark, sf_dir),
+                   distinct_cols=["subscriber_id", "current_enodeb_id", "serving_nr_cell_id"],
+                   null_cols=["serving_nr_cell_id", "end_latitude",
+                              "indoor_outdoor_indicator_name"])
+
+
+def q_doc_token_counts(spark, sf_dir):
+    return doc_token_counts(_table(spark, sf_dir, "documents"))
+
+
+def q_corpus_token_counts(spark, sf_dir):
+    return corpus_token_counts(_table(spark, sf_dir, "documents"))
+
+
+def q_dedup_keys(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    grouped = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return grouped.dropDuplicates(["user_id", "event_type"])
+
+
+COVER_SCHEMA = ("date_td string, cnt bigint, enb string, gridid string, pct double, "
+                "rank int, is_other boolean")
+
+
+def q_parquet_round_trip(spark, sf_dir):
+    path = staging_path(spark, "enb_cover_1000_parquet")
+    write_parquet(_cover("current_enodeb_id", "enb", 1000)(spark, sf_dir), path, files=4)
+    return spark.read.parquet(path)
+
+
+def _csv_round_trip(gzip: bool):
+    def run(spark, sf_dir):
+        path = staging_path(spark, "enb_cover_1000_csv" + ("_gz" if gzip else ""))
+        write_csv(_cover("current_enodeb_id", "enb", 1000)(spark, sf_dir), path, files=4,
+                  gzip=gzip)
+        return read_csv(spark, path, COVER_SCHEMA)
+    return run
+
+
+def alerts_from_calls(calls: DataFrame) -> DataFrame:
+    """Alert-shaped text records per (eNB, day), derived from call rows."""
+    day = F.to_date("ts")
+    enb = F.col("current_enodeb_id")
+    g = calls.groupBy(enb.alias("enodeb"), day.alias("day")).agg(
+        F.count_if(F.col("rsrp_dbm") < -82.0).alias("abnormal"),
+        F.count_if(F.col("indoor_outdoor_indicator_name") == "Indoor").alias("nrb"),
+        F.count_if(F.col("indoor_outdoor_indicator_name").isNull()).alias("w360"))
+    return g.select(
+        "enodeb",
+        F.concat(F.lit("site_"), "enodeb").alias("site"),
+        F.concat(F.lit("region_"), (F.col("enodeb").cast("int") % 4).cast("string"))
+        .alias("region"),
+        F.date_format(F.date_add("day", 1), "yyyy-MM-dd").alias("alert_day"),
+        F.date_format("day", "yyyy-MM-dd").alias("event_day"),
+        F.col("abnormal").cast("string").alias("abnormal_kpi_count"),
+        F.col("nrb").cast("string").alias("nrb_ticket_counts"),
+        F.col("w360").cast("string").alias("w360_ticket_counts"),
+        F.when(F.col("enodeb").cast("int") % 2 == 0, F.lit("vendor_a"))
+        .otherwise(F.lit("vendor_b")).alias("vendor"),
+    )
+
+
+def q_json_alerts(spark, sf_dir):
+    path = staging_path(spark, "alerts_json")
+    alerts_from_calls(_calls(spark, sf_dir)).select(*ALERT_FIELDS).write.mode("overwrite").json(path)
+    return read_alerts(spark, path)
+
+
+def q_preview_20(spark, sf_dir):
+    return preview(_table(spark, sf_dir, "events"), 20, order_by=["ts", "event_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for r in (100, 1000, 10000):
         q[f"enb_cover_{r}"] = _cover("current_enodeb_id", "enb", r)
         q[f"gnb_cover_{r}"] = _cover("serving_nr_cell_id", "gnb", r)
+    q.update({
+        "nation_top_customers": q_nation_top_customers,
+        "grid_kpi": q_grid_kpi,
+        "grid_of_points": q_grid_of_points,
+        "grid_coarsen": q_grid_coarsen,
+        "cast_all_except": q_cast_all_except,
+        "env_tag_counts": q_env_tag_counts,
+        "date_range_scan": q_date_range_scan,
+        "weekly_window_counts": q_weekly_window_counts,
+        "access_burst": q_access_burst,
+        "burst_witnesses": q_burst_witnesses,
+        "clock_text": q_clock_text,
+        "id_reconcile": q_id_reconcile,
+        "freshness_gaps": q_freshness_gaps,
+        "data_freshness": q_data_freshness,
+        "order_day_gaps": q_order_day_gaps,
+        "sample_md5": q_sample_md5,
+        "table_profile": q_table_profile,
+        "doc_token_counts": q_doc_token_counts,
+        "corpus_token_counts": q_corpus_token_counts,
+        "dedup_keys": q_dedup_keys,
+        "parquet_round_trip": q_parquet_round_trip,
+        "csv_round_trip": _csv_round_trip(False),
+        "csv_gzip_round_trip": _csv_round_trip(True),
+        "json_alerts": q_json_alerts,
+        "preview_20": q_preview_20,
+    })
     return q
 
 
@@ -59,4 +301,5 @@ def oracle_sql() -> dict[str, str]:
     for r, p in ((100, 3), (1000, 2), (10000, 1)):
         o[f"enb_cover_{r}"] = osql.coverage("current_enodeb_id", "enb", p, DATE_TD)
         o[f"gnb_cover_{r}"] = osql.coverage("serving_nr_cell_id", "gnb", p, DATE_TD)
+    o.update(osql.other_queries(AS_OF, SCAN_DAYS, KPI_WEEK, DATE_TD))
     return o

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values: WGS84 ellipsoid, UTM scale, MGRS lettering -------------
@@ -88,19 +88,8 @@ def _digits(metres: Column, precision: int) -> Column:
     return F.lpad(F.floor(within / 10 ** (5 - precision)).cast("string"), precision, "0")
 
 
-def mgrs(lat, lon, precision: int = 3) -> Column:
-    """MGRS id of (lat, lon) with ``precision`` digits per axis (0-5).
-
-    ``lat``/``lon`` may be Columns or column names, numeric or text; text is
-    read with ``try_cast`` so bad values give NULL instead of failing the job.
-    """
-    if not 0 <= precision <= 5:
-        raise ValueError("precision must be between 0 and 5")
-    lat = _c(lat).try_cast("double")
-    lon_raw = _c(lon).try_cast("double")
-    lon = F.when(lon_raw == 180.0, F.lit(-180.0)).otherwise(lon_raw)
-    zone = utm_zone(lat, lon)
-    easting, northing = utm_easting_northing(lat, lon, zone)
+def _grid_string(lat: Column, lon: Column, zone: Column, easting: Column,
+                 northing: Column, precision: int) -> Column:
     band = F.substring(F.lit(LAT_BANDS), (F.floor((lat + 80.0) / 8.0) + 1).cast("int"), 1)
     col_set = (
         F.when(zone % 3 == 1, F.lit(COLUMN_LETTERS[0]))
@@ -121,6 +110,79 @@ def mgrs(lat, lon, precision: int = 3) -> Column:
     return F.when(valid, F.concat(*parts))
 
 
+def _check(precision: int) -> None:
+    if not 0 <= precision <= 5:
+        raise ValueError("precision must be between 0 and 5")
+
+
+def _inputs(lat, lon) -> tuple[Column, Column]:
+    lat = _c(lat).try_cast("double")
+    lon_raw = _c(lon).try_cast("double")
+    return lat, F.when(lon_raw == 180.0, F.lit(-180.0)).otherwise(lon_raw)
+
+
+def located(lat, lon) -> Column:
+    """True where ``mgrs`` gives an id: both coordinates numeric and in range.
+
+    Filter on this rather than on ``gridid IS NOT NULL``: the predicate is
+    cheap, reaches the scan, and does not drag the projection into a filter.
+    """
+    lat, lon = _inputs(lat, lon)
+    return F.coalesce(lat.between(-80.0, 84.0) & lon.between(-180.0, 180.0), F.lit(False))
+
+
+def mgrs(lat, lon, precision: int = 3) -> Column:
+    """MGRS id of (lat, lon) with ``precision`` digits per axis (0-5), as one Column.
+
+    ``lat``/``lon`` may be Columns or column names, numeric or text; text is
+    read with ``try_cast`` so bad values give NULL instead of failing the job.
+    The single expression repeats its shared terms, which makes analysis slow;
+    ``with_mgrs`` is the form for DataFrames and for several precisions.
+    """
+    _check(precision)
+    lat, lon = _inputs(lat, lon)
+    zone = utm_zone(lat, lon)
+    easting, northing = utm_easting_northing(lat, lon, zone)
+    return _grid_string(lat, lon, zone, easting, northing, precision)
+
+
+def with_mgrs(df: DataFrame, lat, lon, precisions: dict[str, int] | None = None) -> DataFrame:
+    """Add MGRS id columns ``{name: precision}`` (default ``{"gridid": 3}``).
+
+    The projection runs in stages (inputs, zone, the projection's shared
+    terms, easting/northing, strings). Each stage refers to the one before by
+    name, so the plan stays small and every term is evaluated once per row;
+    Catalyst keeps the stages apart because their terms are reused.
+    """
+    precisions = precisions or {"gridid": 3}
+    for p in precisions.values():
+        _check(p)
+    lat_c, lon_c = _inputs(lat, lon)
+    t_lat, t_lon, t_zone, t_sin, t_lam, t_t, t_xi, t_eta, t_e, t_n = (
+        f"_mgrs_{k}" for k in ("lat", "lon", "zone", "sin", "lam", "t", "xi", "eta", "e", "n"))
+    out = df.select("*", lat_c.alias(t_lat), lon_c.alias(t_lon))
+    out = out.select("*", utm_zone(F.col(t_lat), F.col(t_lon)).alias(t_zone))
+    out = out.select("*", F.sin(F.col(t_lat) * DEG).alias(t_sin),
+                     ((F.col(t_lon) - (F.col(t_zone) * 6 - 183)) * DEG).alias(t_lam))
+    sin_phi = F.col(t_sin)
+    out = out.select("*", F.sinh(F.atanh(sin_phi) - F.atanh(sin_phi * ECC) * ECC).alias(t_t))
+    t, lam = F.col(t_t), F.col(t_lam)
+    out = out.select("*", F.atan2(t, F.cos(lam)).alias(t_xi),
+                     F.atanh(F.sin(lam) / F.sqrt(t * t + 1.0)).alias(t_eta))
+    xi, eta = F.col(t_xi), F.col(t_eta)
+    e_sum, n_sum = eta, xi
+    for j, a in enumerate(ALPHA, start=1):
+        e_sum = e_sum + F.cos(xi * (2.0 * j)) * F.sinh(eta * (2.0 * j)) * a
+        n_sum = n_sum + F.sin(xi * (2.0 * j)) * F.cosh(eta * (2.0 * j)) * a
+    out = out.select("*", (e_sum * K0A + FALSE_EASTING).alias(t_e),
+                     (n_sum * K0A + F.when(F.col(t_lat) < 0.0, FALSE_NORTHING_SOUTH)
+                      .otherwise(0.0)).alias(t_n))
+    out = out.select("*", *[
+        _grid_string(F.col(t_lat), F.col(t_lon), F.col(t_zone), F.col(t_e), F.col(t_n), p)
+        .alias(name) for name, p in precisions.items()])
+    return out.drop(t_lat, t_lon, t_zone, t_sin, t_lam, t_t, t_xi, t_eta, t_e, t_n)
+
+
 def coarsen(gridid, precision: int, from_precision: int = 3) -> Column:
     """Shorten an MGRS id of ``from_precision`` digits to ``precision`` digits.
 

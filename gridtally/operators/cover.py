@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.functions.grid import coarsen, mgrs
+from gridtally.functions.grid import coarsen, located, with_mgrs
 
 OTHERS = "others"  # fixed value: label of the folded row
 
@@ -136,7 +136,7 @@ def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
 def with_grid(df: DataFrame, lat: str = "end_latitude", lon: str = "end_longitude",
               precision: int = 3, name: str = "gridid") -> DataFrame:
     """Add the MGRS id column; text coordinates are read with try_cast."""
-    return df.withColumn(name, mgrs(lat, lon, precision))
+    return with_mgrs(df, lat, lon, {name: precision})
 
 
 def coverage(calls: DataFrame, id_col: str = "current_enodeb_id",
@@ -156,9 +156,10 @@ def coverage(calls: DataFrame, id_col: str = "current_enodeb_id",
         if r not in RESOLUTIONS:
             raise ValueError(f"resolution {r} not in {sorted(RESOLUTIONS)}")
     finest = max(RESOLUTIONS[r] for r in resolutions)
-    gridded = calls.select(F.col(id_col), mgrs(lat, lon, finest).alias("gridid"))
+    points = calls.select(id_col, lat, lon)
     if not keep_unlocated:
-        gridded = gridded.filter(F.col("gridid").isNotNull())
+        points = points.filter(located(lat, lon))
+    gridded = with_mgrs(points, lat, lon, {"gridid": finest}).select(id_col, "gridid")
     base = pair_counts(gridded, "gridid", id_col)
     out = {}
     for r in resolutions:

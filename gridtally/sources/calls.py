@@ -64,7 +64,9 @@ def calls_from_events(events: DataFrame) -> DataFrame:
 
     Coordinates fall on a small lattice around 21N 158W so that grid cells hold
     several base stations; some rows are unlocated (NULL latitude) or out of
-    range (latitude 95), and some 5G cell ids are NULL.
+    range (latitude 95), and some 5G cell ids are NULL. Averaged measures
+    are multiples of 1/16 and summed ones are whole numbers, so aggregates are
+    exact in any summation order and two engines agree bit for bit.
     """
     eid = F.col("event_id")
     uid = F.col("user_id")
@@ -90,20 +92,20 @@ def calls_from_events(events: DataFrame) -> DataFrame:
         .otherwise(F.lit(21.0) + (uid % 40) * 131e-4 + (eid % 5) * 7e-4)
         .alias("end_latitude"),
         (F.lit(-1582e-1) + (uid % 30) * 173e-4 + (eid % 3) * 9e-4).alias("end_longitude"),
-        (-80.0 - v / 20.0).alias("rsrp_dbm"),
-        (-5.0 - v / 40.0).alias("rsrq_db"),
-        (25.0 - v / 10.0).alias("ul_sinr_db"),
+        (-80.0 - F.floor(v * 4.0) / 8.0).alias("rsrp_dbm"),
+        (-5.0 - F.floor(v * 2.0) / 16.0).alias("rsrq_db"),
+        (25.0 - F.floor(v) / 4.0).alias("ul_sinr_db"),
         ((eid % 9) + 1.0).alias("qci_mean"),
         vol(37, 1000, 1500.0).alias("rlc_pdu_dl_bytes_count"),
         vol(11, 700, 300.0).alias("rlc_pdu_ul_bytes_count"),
-        (v * 150.0).alias("rlc_dl_throughput"),
-        (v * 30.0).alias("rlc_ul_throughput"),
+        F.floor(v * 150.0).cast("double").alias("rlc_dl_throughput"),
+        F.floor(v * 30.0).cast("double").alias("rlc_ul_throughput"),
         vol(13, 900, 1600.0).alias("dl_mac_volume_bytes"),
         vol(17, 500, 400.0).alias("ul_mac_volume_bytes"),
-        (v * 25.0).alias("mac_mean_ul_kbps"),
-        (v * 120.0).alias("mac_mean_dl_kbps"),
-        (v * 110.0).alias("drb_mean_pdcp_dl_kbps"),
-        (v * 22.0).alias("drb_mean_pdcp_ul_kbps"),
+        F.floor(v * 25.0).cast("double").alias("mac_mean_ul_kbps"),
+        F.floor(v * 120.0).cast("double").alias("mac_mean_dl_kbps"),
+        F.floor(v * 110.0).cast("double").alias("drb_mean_pdcp_dl_kbps"),
+        F.floor(v * 22.0).cast("double").alias("drb_mean_pdcp_ul_kbps"),
         vol(19, 800, 1400.0).alias("dl_pdcp_volume_bytes"),
         vol(23, 600, 350.0).alias("ul_pdcp_volume_bytes"),
         vol(29, 400, 250.0).alias("rlc_sdu_ul_bytes_count"),
@@ -111,7 +113,7 @@ def calls_from_events(events: DataFrame) -> DataFrame:
         .otherwise(vol(31, 50, 100.0))
         .alias("rlc_pdu_dl__retransmitted_bytes_count"),
         F.when(eid % 7 == 0, F.lit(None).cast("double"))
-        .otherwise(20.0 - v / 8.0)
+        .otherwise(20.0 - F.floor(v) / 8.0)
         .alias("pusch_sinr_db"),
         F.date_format("ts", "yyyyMMdd").alias("UTC_date"),
     )

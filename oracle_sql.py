@@ -32,26 +32,26 @@ SELECT
   CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 95e0
        ELSE 21e0 + (user_id % 40) * 131e-4 + (event_id % 5) * 7e-4 END AS end_latitude,
   -1582e-1 + (user_id % 30) * 173e-4 + (event_id % 3) * 9e-4 AS end_longitude,
-  -80e0 - value / 20e0 AS rsrp_dbm,
-  -5e0 - value / 40e0 AS rsrq_db,
-  25e0 - value / 10e0 AS ul_sinr_db,
+  -80e0 - floor(value * 4e0) / 8e0 AS rsrp_dbm,
+  -5e0 - floor(value * 2e0) / 16e0 AS rsrq_db,
+  25e0 - floor(value) / 4e0 AS ul_sinr_db,
   (event_id % 9) + 1e0 AS qci_mean,
   ((event_id * 37) % 1000) * 1500e0 AS rlc_pdu_dl_bytes_count,
   ((event_id * 11) % 700) * 300e0 AS rlc_pdu_ul_bytes_count,
-  value * 150e0 AS rlc_dl_throughput,
-  value * 30e0 AS rlc_ul_throughput,
+  floor(value * 150e0) AS rlc_dl_throughput,
+  floor(value * 30e0) AS rlc_ul_throughput,
   ((event_id * 13) % 900) * 1600e0 AS dl_mac_volume_bytes,
   ((event_id * 17) % 500) * 400e0 AS ul_mac_volume_bytes,
-  value * 25e0 AS mac_mean_ul_kbps,
-  value * 120e0 AS mac_mean_dl_kbps,
-  value * 110e0 AS drb_mean_pdcp_dl_kbps,
-  value * 22e0 AS drb_mean_pdcp_ul_kbps,
+  floor(value * 25e0) AS mac_mean_ul_kbps,
+  floor(value * 120e0) AS mac_mean_dl_kbps,
+  floor(value * 110e0) AS drb_mean_pdcp_dl_kbps,
+  floor(value * 22e0) AS drb_mean_pdcp_ul_kbps,
   ((event_id * 19) % 800) * 1400e0 AS dl_pdcp_volume_bytes,
   ((event_id * 23) % 600) * 350e0 AS ul_pdcp_volume_bytes,
   ((event_id * 29) % 400) * 250e0 AS rlc_sdu_ul_bytes_count,
   CASE WHEN event_id % 13 = 0 THEN NULL
        ELSE ((event_id * 31) % 50) * 100e0 END AS rlc_pdu_dl__retransmitted_bytes_count,
-  CASE WHEN event_id % 7 = 0 THEN NULL ELSE 20e0 - value / 8e0 END AS pusch_sinr_db,
+  CASE WHEN event_id % 7 = 0 THEN NULL ELSE 20e0 - floor(value) / 8e0 END AS pusch_sinr_db,
   strftime(ts, '%Y%m%d') AS UTC_date
 FROM events
 """
@@ -132,3 +132,177 @@ def coverage(id_col: str, id_name: str, p: int, date_td: str) -> str:
              f"GROUP BY gridid, id")
     body = topn_others(pairs, "gridid", id_name, extra_select=f"'{date_td}' AS date_td,")
     return f"WITH calls AS ({CALLS}) SELECT * FROM ({body}) q"
+
+
+def grid_kpi(week: tuple[str, str]) -> str:
+    from gridtally.operators.kpi import KPI_MEASURES
+
+    aggs = []
+    for src, fn, out in KPI_MEASURES:
+        if fn == "avg":
+            aggs.append(f"avg({src}) AS {out}")
+        else:
+            aggs.append(f"CAST(sum({src}) AS DOUBLE) AS {out}")
+    g = mgrs("end_latitude", "end_longitude", 3)
+    return f"""
+WITH calls AS ({CALLS}),
+t AS (SELECT *, CASE WHEN indoor_outdoor_indicator_name = 'Indoor' THEN 'Indoor'
+                     ELSE 'Outdoor' END AS env_tag,
+             {g} AS gridid
+      FROM calls WHERE end_latitude IS NOT NULL AND end_longitude IS NOT NULL)
+SELECT gridid, env_tag, {', '.join(aggs)},
+       count(DISTINCT subscriber_id) AS unique_imsi_cnt, count(*) AS records_cnt,
+       '{week[0]}' AS start_week, '{week[1]}' AS end_week
+FROM t GROUP BY gridid, env_tag
+"""
+
+
+def _ws_class() -> str:
+    from gridtally.functions.columns import WHITESPACE_CLASS
+    return WHITESPACE_CLASS.replace("'", "''")
+
+
+def _tokens(text: str) -> str:
+    ws = _ws_class()
+    stripped = f"regexp_replace({text}, '^{ws}+|{ws}+$', '', 'g')"
+    return (f"(CASE WHEN {stripped} = '' THEN CAST([] AS VARCHAR[]) "
+            f"ELSE string_split_regex({stripped}, '{ws}+') END)")
+
+
+def other_queries(as_of: str, scan_days: list[str], kpi_week: tuple[str, str],
+                  date_td: str) -> dict[str, str]:
+    from gridtally.operators.quality import md5_threshold
+
+    o: dict[str, str] = {}
+    nation_pairs = """
+SELECT n_name, CAST(c_custkey AS VARCHAR) AS id, count(*) AS cnt
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY n_name, c_custkey"""
+    o["nation_top_customers"] = topn_others(nation_pairs, "n_name", "customer")
+    o["grid_kpi"] = grid_kpi(kpi_week)
+    pts = "SELECT event_id, end_latitude, end_longitude FROM calls"
+    o["grid_of_points"] = (
+        f"WITH calls AS ({CALLS}) SELECT event_id, end_latitude, end_longitude, "
+        + ", ".join(f"{mgrs('end_latitude', 'end_longitude', p)} AS g{p}" for p in (5, 3, 2, 1))
+        + " FROM calls")
+    o["grid_coarsen"] = (
+        f"WITH calls AS ({CALLS}) SELECT event_id, "
+        + ", ".join(f"{mgrs('end_latitude', 'end_longitude', p)} AS g{p}" for p in (3, 2, 1))
+        + " FROM calls")
+    del pts
+    o["cast_all_except"] = """
+SELECT CAST(event_id AS DOUBLE) AS event_id, ts, CAST(user_id AS DOUBLE) AS user_id, event_type,
+       value, TRY_CAST(props AS DOUBLE) AS props,
+       TRY_CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) AS k_text
+FROM events"""
+    o["env_tag_counts"] = f"""
+WITH calls AS ({CALLS})
+SELECT CASE WHEN indoor_outdoor_indicator_name = 'Indoor' THEN 'Indoor' ELSE 'Outdoor' END
+         AS env_tag,
+       indoor_outdoor_indicator_name, count(*) AS n
+FROM calls WHERE end_latitude IS NOT NULL AND end_longitude IS NOT NULL
+GROUP BY ALL"""
+    o["date_range_scan"] = f"""
+SELECT event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y%m%d') AS UTC_date
+FROM events WHERE strftime(ts, '%Y%m%d') IN ({', '.join(f"'{d}'" for d in scan_days)})"""
+    a = f"DATE '{as_of}'"
+    wd = f"(isodow({a}) - 1)"
+    wins = []
+    for name, off in (("kpi", 7), ("enb", 2), ("gnb", 1)):
+        start = f"({a} - CAST({wd} + {off} AS INTEGER))"
+        wins.append(f"""SELECT '{name}' AS window_name, CAST(d AS DATE) AS day
+  FROM generate_series({start}, least({start} + 6, {a}), INTERVAL 1 DAY) t(d)""")
+    wins.append(f"""SELECT 'trailing_9' AS window_name, CAST(d AS DATE) AS day
+  FROM generate_series({a} - 8, {a}, INTERVAL 1 DAY) t(d)""")
+    o["weekly_window_counts"] = f"""
+WITH w AS ({' UNION ALL '.join(wins)}),
+daily AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)
+SELECT window_name, strftime(w.day, '%Y%m%d') AS day, coalesce(daily.n, 0) AS n_events
+FROM w LEFT JOIN daily ON w.day = daily.day"""
+    lead = """
+WITH x AS (
+  SELECT user_id, ts, event_id,
+         lead(ts, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ts_2,
+         lead(ts, 2) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ts_3
+  FROM events)"""
+    o["access_burst"] = lead + """
+SELECT user_id, ts, event_id FROM x WHERE ts_3 < ts + INTERVAL 1 HOUR"""
+    o["burst_witnesses"] = lead + """
+SELECT user_id, event_id, ts AS ts_1, ts_2, ts_3 FROM x WHERE ts_3 < ts + INTERVAL 1 HOUR"""
+    o["clock_text"] = """
+SELECT event_id, strftime(ts, '%H%M') AS hhmm,
+       CAST(strftime(ts, '%H') AS INTEGER) * 60 + CAST(strftime(ts, '%M') AS INTEGER)
+         AS minute_of_day,
+       CAST(strftime(ts, '%H') AS INTEGER)
+         + round(CAST(strftime(ts, '%M') AS INTEGER) / 60e0, 2) AS decimal_hours,
+       date_trunc('minute', ts) AS ts_minute
+FROM events"""
+    o["id_reconcile"] = """
+WITH c AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer),
+     r AS (SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS id FROM orders)
+SELECT id, 'left_only' AS side FROM (SELECT id FROM c EXCEPT ALL SELECT id FROM r)
+UNION ALL
+SELECT id, 'right_only' AS side FROM (SELECT id FROM r EXCEPT ALL SELECT id FROM c)"""
+    o["freshness_gaps"] = """
+WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+s AS (SELECT user_id, min(day) AS lo, max(day) AS hi FROM d GROUP BY user_id),
+cal AS (SELECT user_id, CAST(x AS DATE) AS day
+        FROM s, generate_series(lo, hi, INTERVAL 1 DAY) t(x))
+SELECT user_id, day AS missing_day FROM cal
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.user_id = cal.user_id AND d.day = cal.day)"""
+    o["data_freshness"] = """
+WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events
+           WHERE CAST(ts AS DATE) BETWEEN DATE '2023-01-01' AND DATE '2024-01-30')
+SELECT user_id, DATE '2024-01-30' AS expected_day,
+       max(CASE WHEN day = DATE '2024-01-30' THEN 1 ELSE 0 END) = 1 AS expected_present,
+       max(day) AS latest_day, CAST(DATE '2024-01-30' - max(day) AS INTEGER) AS lag_days
+FROM d GROUP BY user_id"""
+    o["order_day_gaps"] = """
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
+cal AS (SELECT CAST(x AS DATE) AS day FROM generate_series(
+          (SELECT min(day) FROM d), (SELECT max(day) FROM d), INTERVAL 1 DAY) t(x))
+SELECT day AS missing_day FROM cal WHERE day NOT IN (SELECT day FROM d)"""
+    o["sample_md5"] = f"""
+SELECT * FROM events
+WHERE substr(md5(CAST(event_id AS VARCHAR)), 1, 8) < '{md5_threshold(0.1)}'"""
+    o["table_profile"] = f"""
+WITH calls AS ({CALLS})
+SELECT count(*) AS records,
+       count(DISTINCT subscriber_id) AS distinct_subscriber_id,
+       count(DISTINCT current_enodeb_id) AS distinct_current_enodeb_id,
+       count(DISTINCT serving_nr_cell_id) AS distinct_serving_nr_cell_id,
+       count(*) FILTER (WHERE serving_nr_cell_id IS NULL) AS nulls_serving_nr_cell_id,
+       count(*) FILTER (WHERE end_latitude IS NULL) AS nulls_end_latitude,
+       count(*) FILTER (WHERE indoor_outdoor_indicator_name IS NULL)
+         AS nulls_indoor_outdoor_indicator_name
+FROM calls"""
+    toks = _tokens("text")
+    o["doc_token_counts"] = f"""
+SELECT doc_id, CAST(len({toks}) AS BIGINT) AS n_tokens,
+       CAST(len(list_distinct({toks})) AS BIGINT) AS n_distinct_tokens
+FROM documents"""
+    o["corpus_token_counts"] = f"""
+SELECT token, count(*) AS n FROM (SELECT unnest({toks}) AS token FROM documents)
+GROUP BY token"""
+    o["dedup_keys"] = """
+SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type"""
+    cov = coverage("current_enodeb_id", "enb", 2, date_td)
+    o["parquet_round_trip"] = cov
+    o["csv_round_trip"] = cov
+    o["csv_gzip_round_trip"] = cov
+    o["json_alerts"] = f"""
+WITH calls AS ({CALLS}),
+g AS (SELECT current_enodeb_id AS enodeb, CAST(ts AS DATE) AS day,
+             count(*) FILTER (WHERE rsrp_dbm < -82e0) AS abnormal,
+             count(*) FILTER (WHERE indoor_outdoor_indicator_name = 'Indoor') AS nrb,
+             count(*) FILTER (WHERE indoor_outdoor_indicator_name IS NULL) AS w360
+      FROM calls GROUP BY 1, 2)
+SELECT enodeb, 'site_' || enodeb AS site,
+       'region_' || CAST(CAST(enodeb AS INTEGER) % 4 AS VARCHAR) AS region,
+       CAST(day + 1 AS DATE) AS alert_day, day AS event_day,
+       CAST(abnormal AS INTEGER) AS abnormal_kpi_count, CAST(nrb AS INTEGER) AS nrb_ticket_counts,
+       CAST(w360 AS INTEGER) AS w360_ticket_counts,
+       CASE WHEN CAST(enodeb AS INTEGER) % 2 = 0 THEN 'vendor_a' ELSE 'vendor_b' END AS vendor
+FROM g"""
+    o["preview_20"] = "SELECT * FROM events ORDER BY ts, event_id LIMIT 20"
+    return o
