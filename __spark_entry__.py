@@ -25,7 +25,7 @@ from gridtally.functions.columns import (  # noqa: E402
 from gridtally.functions.dates import day_str, trailing_days, weekly_window  # noqa: E402
 from gridtally.functions.grid import coarsen, with_mgrs  # noqa: E402
 from gridtally.operators.bursts import access_bursts, burst_witnesses  # noqa: E402
-from gridtally.operators.cover import coverage, topn_with_others  # noqa: E402
+from gridtally.operators.cover import coverage, coverage_all, topn_with_others  # noqa: E402
 from gridtally.operators.kpi import grid_kpi  # noqa: E402
 from gridtally.operators.quality import (  # noqa: E402
     day_gaps, freshness, profile, reconcile, sample_by_hash,
@@ -63,6 +63,13 @@ SCAN_DAYS = [f"2023{d:04d}" for d in (1230, 1231)] + [f"202401{d:02d}" for d in
 KPI_WEEK = ("20240108", "20240114")
 
 
+def _cover_all(id_col: str, id_name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return coverage_all(_calls(spark, sf_dir), id_col=id_col, id_name=id_name,
+                            date_td=DATE_TD)
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """eNB coverage at 1 km on sf0.001."""
     return _cover("current_enodeb_id", "enb", 1000)(spark, "/root/testdata/sf0.001")
@@ -162,11 +169,13 @@ def q_clock_text(spark, sf_dir):
 
 
 def q_id_reconcile(spark, sf_dir):
-    cust = _table(spark, sf_dir, "customer").select(
-        F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("id"))
-    ords = _table(spark, sf_dir, "orders").select(
-        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("id")).distinct()
-    return reconcile(cust, ords, "id")
+    """Customers ordering in 1995 against customers ordering in 1996."""
+    ords = _table(spark, sf_dir, "orders")
+    ids = ords.select(F.year("o_orderdate").alias("y"),
+                      F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("id"))
+    old = ids.filter(F.col("y") == 1995).select("id").distinct()
+    new = ids.filter(F.col("y") == 1996).select("id").distinct()
+    return reconcile(old, new, "id")
 
 
 def q_freshness_gaps(spark, sf_dir):
@@ -266,6 +275,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for r in (100, 1000, 10000):
         q[f"enb_cover_{r}"] = _cover("current_enodeb_id", "enb", r)
         q[f"gnb_cover_{r}"] = _cover("serving_nr_cell_id", "gnb", r)
+    q["enb_cover_all"] = _cover_all("current_enodeb_id", "enb")
+    q["gnb_cover_all"] = _cover_all("serving_nr_cell_id", "gnb")
     q.update({
         "nation_top_customers": q_nation_top_customers,
         "grid_kpi": q_grid_kpi,
@@ -301,5 +312,7 @@ def oracle_sql() -> dict[str, str]:
     for r, p in ((100, 3), (1000, 2), (10000, 1)):
         o[f"enb_cover_{r}"] = osql.coverage("current_enodeb_id", "enb", p, DATE_TD)
         o[f"gnb_cover_{r}"] = osql.coverage("serving_nr_cell_id", "gnb", p, DATE_TD)
+    o["enb_cover_all"] = osql.coverage_all("current_enodeb_id", "enb", DATE_TD)
+    o["gnb_cover_all"] = osql.coverage_all("serving_nr_cell_id", "gnb", DATE_TD)
     o.update(osql.other_queries(AS_OF, SCAN_DAYS, KPI_WEEK, DATE_TD))
     return o

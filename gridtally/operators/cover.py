@@ -139,6 +139,43 @@ def with_grid(df: DataFrame, lat: str = "end_latitude", lon: str = "end_longitud
     return with_mgrs(df, lat, lon, {name: precision})
 
 
+def grid_pairs(calls: DataFrame, id_col: str, precision: int = 3,
+               keep_unlocated: bool = True, lat: str = "end_latitude",
+               lon: str = "end_longitude") -> DataFrame:
+    """``(gridid, <id_col>, cnt)`` at one precision: the input of every resolution.
+
+    ``keep_unlocated=False`` drops rows without a grid id first, with a cheap
+    range test on the coordinates rather than a filter on the grid id.
+    """
+    points = calls.select(id_col, lat, lon)
+    if not keep_unlocated:
+        points = points.filter(located(lat, lon))
+    gridded = with_mgrs(points, lat, lon, {"gridid": precision}).select(id_col, "gridid")
+    return pair_counts(gridded, "gridid", id_col)
+
+
+def coverage_from_pairs(base: DataFrame, id_col: str, base_precision: int,
+                        resolution: int, n: int = 10, date_td: str | None = None,
+                        id_name: str = "enb") -> DataFrame:
+    """Top-``n`` + others per grid cell at ``resolution`` metres from pair counts
+    at ``base_precision`` (coarser resolutions re-aggregate them)."""
+    p = RESOLUTIONS[resolution]
+    if p > base_precision:
+        raise ValueError(f"resolution {resolution} is finer than the pair counts")
+    pairs = base if p == base_precision else rollup_pairs(
+        base, "gridid", coarsen(F.col("gridid"), p, base_precision), id_col)
+    ranked = topn_with_others(pairs, "gridid", id_col, n=n)
+    return ranked.select(
+        F.lit(date_td).cast("string").alias("date_td"),
+        F.col("cnt"),
+        F.col(id_col).alias(id_name),
+        F.col("gridid"),
+        F.col("pct"),
+        F.col("rank"),
+        F.col("is_other"),
+    )
+
+
 def coverage(calls: DataFrame, id_col: str = "current_enodeb_id",
              resolutions: Sequence[int] = (100, 1000, 10000), n: int = 10,
              date_td: str | None = None, id_name: str = "enb",
@@ -150,30 +187,29 @@ def coverage(calls: DataFrame, id_col: str = "current_enodeb_id",
     pair counts are built once, and every coarser resolution re-aggregates the
     pair counts of the finest one. Returns ``{resolution: DataFrame}`` with
     columns ``date_td, cnt, <id_name>, gridid, pct, rank, is_other``.
-    ``keep_unlocated=False`` drops rows without a grid id first.
     """
     for r in resolutions:
         if r not in RESOLUTIONS:
             raise ValueError(f"resolution {r} not in {sorted(RESOLUTIONS)}")
     finest = max(RESOLUTIONS[r] for r in resolutions)
-    points = calls.select(id_col, lat, lon)
-    if not keep_unlocated:
-        points = points.filter(located(lat, lon))
-    gridded = with_mgrs(points, lat, lon, {"gridid": finest}).select(id_col, "gridid")
-    base = pair_counts(gridded, "gridid", id_col)
-    out = {}
-    for r in resolutions:
-        p = RESOLUTIONS[r]
-        pairs = base if p == finest else rollup_pairs(
-            base, "gridid", coarsen(F.col("gridid"), p, finest), id_col)
-        ranked = topn_with_others(pairs, "gridid", id_col, n=n)
-        out[r] = ranked.select(
-            F.lit(date_td).cast("string").alias("date_td"),
-            F.col("cnt"),
-            F.col(id_col).alias(id_name),
-            F.col("gridid"),
-            F.col("pct"),
-            F.col("rank"),
-            F.col("is_other"),
-        )
+    base = grid_pairs(calls, id_col, finest, keep_unlocated, lat, lon)
+    return {r: coverage_from_pairs(base, id_col, finest, r, n, date_td, id_name)
+            for r in resolutions}
+
+
+def coverage_all(calls: DataFrame, id_col: str = "current_enodeb_id",
+                 resolutions: Sequence[int] = (100, 1000, 10000), n: int = 10,
+                 date_td: str | None = None, id_name: str = "enb",
+                 keep_unlocated: bool = True) -> DataFrame:
+    """All resolutions as one DataFrame with a ``resolution_m`` column.
+
+    One action computes every resolution; Spark reuses the shuffle of the
+    finest pair counts for all of them (``ReusedExchange``), so the raw rows
+    are read and shuffled once. Write it with ``partition_by=["resolution_m"]``.
+    """
+    parts = coverage(calls, id_col, resolutions, n, date_td, id_name, keep_unlocated)
+    out = None
+    for r, df in parts.items():
+        df = df.withColumn("resolution_m", F.lit(r))
+        out = df if out is None else out.unionByName(df)
     return out

@@ -19,6 +19,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # These jobs never join a partitioned fact table to a filtered dimension,
+    # so dynamic partition pruning and runtime bloom filters never apply. Both
+    # rules still trace every join key's lineage down to the scan, through the
+    # grid-id projection, and that costs seconds of planning per query
+    # (measured: 4.0 s -> 0.24 s for one coverage resolution).
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "false",
 }
 
 
@@ -35,6 +42,13 @@ def builder(app_name: str = "gridtally", shuffle_partitions: int | None = None,
     return b
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Set the runtime-settable defaults on an existing session."""
+    for k, v in DEFAULT_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 

@@ -134,6 +134,12 @@ def coverage(id_col: str, id_name: str, p: int, date_td: str) -> str:
     return f"WITH calls AS ({CALLS}) SELECT * FROM ({body}) q"
 
 
+def coverage_all(id_col: str, id_name: str, date_td: str) -> str:
+    parts = [f"SELECT *, {r} AS resolution_m FROM ({coverage(id_col, id_name, p, date_td)})"
+             for r, p in ((100, 3), (1000, 2), (10000, 1))]
+    return " UNION ALL ".join(parts)
+
+
 def grid_kpi(week: tuple[str, str]) -> str:
     from gridtally.operators.kpi import KPI_MEASURES
 
@@ -238,8 +244,10 @@ SELECT event_id, strftime(ts, '%H%M') AS hhmm,
        date_trunc('minute', ts) AS ts_minute
 FROM events"""
     o["id_reconcile"] = """
-WITH c AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer),
-     r AS (SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS id FROM orders)
+WITH c AS (SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS id FROM orders
+           WHERE year(o_orderdate) = 1995),
+     r AS (SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS id FROM orders
+           WHERE year(o_orderdate) = 1996)
 SELECT id, 'left_only' AS side FROM (SELECT id FROM c EXCEPT ALL SELECT id FROM r)
 UNION ALL
 SELECT id, 'right_only' AS side FROM (SELECT id FROM r EXCEPT ALL SELECT id FROM c)"""
