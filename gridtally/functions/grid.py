@@ -88,8 +88,9 @@ def _digits(metres: Column, precision: int) -> Column:
     return F.lpad(F.floor(within / 10 ** (5 - precision)).cast("string"), precision, "0")
 
 
-def _grid_string(lat: Column, lon: Column, zone: Column, easting: Column,
-                 northing: Column, precision: int) -> Column:
+def _square_id(lat: Column, lon: Column, zone: Column, easting: Column,
+               northing: Column) -> Column:
+    """Zone, band and 100 km square letters; NULL where the id is undefined."""
     band = F.substring(F.lit(LAT_BANDS), (F.floor((lat + 80.0) / 8.0) + 1).cast("int"), 1)
     col_set = (
         F.when(zone % 3 == 1, F.lit(COLUMN_LETTERS[0]))
@@ -103,11 +104,16 @@ def _grid_string(lat: Column, lon: Column, zone: Column, easting: Column,
         F.substr(col_set, col_idx.cast("int"), F.lit(1)),
         F.substr(row_set, row_idx.cast("int"), F.lit(1)),
     )
-    parts = [F.lpad(zone.cast("string"), 2, "0"), band, square]
-    if precision:
-        parts += [_digits(easting, precision), _digits(northing, precision)]
     valid = lat.between(-80.0, 84.0) & lon.between(-180.0, 180.0) & col_idx.between(1, 8)
-    return F.when(valid, F.concat(*parts))
+    return F.when(valid, F.concat(F.lpad(zone.cast("string"), 2, "0"), band, square))
+
+
+def _grid_string(lat: Column, lon: Column, zone: Column, easting: Column,
+                 northing: Column, precision: int) -> Column:
+    prefix = _square_id(lat, lon, zone, easting, northing)
+    if not precision:
+        return prefix
+    return F.concat(prefix, _digits(easting, precision), _digits(northing, precision))
 
 
 def _check(precision: int) -> None:
@@ -150,7 +156,8 @@ def with_mgrs(df: DataFrame, lat, lon, precisions: dict[str, int] | None = None)
     """Add MGRS id columns ``{name: precision}`` (default ``{"gridid": 3}``).
 
     The projection runs in stages (inputs, zone, the projection's shared
-    terms, easting/northing, strings). Each stage refers to the one before by
+    terms, easting/northing, the zone/band/square prefix and the metres
+    within the square, then one short string per precision). Each stage refers to the one before by
     name, so the plan stays small and every term is evaluated once per row;
     Catalyst keeps the stages apart because their terms are reused.
     """
@@ -177,10 +184,21 @@ def with_mgrs(df: DataFrame, lat, lon, precisions: dict[str, int] | None = None)
     out = out.select("*", (e_sum * K0A + FALSE_EASTING).alias(t_e),
                      (n_sum * K0A + F.when(F.col(t_lat) < 0.0, FALSE_NORTHING_SOUTH)
                       .otherwise(0.0)).alias(t_n))
+    t_sq, t_e5, t_n5 = "_mgrs_sq", "_mgrs_e5", "_mgrs_n5"
+    out = out.select(
+        "*",
+        _square_id(F.col(t_lat), F.col(t_lon), F.col(t_zone), F.col(t_e), F.col(t_n)).alias(t_sq),
+        (F.floor(F.col(t_e)) % 100000).alias(t_e5),
+        (F.floor(F.col(t_n)) % 100000).alias(t_n5))
+
+    def digits(c: str, p: int) -> Column:
+        return F.lpad(F.floor(F.col(c) / 10 ** (5 - p)).cast("string"), p, "0")
+
     out = out.select("*", *[
-        _grid_string(F.col(t_lat), F.col(t_lon), F.col(t_zone), F.col(t_e), F.col(t_n), p)
-        .alias(name) for name, p in precisions.items()])
-    return out.drop(t_lat, t_lon, t_zone, t_sin, t_lam, t_t, t_xi, t_eta, t_e, t_n)
+        (F.concat(F.col(t_sq), digits(t_e5, p), digits(t_n5, p)) if p else F.col(t_sq)).alias(name)
+        for name, p in precisions.items()])
+    return out.drop(t_lat, t_lon, t_zone, t_sin, t_lam, t_t, t_xi, t_eta, t_e, t_n,
+                    t_sq, t_e5, t_n5)
 
 
 def coarsen(gridid, precision: int, from_precision: int = 3) -> Column:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtally.functions.grid import coarsen, located, with_mgrs
+from gridtally.plans.session import spread
 
 OTHERS = "others"  # fixed value: label of the folded row
 
@@ -147,7 +148,7 @@ def grid_pairs(calls: DataFrame, id_col: str, precision: int = 3,
     ``keep_unlocated=False`` drops rows without a grid id first, with a cheap
     range test on the coordinates rather than a filter on the grid id.
     """
-    points = calls.select(id_col, lat, lon)
+    points = spread(calls.select(id_col, lat, lon))
     if not keep_unlocated:
         points = points.filter(located(lat, lon))
     gridded = with_mgrs(points, lat, lon, {"gridid": precision}).select(id_col, "gridid")

@@ -49,6 +49,17 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` when it has fewer partitions than the cluster has cores.
+
+    For CPU-heavy per-row work on inputs read as a few large splits (a single
+    Parquet row group is one task). A big input already has many partitions,
+    so this is a no-op at scale and adds no shuffle there.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
