@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridtally.functions.columns import cast_all_except
 from gridtally.functions.dates import window_bounds
+from gridtally.operators.quality import sample_by_hash
 from gridtally.operators.cover import RESOLUTIONS, coverage_from_pairs, grid_pairs
 from gridtally.operators.kpi import grid_kpi
 from gridtally.plans.session import shared_dir
@@ -29,15 +30,33 @@ def days_between(start: str, end: str) -> list[str]:
     return [(a + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((b - a).days + 1)]
 
 
+def job_days(as_of: str, variant: str, trailing: int | None = None) -> tuple[str, str]:
+    """First and last day: the variant's weekly window, or the ``trailing``
+    days ending at as_of."""
+    if trailing:
+        end = dt.date.fromisoformat(str(as_of))
+        return ((end - dt.timedelta(days=trailing - 1)).strftime("%Y%m%d"),
+                end.strftime("%Y%m%d"))
+    return window_bounds(as_of, variant)
+
+
+def _sampled(calls: DataFrame, fraction: float | None, key: str) -> DataFrame:
+    # Whole subscribers are kept or dropped, so distinct counts stay meaningful
+    # and the same rows are picked on every run.
+    return calls if fraction is None else sample_by_hash(calls, [key], fraction)
+
+
 def kpi_job(spark: SparkSession, root: str, as_of: str, out: str,
             files: int | None = None, exact_distinct: bool = True,
-            by_name: bool = False) -> DataFrame:
-    """Grid KPI table of last Monday-Sunday week, written as Parquet.
-
-    Returns the (lazy) result; the write is the only action.
+            by_name: bool = False, trailing: int | None = None,
+            sample_fraction: float | None = None) -> DataFrame:
+    """Grid KPI table of last Monday-Sunday week (or ``trailing`` days up to
+    as_of), written as Parquet. ``sample_fraction`` keeps that share of
+    subscribers. Returns the (lazy) result; the write is the only action.
     """
-    start, end = window_bounds(as_of, "kpi")
+    start, end = job_days(as_of, "kpi", trailing)
     calls = scan_days(spark, root, days_between(start, end), by_name=by_name)
+    calls = _sampled(calls, sample_fraction, "subscriber_id")
     typed = cast_all_except(calls, [*STRING_COLUMNS, *DATE_COLUMNS, DAY_PARTITION])
     kpi = grid_kpi(typed, start_week=start, end_week=end, exact_distinct=exact_distinct)
     write_parquet(kpi, out, files=files)
@@ -48,7 +67,9 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
                  kind: str = "enb", resolutions: Sequence[int] = (100, 1000, 10000),
                  n: int = 10, files: dict[int, int] | None = None, gzip: bool | None = None,
                  stamp: str | None = None, keep_unlocated: bool = True,
-                 by_name: bool = False) -> dict[int, str]:
+                 by_name: bool = False, trailing: int | None = None,
+                 sample_fraction: float | None = None,
+                 sort_within: Sequence[str] = ("gridid", "is_other", "rank")) -> dict[int, str]:
     """eNB or gNB coverage of the job's weekly window at each resolution.
 
     The window's rows are scanned and shuffled once: pair counts at the finest
@@ -56,13 +77,15 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     lost executor does not send the later resolutions back to the raw scan),
     and every resolution is computed from them and written as CSV
     (``<out_root>/<kind>_cover_<r>``). ``stamp`` defaults to the window's
-    first day for eNB and its last day for gNB. Returns the output paths.
+    first day for eNB and its last day for gNB. Rows are ordered by grid and
+    rank inside each output file (``sort_within``). Returns the output paths.
     """
-    start, end = window_bounds(as_of, kind)
+    start, end = job_days(as_of, kind, trailing)
     stamp = stamp or (start if kind == "enb" else end)
     gzip = (kind == "enb") if gzip is None else gzip
     id_col = ID_COLUMN[kind]
     calls = scan_days(spark, root, days_between(start, end), by_name=by_name)
+    calls = _sampled(calls, sample_fraction, "subscriber_id")
     finest = max(RESOLUTIONS[r] for r in resolutions)
     shared_dir(spark)  # make sure a checkpoint folder is set
     base = grid_pairs(calls, id_col, finest, keep_unlocated).checkpoint(eager=True)
@@ -70,6 +93,6 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     for r in resolutions:
         df = coverage_from_pairs(base, id_col, finest, r, n, stamp, kind)
         path = f"{out_root.rstrip('/')}/{kind}_cover_{r}"
-        write_csv(df, path, files=(files or {}).get(r), gzip=gzip)
+        write_csv(df, path, files=(files or {}).get(r), gzip=gzip, sort_within=sort_within)
         paths[r] = path
     return paths

@@ -54,8 +54,14 @@ def spread(df, min_partitions: int | None = None):
 
     For CPU-heavy per-row work on inputs read as a few large splits (a single
     Parquet row group is one task). A big input already has many partitions,
-    so this is a no-op at scale and adds no shuffle there.
+    so this is a no-op at scale and adds no shuffle there. Only narrow plans
+    (scans, filters, projections) are measured: counting their partitions
+    lists file splits and runs nothing, while a plan with a shuffle is left
+    as it is (its width is already the shuffle's).
     """
+    plan = df._jdf.queryExecution().executedPlan()
+    if "Exchange" in plan.toString() or plan.nodeName() == "AdaptiveSparkPlan":
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 

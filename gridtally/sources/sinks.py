@@ -13,13 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def _shaped(df: DataFrame, files: int | None) -> DataFrame:
-    return df.repartition(files) if files else df
+def _shaped(df: DataFrame, files: int | None, sort_within: Sequence[str] = ()) -> DataFrame:
+    out = df.repartition(files) if files else df
+    # Order inside each file only: a global sort would add a range shuffle
+    # and a later repartition would discard it anyway.
+    return out.sortWithinPartitions(*sort_within) if sort_within else out
 
 
 def write_parquet(df: DataFrame, path: str, files: int | None = None,
-                  partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    w = _shaped(df, files).write.mode(mode)
+                  partition_by: Sequence[str] = (), mode: str = "overwrite",
+                  sort_within: Sequence[str] = ()) -> None:
+    w = _shaped(df, files, sort_within).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -30,8 +34,9 @@ TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None, gzip: bool = False,
-              partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    w = (_shaped(df, files).write.mode(mode).option("header", True)
+              partition_by: Sequence[str] = (), mode: str = "overwrite",
+              sort_within: Sequence[str] = ()) -> None:
+    w = (_shaped(df, files, sort_within).write.mode(mode).option("header", True)
          .option("timestampFormat", TIMESTAMP_TEXT)
          .option("timestampNTZFormat", TIMESTAMP_TEXT))
     if gzip:
