@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.functions.dates import _day
@@ -57,17 +57,35 @@ def day_gaps(df: DataFrame, day: Column, by: Sequence[str] = (),
              start: str | None = None, end: str | None = None) -> DataFrame:
     """Missing days per source: ``(by..., missing_day)``.
 
-    The calendar per source runs from ``start`` (default: its first day) to
-    ``end`` (default: its last day); absent days are found with an anti join
-    against the distinct present days, both keyed by (source, day).
+    The calendar per source runs from ``start`` (default: its first day with
+    rows) to ``end`` (default: its last). One scan, no join: the distinct
+    present days of each source are ordered, and each gap between a day and
+    the next present one (or ``end``) is expanded with ``sequence``. The window
+    holds one row per present day of a source, so its size is bounded by the
+    calendar, not by the number of records; without ``by`` all days of the
+    table share one window.
     """
     days = present_days(df, day, by)
-    span = days.groupBy(*by).agg(F.min("day").alias("_lo"), F.max("day").alias("_hi"))
-    lo = F.to_date(F.lit(start)) if start else F.col("_lo")
-    hi = F.to_date(F.lit(end)) if end else F.col("_hi")
-    calendar = span.select(*by, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
-                           .alias("day"))
-    return calendar.join(days, [*by, "day"], "left_anti").withColumnRenamed("day", "missing_day")
+    lo = F.to_date(F.lit(start)) if start else None
+    hi = F.to_date(F.lit(end)) if end else None
+    if lo is not None:
+        days = days.filter(F.col("day") >= lo)
+    if hi is not None:
+        days = days.filter(F.col("day") <= hi)
+    w = Window.partitionBy(*by).orderBy("day")
+    ordered = days.select(*by, "day", F.lead("day").over(w).alias("_next"),
+                          F.lag("day").over(w).isNull().alias("_first"))
+    after = F.date_add(F.col("day"), 1)
+    upto = F.date_sub(F.col("_next"), 1)
+    if hi is not None:
+        upto = F.coalesce(upto, hi)
+    one_day = F.expr("INTERVAL 1 DAY")
+    gaps = [F.when(after <= upto, F.sequence(after, upto, one_day))]
+    if lo is not None:
+        before = F.date_sub(F.col("day"), 1)
+        gaps.append(F.when(F.col("_first") & (lo <= before), F.sequence(lo, before, one_day)))
+    return ordered.select(*by, F.explode(F.flatten(F.array(*[
+        F.coalesce(g, F.array().cast("array<date>")) for g in gaps]))).alias("missing_day"))
 
 
 def md5_threshold(fraction: float) -> str:

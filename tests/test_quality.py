@@ -68,3 +68,15 @@ def test_whitespace_tokens_match_python_split(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(whitespace_tokens("t")).collect()]
     assert got == [t.split() if t is not None else None for t in texts]
+
+
+def test_day_gaps_with_bounds(spark):
+    d = dt.date(2024, 1, 3)
+    rows = [("s1", d), ("s1", d + dt.timedelta(days=2)), ("s2", d + dt.timedelta(days=9))]
+    df = spark.createDataFrame(rows, "src string, day date")
+    got = sorted(tuple(r) for r in day_gaps(df, F.col("day"), by=["src"],
+                                            start="2024-01-01", end="2024-01-06").collect())
+    want = [("s1", dt.date(2024, 1, k)) for k in (1, 2, 4, 6)]
+    assert got == want  # s2 has no day inside the bounds, so it has no calendar
+    glob = sorted(r[0] for r in day_gaps(df, F.col("day")).collect())
+    assert glob == [dt.date(2024, 1, k) for k in (4, 6, 7, 8, 9, 10, 11)]
