@@ -5,20 +5,35 @@ access ``n - 1`` places later is less than ``within`` after it. A key is
 reported once per qualifying first access, so it can repeat. Equal
 timestamps never look backwards: only later list positions count.
 
-A key's rows are not all sent to one task. Rows are split into time
-buckets per key (``bucket`` long, at least ``within``); each bucket also gets
-a copy of the next bucket's rows that fall in its first ``within`` span, so the
-following accesses of every row are present in its bucket's window. Only
-original rows are emitted, which keeps the result exact while a key holding a
-third of all rows spreads over as many tasks as it has buckets.
+Two exact plans; neither sends all rows of a key to one task:
+
+``method="sorted"`` (default): one global sort on (key, time, tie-break).
+Spark's range partitioner samples the sort keys, so partitions come out
+evenly sized even when one key holds a third of all rows; the sorted rows are
+checkpointed, the first ``n - 1`` rows of every partition are collected (a
+bound of partitions x (n - 1) rows), and one vectorised ``mapInPandas`` pass
+compares each row with the row ``n - 1`` places later, reading into the next
+partition's first rows at the end. Task size is bounded by the partition size,
+whatever the skew.
+
+``method="buckets"``: built-in window functions only. Rows are split into
+time buckets per key (``bucket_seconds`` long, at least ``within``); each
+bucket also gets a copy of the next bucket's rows in its first ``within``
+span, so ``lead()`` inside (key, bucket) sees every following access it needs.
+A hot key spreads over as many tasks as it has buckets, which bounds a task by
+time span rather than by size.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtally.plans.session import shared_dir
+
 
 def _seconds(ts: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
@@ -51,23 +66,94 @@ def _with_following(df: DataFrame, key: str, ts: str, order: list[str], n: int,
         F.col(f"_next_{n - 1}") < F.col(ts) + F.expr(f"INTERVAL {within_seconds} SECONDS"))
 
 
+def _sorted_hits(df: DataFrame, key: str, ts: str, order: list[str], n: int,
+                 within_seconds: int) -> DataFrame:
+    """Bursts by a balanced global sort: ``key, ts, order..., _next_1 .. _next_{n-1}``."""
+    if n < 2:
+        raise ValueError("n must be at least 2")
+    cols = [key, ts, *order]
+    shared_dir(df.sparkSession)  # checkpoint folder
+    ranked = df.select(*cols).orderBy(*cols).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_pos"))
+    # Freeze the range boundaries: both passes below must see the same split.
+    ranked = ranked.checkpoint(eager=True)
+    # monotonically_increasing_id = partition index << 33 | row index in partition
+    heads = (ranked.filter(F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33) < n - 1)
+             .select("_pid", *cols).toPandas())
+    heads = heads.sort_values(["_pid", *cols], kind="stable")
+    pids = sorted(heads["_pid"].unique())
+    ahead = {}
+    for i, p in enumerate(pids):  # next n-1 rows after partition p, across later partitions
+        ahead[p] = pd.concat([heads[heads["_pid"] == q] for q in pids[i + 1:]] or [heads.iloc[:0]])
+        ahead[p] = ahead[p].iloc[: n - 1][cols]
+    ahead_b = df.sparkSession.sparkContext.broadcast(ahead)
+    span_ns = int(within_seconds) * 1_000_000_000
+
+    def scan(batches):
+        carry = None
+        pid = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            frame = pdf[cols] if carry is None else pd.concat([carry, pdf[cols]], ignore_index=True)
+            ready = len(frame) - (n - 1)
+            if ready > 0:
+                yield _hits(frame, ready)
+                carry = frame.iloc[ready:].reset_index(drop=True)
+            else:
+                carry = frame
+        if carry is not None and len(carry):
+            tail = pd.concat([carry, ahead_b.value.get(pid, carry.iloc[:0])], ignore_index=True)
+            yield _hits(tail, len(carry))
+
+    def _hits(frame, upto):
+        k = frame[key].to_numpy()
+        t = frame[ts].to_numpy().astype("datetime64[ns]").astype(np.int64)
+        m = len(frame)
+        idx = np.arange(upto)
+        far = idx + (n - 1)
+        ok = far < m
+        far = np.minimum(far, m - 1)
+        same = pd.Series(k[idx]).eq(pd.Series(k[far])).to_numpy() & ok
+        hit = same & (t[far] < t[idx] + span_ns)
+        out = frame.iloc[idx[hit]][cols].reset_index(drop=True)
+        for j in range(1, n):
+            nxt = np.minimum(idx[hit] + j, m - 1)
+            out[f"_next_{j}"] = frame[ts].to_numpy()[nxt]
+        return out
+
+    schema = T.StructType([ranked.schema[c] for c in cols] + [
+        T.StructField(f"_next_{j}", ranked.schema[ts].dataType, True) for j in range(1, n)])
+    return ranked.select(*cols, "_pid").mapInPandas(scan, schema)
+
+
+def _hits_for(df, key, ts, order, n, within_seconds, bucket_seconds, method):
+    if method == "sorted":
+        return _sorted_hits(df, key, ts, order, n, within_seconds)
+    if method == "buckets":
+        return _with_following(df, key, ts, order, n, within_seconds, bucket_seconds)
+    raise ValueError("method must be 'sorted' or 'buckets'")
+
+
 def access_bursts(df: DataFrame, key: str, ts: str, n: int = 3,
                   within_seconds: int = 3600, order: list[str] | None = None,
-                  bucket_seconds: int | None = None) -> DataFrame:
-    """``(key, ts)`` of each access that starts a burst of ``n`` within the span.
+                  bucket_seconds: int | None = None, method: str = "sorted") -> DataFrame:
+    """``(key, ts, order...)`` of each access that starts a burst of ``n``.
 
     ``order`` lists tie-break columns for equal timestamps (e.g. an event id).
+    ``method="sorted"`` runs a checkpoint (an action) when called.
     """
     order = order or []
-    return _with_following(df, key, ts, order, n, within_seconds, bucket_seconds) \
+    return _hits_for(df, key, ts, order, n, within_seconds, bucket_seconds, method) \
         .select(key, ts, *order)
 
 
 def burst_witnesses(df: DataFrame, key: str, ts: str, n: int = 3,
                     within_seconds: int = 3600, order: list[str] | None = None,
-                    bucket_seconds: int | None = None) -> DataFrame:
-    """Each burst with its ``n`` access times: ``key, ts_1 .. ts_n``."""
+                    bucket_seconds: int | None = None, method: str = "sorted") -> DataFrame:
+    """Each burst with its ``n`` access times: ``key, order..., ts_1 .. ts_n``."""
     order = order or []
-    hits = _with_following(df, key, ts, order, n, within_seconds, bucket_seconds)
+    hits = _hits_for(df, key, ts, order, n, within_seconds, bucket_seconds, method)
     return hits.select(key, *order, F.col(ts).alias("ts_1"),
                        *[F.col(f"_next_{k}").alias(f"ts_{k + 1}") for k in range(1, n)])

@@ -53,7 +53,7 @@ def test_matches_brute_force_with_small_buckets(spark):
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, i bigint")
     want = brute(rows)
     for bucket in (3600, 7200, 86400):
-        got = {tuple(r) for r in access_bursts(df, "k", "ts", order=["i"],
+        got = {tuple(r) for r in access_bursts(df, "k", "ts", order=["i"], method="buckets",
                                                bucket_seconds=bucket).collect()}
         assert got == want, bucket
 
@@ -63,5 +63,33 @@ def test_bucket_boundary_lookahead(spark):
     rows = [("a", base, 1), ("a", base + dt.timedelta(minutes=30), 2),
             ("a", base + dt.timedelta(minutes=59), 3), ("a", base + dt.timedelta(minutes=61), 4)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, i bigint")
-    got = {tuple(r) for r in access_bursts(df, "k", "ts", order=["i"]).collect()}
+    got = {tuple(r) for r in access_bursts(df, "k", "ts", order=["i"], method="buckets").collect()}
     assert got == brute(rows) == {("a", base, 1), ("a", base + dt.timedelta(minutes=30), 2)}
+
+
+def test_sorted_method_across_many_partitions(spark):
+    """Tiny sort partitions: runs of a hot key and the n-1 lookahead cross
+    partition boundaries, some partitions hold fewer than n-1 rows."""
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(1500):
+        k = "hot" if i % 2 == 0 else f"k{rnd.randint(0, 9)}"
+        rows.append((k, base + dt.timedelta(seconds=rnd.randint(0, 2 * 86400)), i))
+    rows += [("dup", base, 10_000 + j) for j in range(4)]  # equal timestamps
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, i bigint")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in (2, 3, 4):
+            got = {tuple(r) for r in access_bursts(df, "k", "ts", n=n, order=["i"],
+                                                   method="sorted").collect()}
+            assert got == brute(rows, n=n), n
+        w = burst_witnesses(df, "k", "ts", n=3, order=["i"], method="sorted")
+        b = burst_witnesses(df, "k", "ts", n=3, order=["i"], method="buckets")
+        assert w.exceptAll(b).count() == 0 and b.exceptAll(w).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
