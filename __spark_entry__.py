@@ -84,7 +84,7 @@ def q_nation_top_customers(spark, sf_dir):
     pairs = (per_customer.join(customer, per_customer.o_custkey == customer.c_custkey)
              .join(nation, customer.c_nationkey == nation.n_nationkey)
              .select("n_name", F.col("c_custkey").cast("string").alias("customer"), "cnt"))
-    return topn_with_others(pairs, "n_name", "customer", n=10)
+    return topn_with_others(pairs, "n_name", "customer", n=10, shuffle_input=True)
 
 
 def q_grid_kpi(spark, sf_dir):

@@ -73,7 +73,8 @@ def share_hundredths(cnt: Column, total: Column) -> Column:
 
 
 def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
-                     count_col: str = "cnt", others_label: str = OTHERS) -> DataFrame:
+                     count_col: str = "cnt", others_label: str = OTHERS,
+                     shuffle_input: bool = False) -> DataFrame:
     """Top ``n`` ids per group by count, plus one ``others`` row per group.
 
     ``pairs`` has one row per (group, id) with a count. Output columns:
@@ -81,6 +82,11 @@ def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
     Ties are broken by id ascending with NULL ids last, so results are
     deterministic; ``rank`` is NULL on the ``others`` row, and ``is_other``
     tells it apart from a real id spelt like the label.
+
+    ``pairs`` feeds three branches (totals, top n, others). When it comes from
+    an aggregation its shuffle is reused by all three; when it is the result of
+    joins, ``shuffle_input=True`` adds one shuffle keyed by (group, id) -- unique
+    keys, so no skew -- that the branches reuse, and the joins run once.
     """
     gtype = pairs.schema[group].dataType
     gv, gn = "_g_val", "_g_null"
@@ -92,6 +98,8 @@ def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
         F.col(count_col).cast("bigint").alias(count_col),
     )
     keys = [gv, gn]
+    if shuffle_input:
+        keyed = keyed.repartition(gv, gn, id_col)
 
     totals = keyed.groupBy(*keys).agg(F.sum(count_col).alias("_total"),
                                       F.count(F.lit(1)).alias("_n_ids"))
