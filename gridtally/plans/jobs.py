@@ -69,7 +69,8 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
                  stamp: str | None = None, keep_unlocated: bool = True,
                  by_name: bool = False, trailing: int | None = None,
                  sample_fraction: float | None = None,
-                 sort_within: Sequence[str] = ("gridid", "is_other", "rank")) -> dict[int, str]:
+                 sort_within: Sequence[str] = ("gridid", "is_other", "rank"),
+                 keep_going: bool = False) -> dict[int, str]:
     """eNB or gNB coverage of the job's weekly window at each resolution.
 
     The window's rows are scanned and shuffled once: pair counts at the finest
@@ -78,7 +79,9 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     and every resolution is computed from them and written as CSV
     (``<out_root>/<kind>_cover_<r>``). ``stamp`` defaults to the window's
     first day for eNB and its last day for gNB. Rows are ordered by grid and
-    rank inside each output file (``sort_within``). Returns the output paths.
+    rank inside each output file (``sort_within``). With ``keep_going`` a
+    failed resolution does not stop the others; the first error is raised
+    after all were attempted. Returns the output paths.
     """
     start, end = job_days(as_of, kind, trailing)
     stamp = stamp or (start if kind == "enb" else end)
@@ -89,10 +92,18 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     finest = max(RESOLUTIONS[r] for r in resolutions)
     shared_dir(spark)  # make sure a checkpoint folder is set
     base = grid_pairs(calls, id_col, finest, keep_unlocated).checkpoint(eager=True)
-    paths = {}
+    paths, errors = {}, []
     for r in resolutions:
-        df = coverage_from_pairs(base, id_col, finest, r, n, stamp, kind)
         path = f"{out_root.rstrip('/')}/{kind}_cover_{r}"
-        write_csv(df, path, files=(files or {}).get(r), gzip=gzip, sort_within=sort_within)
-        paths[r] = path
+        try:
+            df = coverage_from_pairs(base, id_col, finest, r, n, stamp, kind)
+            write_csv(df, path, files=(files or {}).get(r), gzip=gzip, sort_within=sort_within)
+            paths[r] = path
+        except Exception as e:  # noqa: BLE001 - reported after the other resolutions
+            if not keep_going:
+                raise
+            errors.append((r, e))
+    if errors:
+        raise RuntimeError(f"coverage failed for resolutions {[r for r, _ in errors]}") \
+            from errors[0][1]
     return paths

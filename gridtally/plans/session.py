@@ -42,6 +42,28 @@ def builder(app_name: str = "gridtally", shuffle_partitions: int | None = None,
     return b
 
 
+def sizing_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,
+                shuffle_ratio: int = 32, max_partitions: int = 32768) -> dict:
+    """Shuffle and scan sizes for ``input_bytes`` of raw text on ``cores`` cores.
+
+    Scan splits are ``target_partition_bytes``. The jobs shuffle narrow
+    projections or partial aggregates -- about ``1/shuffle_ratio`` of the raw
+    CSV -- so the initial shuffle width is that volume over the target size,
+    at least two waves of tasks and at most ``max_partitions`` (map-output
+    metadata on the driver grows with maps x reducers). AQE then coalesces to
+    the advisory size, and splits partitions above twice it in skewed joins.
+    """
+    shuffle_bytes = input_bytes // shuffle_ratio
+    width = min(max(2 * cores, -(-shuffle_bytes // target_partition_bytes)), max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set the runtime-settable defaults on an existing session."""
     for k, v in DEFAULT_CONF.items():

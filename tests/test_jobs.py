@@ -71,3 +71,23 @@ def test_trailing_window_sample_and_file_order(spark):
                 "header", True).csv(os.path.join(p, f)).collect()
             keys = [(r.gridid or "", r.is_other, r.rank or 0) for r in rows]
             assert keys == sorted(keys)
+
+
+def test_cli_runs_a_coverage_job(spark):
+    from gridtally.plans.__main__ import main
+
+    root, _ = _stage_calls(spark)
+    out = staging_path(spark, "cli")
+    assert main(["gnb", "--root", root, "--as-of", "2024-01-17", "--out", out,
+                 "--resolutions", "10000", "--keep-going"]) == 0
+    back = read_csv(spark, f"{out}/gnb_cover_10000", COVER_SCHEMA)
+    assert back.count() > 0
+
+
+def test_sizing_conf_bounds():
+    from gridtally.plans.session import sizing_conf
+
+    big = sizing_conf(100 * 2**40, 3000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 12800
+    assert int(sizing_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
+    assert int(sizing_conf(10**18, 8)["spark.sql.shuffle.partitions"]) == 32768
