@@ -152,53 +152,82 @@ def mgrs(lat, lon, precision: int = 3) -> Column:
     return _grid_string(lat, lon, zone, easting, northing, precision)
 
 
+def _d(x: float) -> str:
+    """Exact Spark SQL double literal."""
+    return f"({float(x)!r}D)"
+
+
+def _zone_sql(lat: str, lon: str) -> str:
+    return (f"CAST(CASE WHEN {lat} >= 56.0D AND {lat} < 64.0D AND {lon} >= 3.0D AND {lon} < 12.0D "
+            f"THEN 32 WHEN {lat} >= 72.0D AND {lon} >= 0.0D AND {lon} < 9.0D THEN 31 "
+            f"WHEN {lat} >= 72.0D AND {lon} >= 9.0D AND {lon} < 21.0D THEN 33 "
+            f"WHEN {lat} >= 72.0D AND {lon} >= 21.0D AND {lon} < 33.0D THEN 35 "
+            f"WHEN {lat} >= 72.0D AND {lon} >= 33.0D AND {lon} < 42.0D THEN 37 "
+            f"ELSE floor(({lon} + 180.0D) / 6.0D) + 1 END AS BIGINT)")
+
+
+def _square_sql(lat: str, lon: str, zone: str, e: str, n: str) -> str:
+    col_idx = f"floor({e} / 100000.0D)"
+    band = f"substring('{LAT_BANDS}', CAST(floor(({lat} + 80.0D) / 8.0D) + 1 AS INT), 1)"
+    col_set = (f"CASE WHEN {zone} % 3 = 1 THEN '{COLUMN_LETTERS[0]}' WHEN {zone} % 3 = 2 "
+               f"THEN '{COLUMN_LETTERS[1]}' ELSE '{COLUMN_LETTERS[2]}' END")
+    row_set = f"CASE WHEN {zone} % 2 = 1 THEN '{ROW_LETTERS_ODD}' ELSE '{ROW_LETTERS_EVEN}' END"
+    row_idx = f"floor({n} / 100000.0D) % 20 + 1"
+    valid = (f"{lat} BETWEEN -80.0D AND 84.0D AND {lon} BETWEEN -180.0D AND 180.0D "
+             f"AND {col_idx} BETWEEN 1 AND 8")
+    return (f"CASE WHEN {valid} THEN concat(lpad(CAST({zone} AS STRING), 2, '0'), {band}, "
+            f"substring({col_set}, CAST({col_idx} AS INT), 1), "
+            f"substring({row_set}, CAST({row_idx} AS INT), 1)) END")
+
+
 def with_mgrs(df: DataFrame, lat, lon, precisions: dict[str, int] | None = None) -> DataFrame:
     """Add MGRS id columns ``{name: precision}`` (default ``{"gridid": 3}``).
 
     The projection runs in stages (inputs, zone, the projection's shared
     terms, easting/northing, the zone/band/square prefix and the metres
-    within the square, then one short string per precision). Each stage refers to the one before by
-    name, so the plan stays small and every term is evaluated once per row;
-    Catalyst keeps the stages apart because their terms are reused.
+    within the square, then one short string per precision). Each stage refers
+    to the one before by name, so the plan stays small and every term is
+    evaluated once per row; Catalyst keeps the stages apart because their
+    terms are reused. Stages are written as SQL expressions (``selectExpr``):
+    the same Catalyst expressions as the Column form, built with one call to
+    the JVM per column instead of one per function.
     """
     precisions = precisions or {"gridid": 3}
     for p in precisions.values():
         _check(p)
     lat_c, lon_c = _inputs(lat, lon)
-    t_lat, t_lon, t_zone, t_sin, t_lam, t_t, t_xi, t_eta, t_e, t_n = (
-        f"_mgrs_{k}" for k in ("lat", "lon", "zone", "sin", "lam", "t", "xi", "eta", "e", "n"))
-    out = df.select("*", lat_c.alias(t_lat), lon_c.alias(t_lon))
-    out = out.select("*", utm_zone(F.col(t_lat), F.col(t_lon)).alias(t_zone))
-    out = out.select("*", F.sin(F.col(t_lat) * DEG).alias(t_sin),
-                     ((F.col(t_lon) - (F.col(t_zone) * 6 - 183)) * DEG).alias(t_lam))
-    sin_phi = F.col(t_sin)
-    out = out.select("*", F.sinh(F.atanh(sin_phi) - F.atanh(sin_phi * ECC) * ECC).alias(t_t))
-    t, lam = F.col(t_t), F.col(t_lam)
-    out = out.select("*", F.atan2(t, F.cos(lam)).alias(t_xi),
-                     F.atanh(F.sin(lam) / F.sqrt(t * t + 1.0)).alias(t_eta))
-    xi, eta = F.col(t_xi), F.col(t_eta)
-    e_sum, n_sum = eta, xi
+    names = ("lat", "lon", "zone", "sin", "lam", "t", "xi", "eta", "e", "n", "sq", "e5", "n5")
+    t = {k: f"_mgrs_{k}" for k in names}
+    out = df.select("*", lat_c.alias(t["lat"]), lon_c.alias(t["lon"]))
+    out = out.selectExpr("*", f"{_zone_sql(t['lat'], t['lon'])} AS {t['zone']}")
+    out = out.selectExpr(
+        "*", f"sin({t['lat']} * {_d(DEG)}) AS {t['sin']}",
+        f"({t['lon']} - ({t['zone']} * 6 - 183)) * {_d(DEG)} AS {t['lam']}")
+    out = out.selectExpr(
+        "*", f"sinh(atanh({t['sin']}) - atanh({t['sin']} * {_d(ECC)}) * {_d(ECC)}) AS {t['t']}")
+    out = out.selectExpr(
+        "*", f"atan2({t['t']}, cos({t['lam']})) AS {t['xi']}",
+        f"atanh(sin({t['lam']}) / sqrt({t['t']} * {t['t']} + 1.0D)) AS {t['eta']}")
+    e_sum, n_sum = t["eta"], t["xi"]
     for j, a in enumerate(ALPHA, start=1):
-        e_sum = e_sum + F.cos(xi * (2.0 * j)) * F.sinh(eta * (2.0 * j)) * a
-        n_sum = n_sum + F.sin(xi * (2.0 * j)) * F.cosh(eta * (2.0 * j)) * a
-    out = out.select("*", (e_sum * K0A + FALSE_EASTING).alias(t_e),
-                     (n_sum * K0A + F.when(F.col(t_lat) < 0.0, FALSE_NORTHING_SOUTH)
-                      .otherwise(0.0)).alias(t_n))
-    t_sq, t_e5, t_n5 = "_mgrs_sq", "_mgrs_e5", "_mgrs_n5"
-    out = out.select(
-        "*",
-        _square_id(F.col(t_lat), F.col(t_lon), F.col(t_zone), F.col(t_e), F.col(t_n)).alias(t_sq),
-        (F.floor(F.col(t_e)) % 100000).alias(t_e5),
-        (F.floor(F.col(t_n)) % 100000).alias(t_n5))
-
-    def digits(c: str, p: int) -> Column:
-        return F.lpad(F.floor(F.col(c) / 10 ** (5 - p)).cast("string"), p, "0")
-
-    out = out.select("*", *[
-        (F.concat(F.col(t_sq), digits(t_e5, p), digits(t_n5, p)) if p else F.col(t_sq)).alias(name)
-        for name, p in precisions.items()])
-    return out.drop(t_lat, t_lon, t_zone, t_sin, t_lam, t_t, t_xi, t_eta, t_e, t_n,
-                    t_sq, t_e5, t_n5)
+        k = _d(2.0 * j)
+        e_sum = f"({e_sum} + cos({t['xi']} * {k}) * sinh({t['eta']} * {k}) * {_d(a)})"
+        n_sum = f"({n_sum} + sin({t['xi']} * {k}) * cosh({t['eta']} * {k}) * {_d(a)})"
+    out = out.selectExpr(
+        "*", f"{e_sum} * {_d(K0A)} + {_d(FALSE_EASTING)} AS {t['e']}",
+        f"{n_sum} * {_d(K0A)} + CASE WHEN {t['lat']} < 0.0D THEN {_d(FALSE_NORTHING_SOUTH)} "
+        f"ELSE 0.0D END AS {t['n']}")
+    out = out.selectExpr(
+        "*", f"{_square_sql(t['lat'], t['lon'], t['zone'], t['e'], t['n'])} AS {t['sq']}",
+        f"floor({t['e']}) % 100000 AS {t['e5']}", f"floor({t['n']}) % 100000 AS {t['n5']}")
+
+    def digits(c: str, p: int) -> str:
+        return f"lpad(CAST(floor({c} / {10 ** (5 - p)}) AS STRING), {p}, '0')"
+
+    out = out.selectExpr("*", *[
+        (f"concat({t['sq']}, {digits(t['e5'], p)}, {digits(t['n5'], p)})" if p else t["sq"])
+        + f" AS `{name}`" for name, p in precisions.items()])
+    return out.drop(*t.values())
 
 
 def coarsen(gridid, precision: int, from_precision: int = 3) -> Column:

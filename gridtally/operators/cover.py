@@ -57,14 +57,16 @@ def rollup_pairs(pairs: DataFrame, group: str, new_group: Column, id_col: str,
             .agg(F.sum(count_col).alias(count_col)))
 
 
-def _null_default(dtype: T.DataType) -> Column:
+def _null_default_sql(dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
-        return F.lit("")
+        return "''"
     if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit(0).cast("timestamp").cast(dtype)
-    return F.lit(0).cast(dtype)
+        return "false"
+    if isinstance(dtype, T.DateType):
+        return "DATE '1970-01-01'"
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return f"CAST(TIMESTAMP_NTZ '1970-01-01 00:00:00' AS {dtype.simpleString()})"
+    return f"CAST(0 AS {dtype.simpleString()})"
 
 
 def share_hundredths(cnt: Column, total: Column) -> Column:
@@ -72,6 +74,10 @@ def share_hundredths(cnt: Column, total: Column) -> Column:
     return F.floor((cnt * 20000 + total) / (total * 2))
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
                      count_col: str = "cnt", others_label: str = OTHERS,
                      shuffle_input: bool = False) -> DataFrame:
@@ -87,59 +93,56 @@ def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
     an aggregation its shuffle is reused by all three; when it is the result of
     joins, ``shuffle_input=True`` adds one shuffle keyed by (group, id) -- unique
     keys, so no skew -- that the branches reuse, and the joins run once.
+
+    Written as one SQL statement over the ``pairs`` DataFrame: the CTEs are
+    inlined by Catalyst into the same plan the DataFrame calls would build,
+    with one parse and one analysis. NULL groups are carried as a
+    (value, is-null) key pair so that every step can use plain equi-joins.
     """
-    gtype = pairs.schema[group].dataType
-    gv, gn = "_g_val", "_g_null"
-    keyed = pairs.select(
-        F.coalesce(F.col(group), _null_default(gtype)).alias(gv),
-        F.col(group).isNull().alias(gn),
-        F.col(group),
-        F.col(id_col).cast("string").alias(id_col),
-        F.col(count_col).cast("bigint").alias(count_col),
-    )
-    keys = [gv, gn]
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    g, i, c = _q(group), _q(id_col), _q(count_col)
+    default = _null_default_sql(pairs.schema[group].dataType)
+    label = others_label.replace("'", "''")
     if shuffle_input:
-        keyed = keyed.repartition(gv, gn, id_col)
-
-    totals = keyed.groupBy(*keys).agg(F.sum(count_col).alias("_total"),
-                                      F.count(F.lit(1)).alias("_n_ids"))
-    order = Window.partitionBy(*keys).orderBy(F.col(count_col).desc(),
-                                              F.col(id_col).asc_nulls_last())
-    top = (keyed.withColumn("rank", F.row_number().over(order))
-           .filter(F.col("rank") <= n)
-           .join(totals, keys))
-
-    top_rows = top.select(
-        F.col(group), F.col(id_col), F.col(count_col),
-        (share_hundredths(F.col(count_col), F.col("_total")) / 100.0).alias("pct"),
-        F.col("rank"),
-        F.lit(False).alias("is_other"),
-    )
-
-    threshold = top.filter((F.col("rank") == n) & (F.col("_n_ids") > n)).select(
-        *keys,
-        F.col(count_col).alias("_cnt_n"),
-        F.col(id_col).alias("_id_n"),
-        "_total",
-    )
-    after_threshold = (F.col(count_col) < F.col("_cnt_n")) | (
-        (F.col(count_col) == F.col("_cnt_n"))
-        & F.col("_id_n").isNotNull()
-        & (F.col(id_col).isNull() | (F.col(id_col) > F.col("_id_n")))
-    )
-    others_rows = keyed.join(threshold, keys).filter(after_threshold)
-    others = others_rows.groupBy(*keys).agg(
-        F.sum(count_col).alias(count_col),
-        F.sum(share_hundredths(F.col(count_col), F.col("_total"))).alias("_hundredths"),
-    ).select(
-        F.when(~F.col(gn), F.col(gv)).alias(group),
-        F.lit(others_label).alias(id_col),
-        F.col(count_col),
-        (F.col("_hundredths") / 100.0).alias("pct"),
-        F.lit(None).cast("int").alias("rank"),
-        F.lit(True).alias("is_other"),
-    )
-    return top_rows.unionByName(others)
+        pairs = pairs.repartition(group, id_col)
+    h = "floor(({c} * 20000 + {t}) / ({t} * 2))"
+    sql = f"""
+    WITH keyed AS (
+      SELECT coalesce({g}, {default}) AS _g_val, {g} IS NULL AS _g_null, {g},
+             CAST({i} AS STRING) AS {i}, CAST({c} AS BIGINT) AS {c}
+      FROM {{pairs}}),
+    totals AS (
+      SELECT _g_val, _g_null, sum({c}) AS _total, count(1) AS _n_ids
+      FROM keyed GROUP BY _g_val, _g_null),
+    ranked AS (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY _g_val, _g_null
+                                     ORDER BY {c} DESC, {i} ASC NULLS LAST) AS rank
+        FROM keyed)
+      WHERE rank <= {n}),
+    top AS (
+      SELECT r.*, t._total, t._n_ids FROM ranked r
+      JOIN totals t ON r._g_val = t._g_val AND r._g_null = t._g_null),
+    threshold AS (
+      SELECT _g_val, _g_null, {c} AS _cnt_n, {i} AS _id_n, _total
+      FROM top WHERE rank = {n} AND _n_ids > {n}),
+    others AS (
+      SELECT k._g_val, k._g_null, sum(k.{c}) AS {c},
+             sum({h.format(c="k." + c, t="t._total")}) AS _hundredths
+      FROM keyed k JOIN threshold t ON k._g_val = t._g_val AND k._g_null = t._g_null
+      WHERE k.{c} < t._cnt_n
+         OR (k.{c} = t._cnt_n AND t._id_n IS NOT NULL AND (k.{i} IS NULL OR k.{i} > t._id_n))
+      GROUP BY k._g_val, k._g_null)
+    SELECT {g}, {i}, {c}, {h.format(c=c, t="_total")} / 100.0D AS pct, rank,
+           false AS is_other
+    FROM top
+    UNION ALL
+    SELECT CASE WHEN NOT _g_null THEN _g_val END AS {g}, '{label}' AS {i}, {c},
+           _hundredths / 100.0D AS pct, CAST(NULL AS INT) AS rank, true AS is_other
+    FROM others
+    """
+    return pairs.sparkSession.sql(sql, pairs=pairs)
 
 
 def with_grid(df: DataFrame, lat: str = "end_latitude", lon: str = "end_longitude",

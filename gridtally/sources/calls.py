@@ -9,7 +9,6 @@ arithmetic that Spark and DuckDB evaluate alike.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # ---- fixed values: the 85 source columns in file order --------------------
 CALL_COLUMNS = [
@@ -68,52 +67,42 @@ def calls_from_events(events: DataFrame) -> DataFrame:
     are multiples of 1/16 and summed ones are whole numbers, so aggregates are
     exact in any summation order and two engines agree bit for bit.
     """
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    v = F.col("value")
 
-    def vol(mult: int, mod: int, unit: float):
-        return ((eid * mult) % mod) * unit
+    def vol(mult: int, mod: int, unit: float) -> str:
+        return f"((event_id * {mult}) % {mod}) * {unit!r}D"
 
-    return events.select(
-        eid.alias("event_id"),
-        F.col("ts"),
-        uid.cast("string").alias("subscriber_id"),
-        (((eid * 7 + uid) % 23) + 7000).cast("string").alias("current_enodeb_id"),
-        F.when(eid % 11 == 0, F.lit(None).cast("string"))
-        .otherwise(((uid * 13 + eid) % 19).cast("string"))
-        .alias("serving_nr_cell_id"),
-        F.when(F.col("event_type") == "click", F.lit("Indoor"))
-        .when(F.col("event_type") == "error", F.lit(None).cast("string"))
-        .otherwise(F.lit("Outdoor"))
-        .alias("indoor_outdoor_indicator_name"),
-        F.when(eid % 97 == 0, F.lit(None).cast("double"))
-        .when(eid % 101 == 0, F.lit(95.0))
-        .otherwise(F.lit(21.0) + (uid % 40) * 131e-4 + (eid % 5) * 7e-4)
-        .alias("end_latitude"),
-        (F.lit(-1582e-1) + (uid % 30) * 173e-4 + (eid % 3) * 9e-4).alias("end_longitude"),
-        (-80.0 - F.floor(v * 4.0) / 8.0).alias("rsrp_dbm"),
-        (-5.0 - F.floor(v * 2.0) / 16.0).alias("rsrq_db"),
-        (25.0 - F.floor(v) / 4.0).alias("ul_sinr_db"),
-        ((eid % 9) + 1.0).alias("qci_mean"),
-        vol(37, 1000, 1500.0).alias("rlc_pdu_dl_bytes_count"),
-        vol(11, 700, 300.0).alias("rlc_pdu_ul_bytes_count"),
-        F.floor(v * 150.0).cast("double").alias("rlc_dl_throughput"),
-        F.floor(v * 30.0).cast("double").alias("rlc_ul_throughput"),
-        vol(13, 900, 1600.0).alias("dl_mac_volume_bytes"),
-        vol(17, 500, 400.0).alias("ul_mac_volume_bytes"),
-        F.floor(v * 25.0).cast("double").alias("mac_mean_ul_kbps"),
-        F.floor(v * 120.0).cast("double").alias("mac_mean_dl_kbps"),
-        F.floor(v * 110.0).cast("double").alias("drb_mean_pdcp_dl_kbps"),
-        F.floor(v * 22.0).cast("double").alias("drb_mean_pdcp_ul_kbps"),
-        vol(19, 800, 1400.0).alias("dl_pdcp_volume_bytes"),
-        vol(23, 600, 350.0).alias("ul_pdcp_volume_bytes"),
-        vol(29, 400, 250.0).alias("rlc_sdu_ul_bytes_count"),
-        F.when(eid % 13 == 0, F.lit(None).cast("double"))
-        .otherwise(vol(31, 50, 100.0))
-        .alias("rlc_pdu_dl__retransmitted_bytes_count"),
-        F.when(eid % 7 == 0, F.lit(None).cast("double"))
-        .otherwise(20.0 - F.floor(v) / 8.0)
-        .alias("pusch_sinr_db"),
-        F.date_format("ts", "yyyyMMdd").alias("UTC_date"),
+    return events.selectExpr(
+        "event_id",
+        "ts",
+        "CAST(user_id AS STRING) AS subscriber_id",
+        "CAST(((event_id * 7 + user_id) % 23) + 7000 AS STRING) AS current_enodeb_id",
+        "CASE WHEN event_id % 11 = 0 THEN CAST(NULL AS STRING)"
+        " ELSE CAST((user_id * 13 + event_id) % 19 AS STRING) END AS serving_nr_cell_id",
+        "CASE WHEN event_type = 'click' THEN 'Indoor' WHEN event_type = 'error'"
+        " THEN CAST(NULL AS STRING) ELSE 'Outdoor' END AS indoor_outdoor_indicator_name",
+        "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_id % 101 = 0 THEN 95.0D"
+        " ELSE 21.0D + (user_id % 40) * 0.0131D + (event_id % 5) * 0.0007D END AS end_latitude",
+        "-158.2D + (user_id % 30) * 0.0173D + (event_id % 3) * 0.0009D AS end_longitude",
+        "-80.0D - floor(value * 4.0D) / 8.0D AS rsrp_dbm",
+        "-5.0D - floor(value * 2.0D) / 16.0D AS rsrq_db",
+        "25.0D - floor(value) / 4.0D AS ul_sinr_db",
+        "(event_id % 9) + 1.0D AS qci_mean",
+        f"{vol(37, 1000, 1500.0)} AS rlc_pdu_dl_bytes_count",
+        f"{vol(11, 700, 300.0)} AS rlc_pdu_ul_bytes_count",
+        "CAST(floor(value * 150.0D) AS DOUBLE) AS rlc_dl_throughput",
+        "CAST(floor(value * 30.0D) AS DOUBLE) AS rlc_ul_throughput",
+        f"{vol(13, 900, 1600.0)} AS dl_mac_volume_bytes",
+        f"{vol(17, 500, 400.0)} AS ul_mac_volume_bytes",
+        "CAST(floor(value * 25.0D) AS DOUBLE) AS mac_mean_ul_kbps",
+        "CAST(floor(value * 120.0D) AS DOUBLE) AS mac_mean_dl_kbps",
+        "CAST(floor(value * 110.0D) AS DOUBLE) AS drb_mean_pdcp_dl_kbps",
+        "CAST(floor(value * 22.0D) AS DOUBLE) AS drb_mean_pdcp_ul_kbps",
+        f"{vol(19, 800, 1400.0)} AS dl_pdcp_volume_bytes",
+        f"{vol(23, 600, 350.0)} AS ul_pdcp_volume_bytes",
+        f"{vol(29, 400, 250.0)} AS rlc_sdu_ul_bytes_count",
+        f"CASE WHEN event_id % 13 = 0 THEN CAST(NULL AS DOUBLE) ELSE {vol(31, 50, 100.0)} END"
+        " AS rlc_pdu_dl__retransmitted_bytes_count",
+        "CASE WHEN event_id % 7 = 0 THEN CAST(NULL AS DOUBLE) ELSE 20.0D - floor(value) / 8.0D END"
+        " AS pusch_sinr_db",
+        "date_format(ts, 'yyyyMMdd') AS UTC_date",
     )
