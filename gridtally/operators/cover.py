@@ -78,16 +78,17 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
+def topn_with_others(pairs: DataFrame, group, id_col: str, n: int = 10,
                      count_col: str = "cnt", others_label: str = OTHERS,
                      shuffle_input: bool = False) -> DataFrame:
     """Top ``n`` ids per group by count, plus one ``others`` row per group.
 
-    ``pairs`` has one row per (group, id) with a count. Output columns:
-    ``group, id (string), cnt bigint, pct double, rank int, is_other boolean``.
-    Ties are broken by id ascending with NULL ids last, so results are
-    deterministic; ``rank`` is NULL on the ``others`` row, and ``is_other``
-    tells it apart from a real id spelt like the label.
+    ``pairs`` has one row per (group, id) with a count; ``group`` is a column
+    name or a list of them. Output columns: the group columns, ``id
+    (string), cnt bigint, pct double, rank int, is_other boolean``. Ties are
+    broken by id ascending with NULL ids last, so results are deterministic;
+    ``rank`` is NULL on the ``others`` row, and ``is_other`` tells it apart
+    from a real id spelt like the label.
 
     ``pairs`` feeds three branches (totals, top n, others). When it comes from
     an aggregation its shuffle is reused by all three; when it is the result of
@@ -96,49 +97,62 @@ def topn_with_others(pairs: DataFrame, group: str, id_col: str, n: int = 10,
 
     Written as one SQL statement over the ``pairs`` DataFrame: the CTEs are
     inlined by Catalyst into the same plan the DataFrame calls would build,
-    with one parse and one analysis. NULL groups are carried as a
-    (value, is-null) key pair so that every step can use plain equi-joins.
+    with one parse and one analysis. NULL group values are carried as
+    (value, is-null) key pairs so that every step can use plain equi-joins.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    g, i, c = _q(group), _q(id_col), _q(count_col)
-    default = _null_default_sql(pairs.schema[group].dataType)
+    groups = [group] if isinstance(group, str) else list(group)
+    i, c = _q(id_col), _q(count_col)
     label = others_label.replace("'", "''")
     if shuffle_input:
-        pairs = pairs.repartition(group, id_col)
-    h = "floor(({c} * 20000 + {t}) / ({t} * 2))"
+        pairs = pairs.repartition(*groups, id_col)
+    keys, key_defs, back = [], [], []
+    for k, g in enumerate(groups):
+        qg = _q(g)
+        default = _null_default_sql(pairs.schema[g].dataType)
+        key_defs.append(f"coalesce({qg}, {default}) AS _g{k}_val, {qg} IS NULL AS _g{k}_null, {qg}")
+        keys += [f"_g{k}_val", f"_g{k}_null"]
+        back.append(f"CASE WHEN NOT _g{k}_null THEN _g{k}_val END AS {qg}")
+    key_list = ", ".join(keys)
+
+    def on(a: str, b: str) -> str:
+        return " AND ".join(f"{a}.{key} = {b}.{key}" for key in keys)
+
+    def hund(cnt: str, total: str) -> str:
+        return f"floor(({cnt} * 20000 + {total}) / ({total} * 2))"
+
+    out_groups = ", ".join(_q(g) for g in groups)
     sql = f"""
     WITH keyed AS (
-      SELECT coalesce({g}, {default}) AS _g_val, {g} IS NULL AS _g_null, {g},
-             CAST({i} AS STRING) AS {i}, CAST({c} AS BIGINT) AS {c}
+      SELECT {", ".join(key_defs)}, CAST({i} AS STRING) AS {i}, CAST({c} AS BIGINT) AS {c}
       FROM {{pairs}}),
     totals AS (
-      SELECT _g_val, _g_null, sum({c}) AS _total, count(1) AS _n_ids
-      FROM keyed GROUP BY _g_val, _g_null),
+      SELECT {key_list}, sum({c}) AS _total, count(1) AS _n_ids
+      FROM keyed GROUP BY {key_list}),
     ranked AS (
       SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY _g_val, _g_null
+        SELECT *, row_number() OVER (PARTITION BY {key_list}
                                      ORDER BY {c} DESC, {i} ASC NULLS LAST) AS rank
         FROM keyed)
       WHERE rank <= {n}),
     top AS (
-      SELECT r.*, t._total, t._n_ids FROM ranked r
-      JOIN totals t ON r._g_val = t._g_val AND r._g_null = t._g_null),
+      SELECT r.*, t._total, t._n_ids FROM ranked r JOIN totals t ON {on("r", "t")}),
     threshold AS (
-      SELECT _g_val, _g_null, {c} AS _cnt_n, {i} AS _id_n, _total
+      SELECT {key_list}, {c} AS _cnt_n, {i} AS _id_n, _total
       FROM top WHERE rank = {n} AND _n_ids > {n}),
     others AS (
-      SELECT k._g_val, k._g_null, sum(k.{c}) AS {c},
-             sum({h.format(c="k." + c, t="t._total")}) AS _hundredths
-      FROM keyed k JOIN threshold t ON k._g_val = t._g_val AND k._g_null = t._g_null
+      SELECT {", ".join("k." + key for key in keys)}, sum(k.{c}) AS {c},
+             sum({hund("k." + c, "t._total")}) AS _hundredths
+      FROM keyed k JOIN threshold t ON {on("k", "t")}
       WHERE k.{c} < t._cnt_n
          OR (k.{c} = t._cnt_n AND t._id_n IS NOT NULL AND (k.{i} IS NULL OR k.{i} > t._id_n))
-      GROUP BY k._g_val, k._g_null)
-    SELECT {g}, {i}, {c}, {h.format(c=c, t="_total")} / 100.0D AS pct, rank,
+      GROUP BY {", ".join("k." + key for key in keys)})
+    SELECT {out_groups}, {i}, {c}, {hund(c, "_total")} / 100.0D AS pct, rank,
            false AS is_other
     FROM top
     UNION ALL
-    SELECT CASE WHEN NOT _g_null THEN _g_val END AS {g}, '{label}' AS {i}, {c},
+    SELECT {", ".join(back)}, '{label}' AS {i}, {c},
            _hundredths / 100.0D AS pct, CAST(NULL AS INT) AS rank, true AS is_other
     FROM others
     """
@@ -215,13 +229,33 @@ def coverage_all(calls: DataFrame, id_col: str = "current_enodeb_id",
                  keep_unlocated: bool = True) -> DataFrame:
     """All resolutions as one DataFrame with a ``resolution_m`` column.
 
-    One action computes every resolution; Spark reuses the shuffle of the
-    finest pair counts for all of them (``ReusedExchange``), so the raw rows
-    are read and shuffled once. Write it with ``partition_by=["resolution_m"]``.
+    One scan and one ranking pass: each pair count at the finest precision is
+    exploded into its (resolution, coarse cell) keys, re-aggregated (partial
+    aggregation merges the coarse cells map-side), and ranked once with
+    (resolution_m, gridid) as the group. Write it with
+    ``partition_by=["resolution_m"]``.
     """
-    parts = coverage(calls, id_col, resolutions, n, date_td, id_name, keep_unlocated)
-    out = None
-    for r, df in parts.items():
-        df = df.withColumn("resolution_m", F.lit(r))
-        out = df if out is None else out.unionByName(df)
-    return out
+    for r in resolutions:
+        if r not in RESOLUTIONS:
+            raise ValueError(f"resolution {r} not in {sorted(RESOLUTIONS)}")
+    finest = max(RESOLUTIONS[r] for r in resolutions)
+    base = grid_pairs(calls, id_col, finest, keep_unlocated)
+    levels = F.array(*[
+        F.struct(F.lit(r).alias("resolution_m"),
+                 coarsen(F.col("gridid"), RESOLUTIONS[r], finest).alias("gridid"))
+        for r in resolutions])
+    pairs = (base.select(F.explode(levels).alias("_lvl"), id_col, "cnt")
+             .groupBy(F.col("_lvl.resolution_m").alias("resolution_m"),
+                      F.col("_lvl.gridid").alias("gridid"), id_col)
+             .agg(F.sum("cnt").alias("cnt")))
+    ranked = topn_with_others(pairs, ["resolution_m", "gridid"], id_col, n=n)
+    return ranked.select(
+        F.lit(date_td).cast("string").alias("date_td"),
+        F.col("cnt"),
+        F.col(id_col).alias(id_name),
+        F.col("gridid"),
+        F.col("pct"),
+        F.col("rank"),
+        F.col("is_other"),
+        F.col("resolution_m"),
+    )
