@@ -39,6 +39,11 @@ def digest(columns, rows):
     return hashlib.sha1("\n".join(lines).encode()).hexdigest(), lines
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -67,16 +72,22 @@ def main(argv):
         if name not in os_:
             print(f"{name:28s} rows-only  spark={len(srows)} ({t1 - t0:.1f}s)")
             continue
-        res = con.execute(os_[name])
-        dcols = [c[0] for c in res.description]
-        drows = res.fetchall()
+        rel = con.sql(os_[name])
+        dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        stypes = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
+        type_bad = {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
+        dcols = rel.columns
+        drows = rel.fetchall()
         hs, ls = digest(scols, srows)
         hd, ld = digest(dcols, drows)
-        ok = sorted(scols) == sorted(dcols) and len(srows) == len(drows) and hs == hd
+        ok = (sorted(scols) == sorted(dcols) and len(srows) == len(drows) and hs == hd
+              and not type_bad)
         bad += not ok
         print(f"{name:28s} {'OK ' if ok else 'BAD'} rows {len(srows)}/{len(drows)} "
               f"({t1 - t0:.1f}s)")
         if not ok:
+            if type_bad:
+                print("   types (spark, duck):", type_bad)
             if sorted(scols) != sorted(dcols):
                 print("   cols spark", scols, "\n   cols duck ", dcols)
             only_s = sorted(set(ls) - set(ld))[:5]
