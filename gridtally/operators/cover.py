@@ -216,26 +216,22 @@ def coverage(calls: DataFrame, id_col: str = "current_enodeb_id",
             for r in resolutions}
 
 
-def coverage_all(calls: DataFrame, id_col: str = "current_enodeb_id",
-                 resolutions: Sequence[int] = (100, 1000, 10000), n: int = 10,
-                 date_td: str | None = None, id_name: str = "enb",
-                 keep_unlocated: bool = True) -> DataFrame:
-    """All resolutions as one DataFrame with a ``resolution_m`` column.
-
-    One scan and one ranking pass: each pair count at the finest precision is
-    exploded into its (resolution, coarse cell) keys, re-aggregated (partial
-    aggregation merges the coarse cells map-side), and ranked once with
-    (resolution_m, gridid) as the group. Write it with
-    ``partition_by=["resolution_m"]``.
+def rank_resolutions(base: DataFrame, id_col: str, base_precision: int,
+                     resolutions: Sequence[int], n: int = 10, date_td: str | None = None,
+                     id_name: str = "enb") -> DataFrame:
+    """Top-``n`` + others for every resolution in ONE ranking pass.
+
+    Each pair count at ``base_precision`` is exploded into its (resolution,
+    coarse cell) keys, re-aggregated (partial aggregation merges the coarse
+    cells map-side), and ranked once with (resolution_m, gridid) as the group:
+    one window, one totals aggregate and one threshold join for all levels.
     """
     for r in resolutions:
-        if r not in RESOLUTIONS:
-            raise ValueError(f"resolution {r} not in {sorted(RESOLUTIONS)}")
-    finest = max(RESOLUTIONS[r] for r in resolutions)
-    base = grid_pairs(calls, id_col, finest, keep_unlocated)
+        if r not in RESOLUTIONS or RESOLUTIONS[r] > base_precision:
+            raise ValueError(f"resolution {r} not available from precision {base_precision}")
     levels = F.array(*[
         F.struct(F.lit(r).alias("resolution_m"),
-                 coarsen(F.col("gridid"), RESOLUTIONS[r], finest).alias("gridid"))
+                 coarsen(F.col("gridid"), RESOLUTIONS[r], base_precision).alias("gridid"))
         for r in resolutions])
     pairs = (base.select(F.explode(levels).alias("_lvl"), id_col, "cnt")
              .groupBy(F.col("_lvl.resolution_m").alias("resolution_m"),
@@ -252,3 +248,18 @@ def coverage_all(calls: DataFrame, id_col: str = "current_enodeb_id",
         F.col("is_other"),
         F.col("resolution_m"),
     )
+
+
+def coverage_all(calls: DataFrame, id_col: str = "current_enodeb_id",
+                 resolutions: Sequence[int] = (100, 1000, 10000), n: int = 10,
+                 date_td: str | None = None, id_name: str = "enb",
+                 keep_unlocated: bool = True) -> DataFrame:
+    """All resolutions as one DataFrame with a ``resolution_m`` column: one
+    scan and one ranking pass (``rank_resolutions``). Write it with
+    ``partition_by=["resolution_m"]``."""
+    for r in resolutions:
+        if r not in RESOLUTIONS:
+            raise ValueError(f"resolution {r} not in {sorted(RESOLUTIONS)}")
+    finest = max(RESOLUTIONS[r] for r in resolutions)
+    base = grid_pairs(calls, id_col, finest, keep_unlocated)
+    return rank_resolutions(base, id_col, finest, resolutions, n, date_td, id_name)

@@ -9,11 +9,12 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridtally.functions.columns import cast_all_except
 from gridtally.functions.dates import window_bounds
 from gridtally.operators.quality import sample_by_hash
-from gridtally.operators.cover import RESOLUTIONS, coverage_from_pairs, grid_pairs
+from gridtally.operators.cover import RESOLUTIONS, grid_pairs, rank_resolutions
 from gridtally.operators.kpi import grid_kpi
 from gridtally.plans.session import shared_dir
 from gridtally.sources.calls import DATE_COLUMNS, STRING_COLUMNS
@@ -75,8 +76,9 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
 
     The window's rows are scanned and shuffled once: pair counts at the finest
     precision are checkpointed to the shared folder (reliable storage, so a
-    lost executor does not send the later resolutions back to the raw scan),
-    and every resolution is computed from them and written as CSV
+    lost executor does not send the later steps back to the raw scan), all
+    resolutions are ranked from them in one pass and checkpointed (at most
+    n + 1 rows per cell), and each resolution is written as CSV
     (``<out_root>/<kind>_cover_<r>``). ``stamp`` defaults to the window's
     first day for eNB and its last day for gNB. Rows are ordered by grid and
     rank inside each output file (``sort_within``). With ``keep_going`` a
@@ -92,11 +94,13 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     finest = max(RESOLUTIONS[r] for r in resolutions)
     shared_dir(spark)  # make sure a checkpoint folder is set
     base = grid_pairs(calls, id_col, finest, keep_unlocated).checkpoint(eager=True)
+    ranked = rank_resolutions(base, id_col, finest, resolutions, n, stamp, kind) \
+        .checkpoint(eager=True)
     paths, errors = {}, []
     for r in resolutions:
         path = f"{out_root.rstrip('/')}/{kind}_cover_{r}"
         try:
-            df = coverage_from_pairs(base, id_col, finest, r, n, stamp, kind)
+            df = ranked.filter(F.col("resolution_m") == r).drop("resolution_m")
             write_csv(df, path, files=(files or {}).get(r), gzip=gzip, sort_within=sort_within)
             paths[r] = path
         except Exception as e:  # noqa: BLE001 - reported after the other resolutions
