@@ -92,7 +92,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
     Read from ``spark.checkpoint.dir`` (or an already-set checkpoint dir). Only
-    when neither is set -- local runs and tests -- a folder is created here.
+    when neither is set on a local master -- tests and local runs -- a folder
+    is created here; on a cluster a machine-local folder would not be shared
+    by the executors, so the setting is required.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -100,6 +102,9 @@ def shared_dir(spark: SparkSession) -> str:
         d = sc._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(e.g. on HDFS or object storage)")
         d = tempfile.mkdtemp(prefix="gridtally-")
         sc.setCheckpointDir(d)
     elif sc._jsc.sc().getCheckpointDir().isEmpty():
