@@ -30,6 +30,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--approx-distinct", action="store_true")
     ap.add_argument("--by-name", action="store_true", help="read day files by header name")
     ap.add_argument("--keep-going", action="store_true")
+    ap.add_argument("--reference-layout", action="store_true",
+                    help="coverage files with the original five columns only")
     ap.add_argument("--input-bytes", type=float, help="approximate input size for sizing")
     ap.add_argument("--cores", type=int, default=300)
     return ap.parse_args(argv)
@@ -49,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
         paths = coverage_job(spark, a.root, a.as_of, a.out, kind=a.job, resolutions=res,
                              files={r: a.files for r in res} if a.files else None,
                              by_name=a.by_name, trailing=a.trailing,
-                             sample_fraction=a.sample, keep_going=a.keep_going)
+                             sample_fraction=a.sample, keep_going=a.keep_going,
+                             reference_layout=a.reference_layout)
         print(json.dumps({"job": a.job, "out": paths}))
     return 0
 

@@ -71,7 +71,7 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
                  by_name: bool = False, trailing: int | None = None,
                  sample_fraction: float | None = None,
                  sort_within: Sequence[str] = ("gridid", "is_other", "rank"),
-                 keep_going: bool = False) -> dict[int, str]:
+                 keep_going: bool = False, reference_layout: bool = False) -> dict[int, str]:
     """eNB or gNB coverage of the job's weekly window at each resolution.
 
     The window's rows are scanned and shuffled once: pair counts at the finest
@@ -83,7 +83,9 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     first day for eNB and its last day for gNB. Rows are ordered by grid and
     rank inside each output file (``sort_within``). With ``keep_going`` a
     failed resolution does not stop the others; the first error is raised
-    after all were attempted. Returns the output paths.
+    after all were attempted. ``reference_layout`` writes only the original
+    five columns (``date_td, cnt, <kind>, gridid, pct``) for readers of the
+    old files. Returns the output paths.
     """
     start, end = job_days(as_of, kind, trailing)
     stamp = stamp or (start if kind == "enb" else end)
@@ -101,7 +103,11 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
         path = f"{out_root.rstrip('/')}/{kind}_cover_{r}"
         try:
             df = ranked.filter(F.col("resolution_m") == r).drop("resolution_m")
-            write_csv(df, path, files=(files or {}).get(r), gzip=gzip, sort_within=sort_within)
+            if reference_layout:
+                df = df.sortWithinPartitions(*sort_within) if sort_within else df
+                df = df.select("date_td", "cnt", kind, "gridid", "pct")
+            write_csv(df, path, files=(files or {}).get(r), gzip=gzip,
+                      sort_within=() if reference_layout else sort_within)
             paths[r] = path
         except Exception as e:  # noqa: BLE001 - reported after the other resolutions
             if not keep_going:
