@@ -124,3 +124,15 @@ def test_drop_unlocated(spark):
     assert df.filter(F.col("gridid").isNull()).count() == 0
     kept = coverage(calls, resolutions=(10000,))[10000]
     assert kept.filter(F.col("gridid").isNull()).count() > 0
+
+
+def test_shares_from_printed_log(spark):
+    """Shares printed by the original job arise from integer counts:
+    23 of 31 -> 74.19, 38 of 42 -> 90.48, 43 of 140 -> 30.71, 2 of 3 -> 66.67."""
+    cases = [("g1", 23, 31), ("g2", 38, 42), ("g3", 43, 140), ("g4", 2, 3), ("g5", 1, 2)]
+    pairs = []
+    for g, c, total in cases:
+        pairs += [(g, "top", c), (g, "rest", total - c)]
+    df = spark.createDataFrame(pairs, "g string, id string, cnt bigint")
+    got = {r.g: r.pct for r in topn_with_others(df, "g", "id").filter("id = 'top'").collect()}
+    assert got == {"g1": 74.19, "g2": 90.48, "g3": 30.71, "g4": 66.67, "g5": 50.0}
