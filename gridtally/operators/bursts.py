@@ -79,8 +79,8 @@ def _sorted_hits(df: DataFrame, key: str, ts: str, order: list[str], n: int,
     ranked = ranked.checkpoint(eager=True)
     # monotonically_increasing_id = partition index << 33 | row index in partition
     heads = (ranked.filter(F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33) < n - 1)
-             .select("_pid", *cols).toPandas())
-    heads = heads.sort_values(["_pid", *cols], kind="stable")
+             .select("_pid", "_pos", *cols).toPandas())
+    heads = heads.sort_values(["_pid", "_pos"], kind="stable")  # Spark's own order
     pids = sorted(heads["_pid"].unique())
     ahead = {}
     for i, p in enumerate(pids):  # next n-1 rows after partition p, across later partitions
@@ -115,8 +115,11 @@ def _sorted_hits(df: DataFrame, key: str, ts: str, order: list[str], n: int,
         far = idx + (n - 1)
         ok = far < m
         far = np.minimum(far, m - 1)
-        same = pd.Series(k[idx]).eq(pd.Series(k[far])).to_numpy() & ok
-        hit = same & (t[far] < t[idx] + span_ns)
+        ki, kf = pd.Series(k[idx]), pd.Series(k[far])
+        # NULL keys form one group, as in a window's PARTITION BY
+        same = (ki.eq(kf) | (ki.isna() & kf.isna())).to_numpy() & ok
+        ts_ok = frame[ts].notna().to_numpy()  # a NULL time never starts or ends a burst
+        hit = same & ts_ok[idx] & ts_ok[far] & (t[far] < t[idx] + span_ns)
         out = frame.iloc[idx[hit]][cols].reset_index(drop=True)
         for j in range(1, n):
             nxt = np.minimum(idx[hit] + j, m - 1)

@@ -93,3 +93,20 @@ def test_sorted_method_across_many_partitions(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_null_keys_and_times_agree_across_methods(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(None, base + dt.timedelta(minutes=m), m) for m in (0, 10, 20, 200)]
+    rows += [("a", None, 100 + j) for j in range(3)]  # NULL times never burst
+    rows += [("a", base + dt.timedelta(minutes=m), 200 + m) for m in (5, 6, 7)]
+    rows += [("b", base + dt.timedelta(minutes=m), 300 + m) for m in (0, 30, 61)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, i bigint")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        s = {tuple(r) for r in access_bursts(df, "k", "ts", order=["i"], method="sorted").collect()}
+        b = {tuple(r) for r in access_bursts(df, "k", "ts", order=["i"], method="buckets").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert s == b == {(None, base, 0), ("a", base + dt.timedelta(minutes=5), 205)}
