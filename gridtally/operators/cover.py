@@ -9,8 +9,9 @@ Plan shape, chosen so that no group -- however hot -- has to sit in one task:
 1. ``pair_counts``: ``groupBy(group, id).count()``. Partial aggregation
    combines rows map-side, so a grid cell holding a third of all records
    costs one row per (cell, id) per map task in the shuffle.
-2. Coarser resolutions re-aggregate these pair counts (``rollup_pairs``)
-   instead of re-reading raw rows.
+2. Coarser resolutions re-aggregate these pair counts (``rollup_pairs``, or
+   ``rank_resolutions`` for all levels in one pass) instead of re-reading
+   raw rows.
 3. Per group: ``total`` by ``groupBy`` (partial aggregation again); the top
    ``n`` by ``row_number() <= n``, which Spark plans as a map-side
    ``WindowGroupLimit`` so at most ``n`` rows per group per map task are
@@ -19,8 +20,9 @@ Plan shape, chosen so that no group -- however hot -- has to sit in one task:
    aggregation. AQE splits that join's skewed partitions, and converts it to a
    broadcast join only when the threshold side is measured small at runtime.
 
-All per-group steps partition on the same two key columns, so the top rows
-meet their totals without another exchange.
+All per-group steps partition on the same key columns (a value and an
+is-null flag per group column), so the top rows meet their totals without
+another exchange.
 
 Shares are computed in integer hundredths of a percent, rounded half up
 exactly; the ``others`` share is the sum of the per-id rounded shares, as in
