@@ -81,11 +81,13 @@ def _sorted_hits(df: DataFrame, key: str, ts: str, order: list[str], n: int,
     heads = (ranked.filter(F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33) < n - 1)
              .select("_pid", "_pos", *cols).toPandas())
     heads = heads.sort_values(["_pid", "_pos"], kind="stable")  # Spark's own order
-    pids = sorted(heads["_pid"].unique())
-    ahead = {}
-    for i, p in enumerate(pids):  # next n-1 rows after partition p, across later partitions
-        ahead[p] = pd.concat([heads[heads["_pid"] == q] for q in pids[i + 1:]] or [heads.iloc[:0]])
-        ahead[p] = ahead[p].iloc[: n - 1][cols]
+    # Rows that follow partition p: the next partition's heads, then what
+    # follows that one, cut to n-1 rows. One backward pass over partitions.
+    by_pid = {int(p): g[cols] for p, g in heads.groupby("_pid", sort=True)}
+    ahead, following = {}, heads.iloc[:0][cols]
+    for p in sorted(by_pid, reverse=True):
+        ahead[p] = following
+        following = pd.concat([by_pid[p], following], ignore_index=True).iloc[: n - 1]
     ahead_b = df.sparkSession.sparkContext.broadcast(ahead)
     span_ns = int(within_seconds) * 1_000_000_000
 
