@@ -121,7 +121,7 @@ SELECT {extra_select} cnt, id AS {id_name}, {group}, hund / 100e0 AS pct,
        CAST(rnk AS INTEGER) AS rank, false AS is_other
 FROM h WHERE rnk <= {n}
 UNION ALL
-SELECT {extra_select} CAST(sum(cnt) AS BIGINT) AS cnt, '{'others'}' AS {id_name}, {group},
+SELECT {extra_select} CAST(sum(cnt) AS BIGINT) AS cnt, 'others' AS {id_name}, {group},
        sum(hund) / 100e0 AS pct, CAST(NULL AS INTEGER) AS rank, true AS is_other
 FROM h WHERE rnk > {n} GROUP BY {group}
 """
@@ -186,7 +186,6 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 GROUP BY n_name, c_custkey"""
     o["nation_top_customers"] = topn_others(nation_pairs, "n_name", "customer")
     o["grid_kpi"] = grid_kpi(kpi_week)
-    pts = "SELECT event_id, end_latitude, end_longitude FROM calls"
     o["grid_of_points"] = (
         f"WITH calls AS ({CALLS}) SELECT event_id, end_latitude, end_longitude, "
         + ", ".join(f"{mgrs('end_latitude', 'end_longitude', p)} AS g{p}" for p in (5, 3, 2, 1))
@@ -195,7 +194,6 @@ GROUP BY n_name, c_custkey"""
         f"WITH calls AS ({CALLS}) SELECT event_id, "
         + ", ".join(f"{mgrs('end_latitude', 'end_longitude', p)} AS g{p}" for p in (3, 2, 1))
         + " FROM calls")
-    del pts
     o["cast_all_except"] = """
 SELECT CAST(event_id AS DOUBLE) AS event_id, ts, CAST(user_id AS DOUBLE) AS user_id, event_type,
        value, TRY_CAST(props AS DOUBLE) AS props,
