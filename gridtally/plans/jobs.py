@@ -103,11 +103,14 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
         path = f"{out_root.rstrip('/')}/{kind}_cover_{r}"
         try:
             df = ranked.filter(F.col("resolution_m") == r).drop("resolution_m")
+            n_files = (files or {}).get(r)
             if reference_layout:
+                # shape and order the files first, then keep the five columns
+                df = df.repartition(n_files) if n_files else df
                 df = df.sortWithinPartitions(*sort_within) if sort_within else df
-                df = df.select("date_td", "cnt", kind, "gridid", "pct")
-            write_csv(df, path, files=(files or {}).get(r), gzip=gzip,
-                      sort_within=() if reference_layout else sort_within)
+                write_csv(df.select("date_td", "cnt", kind, "gridid", "pct"), path, gzip=gzip)
+            else:
+                write_csv(df, path, files=n_files, gzip=gzip, sort_within=sort_within)
             paths[r] = path
         except Exception as e:  # noqa: BLE001 - reported after the other resolutions
             if not keep_going:

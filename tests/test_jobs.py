@@ -79,9 +79,17 @@ def test_cli_runs_a_coverage_job(spark):
     root, _ = _stage_calls(spark)
     out = staging_path(spark, "cli")
     assert main(["gnb", "--root", root, "--as-of", "2024-01-17", "--out", out,
-                 "--resolutions", "10000", "--keep-going", "--reference-layout"]) == 0
-    back = spark.read.option("header", True).csv(f"{out}/gnb_cover_10000")
+                 "--resolutions", "10000", "--keep-going", "--reference-layout",
+                 "--files", "2"]) == 0
+    folder = f"{out}/gnb_cover_10000"
+    back = spark.read.option("header", True).csv(folder)
     assert back.columns == ["date_td", "cnt", "gnb", "gridid", "pct"] and back.count() > 0
+    parts = sorted(f for f in os.listdir(folder) if f.endswith(".csv"))
+    assert len(parts) == 2
+    for f in parts:  # each file ordered by grid cell
+        cells = [r.gridid or "" for r in spark.read.option("header", True)
+                 .csv(os.path.join(folder, f)).collect()]
+        assert cells == sorted(cells)
 
 
 def test_sizing_conf_bounds():
