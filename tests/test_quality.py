@@ -80,3 +80,14 @@ def test_day_gaps_with_bounds(spark):
     assert got == want  # s2 has no day inside the bounds, so it has no calendar
     glob = sorted(r[0] for r in day_gaps(df, F.col("day")).collect())
     assert glob == [dt.date(2024, 1, k) for k in (4, 6, 7, 8, 9, 10, 11)]
+
+
+def test_global_freshness_and_approx_profile(spark):
+    d = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(d,), (d + dt.timedelta(days=3),)], "day date")
+    r = freshness(df, F.col("day"), "2024-01-06", delay_days=1).first()
+    assert (r.expected_day, r.expected_present, r.latest_day, r.lag_days) == (
+        d + dt.timedelta(days=4), False, d + dt.timedelta(days=3), 1)
+    many = spark.range(5000).select((F.col("id") % 1000).alias("k"))
+    p = profile(many, ["k"], exact=False).first()
+    assert p.records == 5000 and 950 <= p.distinct_k <= 1050  # HyperLogLog++ estimate
