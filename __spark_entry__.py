@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,13 @@ from gridtally.sources.calls import calls_from_events  # noqa: E402
 from gridtally.sources.scan import scan_days  # noqa: E402
 from gridtally.sources.sinks import preview, read_csv, write_csv, write_parquet  # noqa: E402
 
+# The training-data operators are an optional subpackage: without its folder and
+# corpus_pipeline.py the other queries still register. An error inside it is raised.
+if find_spec("gridtally.llm") and find_spec("corpus_pipeline"):
+    from gridtally.llm import queries as llm_queries
+else:
+    llm_queries = None
+
 # Stamp written into every coverage row (the first day of the test data).
 DATE_TD = "20240101"
 
@@ -304,6 +312,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_alerts": q_json_alerts,
         "preview_20": q_preview_20,
     })
+    if llm_queries:
+        q.update(llm_queries.queries())
     return q
 
 
@@ -315,4 +325,6 @@ def oracle_sql() -> dict[str, str]:
     o["enb_cover_all"] = osql.coverage_all("current_enodeb_id", "enb", DATE_TD)
     o["gnb_cover_all"] = osql.coverage_all("serving_nr_cell_id", "gnb", DATE_TD)
     o.update(osql.other_queries(AS_OF, SCAN_DAYS, KPI_WEEK, DATE_TD))
+    if llm_queries:
+        o.update(llm_queries.oracle_sql())
     return o
