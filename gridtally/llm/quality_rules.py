@@ -43,8 +43,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
           "n_upper", "n_marks")
 
 
-def with_counts(df: DataFrame, text_col: str, keep: list[Column], out: str = "counts") -> DataFrame:
-    """``keep`` columns plus a struct ``out`` with the counts of every whole text.
+def with_counts(df: DataFrame, text_col: str, keep: list[Column]) -> DataFrame:
+    """``keep`` columns plus the counts of every whole text, as ``_gt_<count>``.
 
     ``n_words`` words ``[^\\x20\\x09-\\x0D]+``; ``word_chars`` code points in
     words; ``n_symbols`` characters of ``[#*$%&|<>]``; ``n_lines`` lines with a
@@ -87,15 +87,15 @@ def with_counts(df: DataFrame, text_col: str, keep: list[Column], out: str = "co
         "n_upper": total - F.length(F.translate("_gt_text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
         "n_marks": total - F.length(F.translate("_gt_text", "!", "")),
     }
-    packed = F.struct(*[counts[k].cast("long").alias(k) for k in COUNTS]).alias(out)
-    return rows.select(*[F.col(k).alias(t) for k, t in zip(names, titles)], packed)
+    return rows.select(*[F.col(k).alias(t) for k, t in zip(names, titles)],
+                       *[counts[k].cast("long").alias(f"_gt_{k}") for k in COUNTS])
 
 
-def votes(counts: str = "counts") -> Column:
+def votes() -> Column:
     """The rules' votes as an array of 1, -1 and 0 (also where nothing can be divided)."""
     def share(top: str, bottom: str) -> Column:
-        numerator = F.lit(1) if top == "1" else F.col(f"{counts}.{top}")
-        return F.try_divide(numerator.cast("double"), F.col(f"{counts}.{bottom}").cast("double"))
+        numerator = F.lit(1) if top == "1" else F.col(f"_gt_{top}")
+        return F.try_divide(numerator.cast("double"), F.col(f"_gt_{bottom}").cast("double"))
 
     ballot = []
     for _, measures in RULES:
@@ -158,24 +158,24 @@ def fit_rules(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) ->
     return model
 
 
-def learn_rules(counted: DataFrame, counts: str = "counts") -> RuleModel:
+def learn_rules(counted: DataFrame) -> RuleModel:
     """Count the vote patterns of all rows and fit the model on them."""
-    by = counted.groupBy(votes(counts).alias("ballot")).agg(F.count(F.lit(1)).alias("n"))
+    by = counted.groupBy(votes().alias("ballot")).agg(F.count(F.lit(1)).alias("n"))
     return fit_rules(sorted((tuple(r.ballot), r.n) for r in by.collect()))
 
 
-def posterior(model: RuleModel, counts: str = "counts") -> Column:
+def posterior(model: RuleModel) -> Column:
     """A row's probability of being good under the model."""
-    total, ballot = F.lit(log(model.prior / (1 - model.prior))), votes(counts)
+    total, ballot = F.lit(log(model.prior / (1 - model.prior))), votes()
     for k, (keep, reject) in enumerate(model.weights()):
         v = ballot.getItem(k)
         total = total + F.when(v > 0, keep).when(v < 0, reject).otherwise(0.0)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def base_failed(counts: str = "counts") -> Column:
+def base_failed() -> Column:
     """Too short, or more than half of the words in repeated windows."""
-    n, again = F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words")
+    n, again = F.col("_gt_n_words"), F.col("_gt_n_repeat_words")
     return (n < 50) | (100 * again > 50 * n)
 
 
@@ -187,8 +187,11 @@ def judge(df: DataFrame, text_col: str, keep: list[Column], min_posterior: float
     """
     counted = cut(with_counts(df, text_col, keep))
     model = learn_rules(counted)
-    rows = counted.withColumns({"base_failed": base_failed(), "posterior": posterior(model)})
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= min_posterior))
+    packed = F.struct(*[F.col(f"_gt_{k}").alias(k) for k in COUNTS]).alias("counts")
+    own = [F.col(f"`{c}`") for c in counted.columns[:len(keep)]]
+    verdict = ~base_failed() & (posterior(model) >= min_posterior)
+    return counted.select(*own, packed, base_failed().alias("base_failed"),
+                          posterior(model).alias("posterior"), verdict.alias("kept"))
 
 
 def keep_good(df: DataFrame, text_col: str, min_posterior: float = 0.5) -> DataFrame:
@@ -199,9 +202,11 @@ def keep_good(df: DataFrame, text_col: str, min_posterior: float = 0.5) -> DataF
     """
     counted = cut(with_counts(df, text_col, []))
     model = learn_rules(counted)
-    rows = with_counts(df, text_col, [F.col(f"`{c}`") for c in df.columns], "_gt_counts")
-    passed = ~base_failed("_gt_counts") & (posterior(model, "_gt_counts") >= min_posterior)
-    # A filter would be pushed below the counts and count anew for each use of them.
-    once = F.when(passed, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
-    return rows.withColumn("_gt_once", once).select(
-        *[F.col(f"`{c}`") for c in df.columns], F.explode("_gt_once").alias("_gt_one")).drop("_gt_one")
+    rows = with_counts(df, text_col, [F.col(f"`{c}`") for c in df.columns])
+    passed = ~base_failed() & (posterior(model) >= min_posterior)
+    # Catalyst pushes a filter below deterministic columns and would write the
+    # counts out again for each of their uses in it; a row number among them
+    # keeps it above, so that texts are counted once.
+    rows = rows.withColumn("_gt_row", F.monotonically_increasing_id())
+    return rows.filter(passed & (F.col("_gt_row") >= 0)).select(
+        *[F.col(f"`{c}`") for c in df.columns])

@@ -1,0 +1,289 @@
+"""The operators' parts, without Spark where they need none."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gridtally.llm import queries as Q
+from gridtally.llm.bpe import Monoid, parse_ranks, read_ranks
+from gridtally.llm.decontaminate import WuManber, item_words, merged, tables_of
+from gridtally.llm.html_extract import COMPACT, Page, Tree, page_votes, simple_tree_matching
+from gridtally.llm.licenses import TEMPLATES, TemplateSet
+from gridtally.llm.line_dedup import CuckooFilter
+from gridtally.llm.quality_fm import FactorisationMachine
+from gridtally.llm.quality_rules import RULES, fit_rules
+from gridtally.llm.sharding import lookup_table
+from gridtally.llm.simhash import BITS, BKTree, _refined, shard_links
+from tests.llm import brute
+
+
+# ---- SimHash
+def test_bk_tree_finds_all_within_the_radius():
+    rng = random.Random(1)
+    codes = [rng.getrandbits(64) for _ in range(300)]
+    codes += [c ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for c in codes]
+    codes = list(dict.fromkeys(codes))
+    tree = BKTree()
+    for c in codes:
+        tree.add(c)
+    for radius in (0, 1, 2, 7):
+        for c in codes[::17]:
+            got = {tree.codes[i] for i in tree.within(c, radius)}
+            assert got == {x for x in codes if (x ^ c).bit_count() <= radius}
+
+
+def test_masks_lose_no_pair_at_any_level():
+    rng = random.Random(2)
+    for radius in (0, 1, 2, 3):
+        masks, level = [0], 0
+        for level in range(4):
+            a = rng.getrandbits(64)
+            for _ in range(50):
+                b = a
+                for _ in range(radius):
+                    b ^= 1 << rng.randrange(64)
+                for m in masks:
+                    if a & m == b & m:
+                        assert any(a & r == b & r for r in _refined(m, radius))
+            masks = [r for m in masks for r in _refined(m, radius)][:40]
+
+
+def test_refinement_ends_with_few_codes_per_shard():
+    mask, radius = 0, 2
+    for _ in range(8):
+        mask = _refined(mask, radius)[0]
+    assert BITS - mask.bit_count() <= radius
+
+
+def test_shard_links_join_what_is_reachable():
+    codes = [0b0, 0b11, 0b1111, 1 << 40, (1 << 40) | 1, 1 << 60 | 1 << 59 | 1 << 58]
+    links = shard_links(codes, 2)
+    assert len(links) == 3  # a spanning forest: {0, 11, 1111}, {1<<40, ..}, alone
+    assert {frozenset(x) for x in links} == {
+        frozenset((0b0, 0b11)), frozenset((0b11, 0b1111)), frozenset((1 << 40, (1 << 40) | 1))}
+
+
+# ---- line dedup
+@settings(max_examples=30, deadline=None)
+@given(st.sets(st.tuples(st.integers(-2**63, 2**63 - 1), st.integers(-2**63, 2**63 - 1)),
+               min_size=1, max_size=400), st.randoms())
+def test_cuckoo_filter_insert_and_delete(keys, rng):
+    keys = sorted(keys)
+    made = CuckooFilter.of_keys(*(np.array(x, np.int64) for x in zip(*keys)))
+    again = CuckooFilter.of_bytes(made.cells.tobytes())
+    assert again.contains(*map(list, zip(*keys))).all()
+    gone = set(rng.sample(keys, len(keys) // 2))
+    for k in gone:
+        assert again.delete(*k)
+    left = [k for k in keys if k not in gone]
+    if left:
+        assert again.contains(*map(list, zip(*left))).all()
+    assert int((again.cells > 0).sum()) == len(left)
+    for k in gone:
+        assert again.insert(*k)
+    assert again.contains(*map(list, zip(*keys))).all()
+
+
+def test_cuckoo_filter_rarely_holds_others():
+    rng = np.random.default_rng(3)
+    keys, others = (rng.integers(-2**63, 2**63 - 1, (2, 20000)) for _ in range(2))
+    made = CuckooFilter.of_keys(*keys)
+    assert made.contains(*keys).all()
+    assert made.contains(*others).mean() < 0.002
+
+
+# ---- decontamination
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=9), max_size=5),
+       st.lists(st.sampled_from("abcd"), max_size=60), st.integers(1, 5))
+def test_wu_manber_equals_brute_force(items, text, window):
+    table = [(i, " ".join(x).encode()) for i, x in enumerate(items)]
+    hits, ids = set(), set()
+    for t in tables_of(table, window):
+        for at, found in t.search([w.encode() for w in text]):
+            hits.update(range(at, at + t.length))
+            ids |= found
+    want = brute.contamination([(0, " ".join(text))], [(i, x.decode()) for i, x in table], window)[0]
+    assert (len(hits), len(ids)) == want[2:4]
+    spans = merged([(h, h + 1) for h in hits])
+    assert {i for a, b in spans for i in range(a, b)} == hits
+
+
+def test_wu_manber_jumps_over_foreign_blocks():
+    table = WuManber(10)
+    table.add(tuple(f"w{i}".encode() for i in range(10)), 1)
+    looked = []
+
+    class Spy(dict):
+        def get(self, key, default=None):
+            looked.append(key)
+            return dict.get(self, key, default)
+
+    table.shift = Spy(table.shift)
+    assert not list(table.search([b"x"] * 1000))
+    assert len(looked) <= 1000 // 9 + 1
+
+
+def test_item_words_follow_the_contract():
+    text = "A\x00b-C9_d{é}日本\x7f x\u0085y z  q"
+    assert [w.decode() for w in item_words(text.encode())] == brute.ITEM_WORD.findall(
+        text.translate(brute.LOWER))
+
+
+# ---- BPE
+@pytest.fixture(scope="module")
+def monoid():
+    return Monoid(parse_ranks(read_ranks(public_tokenizers.path(Q.VOCABULARY))))
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    return brute.tokenizer(public_tokenizers.path(Q.VOCABULARY), public_tokenizers.PATTERN)
+
+
+@settings(max_examples=300, deadline=None)
+@given(piece=st.one_of(
+    st.binary(min_size=1, max_size=300),
+    st.text(st.sampled_from("abe tion'é日x"), min_size=1, max_size=400).map(str.encode),
+    st.tuples(st.sampled_from([b"a", b"ab", b" ", b"=", b"the", b"\xe3\x81"]),
+              st.integers(1, 300)).map(lambda x: x[0] * x[1])))
+def test_tree_reduction_equals_the_tokenizer(monoid, encoding, piece):
+    assert monoid.encode(piece) == encoding._encode_single_piece(piece)
+    assert monoid.decode(monoid.encode(piece)) == piece
+
+
+def test_join_is_associative_with_identity(monoid):
+    a, b, c = (monoid.encode(x) for x in (b"internat", b"ionalisa", b"tions"))
+    assert monoid.join(monoid.join(a, b), c) == monoid.join(a, monoid.join(b, c))
+    assert monoid.join([], a) == a == monoid.join(a, [])
+    assert monoid.decode([]) == b""
+
+
+# ---- HTML
+def _tree(source):
+    page = Page(source)
+    return Tree(page.compact(page.zones())[0])
+
+
+def _text(source):
+    page = Page(source)
+    return page.text(page.zones(), set())
+
+
+@pytest.mark.parametrize(("source", "want"), [
+    ("", ""), ("plain  text\n here", "plain text here"),
+    ("<p>a<p>b <b>c</b>d<br>e", "a\nb cd e"),
+    ("<article><h1>T&eacute;&amp;&#x41;</h1><p> x \n y </p></article><footer>f</footer>", "Té&A\nx y"),
+    ("<script>var t='</p>'; a<b</script><p>ok<!-- <p>no --></p><style>p{}</style>", "ok"),
+    ("<title>t</title><nav>menu</nav><div class='ad'>buy</div><main><p>in</main><p>out", "in"),
+    ("<div id=cookie-notice>c</div><p>text</p><form>f<input></form><aside>s</aside>", "text"),
+    ("<article><p>a</p><section class='comments'><p>no</p></section><p>b</p></article>", "a\nb"),
+    ("<header>site</header><article><header><h1>head</h1></header>x</article>", "head\nx"),
+    ("<ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table>", "one\ntwo\nc1\nc2"),
+    ("<p>1 < 2 & 3 > 2</p>", "1 < 2 & 3 > 2"), ("<p>open <!-- never closed", "open"),
+    ("a<script>unclosed <p>b", "a"), ("<p title='a>b'>q</p>", "q"),
+    ("<body class='has-sidebar'><p>kept</p></body>", "kept"),
+    ("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>after", "deep\nafter"),
+])
+def test_page_text(source, want):
+    assert _text(source) == want
+
+
+def test_tree_matching_aligns_equal_texts_in_order():
+    a = _tree("<div><p>x</p><p>y</p></div>")
+    b = _tree("<div><p>new</p><p>x</p><h2>t</h2><p>y</p></div>")
+    same = [(a.hashes[i], b.hashes[j]) for i, j in simple_tree_matching(a, b) if a.hashes[i]]
+    assert len(same) == 2 and all(x == y for x, y in same)
+
+
+def test_copies_do_not_vote():
+    page = "<article><p>{}</p><p>{}</p></article><div>{}</div>"
+    one = _tree(page.format("long text " * 9, "b", "ad 1"))
+    assert page_votes(one, _tree(page.format("long text " * 9, "b", "ad 2"))) == []
+    votes = page_votes(one, _tree(page.format("other text here", "c", "ad 1")))
+    assert Counter(e for _, e in votes) == {True: 1, False: 2}
+
+
+def test_compact_layout_is_fixed():
+    assert np.dtype(COMPACT).itemsize == 15
+
+
+# ---- classifiers
+def test_factorisation_identity():
+    model = FactorisationMachine()
+    rng = np.random.default_rng(0)
+    ids, x = rng.choice(1000, 12, replace=False), rng.random(12).astype(np.float32)
+    model.factors[ids] = rng.normal(0, 1, (12, model.factors.shape[1]))
+    v = model.factors[ids]
+    pairs = sum(float(v[i] @ v[j] * x[i] * x[j]) for i in range(12) for j in range(i))
+    assert abs(model.logit(ids, x) - pairs) < 1e-3
+
+
+# ---- quality rules
+def test_em_estimates_rules_and_rejects_single_defects():
+    n = len(RULES)
+    good = tuple([1] * n)
+    patterns = [(good, 8000), (tuple([0] + [1] * (n - 1)), 500)]
+    patterns += [(tuple(-1 if i == k else 1 for i in range(n)), 300) for k in range(n)]
+    patterns += [(tuple(-1 if i < 2 else 1 for i in range(n)), 200)]
+    model = fit_rules(patterns)
+    assert model.posterior(good) > 0.9
+    assert all(model.posterior(b) < 0.5 for b, _ in patterns[2:])
+    assert 0.7 < model.prior < 0.95
+
+
+def test_em_with_clean_or_no_documents():
+    n = len(RULES)
+    assert fit_rules([(tuple([1] * n), 10)]).posterior([1] * n) > 0.5
+    assert fit_rules([]).prior == 0.5
+
+
+# ---- sharding
+def test_lookup_table_is_balanced_and_stable():
+    names = [f"s{i}" for i in range(50)]
+    table = lookup_table(names, 10007)
+    share = Counter(table)
+    assert set(share) == set(names) and max(share.values()) - min(share.values()) <= 1
+    assert lookup_table(names[::-1] + names, 10007) == table
+    fewer = lookup_table(names[:-1], 10007)
+    moved = sum(a != b for a, b in zip(table, fewer))
+    assert moved < 3 * 10007 / 50
+    for bad in (([], 7), (names, 10), (names, 47)):
+        with pytest.raises(ValueError):
+            lookup_table(*bad)
+
+
+# ---- licences
+def test_templates_match_themselves_and_close_variants():
+    known = TemplateSet(TEMPLATES, 0.8)
+    for name, texts in TEMPLATES.items():
+        for text in texts:
+            assert known.best(item_words(text.upper().encode()))[1] == name
+    mit = TEMPLATES["MIT"][1].replace("Software", "Program", 1)
+    hits = known.scan(f"intro line\n\n{mit}\n\nunrelated words here".encode())
+    assert [(h[0], h[2]) for h in hits] == [(2, "MIT")] and 0.9 < hits[0][3] < 1
+
+
+def test_licence_scan_equals_all_pairs():
+    rng = random.Random(4)
+    words = [w.decode() for t in TEMPLATES.values() for x in t for w in item_words(x.encode())]
+    known = TemplateSet(TEMPLATES, 0.6)
+    for _ in range(300):
+        base = rng.choice(rng.choice(list(TEMPLATES.values()))).split()
+        text = [w if rng.random() > 0.15 else rng.choice(words) for w in base]
+        got = known.best(item_words(" ".join(text).encode()))
+        scores = []
+        for name, texts in TEMPLATES.items():
+            for t in texts:
+                a, b = (item_words(" ".join(x).encode()) for x in (text, t.split()))
+                ca, cb = Counter(zip(a, a[1:])), Counter(zip(b, b[1:]))
+                scores.append((2 * (ca & cb).total() / max(1, ca.total() + cb.total()), name))
+        best = min(scores, key=lambda x: (-x[0], x[1]))
+        assert got == (best if best[0] >= 0.6 else None)
