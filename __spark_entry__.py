@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import timedelta
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,18 +25,18 @@ from gridtally.functions.columns import (  # noqa: E402
     cast_all_except, clock_decimal_hours, clock_minutes, clock_to_timestamp, env_tag,
 )
 from gridtally.functions.dates import day_str, trailing_days, weekly_window  # noqa: E402
-from gridtally.functions.grid import coarsen, with_mgrs  # noqa: E402
+from gridtally.functions.grid import coarsen, mgrs, with_mgrs  # noqa: E402
 from gridtally.operators.bursts import access_bursts, burst_witnesses  # noqa: E402
 from gridtally.operators.cover import coverage, coverage_all, topn_with_others  # noqa: E402
 from gridtally.operators.kpi import grid_kpi  # noqa: E402
 from gridtally.operators.quality import (  # noqa: E402
-    day_gaps, freshness, profile, reconcile, sample_by_hash,
+    day_gaps, dedup_keys, freshness, profile, reconcile, sample_by_hash,
 )
 from gridtally.operators.text import corpus_token_counts, doc_token_counts  # noqa: E402
 from gridtally.plans.session import staging_path  # noqa: E402
 from gridtally.sources.alerts import ALERT_FIELDS, read_alerts  # noqa: E402
 from gridtally.sources.calls import calls_from_events  # noqa: E402
-from gridtally.sources.scan import scan_days  # noqa: E402
+from gridtally.sources.scan import day_report, scan_days  # noqa: E402
 from gridtally.sources.sinks import preview, read_csv, write_csv, write_parquet  # noqa: E402
 
 # The training-data operators are an optional subpackage: without its folder and
@@ -92,11 +93,13 @@ def q_nation_top_customers(spark, sf_dir):
     pairs = (per_customer.join(customer, per_customer.o_custkey == customer.c_custkey)
              .join(nation, customer.c_nationkey == nation.n_nationkey)
              .select("n_name", F.col("c_custkey").cast("string").alias("customer"), "cnt"))
-    return topn_with_others(pairs, "n_name", "customer", n=10, shuffle_input=True)
+    # the sum of repeated pairs gives one shuffle that both of its reads share
+    return topn_with_others(pairs, "n_name", "customer", n=10)
 
 
 def q_grid_kpi(spark, sf_dir):
-    return grid_kpi(_calls(spark, sf_dir), precision=3,
+    week = F.to_date("ts").between(*[f"{d[:4]}-{d[4:6]}-{d[6:]}" for d in KPI_WEEK])
+    return grid_kpi(_calls(spark, sf_dir).filter(week), precision=3,
                     start_week=KPI_WEEK[0], end_week=KPI_WEEK[1])
 
 
@@ -144,14 +147,27 @@ def q_date_range_scan(spark, sf_dir):
         "props", "UTC_date")
 
 
-def q_weekly_window_counts(spark, sf_dir):
+def q_missing_day_report(spark, sf_dir):
+    """Which days of the scan list have a folder of events?"""
     ev = _table(spark, sf_dir, "events")
-    daily = ev.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_events"))
+    root = staging_path(spark, "event_days")
+    # only the folders count: one row per day
+    write_csv(ev.select(day_str("ts").alias("UTC_date"), F.lit("x").alias("x")).distinct(), root,
+              partition_by=["UTC_date"])
+    return day_report(spark, root, SCAN_DAYS)
+
+
+def q_weekly_window_counts(spark, sf_dir):
     windows = [(v, weekly_window(AS_OF, v)) for v in ("kpi", "enb", "gnb")]
     windows.append(("trailing_9", trailing_days(AS_OF, 9)))
-    days = daily.sparkSession.range(1).select(F.explode(F.array(*[
+    days = spark.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("window_name"), arr.alias("days")) for name, arr in windows
     ])).alias("w")).select("w.window_name", F.explode("w.days").alias("day"))
+    # the windows' first and last day are constants, which reach the scan
+    bounds = days.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+    ev = _table(spark, sf_dir, "events").filter(
+        (F.col("ts") >= F.lit(bounds.lo)) & (F.col("ts") < F.lit(bounds.hi + timedelta(days=1))))
+    daily = ev.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_events"))
     return (days.join(daily, "day", "left")
             .select("window_name", day_str("day").alias("day"),
                     F.coalesce("n_events", F.lit(0)).alias("n_events")))
@@ -176,14 +192,47 @@ def q_clock_text(spark, sf_dir):
                      clock_to_timestamp(F.to_date("ts"), hhmm).alias("ts_minute"))
 
 
+def q_clock_bad_text(spark, sf_dir):
+    """Clock text with bad values mixed in: only 0000 to 2359 counts."""
+    ev = _table(spark, sf_dir, "events")
+    k = F.col("event_id") % 7
+    text = (F.when(k == 0, "2460").when(k == 1, "549").when(k == 2, "-1-5").when(k == 3, "2400")
+            .when(k == 4, " 930").otherwise(F.date_format("ts", "HHmm")))
+    return ev.select("event_id", text.alias("hhmm"),
+                     clock_minutes(text).alias("minute_of_day"),
+                     clock_decimal_hours(text).alias("decimal_hours"),
+                     clock_to_timestamp(F.to_date("ts"), text).alias("ts_minute"))
+
+
+def q_grid_bad_points(spark, sf_dir):
+    """Grid ids of coordinates that are infinite, huge, NaN or no number."""
+    calls = _calls(spark, sf_dir).select("event_id", "end_latitude", "end_longitude")
+    k = F.col("event_id") % 9
+    lat = F.when(k == 0, "NaN").when(k == 1, "north").otherwise(
+        F.col("end_latitude").cast("string"))
+    lon = (F.when(k == 2, "1e20").when(k == 3, "Infinity").when(k == 4, "-Infinity")
+           .when(k == 5, "180.5").otherwise(F.col("end_longitude").cast("string")))
+    points = calls.select("event_id", lat.alias("lat"), lon.alias("lon"))
+    return with_mgrs(points, "lat", "lon", {"gridid": 3}).select(
+        "event_id", "gridid", mgrs("lat", "lon", 1).alias("coarse"))
+
+
+def q_burst_big_keys(spark, sf_dir):
+    """Bursts of keys above 2^53, some of them NULL."""
+    ev = _table(spark, sf_dir, "events")
+    key = F.when(F.col("user_id") % 10 == 0, None).otherwise(
+        F.lit(9007199254740992).cast("bigint") + F.col("user_id"))
+    return access_bursts(ev.select(key.alias("big_id"), "ts", "event_id"), "big_id", "ts", n=3,
+                         within_seconds=3600, order=["event_id"])
+
+
 def q_id_reconcile(spark, sf_dir):
-    """Customers ordering in 1995 against customers ordering in 1996."""
-    ords = _table(spark, sf_dir, "orders")
-    ids = ords.select(F.year("o_orderdate").alias("y"),
-                      F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("id"))
-    old = ids.filter(F.col("y") == 1995).select("id").distinct()
-    new = ids.filter(F.col("y") == 1996).select("id").distinct()
-    return reconcile(old, new, "id")
+    """Customers against the customers of all orders, duplicates counted."""
+    def ids(table, column):
+        return _table(spark, sf_dir, table).select(
+            F.lpad(F.col(column).cast("string"), 8, "0").alias("id"))
+
+    return reconcile(ids("customer", "c_custkey"), ids("orders", "o_custkey"), "id")
 
 
 def q_freshness_gaps(spark, sf_dir):
@@ -197,12 +246,30 @@ def q_data_freshness(spark, sf_dir):
                      floor_day="2023-01-01", by=["user_id"])
 
 
+def q_stale_sources(spark, sf_dir):
+    """Freshness with a floor after some users' last day: they stay, with NULLs."""
+    ev = _table(spark, sf_dir, "events")
+    early = ev.filter((F.col("user_id") % 3 != 0) | (F.col("ts") < F.lit("2024-01-10")))
+    return freshness(early, F.to_date("ts"), as_of="2024-01-31", delay_days=1,
+                     floor_day="2024-01-15", by=["user_id"])
+
+
+def q_gaps_in_window(spark, sf_dir):
+    """Missing days in a fixed window; users without a row in it miss all days."""
+    ev = _table(spark, sf_dir, "events")
+    early = ev.filter((F.col("user_id") % 3 != 0) | (F.col("ts") < F.lit("2024-01-10")))
+    return day_gaps(early, F.to_date("ts"), by=["user_id"], start="2024-01-12", end="2024-01-25")
+
+
 def q_order_day_gaps(spark, sf_dir):
     return day_gaps(_table(spark, sf_dir, "orders"), F.to_date("o_orderdate"))
 
 
 def q_sample_md5(spark, sf_dir):
-    return sample_by_hash(_table(spark, sf_dir, "events"), ["event_id"], 0.1)
+    """Sample by a key that is NULL on some rows; those are sampled one by one."""
+    ev = _table(spark, sf_dir, "events").withColumn(
+        "group_id", F.when(F.col("event_id") % 5 == 0, None).otherwise(F.col("event_id") % 1000))
+    return sample_by_hash(ev, ["group_id"], 0.1, rows_without_key=["event_id"])
 
 
 def q_table_profile(spark, sf_dir):
@@ -221,9 +288,8 @@ def q_corpus_token_counts(spark, sf_dir):
 
 
 def q_dedup_keys(spark, sf_dir):
-    ev = _table(spark, sf_dir, "events")
-    grouped = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    return grouped.dropDuplicates(["user_id", "event_type"])
+    """The latest event of each user and type."""
+    return dedup_keys(_table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"])
 
 
 COVER_SCHEMA = ("date_td string, cnt bigint, enb string, gridid string, pct double, "
@@ -274,6 +340,16 @@ def q_json_alerts(spark, sf_dir):
     return read_alerts(spark, path)
 
 
+def q_json_alerts_broken(spark, sf_dir):
+    """Alert lines of which some are cut short: their text is kept apart."""
+    path = staging_path(spark, "alerts_broken")
+    lines = alerts_from_calls(_calls(spark, sf_dir)).select(
+        F.to_json(F.struct(*ALERT_FIELDS)).alias("line"))
+    cut = F.pmod(F.length("line"), F.lit(3)) == 0
+    lines.select(F.when(cut, F.substring("line", 1, 40)).otherwise(F.col("line"))).write.text(path)
+    return read_alerts(spark, path, keep_corrupt=True)
+
+
 def q_preview_20(spark, sf_dir):
     return preview(_table(spark, sf_dir, "events"), 20, order_by=["ts", "event_id"])
 
@@ -311,6 +387,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_gzip_round_trip": _csv_round_trip(True),
         "json_alerts": q_json_alerts,
         "preview_20": q_preview_20,
+        "missing_day_report": q_missing_day_report,
+        "clock_bad_text": q_clock_bad_text,
+        "grid_bad_points": q_grid_bad_points,
+        "burst_big_keys": q_burst_big_keys,
+        "stale_sources": q_stale_sources,
+        "gaps_in_window": q_gaps_in_window,
+        "json_alerts_broken": q_json_alerts_broken,
     })
     if llm_queries:
         q.update(llm_queries.queries())

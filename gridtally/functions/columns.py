@@ -25,22 +25,29 @@ def env_tag(indicator, indoor: str = "Indoor", outdoor: str = "Outdoor") -> Colu
     return F.when(c == indoor, F.lit(indoor)).otherwise(F.lit(outdoor))
 
 
+def _clock(hhmm) -> Column:
+    """``HHMM`` text from 0000 to 2359; anything else gives NULL."""
+    c = F.col(hhmm) if isinstance(hhmm, str) else hhmm
+    return F.when(c.rlike("^([01][0-9]|2[0-3])[0-5][0-9]\\z"), c)
+
+
 def clock_minutes(hhmm) -> Column:
     """Minutes after midnight of an ``HHMM`` text (int); bad text gives NULL."""
-    c = F.col(hhmm) if isinstance(hhmm, str) else hhmm
-    return (F.substring(c, 1, 2).try_cast("int") * 60
-            + F.substring(c, 3, 2).try_cast("int"))
+    c = _clock(hhmm)
+    return (F.substring(c, 1, 2).cast("int") * 60 + F.substring(c, 3, 2).cast("int"))
 
 
 def clock_decimal_hours(hhmm) -> Column:
-    """``HH + round(MM / 60, 2)``: the decimal-hours form of ``HHMM`` text."""
-    c = F.col(hhmm) if isinstance(hhmm, str) else hhmm
-    return (F.substring(c, 1, 2).try_cast("int")
-            + F.round(F.substring(c, 3, 2).try_cast("int") / 60.0, 2))
+    """``HH + round(MM / 60, 2)`` of an ``HHMM`` text; bad text gives NULL."""
+    c = _clock(hhmm)
+    return F.substring(c, 1, 2).cast("int") + F.round(F.substring(c, 3, 2).cast("int") / 60.0, 2)
 
 
 def clock_to_timestamp(day, hhmm) -> Column:
-    """Timestamp (without time zone) of ``HHMM`` text on a date column."""
+    """Timestamp (without time zone) of ``HHMM`` text on a date column.
+
+    NULL where the text is bad or the date NULL.
+    """
     d = F.col(day) if isinstance(day, str) else day
     m = clock_minutes(hhmm)
     return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),

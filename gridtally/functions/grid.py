@@ -122,9 +122,13 @@ def _check(precision: int) -> None:
 
 
 def _inputs(lat, lon) -> tuple[Column, Column]:
+    """Coordinates as doubles; both NULL unless both are in range (no NaN, no
+    infinities), so that no later arithmetic can overflow."""
     lat = _c(lat).try_cast("double")
-    lon_raw = _c(lon).try_cast("double")
-    return lat, F.when(lon_raw == 180.0, F.lit(-180.0)).otherwise(lon_raw)
+    lon = _c(lon).try_cast("double")
+    good = lat.between(-80.0, 84.0) & lon.between(-180.0, 180.0)
+    return (F.when(good, lat),
+            F.when(good, F.when(lon == 180.0, F.lit(-180.0)).otherwise(lon)))
 
 
 def located(lat, lon) -> Column:
@@ -133,7 +137,7 @@ def located(lat, lon) -> Column:
     Filter on this rather than on ``gridid IS NOT NULL``: the predicate is
     cheap, reaches the scan, and does not drag the projection into a filter.
     """
-    lat, lon = _inputs(lat, lon)
+    lat, lon = _c(lat).try_cast("double"), _c(lon).try_cast("double")
     return F.coalesce(lat.between(-80.0, 84.0) & lon.between(-180.0, 180.0), F.lit(False))
 
 

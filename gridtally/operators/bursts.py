@@ -9,12 +9,13 @@ Two exact plans; neither sends all rows of a key to one task:
 
 ``method="sorted"`` (default): one global sort on (key, time, tie-break).
 Spark's range partitioner samples the sort keys, so partitions come out
-evenly sized even when one key holds a third of all rows; the sorted rows are
-checkpointed, the first ``n - 1`` rows of every partition are collected (a
-bound of partitions x (n - 1) rows), and one vectorised ``mapInPandas`` pass
-compares each row with the row ``n - 1`` places later, reading into the next
-partition's first rows at the end. Task size is bounded by the partition size,
-whatever the skew.
+evenly sized even when one key holds a third of all rows. The sorted rows are
+checkpointed, so that the partition borders stay, and the first ``n - 1`` rows
+of every partition are added as look-ahead rows to the partitions before it
+(partitions x (n - 1)^2 rows in all). ``lead()`` over (partition, key) then
+sees every following access it needs. Task size is bounded by the partition
+size, whatever the skew. The only broadcast numbers the partitions that have
+rows: one row per partition of the sort.
 
 ``method="buckets"``: built-in window functions only. Rows are split into
 time buckets per key (``bucket_seconds`` long, at least ``within``); each
@@ -26,8 +27,6 @@ time span rather than by size.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,62 +74,23 @@ def _sorted_hits(df: DataFrame, key: str, ts: str, order: list[str], n: int,
     shared_dir(df.sparkSession)  # checkpoint folder
     ranked = df.select(*cols).orderBy(*cols).select(
         "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_pos"))
-    # Freeze the range boundaries: both passes below must see the same split.
+    # Freeze the range boundaries: all reads below must see the same split.
     ranked = ranked.checkpoint(eager=True)
+    # Partitions with rows, numbered without holes: one row per partition.
+    numbered = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_pid", F.row_number().over(Window.orderBy("_pid")).alias("_part"))
+    rows = ranked.join(F.broadcast(numbered), "_pid")
     # monotonically_increasing_id = partition index << 33 | row index in partition
-    heads = (ranked.filter(F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33) < n - 1)
-             .select("_pid", "_pos", *cols).toPandas())
-    heads = heads.sort_values(["_pid", "_pos"], kind="stable")  # Spark's own order
-    # Rows that follow partition p: the next partition's heads, then what
-    # follows that one, cut to n-1 rows. One backward pass over partitions.
-    by_pid = {int(p): g[cols] for p, g in heads.groupby("_pid", sort=True)}
-    ahead, following = {}, heads.iloc[:0][cols]
-    for p in sorted(by_pid, reverse=True):
-        ahead[p] = following
-        following = pd.concat([by_pid[p], following], ignore_index=True).iloc[: n - 1]
-    ahead_b = df.sparkSession.sparkContext.broadcast(ahead)
-    span_ns = int(within_seconds) * 1_000_000_000
-
-    def scan(batches):
-        carry = None
-        pid = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            frame = pdf[cols] if carry is None else pd.concat([carry, pdf[cols]], ignore_index=True)
-            ready = len(frame) - (n - 1)
-            if ready > 0:
-                yield _hits(frame, ready)
-                carry = frame.iloc[ready:].reset_index(drop=True)
-            else:
-                carry = frame
-        if carry is not None and len(carry):
-            tail = pd.concat([carry, ahead_b.value.get(pid, carry.iloc[:0])], ignore_index=True)
-            yield _hits(tail, len(carry))
-
-    def _hits(frame, upto):
-        k = frame[key].to_numpy()
-        t = frame[ts].to_numpy().astype("datetime64[ns]").astype(np.int64)
-        m = len(frame)
-        idx = np.arange(upto)
-        far = idx + (n - 1)
-        ok = far < m
-        far = np.minimum(far, m - 1)
-        ki, kf = pd.Series(k[idx]), pd.Series(k[far])
-        # NULL keys form one group, as in a window's PARTITION BY
-        same = (ki.eq(kf) | (ki.isna() & kf.isna())).to_numpy() & ok
-        ts_ok = frame[ts].notna().to_numpy()  # a NULL time never starts or ends a burst
-        hit = same & ts_ok[idx] & ts_ok[far] & (t[far] < t[idx] + span_ns)
-        out = frame.iloc[idx[hit]][cols].reset_index(drop=True)
-        for j in range(1, n):
-            nxt = np.minimum(idx[hit] + j, m - 1)
-            out[f"_next_{j}"] = frame[ts].to_numpy()[nxt]
-        return out
-
-    schema = T.StructType([ranked.schema[c] for c in cols] + [
-        T.StructField(f"_next_{j}", ranked.schema[ts].dataType, True) for j in range(1, n)])
-    return ranked.select(*cols, "_pid").mapInPandas(scan, schema)
+    is_head = F.col("_pos") - F.shiftleft(F.col("_pid").cast("bigint"), 33) < n - 1
+    # Every partition before it has at least one row, so n - 1 of them suffice.
+    ahead = rows.filter(is_head).select(
+        *cols, "_pos", F.explode(F.sequence(F.col("_part") - (n - 1), F.col("_part") - 1))
+        .alias("_part"), F.lit(False).alias("_own"))
+    seen = rows.select(*cols, "_pos", "_part", F.lit(True).alias("_own")).unionByName(ahead)
+    w = Window.partitionBy("_part", key).orderBy("_pos")
+    nxt = seen.select("*", *[F.lead(ts, k).over(w).alias(f"_next_{k}") for k in range(1, n)])
+    return nxt.filter("_own").filter(
+        F.col(f"_next_{n - 1}") < F.col(ts) + F.expr(f"INTERVAL {within_seconds} SECONDS"))
 
 
 def _hits_for(df, key, ts, order, n, within_seconds, bucket_seconds, method):

@@ -12,21 +12,18 @@ Plan shape, chosen so that no group -- however hot -- has to sit in one task:
 2. Coarser resolutions re-aggregate these pair counts (``rollup_pairs``, or
    ``rank_resolutions`` for all levels in one pass) instead of re-reading
    raw rows.
-3. Per group: ``total`` by ``groupBy`` (partial aggregation again); the top
-   ``n`` by ``row_number() <= n``, which Spark plans as a map-side
-   ``WindowGroupLimit`` so at most ``n`` rows per group per map task are
-   shuffled; the ``others`` row by a join of the pair counts with a one-row-
-   per-group threshold (the n-th ranked id), followed by a partial
-   aggregation. AQE splits that join's skewed partitions, and converts it to a
-   broadcast join only when the threshold side is measured small at runtime.
-
-All per-group steps partition on the same key columns (a value and an
-is-null flag per group column), so the top rows meet their totals without
-another exchange.
-
-Shares are computed in integer hundredths of a percent, rounded half up
-exactly; the ``others`` share is the sum of the per-id rounded shares, as in
-the original job, but without floating-point noise.
+3. The pairs are read twice. Once for the top ``n``: ``row_number() <= n``,
+   which Spark plans as a map-side ``WindowGroupLimit``, so at most ``n`` rows
+   per group per map task are shuffled. Once for a histogram, (group, count) ->
+   number of ids, by partial aggregation: ids with ``k`` rows fold into one
+   histogram row, and a group of ``r`` rows has at most about ``sqrt(2 r)``
+   different counts. Totals and the sum of all rounded shares come from the
+   histogram; the ``others`` row is what the top rows leave of them. No join
+   or window ever holds a group's ids.
+
+Shares are integer hundredths of a percent, rounded half up by integer division;
+the ``others`` share is the sum of the per-id rounded shares, as in the original
+job, but without floating-point noise.
 """
 
 from __future__ import annotations
@@ -38,7 +35,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtally.functions.grid import coarsen, located, with_mgrs
-from gridtally.plans.session import spread
 
 OTHERS = "others"  # fixed value: label of the folded row
 
@@ -71,95 +67,94 @@ def _null_default_sql(dtype: T.DataType) -> str:
     return f"CAST(0 AS {dtype.simpleString()})"
 
 
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: Spark limits a window's rows map-side up to this rank only
+#: (spark.sql.optimizer.windowGroupLimitThreshold).
+MAX_TOP = 1000
+
+
 def topn_with_others(pairs: DataFrame, group, id_col: str, n: int = 10,
                      count_col: str = "cnt", others_label: str = OTHERS,
-                     shuffle_input: bool = False) -> DataFrame:
+                     unique: bool = False) -> DataFrame:
     """Top ``n`` ids per group by count, plus one ``others`` row per group.
 
-    ``pairs`` has one row per (group, id) with a count; ``group`` is a column
-    name or a list of them. Output columns: the group columns, ``id
-    (string), cnt bigint, pct double, rank int, is_other boolean``. Ties are
-    broken by id ascending with NULL ids last, so results are deterministic;
-    ``rank`` is NULL on the ``others`` row, and ``is_other`` tells it apart
-    from a real id spelt like the label.
-
-    ``pairs`` feeds three branches (totals, top n, others). When it comes from
-    an aggregation its shuffle is reused by all three; when it is the result of
-    joins, ``shuffle_input=True`` adds one shuffle keyed by (group, id) -- unique
-    keys, so no skew -- that the branches reuse, and the joins run once.
+    ``pairs`` has counts per (group, id); ``group`` is a column name or a list
+    of them. Repeated (group, id) rows are summed first; ``unique=True`` says
+    that there are none, as after ``pair_counts``, and saves that shuffle.
+    Output columns: the group columns, ``id (string), cnt bigint, pct double,
+    rank int, is_other boolean``. Ties are broken by id ascending with NULL ids
+    last, so results are deterministic; ``rank`` is NULL on the ``others`` row,
+    and ``is_other`` tells it apart from a real id spelt like the label.
+    ``n`` is at most ``MAX_TOP``: beyond it Spark would sort whole groups.
 
     Written as one SQL statement over the ``pairs`` DataFrame: the CTEs are
     inlined by Catalyst into the same plan the DataFrame calls would build,
     with one parse and one analysis. NULL group values are carried as
     (value, is-null) key pairs so that every step can use plain equi-joins.
     """
-    if n < 1:
-        raise ValueError("n must be at least 1")
+    if not 1 <= n <= MAX_TOP:
+        raise ValueError(f"n must be between 1 and {MAX_TOP}")
     groups = [group] if isinstance(group, str) else list(group)
     i, c = _q(id_col), _q(count_col)
     label = others_label.replace("'", "''")
-    if shuffle_input:
-        pairs = pairs.repartition(*groups, id_col)
+    if not unique:
+        pairs = pairs.groupBy(*groups, id_col).agg(F.sum(count_col).alias(count_col))
     keys, key_defs, back = [], [], []
     for k, g in enumerate(groups):
         qg = _q(g)
         default = _null_default_sql(pairs.schema[g].dataType)
-        key_defs.append(f"coalesce({qg}, {default}) AS _g{k}_val, {qg} IS NULL AS _g{k}_null, {qg}")
+        key_defs.append(f"coalesce({qg}, {default}) AS _g{k}_val, {qg} IS NULL AS _g{k}_null")
         keys += [f"_g{k}_val", f"_g{k}_null"]
         back.append(f"CASE WHEN NOT _g{k}_null THEN _g{k}_val END AS {qg}")
     key_list = ", ".join(keys)
 
-    def on(a: str, b: str) -> str:
-        return " AND ".join(f"{a}.{key} = {b}.{key}" for key in keys)
-
     def hund(cnt: str, total: str) -> str:
-        return f"floor(({cnt} * 20000 + {total}) / ({total} * 2))"
+        return f"({cnt} * 20000 + {total}) div ({total} * 2)"
 
-    out_groups = ", ".join(_q(g) for g in groups)
     sql = f"""
     WITH keyed AS (
-      SELECT {", ".join(key_defs)}, CAST({i} AS STRING) AS {i}, CAST({c} AS BIGINT) AS {c}
+      SELECT {", ".join(key_defs)}, CAST({i} AS STRING) AS _id, CAST({c} AS BIGINT) AS _cnt
       FROM {{pairs}}),
+    histogram AS (
+      SELECT {key_list}, _cnt, count(1) AS _ids FROM keyed GROUP BY {key_list}, _cnt),
     totals AS (
-      SELECT {key_list}, sum({c}) AS _total, count(1) AS _n_ids
-      FROM keyed GROUP BY {key_list}),
+      SELECT {key_list}, sum(_cnt * _ids) AS _total, sum(_ids) AS _n_ids,
+             collect_list(struct(_cnt, _ids)) AS _counts
+      FROM histogram GROUP BY {key_list}),
+    shares AS (
+      SELECT {key_list}, _total, _n_ids, aggregate(_counts, 0L, (acc, x) ->
+             acc + x._ids * ({hund("x._cnt", "_total")})) AS _hundredths
+      FROM totals),
     ranked AS (
-      SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY {key_list}
-                                     ORDER BY {c} DESC, {i} ASC NULLS LAST) AS rank
-        FROM keyed)
-      WHERE rank <= {n}),
-    top AS (
-      SELECT r.*, t._total, t._n_ids FROM ranked r JOIN totals t ON {on("r", "t")}),
-    threshold AS (
-      SELECT {key_list}, {c} AS _cnt_n, {i} AS _id_n, _total
-      FROM top WHERE rank = {n} AND _n_ids > {n}),
-    others AS (
-      SELECT {", ".join("k." + key for key in keys)}, sum(k.{c}) AS {c},
-             sum({hund("k." + c, "t._total")}) AS _hundredths
-      FROM keyed k JOIN threshold t ON {on("k", "t")}
-      WHERE k.{c} < t._cnt_n
-         OR (k.{c} = t._cnt_n AND t._id_n IS NOT NULL AND (k.{i} IS NULL OR k.{i} > t._id_n))
-      GROUP BY {", ".join("k." + key for key in keys)})
-    SELECT {out_groups}, {i}, {c}, {hund(c, "_total")} / 100.0D AS pct, rank,
-           false AS is_other
-    FROM top
-    UNION ALL
-    SELECT {", ".join(back)}, '{label}' AS {i}, {c},
-           _hundredths / 100.0D AS pct, CAST(NULL AS INT) AS rank, true AS is_other
-    FROM others
+      SELECT {key_list}, _id, _cnt, row_number() OVER (
+        PARTITION BY {key_list} ORDER BY _cnt DESC, _id ASC NULLS LAST) AS _rank
+      FROM keyed),
+    tops AS (
+      SELECT {key_list}, collect_list(struct(_rank, _id, _cnt)) AS _top,
+             sum(_cnt) AS _top_cnt
+      FROM ranked WHERE _rank <= {n} GROUP BY {key_list}),
+    lists AS (
+      SELECT {key_list}, _total, _n_ids, _hundredths, _top_cnt,
+             transform(_top, x -> struct(x._id AS id, x._cnt AS cnt,
+               {hund("x._cnt", "_total")} AS hundredths, x._rank AS rank,
+               false AS is_other)) AS _rows
+      FROM tops JOIN shares USING ({key_list})),
+    flat AS (
+      SELECT {key_list}, explode(concat(_rows, CASE WHEN _n_ids > {n} THEN array(struct(
+        '{label}' AS id, _total - _top_cnt AS cnt,
+        _hundredths - aggregate(_rows, 0L, (acc, x) -> acc + x.hundredths) AS hundredths,
+        CAST(NULL AS INT) AS rank, true AS is_other)) ELSE array() END)) AS r
+      FROM lists)
+    SELECT {", ".join(back)}, r.id AS {i}, r.cnt AS {c}, r.hundredths / 100.0D AS pct,
+           r.rank AS rank, r.is_other AS is_other
+    FROM flat
     """
     return pairs.sparkSession.sql(sql, pairs=pairs)
 
 
-
-
 def grid_pairs(calls: DataFrame, id_col: str, precision: int = 3,
                keep_unlocated: bool = True, lat: str = "end_latitude",
                lon: str = "end_longitude") -> DataFrame:
@@ -168,7 +163,7 @@ def grid_pairs(calls: DataFrame, id_col: str, precision: int = 3,
     ``keep_unlocated=False`` drops rows without a grid id first, with a cheap
     range test on the coordinates rather than a filter on the grid id.
     """
-    points = spread(calls.select(id_col, lat, lon))
+    points = calls.select(id_col, lat, lon)
     if not keep_unlocated:
         points = points.filter(located(lat, lon))
     gridded = with_mgrs(points, lat, lon, {"gridid": precision}).select(id_col, "gridid")
@@ -185,7 +180,7 @@ def coverage_from_pairs(base: DataFrame, id_col: str, base_precision: int,
         raise ValueError(f"resolution {resolution} is finer than the pair counts")
     pairs = base if p == base_precision else rollup_pairs(
         base, "gridid", coarsen(F.col("gridid"), p, base_precision), id_col)
-    ranked = topn_with_others(pairs, "gridid", id_col, n=n)
+    ranked = topn_with_others(pairs, "gridid", id_col, n=n, unique=True)
     return ranked.select(
         F.lit(date_td).cast("string").alias("date_td"),
         F.col("cnt"),
@@ -226,7 +221,7 @@ def rank_resolutions(base: DataFrame, id_col: str, base_precision: int,
     Each pair count at ``base_precision`` is exploded into its (resolution,
     coarse cell) keys, re-aggregated (partial aggregation merges the coarse
     cells map-side), and ranked once with (resolution_m, gridid) as the group:
-    one window, one totals aggregate and one threshold join for all levels.
+    one window and one histogram for all levels.
     """
     for r in resolutions:
         if r not in RESOLUTIONS or RESOLUTIONS[r] > base_precision:
@@ -239,7 +234,7 @@ def rank_resolutions(base: DataFrame, id_col: str, base_precision: int,
              .groupBy(F.col("_lvl.resolution_m").alias("resolution_m"),
                       F.col("_lvl.gridid").alias("gridid"), id_col)
              .agg(F.sum("cnt").alias("cnt")))
-    ranked = topn_with_others(pairs, ["resolution_m", "gridid"], id_col, n=n)
+    ranked = topn_with_others(pairs, ["resolution_m", "gridid"], id_col, n=n, unique=True)
     return ranked.select(
         F.lit(date_td).cast("string").alias("date_td"),
         F.col("cnt"),

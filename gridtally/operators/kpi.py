@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gridtally.functions.columns import env_tag
 from gridtally.functions.grid import with_mgrs
-from gridtally.plans.session import spread
 
 # ---- fixed values: (source column, aggregate, output name) of the KPI table
 KPI_MEASURES = [
@@ -52,9 +51,9 @@ def grid_kpi(calls: DataFrame, precision: int = 3, start_week: str | None = None
     (one aggregation level, about 2 % relative error).
     """
     located = calls.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    tagged = spread(located.select(
+    tagged = located.select(
         env_tag(indicator).alias("env_tag"), subscriber, lat, lon,
-        *sorted({src for src, _, _ in KPI_MEASURES})))
+        *sorted({src for src, _, _ in KPI_MEASURES}))
     gridded = with_mgrs(tagged, lat, lon, {"gridid": precision})
     distinct = (F.count_distinct(subscriber) if exact_distinct
                 else F.approx_count_distinct(subscriber))

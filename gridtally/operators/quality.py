@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.functions.dates import _day
@@ -15,77 +15,97 @@ def reconcile(left: DataFrame, right: DataFrame, col: str,
               labels: tuple[str, str] = ("left_only", "right_only")) -> DataFrame:
     """Multiset difference of two id lists, both ways: ``(col, side)``.
 
-    ``exceptAll`` keeps duplicates (an id twice on the left and once on the
-    right is reported once). It shuffles by id, after a partial count.
+    Duplicates count: an id twice on the left and once on the right is reported
+    once. Left rows weigh +1 and right rows -1; one partial aggregation by id
+    gives both sides in one shuffle, and an id's rows are then repeated by its
+    weight. NULL ids are one id.
     """
-    a = left.select(col)
-    b = right.select(col)
-    return (a.exceptAll(b).withColumn("side", F.lit(labels[0]))
-            .unionByName(b.exceptAll(a).withColumn("side", F.lit(labels[1]))))
+    weighed = left.select(col, F.lit(1).alias("_w")).unionByName(
+        right.select(col, F.lit(-1).alias("_w")))
+    rest = weighed.groupBy(col).agg(F.sum("_w").alias("_w")).filter("_w <> 0")
+    return rest.select(col, F.explode(F.array_repeat(
+        F.when(F.col("_w") > 0, labels[0]).otherwise(labels[1]),
+        F.abs("_w").cast("int"))).alias("side"))
 
 
-def present_days(df: DataFrame, day: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct ``(by..., day)`` with rows (partial aggregation per task)."""
-    return df.select(*by, day.cast("date").alias("day")).distinct()
+def dedup_keys(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the largest ``latest`` columns.
+
+    Ties go to the row whose remaining columns are largest, so the survivor is
+    the same in every run. One aggregation with map-side combine: a hot key
+    sends one row per task. NULL keys are keys of their own.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in latest]
+    plain = [c for c in rest if "map<" not in dict(df.dtypes)[c]]
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]),
+                                          F.struct(*latest, *plain)).alias("_row"))
+    return best.select("_row.*")
 
 
 def freshness(df: DataFrame, day: Column, as_of, delay_days: int = 1,
-              floor_day: str = "2023-01-01", by: Sequence[str] = ()) -> DataFrame:
+              floor_day: str = "2023-01-01", by: Sequence[str] = (),
+              sources: DataFrame | None = None) -> DataFrame:
     """Is the expected day there, and if not, which day is the latest?
 
     Expected day = ``as_of - delay_days``. Per source (``by``): whether rows for
     the expected day exist, the latest day with rows between ``floor_day`` and
-    the expected day, and the lag in days (NULL when nothing since the floor).
+    the expected day, and the lag in days. A source with nothing in between is
+    reported with both NULL. ``sources`` (the ``by`` columns) lists sources that
+    are expected even if they have no row at all. Without ``by`` there is
+    always one row.
     """
     expected = F.date_sub(_day(as_of), delay_days)
-    days = present_days(df, day, by).filter(
-        (F.col("day") >= F.to_date(F.lit(floor_day))) & (F.col("day") <= expected))
-    out = days.groupBy(*by).agg(
-        F.max("day").alias("latest_day"),
-        F.max((F.col("day") == expected).cast("int")).alias("_hit"),
-    )
+    d = day.cast("date")
+    inside = (d >= F.to_date(F.lit(floor_day))) & (d <= expected)
+    out = df.groupBy(*by).agg(
+        F.max(F.when(inside, d)).alias("latest_day"),
+        F.max(F.when(d == expected, True)).alias("_hit"))
+    out = _with_sources(out, by, sources)
     return out.select(
         *by,
         expected.alias("expected_day"),
-        (F.col("_hit") == 1).alias("expected_present"),
+        F.coalesce("_hit", F.lit(False)).alias("expected_present"),
         F.col("latest_day"),
         F.datediff(expected, F.col("latest_day")).alias("lag_days"),
     )
 
 
+def _with_sources(found: DataFrame, by: Sequence[str], sources: DataFrame | None) -> DataFrame:
+    """Adds the listed sources that are not among ``found``."""
+    if sources is None:
+        return found
+    listed = sources.select(*by).distinct().alias("s")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"f.{c}")) for c in by]
+    rest = [c for c in found.columns if c not in by]
+    joined = found.alias("f").join(listed, same, "full")
+    return joined.select(*[F.coalesce(f"f.{c}", f"s.{c}").alias(c) for c in by],
+                         *[f"f.{c}" for c in rest])
+
+
 def day_gaps(df: DataFrame, day: Column, by: Sequence[str] = (),
-             start: str | None = None, end: str | None = None) -> DataFrame:
+             start: str | None = None, end: str | None = None,
+             sources: DataFrame | None = None) -> DataFrame:
     """Missing days per source: ``(by..., missing_day)``.
 
     The calendar per source runs from ``start`` (default: its first day with
-    rows) to ``end`` (default: its last). One scan, no join: the distinct
-    present days of each source are ordered, and each gap between a day and
-    the next present one (or ``end``) is expanded with ``sequence``. The window
-    holds one row per present day of a source, so its size is bounded by the
-    calendar, not by the number of records; without ``by`` all days of the
-    table share one window.
+    rows) to ``end`` (default: its last). With both given, a source without a
+    row in between misses every day, and so does a table without rows if there
+    is no ``by``. ``sources`` lists sources that may have no row at all. One
+    aggregation: a source's set of days is bounded by the calendar, not by the
+    number of records, and combines map-side.
     """
-    days = present_days(df, day, by)
-    lo = F.to_date(F.lit(start)) if start else None
-    hi = F.to_date(F.lit(end)) if end else None
-    if lo is not None:
-        days = days.filter(F.col("day") >= lo)
-    if hi is not None:
-        days = days.filter(F.col("day") <= hi)
-    w = Window.partitionBy(*by).orderBy("day")
-    ordered = days.select(*by, "day", F.lead("day").over(w).alias("_next"),
-                          F.lag("day").over(w).isNull().alias("_first"))
-    after = F.date_add(F.col("day"), 1)
-    upto = F.date_sub(F.col("_next"), 1)
-    if hi is not None:
-        upto = F.coalesce(upto, hi)
-    one_day = F.expr("INTERVAL 1 DAY")
-    gaps = [F.when(after <= upto, F.sequence(after, upto, one_day))]
-    if lo is not None:
-        before = F.date_sub(F.col("day"), 1)
-        gaps.append(F.when(F.col("_first") & (lo <= before), F.sequence(lo, before, one_day)))
-    return ordered.select(*by, F.explode(F.flatten(F.array(*[
-        F.coalesce(g, F.array().cast("array<date>")) for g in gaps]))).alias("missing_day"))
+    d = day.cast("date")
+    lo = F.to_date(F.lit(start)) if start else F.lit(None).cast("date")
+    hi = F.to_date(F.lit(end)) if end else F.lit(None).cast("date")
+    inside = F.coalesce(d >= lo, F.lit(True)) & F.coalesce(d <= hi, F.lit(True))
+    found = df.groupBy(*by).agg(F.collect_set(F.when(inside, d)).alias("_days"),
+                                F.min(d).alias("_first"), F.max(d).alias("_last"))
+    found = _with_sources(found, by, sources)
+    first, last = F.coalesce(lo, F.col("_first")), F.coalesce(hi, F.col("_last"))
+    calendar = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 DAY")))
+    none = F.array().cast("array<date>")
+    return found.select(*by, F.explode(F.array_except(
+        F.coalesce(calendar, none), F.coalesce("_days", none))).alias("missing_day"))
 
 
 def md5_threshold(fraction: float) -> str:
@@ -95,11 +115,28 @@ def md5_threshold(fraction: float) -> str:
     return "%08x" % min(int(fraction * 16 ** 8), 16 ** 8 - 1) if fraction < 1 else "g"
 
 
-def sample_by_hash(df: DataFrame, cols: Sequence[str], fraction: float) -> DataFrame:
-    """Repeatable sample: keep rows whose md5 of the key text falls below
-    ``fraction``. The same keys are kept on every run and in any engine with
-    md5; ``DataFrame.sample`` is the faster, seed-based alternative."""
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+def sample_by_hash(df: DataFrame, cols: Sequence[str], fraction: float,
+                   rows_without_key: Sequence[str] = ()) -> DataFrame:
+    """Repeatable sample: keep rows whose md5 of the key falls below ``fraction``.
+
+    The same keys are kept on every run and in any engine with md5;
+    ``DataFrame.sample`` is the faster, seed-based alternative. A key is the
+    columns' texts, each as ``length:text``, or ``-`` where NULL, so no two
+    keys are spelt alike. Rows whose key columns are all NULL share one key
+    and are kept or dropped together, unless ``rows_without_key`` names other
+    columns that decide for them one by one.
+    """
+    def spelt(names: Sequence[str]) -> Column:
+        texts = [F.col(c).cast("string") for c in names]
+        return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t),
+                                     F.lit("-")) for t in texts])
+
+    key = spelt(cols)
+    if rows_without_key:
+        empty = F.lit(True)
+        for c in cols:
+            empty = empty & F.col(c).isNull()
+        key = F.when(empty, spelt([*cols, *rows_without_key])).otherwise(key)
     return df.filter(F.substring(F.md5(key), 1, 8) < F.lit(md5_threshold(fraction)))
 
 

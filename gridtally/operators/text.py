@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.functions.columns import whitespace_tokens
-from gridtally.plans.session import spread
 
 
 def doc_token_counts(docs: DataFrame, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``(id, n_tokens, n_distinct_tokens)`` per document, whole text."""
     toks = whitespace_tokens(text_col)
-    return spread(docs.select(id_col, text_col)).select(
+    return docs.select(
         id_col,
         F.size(toks).cast("bigint").alias("n_tokens"),
         F.size(F.array_distinct(toks)).cast("bigint").alias("n_distinct_tokens"),
@@ -24,6 +23,5 @@ def corpus_token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(token, n)`` over all documents. Tokens are exploded in place and
     counted with partial aggregation, so frequent tokens are combined per
     task before the shuffle."""
-    return (spread(docs.select(text_col))
-            .select(F.explode(whitespace_tokens(text_col)).alias("token"))
+    return (docs.select(F.explode(whitespace_tokens(text_col)).alias("token"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("n")))

@@ -18,11 +18,14 @@ from gridtally.operators.cover import RESOLUTIONS, grid_pairs, rank_resolutions
 from gridtally.operators.kpi import grid_kpi
 from gridtally.plans.session import shared_dir
 from gridtally.sources.calls import DATE_COLUMNS, STRING_COLUMNS
-from gridtally.sources.scan import DAY_PARTITION, scan_days
+from gridtally.sources.scan import DAY_PARTITION, missing_days, scan_days
 from gridtally.sources.sinks import write_csv, write_parquet
 
 ID_COLUMN = {"enb": "current_enodeb_id", "gnb": "serving_nr_cell_id"}
 
+# ---- fixed values: output files per resolution (metres)
+DEFAULT_FILES = {"enb": {100: 200, 1000: 20, 10000: 2}, "gnb": {100: 500, 1000: 50, 10000: 5}}
+
 
 def days_between(start: str, end: str) -> list[str]:
     """``yyyyMMdd`` days from start to end inclusive."""
@@ -43,21 +46,41 @@ def job_days(as_of: str, variant: str, trailing: int | None = None) -> tuple[str
 
 def _sampled(calls: DataFrame, fraction: float | None, key: str) -> DataFrame:
     # Whole subscribers are kept or dropped, so distinct counts stay meaningful
-    # and the same rows are picked on every run.
-    return calls if fraction is None else sample_by_hash(calls, [key], fraction)
+    # and the same rows are picked on every run. Rows without subscriber are
+    # sampled one by one.
+    if fraction is None:
+        return calls
+    others = [c for c in calls.columns if c != key]
+    return sample_by_hash(calls, [key], fraction, rows_without_key=others)
+
+
+def window_days(spark: SparkSession, root: str, start: str, end: str,
+                allow_missing: bool) -> tuple[list[str], list[str]]:
+    """The window's days that exist and those that do not.
+
+    Fails if none exists, so that old output is never replaced by nothing, and
+    if one is missing unless ``allow_missing``.
+    """
+    days = days_between(start, end)
+    absent = missing_days(spark, root, days)
+    if absent and (not allow_missing or len(absent) == len(days)):
+        raise FileNotFoundError(f"no data under {root} for {', '.join(absent)}")
+    return [d for d in days if d not in absent], absent
 
 
 def kpi_job(spark: SparkSession, root: str, as_of: str, out: str,
             files: int | None = None, exact_distinct: bool = True,
-            by_name: bool = False, trailing: int | None = None,
+            allow_missing: bool = False, trailing: int | None = None,
             sample_fraction: float | None = None) -> DataFrame:
     """Grid KPI table of last Monday-Sunday week (or ``trailing`` days up to
     as_of), written as Parquet. ``sample_fraction`` keeps that share of
-    subscribers. Returns the (lazy) result; the write is the only action.
+    subscribers. Fails, with the old output intact, if a day of the window is
+    missing; ``allow_missing`` accepts that as long as one day is there.
+    Returns the (lazy) result; the write is the only action.
     """
     start, end = job_days(as_of, "kpi", trailing)
-    calls = scan_days(spark, root, days_between(start, end), by_name=by_name)
-    calls = _sampled(calls, sample_fraction, "subscriber_id")
+    days, _ = window_days(spark, root, start, end, allow_missing)
+    calls = _sampled(scan_days(spark, root, days), sample_fraction, "subscriber_id")
     typed = cast_all_except(calls, [*STRING_COLUMNS, *DATE_COLUMNS, DAY_PARTITION])
     kpi = grid_kpi(typed, start_week=start, end_week=end, exact_distinct=exact_distinct)
     write_parquet(kpi, out, files=files)
@@ -68,7 +91,7 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
                  kind: str = "enb", resolutions: Sequence[int] = (100, 1000, 10000),
                  n: int = 10, files: dict[int, int] | None = None, gzip: bool | None = None,
                  stamp: str | None = None, keep_unlocated: bool = True,
-                 by_name: bool = False, trailing: int | None = None,
+                 allow_missing: bool = False, trailing: int | None = None,
                  sample_fraction: float | None = None,
                  sort_within: Sequence[str] = ("gridid", "is_other", "rank"),
                  keep_going: bool = False, reference_layout: bool = False) -> dict[int, str]:
@@ -85,14 +108,17 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     failed resolution does not stop the others; the first error is raised
     after all were attempted. ``reference_layout`` writes only the original
     five columns (``date_td, cnt, <kind>, gridid, pct``) for readers of the
-    old files. Returns the output paths.
+    old files. ``files`` defaults to the original jobs' file counts
+    (``DEFAULT_FILES``); missing days are handled as in ``kpi_job``. Returns
+    the output paths.
     """
     start, end = job_days(as_of, kind, trailing)
     stamp = stamp or (start if kind == "enb" else end)
     gzip = (kind == "enb") if gzip is None else gzip
     id_col = ID_COLUMN[kind]
-    calls = scan_days(spark, root, days_between(start, end), by_name=by_name)
-    calls = _sampled(calls, sample_fraction, "subscriber_id")
+    days, _ = window_days(spark, root, start, end, allow_missing)
+    calls = _sampled(scan_days(spark, root, days), sample_fraction, "subscriber_id")
+    files = DEFAULT_FILES[kind] if files is None else files
     finest = max(RESOLUTIONS[r] for r in resolutions)
     shared_dir(spark)  # make sure a checkpoint folder is set
     base = grid_pairs(calls, id_col, finest, keep_unlocated).checkpoint(eager=True)
@@ -103,7 +129,7 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
         path = f"{out_root.rstrip('/')}/{kind}_cover_{r}"
         try:
             df = ranked.filter(F.col("resolution_m") == r).drop("resolution_m")
-            n_files = (files or {}).get(r)
+            n_files = files.get(r)
             if reference_layout:
                 # shape and order the files first, then keep the five columns
                 df = df.repartition(n_files) if n_files else df

@@ -5,7 +5,6 @@ Library code never picks a master; callers (spark-submit, tests, bench) do.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,13 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # These jobs never join a partitioned fact table to a filtered dimension,
-    # so dynamic partition pruning and runtime bloom filters never apply. Both
-    # rules still trace every join key's lineage down to the scan, through the
-    # grid-id projection, and that costs seconds of planning per query
-    # (measured: 4.0 s -> 0.24 s for one coverage resolution).
-    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "false",
 }
 
 
@@ -42,24 +34,26 @@ def builder(app_name: str = "gridtally", shuffle_partitions: int | None = None,
     return b
 
 
-def sizing_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,
-                shuffle_ratio: int = 32, max_partitions: int = 32768) -> dict:
+def sizing_conf(input_bytes: int, cores: int, shuffle_share: float = 1.0,
+                target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan sizes for ``input_bytes`` of raw text on ``cores`` cores.
 
-    Scan splits are ``target_partition_bytes``. The jobs shuffle narrow
-    projections or partial aggregates -- about ``1/shuffle_ratio`` of the raw
-    CSV -- so the initial shuffle width is that volume over the target size,
-    at least two waves of tasks and at most ``max_partitions`` (map-output
-    metadata on the driver grows with maps x reducers). AQE then coalesces to
-    the advisory size, and splits partitions above twice it in skewed joins.
+    Scan splits are ``target_partition_bytes``, smaller where the input would
+    otherwise give fewer than two splits per core. ``shuffle_share`` is the
+    job's shuffled volume over its raw input: the caller's estimate, 1.0 (all
+    of it) unless measured. The initial shuffle width is that volume over the
+    target size, at least two waves of tasks; AQE coalesces from there, and
+    splits partitions above twice the target in skewed joins. Map-output
+    metadata on the driver grows with maps x reducers: beyond some 10^5
+    partitions raise ``target_partition_bytes``.
     """
-    shuffle_bytes = input_bytes // shuffle_ratio
-    width = min(max(2 * cores, -(-shuffle_bytes // target_partition_bytes)), max_partitions)
+    split = max(1 << 20, min(target_partition_bytes, -(-input_bytes // (2 * cores))))
+    width = max(2 * cores, -(-int(input_bytes * shuffle_share) // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
     }
 
@@ -71,43 +65,20 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` when it has fewer partitions than the cluster has cores.
-
-    For CPU-heavy per-row work on inputs read as a few large splits (a single
-    Parquet row group is one task). A big input already has many partitions,
-    so this is a no-op at scale and adds no shuffle there. Only narrow plans
-    (scans, filters, projections) are measured: counting their partitions
-    lists file splits and runs nothing, while a plan with a shuffle is left
-    as it is (its width is already the shuffle's).
-    """
-    plan = df._jdf.queryExecution().executedPlan()
-    if "Exchange" in plan.toString() or plan.nodeName() == "AdaptiveSparkPlan":
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir`` (or an already-set checkpoint dir). Only
-    when neither is set on a local master -- tests and local runs -- a folder
-    is created here; on a cluster a machine-local folder would not be shared
-    by the executors, so the setting is required.
+    It is ``spark.checkpoint.dir``, or a checkpoint folder set before; where
+    neither is set, a folder in the session's warehouse, which driver and
+    executors share too. Never a machine-local temporary folder.
     """
     sc = spark.sparkContext
+    held = sc._jsc.sc().getCheckpointDir()
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = sc._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
-                               "(e.g. on HDFS or object storage)")
-        d = tempfile.mkdtemp(prefix="gridtally-")
-        sc.setCheckpointDir(d)
-    elif sc._jsc.sc().getCheckpointDir().isEmpty():
+        d = held.get() if held.isDefined() else (
+            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_gridtally")
+    if held.isEmpty():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 

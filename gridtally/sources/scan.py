@@ -1,14 +1,18 @@
 """Day-partitioned CSV scans of call records.
 
-Layout: ``<root>/UTC_date=<yyyyMMdd>/`` (possibly with ``UTC_hour=`` below),
-headered CSV, all text. ``scan_days`` reads a list of days in ONE scan with
-``basePath`` so ``UTC_date`` becomes a column; days without a folder are
-skipped (and can be listed with ``missing_days``) instead of failing.
+Layout: ``<root>/UTC_date=<yyyyMMdd>/`` (on some days with ``UTC_hour=`` folders
+below), headered CSV, all text. Files are taken by their own header: the first
+line of every file is read on the driver (metadata only), files are grouped by
+header and folder depth, and each group is one scan, so columns are never mixed
+up, whether headers differ between days, between hours or between files. A
+source whose layout never changes is one scan.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +32,13 @@ def day_path(root: str, day: str) -> str:
     return f"{root.rstrip('/')}/{DAY_PARTITION}={day}"
 
 
+def _filesystem(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = _filesystem(spark, path)
     return fs.exists(p)
 
 
@@ -40,51 +47,92 @@ def missing_days(spark: SparkSession, root: str, days: Iterable[str]) -> list[st
     return [d for d in days if not _exists(spark, day_path(root, d))]
 
 
-def read_day(spark: SparkSession, root: str, day: str,
-             columns: Sequence[str] = CALL_COLUMNS) -> DataFrame:
-    """One day's headered CSV, text columns taken by header name."""
-    raw = (spark.read.option("header", True).option("basePath", root)
-           .csv(day_path(root, day)))
-    have = set(raw.columns)
-    return raw.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c)
-                        for c in columns], F.col(DAY_PARTITION).cast("string"))
+def day_report(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
+    """``(day, present, latest_day)`` for each listed day.
+
+    ``latest_day`` is the last present day of the list up to that day, NULL if
+    there is none.
+    """
+    days = sorted(set(days))
+    absent, rows, latest = set(missing_days(spark, root, days)), [], None
+    for d in days:
+        latest = latest if d in absent else d
+        rows.append((d, d not in absent, latest))
+    return spark.createDataFrame(rows, "day string, present boolean, latest_day string")
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """Data files below a folder; hidden and empty ones are left out."""
+    p, fs = _filesystem(spark, folder)
+    found, listing = [], fs.listFiles(p, True)
+    while listing.hasNext():
+        status = listing.next()
+        below = status.getPath().toString()[len(fs.makeQualified(p).toString()):]
+        if status.getLen() and not any(x[:1] in ("_", ".") for x in below.split("/") if x):
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """A CSV file's column names, from its first line."""
+    jvm = spark.sparkContext._jvm
+    p, fs = _filesystem(spark, path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    stream = fs.open(p)
+    stream = codec.createInputStream(stream) if codec is not None else stream
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
 
 
 def scan_days(spark: SparkSession, root: str, days: Iterable[str],
-              columns: Sequence[str] = CALL_COLUMNS, by_name: bool = False) -> DataFrame:
+              columns: Sequence[str] = CALL_COLUMNS) -> DataFrame:
     """Rows of the listed days, all text, plus ``UTC_date``.
 
-    Default: one scan over the days that exist, with the declared text schema;
-    ``enforceSchema=false`` makes Spark check every file's header against it,
-    so a file with reordered columns fails loudly instead of mixing values.
-    ``by_name=True`` reads each day with its own header and unions by name
-    (missing columns become NULL) for sources whose layout changes over time.
+    Columns are found by header name; a column that a file does not have is NULL
+    there, and columns that were not asked for are ignored. ``UTC_hour=``
+    folders are read and need not exist on every day. Days without a folder
+    give no rows (see ``missing_days``). A column named twice in one header is
+    an error.
     """
-    days = list(days)
-    present = [d for d in days if _exists(spark, day_path(root, d))]
-    if not present:
-        return spark.createDataFrame([], text_schema(columns).add(DAY_PARTITION, T.StringType()))
-    if by_name:
-        out = None
-        for d in present:
-            one = read_day(spark, root, d, columns)
-            out = one if out is None else out.unionByName(one)
-        return out
-    schema = text_schema(columns).add(DAY_PARTITION, T.StringType())
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("basePath", root)
-            .csv([day_path(root, d) for d in present]))
+    root = root.rstrip("/")
+    files = [f for d in days if _exists(spark, day_path(root, d))
+             for f in _files(spark, day_path(root, d))]
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
+    groups: dict[tuple, list[str]] = {}
+    for f, header in zip(files, headers):
+        if len(set(header)) < len(header):
+            raise ValueError(f"{f}: a column is named twice")
+        depth = tuple(x.split("=")[0] for x in f.split("/") if "=" in x)
+        groups.setdefault((header, depth), []).append(f)
+    out = spark.createDataFrame([], text_schema(columns).add(DAY_PARTITION, T.StringType()))
+    for n, ((header, _), members) in enumerate(sorted(groups.items())):
+        raw = (spark.read.schema(text_schema(header)).option("header", True)
+               .option("enforceSchema", False).option("basePath", root).csv(members))
+        one = raw.select(*[F.col(f"`{c}`") if c in header else
+                           F.lit(None).cast("string").alias(c) for c in columns],
+                         F.col(DAY_PARTITION).cast("string"))
+        out = one if n == 0 else out.unionByName(one)
+    return out
+
+
+def read_day(spark: SparkSession, root: str, day: str,
+             columns: Sequence[str] = CALL_COLUMNS) -> DataFrame:
+    """One day's rows, text columns taken by header name."""
+    return scan_days(spark, root, [day], columns)
 
 
 def scan_range(spark: SparkSession, root: str, start: str, end: str,
                columns: Sequence[str] = CALL_COLUMNS) -> DataFrame:
-    """Rows with ``start <= UTC_date <= end`` by partition pruning on ``root``.
-
-    Spark lists the partition folders once and reads only the matching days.
-    """
-    schema = text_schema(columns).add(DAY_PARTITION, T.StringType())
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .csv(root)
-            .filter(F.col(DAY_PARTITION).between(start, end)))
+    """Rows with ``start <= UTC_date <= end``: the root's folder names are listed
+    once, and only the days in range are opened."""
+    p, fs = _filesystem(spark, root)
+    prefix = f"{DAY_PARTITION}="
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    days = sorted(x.removeprefix(prefix) for x in names if x.startswith(prefix))
+    return scan_days(spark, root, [d for d in days if start <= d <= end], columns)

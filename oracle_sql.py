@@ -8,10 +8,45 @@ both engines round alike.
 
 from __future__ import annotations
 
-from gridtally.functions.grid import (
-    ALPHA, COLUMN_LETTERS, DEG, ECC, FALSE_EASTING, FALSE_NORTHING_SOUTH, K0A,
-    LAT_BANDS, ROW_LETTERS_EVEN, ROW_LETTERS_ODD,
-)
+# Literals of its own: nothing is imported from the package under test.
+# ---- fixed values: WGS84, UTM and MGRS constants (NGA.STND.0036, NGA.STND.0037)
+DEG = 0.017453292519943295
+ECC = 0.08181919084262149  # first eccentricity of WGS84
+K0A = 6364902.166165086  # 0.9996 times the rectifying radius of WGS84, metres
+# Krueger coefficients of WGS84 (Karney 2011), to four terms
+ALPHA = (8.377318206245e-04, 7.608527773572e-07, 1.197645503329e-09, 2.429170607201e-12)
+FALSE_EASTING = 500000.0
+FALSE_NORTHING_SOUTH = 10000000.0
+LAT_BANDS = "CDEFGHJKLMNPQRSTUVWXX"
+COLUMN_LETTERS = ("ABCDEFGH", "JKLMNPQR", "STUVWXYZ")
+ROW_LETTERS_ODD = "ABCDEFGHJKLMNPQRSTUV"
+ROW_LETTERS_EVEN = "FGHJKLMNPQRSTUVABCDE"
+# output column -> SQL over the call columns
+KPI = {
+    "rsrp_dbm": "avg(rsrp_dbm)",
+    "rsrq_db": "avg(rsrq_db)",
+    "ul_sinr_db": "avg(ul_sinr_db)",
+    "qci_mean": "avg(qci_mean)",
+    "sum_rlc_pdu_dl_volume_bytes": "sum(rlc_pdu_dl_bytes_count)",
+    "sum_rlc_pdu_ul_volume_bytes": "sum(rlc_pdu_ul_bytes_count)",
+    "rlc_dl_throughput_kbps": "avg(rlc_dl_throughput)",
+    "rlc_ul_throughput_kbps": "avg(rlc_ul_throughput)",
+    "sum_dl_mac_volume_bytes": "sum(dl_mac_volume_bytes)",
+    "sum_ul_mac_volume_bytes": "sum(ul_mac_volume_bytes)",
+    "mac_mean_ul_kbps": "avg(mac_mean_ul_kbps)",
+    "mac_mean_dl_kbps": "avg(mac_mean_dl_kbps)",
+    "drb_mean_pdcp_dl_kbps": "avg(drb_mean_pdcp_dl_kbps)",
+    "drb_mean_pdcp_ul_kbps": "avg(drb_mean_pdcp_ul_kbps)",
+    "sum_dl_pdcp_volume_bytes": "sum(dl_pdcp_volume_bytes)",
+    "sum_pdcp_volume_ul_bytes": "sum(ul_pdcp_volume_bytes)",
+    "sum_rlc_sdu_ul_volume_kbytes": "sum(rlc_sdu_ul_bytes_count)",
+    "sum_rlc_pdu_dl_retransmitted_volume_bytes": "sum(rlc_pdu_dl__retransmitted_bytes_count)",
+    "pusch_sinr_db": "avg(pusch_sinr_db)",
+}
+# the characters that Unicode calls white space, and the separators 1C to 1F
+WHITE = ("[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
+         "\\x{202f}\\x{205f}\\x{3000}]")
+# --------------------------------------------------------------------------------
 
 
 def d(x: float) -> str:
@@ -141,21 +176,16 @@ def coverage_all(id_col: str, id_name: str, date_td: str) -> str:
 
 
 def grid_kpi(week: tuple[str, str]) -> str:
-    from gridtally.operators.kpi import KPI_MEASURES
-
-    aggs = []
-    for src, fn, out in KPI_MEASURES:
-        if fn == "avg":
-            aggs.append(f"avg({src}) AS {out}")
-        else:
-            aggs.append(f"CAST(sum({src}) AS DOUBLE) AS {out}")
+    aggs = [f"{e if e.startswith('avg') else f'CAST({e} AS DOUBLE)'} AS {out}"
+            for out, e in KPI.items()]
     g = mgrs("end_latitude", "end_longitude", 3)
     return f"""
 WITH calls AS ({CALLS}),
 t AS (SELECT *, CASE WHEN indoor_outdoor_indicator_name = 'Indoor' THEN 'Indoor'
                      ELSE 'Outdoor' END AS env_tag,
              {g} AS gridid
-      FROM calls WHERE end_latitude IS NOT NULL AND end_longitude IS NOT NULL)
+      FROM calls WHERE end_latitude IS NOT NULL AND end_longitude IS NOT NULL
+        AND UTC_date BETWEEN '{week[0]}' AND '{week[1]}')
 SELECT gridid, env_tag, {', '.join(aggs)},
        count(DISTINCT subscriber_id) AS unique_imsi_cnt, count(*) AS records_cnt,
        '{week[0]}' AS start_week, '{week[1]}' AS end_week
@@ -163,13 +193,8 @@ FROM t GROUP BY gridid, env_tag
 """
 
 
-def _ws_class() -> str:
-    from gridtally.functions.columns import WHITESPACE_CLASS
-    return WHITESPACE_CLASS.replace("'", "''")
-
-
 def _tokens(text: str) -> str:
-    ws = _ws_class()
+    ws = WHITE
     stripped = f"regexp_replace({text}, '^{ws}+|{ws}+$', '', 'g')"
     return (f"(CASE WHEN {stripped} = '' THEN CAST([] AS VARCHAR[]) "
             f"ELSE string_split_regex({stripped}, '{ws}+') END)")
@@ -177,8 +202,6 @@ def _tokens(text: str) -> str:
 
 def other_queries(as_of: str, scan_days: list[str], kpi_week: tuple[str, str],
                   date_td: str) -> dict[str, str]:
-    from gridtally.operators.quality import md5_threshold
-
     o: dict[str, str] = {}
     nation_pairs = """
 SELECT n_name, CAST(c_custkey AS VARCHAR) AS id, count(*) AS cnt
@@ -241,14 +264,55 @@ SELECT event_id, strftime(ts, '%H%M') AS hhmm,
          + round(CAST(strftime(ts, '%M') AS INTEGER) / 60e0, 2) AS decimal_hours,
        date_trunc('minute', ts) AS ts_minute
 FROM events"""
+    o["clock_bad_text"] = """
+WITH x AS (SELECT event_id, ts, CASE event_id % 7 WHEN 0 THEN '2460' WHEN 1 THEN '549'
+             WHEN 2 THEN '-1-5' WHEN 3 THEN '2400' WHEN 4 THEN ' 930'
+             ELSE strftime(ts, '%H%M') END AS hhmm, event_id % 7 >= 5 AS good FROM events)
+SELECT event_id, hhmm,
+       CASE WHEN good THEN CAST(hour(ts) * 60 + minute(ts) AS INTEGER) END AS minute_of_day,
+       CASE WHEN good THEN hour(ts) + round(minute(ts) / 60e0, 2) END AS decimal_hours,
+       CASE WHEN good THEN date_trunc('minute', ts) END AS ts_minute
+FROM x"""
+    good = "event_id % 9 > 5"
+    o["grid_bad_points"] = (
+        f"WITH calls AS ({CALLS}) SELECT event_id, " + ", ".join(
+            f"CASE WHEN {good} THEN {mgrs('end_latitude', 'end_longitude', p)} END AS {name}"
+            for name, p in (("gridid", 3), ("coarse", 1))) + " FROM calls")
+    o["burst_big_keys"] = """
+WITH k AS (SELECT CASE WHEN user_id % 10 = 0 THEN NULL
+                       ELSE 9007199254740992 + user_id END AS big_id, ts, event_id FROM events),
+x AS (SELECT *, lead(ts, 2) OVER (PARTITION BY big_id ORDER BY ts, event_id) AS ts_3 FROM k)
+SELECT big_id, ts, event_id FROM x WHERE ts_3 < ts + INTERVAL 1 HOUR"""
+    o["missing_day_report"] = f"""
+WITH days AS (SELECT unnest([{', '.join(f"'{x}'" for x in scan_days)}]) AS day),
+have AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS day FROM events)
+SELECT day, day IN (SELECT day FROM have) AS present,
+       (SELECT max(h.day) FROM have h JOIN days d2 ON h.day = d2.day WHERE h.day <= days.day)
+         AS latest_day
+FROM days"""
     o["id_reconcile"] = """
-WITH c AS (SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS id FROM orders
-           WHERE year(o_orderdate) = 1995),
-     r AS (SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS id FROM orders
-           WHERE year(o_orderdate) = 1996)
+WITH c AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS id FROM customer),
+     r AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS id FROM orders)
 SELECT id, 'left_only' AS side FROM (SELECT id FROM c EXCEPT ALL SELECT id FROM r)
 UNION ALL
 SELECT id, 'right_only' AS side FROM (SELECT id FROM r EXCEPT ALL SELECT id FROM c)"""
+    early = """
+early AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events
+          WHERE user_id % 3 <> 0 OR ts < TIMESTAMP '2024-01-10')"""
+    o["stale_sources"] = f"""
+WITH {early},
+x AS (SELECT user_id, CASE WHEN day BETWEEN DATE '2024-01-15' AND DATE '2024-01-30' THEN day END
+        AS day FROM early)
+SELECT user_id, DATE '2024-01-30' AS expected_day,
+       coalesce(bool_or(day = DATE '2024-01-30'), false) AS expected_present,
+       max(day) AS latest_day, CAST(DATE '2024-01-30' - max(day) AS INTEGER) AS lag_days
+FROM x GROUP BY user_id"""
+    o["gaps_in_window"] = f"""
+WITH {early},
+cal AS (SELECT user_id, CAST(x AS DATE) AS day FROM (SELECT DISTINCT user_id FROM early),
+        generate_series(DATE '2024-01-12', DATE '2024-01-25', INTERVAL 1 DAY) t(x))
+SELECT user_id, day AS missing_day FROM cal
+WHERE NOT EXISTS (SELECT 1 FROM early e WHERE e.user_id = cal.user_id AND e.day = cal.day)"""
     o["freshness_gaps"] = """
 WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
 s AS (SELECT user_id, min(day) AS lo, max(day) AS hi FROM d GROUP BY user_id),
@@ -268,9 +332,14 @@ WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
 cal AS (SELECT CAST(x AS DATE) AS day FROM generate_series(
           (SELECT min(day) FROM d), (SELECT max(day) FROM d), INTERVAL 1 DAY) t(x))
 SELECT day AS missing_day FROM cal WHERE day NOT IN (SELECT day FROM d)"""
-    o["sample_md5"] = f"""
-SELECT * FROM events
-WHERE substr(md5(CAST(event_id AS VARCHAR)), 1, 8) < '{md5_threshold(0.1)}'"""
+    o["sample_md5"] = """
+WITH x AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 1000 END AS group_id
+           FROM events),
+k AS (SELECT *, CASE WHEN group_id IS NULL
+             THEN '-' || len(CAST(event_id AS VARCHAR)) || ':' || CAST(event_id AS VARCHAR)
+             ELSE len(CAST(group_id AS VARCHAR)) || ':' || CAST(group_id AS VARCHAR) END AS key
+      FROM x)
+SELECT * EXCLUDE (key) FROM k WHERE substr(md5(key), 1, 8) < '19999999'"""
     o["table_profile"] = f"""
 WITH calls AS ({CALLS})
 SELECT count(*) AS records,
@@ -291,7 +360,8 @@ FROM documents"""
 SELECT token, count(*) AS n FROM (SELECT unnest({toks}) AS token FROM documents)
 GROUP BY token"""
     o["dedup_keys"] = """
-SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type"""
+SELECT * FROM events QUALIFY row_number() OVER (
+  PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"""
     cov = coverage("current_enodeb_id", "enb", 2, date_td)
     o["parquet_round_trip"] = cov
     o["csv_round_trip"] = cov
@@ -310,5 +380,19 @@ SELECT enodeb, 'site_' || enodeb AS site,
        CAST(w360 AS INTEGER) AS w360_ticket_counts,
        CASE WHEN CAST(enodeb AS INTEGER) % 2 = 0 THEN 'vendor_a' ELSE 'vendor_b' END AS vendor
 FROM g"""
+    # a line as Spark writes it: NULL fields do not occur in these records
+    day = "strftime({}, '%Y-%m-%d')"
+    text = {"alert_day": day.format("alert_day"), "event_day": day.format("event_day"),
+            **{c: f"CAST({c} AS VARCHAR)" for c in ("abnormal_kpi_count", "nrb_ticket_counts",
+                                                    "w360_ticket_counts")}}
+    names = ["enodeb", "site", "region", "alert_day", "event_day", "abnormal_kpi_count",
+             "nrb_ticket_counts", "w360_ticket_counts", "vendor"]
+    line = "'{' || " + " || ',' || ".join(
+        f"""'"{c}":"' || {text.get(c, c)} || '"'""" for c in names) + " || '}'"
+    o["json_alerts_broken"] = f"""
+WITH a AS ({o["json_alerts"]}), l AS (SELECT *, {line} AS line FROM a)
+SELECT {', '.join(f"CASE WHEN len(line) % 3 <> 0 THEN {c} END AS {c}" for c in names)},
+       CASE WHEN len(line) % 3 = 0 THEN substr(line, 1, 40) END AS corrupt_record
+FROM l"""
     o["preview_20"] = "SELECT * FROM events ORDER BY ts, event_id LIMIT 20"
     return o

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from gridtally.functions.columns import clock_decimal_hours, clock_minutes, clock_to_timestamp
 from gridtally.operators.bursts import access_bursts, burst_witnesses
 
-# Ten golden access rows (key, HHMM): bursts of 3 within an hour for a and c.
-ACCESS = [("a", "0549"), ("b", "0457"), ("a", "0532"), ("b", "0640"), ("b", "0745"),
-          ("a", "0621"), ("c", "1540"), ("b", "0540"), ("c", "1541"), ("c", "1543")]
+# Invented access rows (key, HHMM): bursts of 3 within an hour for a and c.
+ACCESS = [("a", "0210"), ("b", "0100"), ("a", "0155"), ("b", "0215"), ("b", "0330"),
+          ("a", "0250"), ("c", "2301"), ("b", "0140"), ("c", "2302"), ("c", "2305")]
 
 
 def brute(rows, n=3, within=dt.timedelta(hours=1)):
@@ -31,13 +31,18 @@ def test_golden_clock_rows(spark):
     assert keys == ["a", "c"]
     w = burst_witnesses(df, "key", "ts").orderBy("key").collect()
     assert [(r.ts_1.strftime("%H%M"), r.ts_3.strftime("%H%M")) for r in w] == [
-        ("0532", "0621"), ("1540", "1543")]
+        ("0155", "0250"), ("2301", "2305")]
 
 
 def test_clock_text(spark):
-    df = spark.createDataFrame([("0549",), ("1543",), ("x1",)], "hhmm string")
+    bad = ["x1", "2460", "549", "-1-5", "2400", "1260", " 930", "09300", "", None, "0930\n"]
+    df = spark.createDataFrame([("0549",), ("1543",), ("0000",), ("2359",)] + [(b,) for b in bad],
+                               "hhmm string")
     got = df.select(clock_minutes("hhmm").alias("m"), clock_decimal_hours("hhmm").alias("h")).collect()
-    assert [(r.m, r.h) for r in got] == [(349, 5.82), (943, 15.72), (None, None)]
+    assert [(r.m, r.h) for r in got] == [(349, 5.82), (943, 15.72), (0, 0.0), (1439, 23.98)] + [
+        (None, None)] * len(bad)
+    stamps = df.select(clock_to_timestamp(F.lit("2024-01-09").cast("date"), "hhmm").alias("t"))
+    assert [r.t is None for r in stamps.collect()] == [False] * 4 + [True] * len(bad)
 
 
 def test_matches_brute_force_with_small_buckets(spark):
@@ -110,3 +115,31 @@ def test_null_keys_and_times_agree_across_methods(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert s == b == {(None, base, 0), ("a", base + dt.timedelta(minutes=5), 205)}
+
+
+def test_big_integer_keys_beside_null_keys(spark):
+    base, big = dt.datetime(2024, 1, 1), 1 << 53
+    rows = [(None, base, 1)]
+    rows += [(big + k, base + dt.timedelta(minutes=m), big + 10 * k + m)
+             for k in (0, 1) for m in (0, 5)]
+    rows += [(big + 1, base + dt.timedelta(minutes=9), None)]
+    df = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, i bigint")
+    for method in ("sorted", "buckets"):
+        got = [tuple(r) for r in access_bursts(df, "k", "ts", order=["i"], method=method).collect()]
+        assert got == [(big + 1, base, big + 10)], method
+
+
+def test_clock_change_does_not_make_a_burst(spark):
+    """0, 2800 and 4000 seconds over the end of daylight saving time."""
+    start = 1699163400  # 2023-11-05 05:50:00 UTC
+    rows = [("a", start), ("a", start + 2800), ("a", start + 4000)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(rows, "k string, s long").select(
+            "k", F.timestamp_seconds("s").alias("ts"))
+        for method in ("sorted", "buckets"):
+            assert access_bursts(df, "k", "ts", method=method).count() == 0, method
+            assert access_bursts(df, "k", "ts", within_seconds=4001, method=method).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

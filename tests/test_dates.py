@@ -5,22 +5,35 @@ from pyspark.sql import functions as F
 from gridtally.functions.dates import trailing_days, weekly_window, window_bounds
 
 
-def job_window(today, variant):
-    """The original jobs' formulas (weekday: Monday = 0), cut at today."""
-    back = {"kpi": 7, "enb": 2, "gnb": 1}[variant]
-    first = today - dt.timedelta(days=(today.weekday() + 7) % 7 + back)
-    days = [first + dt.timedelta(days=x) for x in range(7)]
-    return [d for d in days if d <= today]
+# Written out by hand from a calendar, for Monday 15 to Sunday 21 January 2024:
+# first and last day of each variant's window.
+WINDOWS = {
+    15: {"kpi": ("20240108", "20240114"), "enb": ("20240113", "20240115"),
+         "gnb": ("20240114", "20240115")},
+    16: {"kpi": ("20240108", "20240114"), "enb": ("20240113", "20240116"),
+         "gnb": ("20240114", "20240116")},
+    17: {"kpi": ("20240108", "20240114"), "enb": ("20240113", "20240117"),
+         "gnb": ("20240114", "20240117")},
+    18: {"kpi": ("20240108", "20240114"), "enb": ("20240113", "20240118"),
+         "gnb": ("20240114", "20240118")},
+    19: {"kpi": ("20240108", "20240114"), "enb": ("20240113", "20240119"),
+         "gnb": ("20240114", "20240119")},
+    20: {"kpi": ("20240108", "20240114"), "enb": ("20240113", "20240119"),
+         "gnb": ("20240114", "20240120")},
+    21: {"kpi": ("20240108", "20240114"), "enb": ("20240113", "20240119"),
+         "gnb": ("20240114", "20240120")},
+}
 
 
 def test_weekly_windows_every_weekday(spark):
-    for offset in range(7):
-        today = dt.date(2024, 1, 15) + dt.timedelta(days=offset)
-        for variant in ("kpi", "enb", "gnb"):
+    for day, by_variant in WINDOWS.items():
+        today = dt.date(2024, 1, day)
+        for variant, (first, last) in by_variant.items():
+            assert window_bounds(today, variant) == (first, last), (today, variant)
             got = spark.range(1).select(weekly_window(today, variant).alias("w")).first().w
-            assert got == job_window(today, variant), (today, variant)
-            a, b = window_bounds(today, variant)
-            assert (a, b) == (got[0].strftime("%Y%m%d"), got[-1].strftime("%Y%m%d"))
+            span = dt.datetime.strptime(last, "%Y%m%d") - dt.datetime.strptime(first, "%Y%m%d")
+            assert [got[0].strftime("%Y%m%d"), got[-1].strftime("%Y%m%d")] == [first, last]
+            assert len(got) == span.days + 1
 
 
 def test_trailing_days(spark):

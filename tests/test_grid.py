@@ -76,3 +76,13 @@ def test_column_and_sql_forms_agree_worldwide(spark):
     b = df.select("*", mgrs("lat", "lon", 5).alias("g5")).select(
         "*", mgrs("lat", "lon", 2).alias("g2"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_unbounded_coordinates_give_null(spark):
+    """Under ANSI rules one huge or infinite value must not end the job."""
+    rows = [("10", x) for x in ("1e20", "Infinity", "-Infinity", "NaN", "-1e308", "180.0001")]
+    rows += [(x, "10") for x in ("1e20", "Infinity", "-Infinity", "NaN", "84.0001", "")]
+    df = spark.createDataFrame(rows, "lat string, lon string")
+    assert all(r.g is None for r in with_mgrs(df, "lat", "lon", {"g": 3}).collect())
+    assert all(r.g is None for r in df.select(mgrs("lat", "lon", 3).alias("g")).collect())
+    assert not any(r.ok for r in df.select(located("lat", "lon").alias("ok")).collect())

@@ -1,10 +1,11 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridtally.operators.cover import coverage
 from gridtally.operators.kpi import grid_kpi
-from gridtally.plans.jobs import coverage_job, days_between, kpi_job
+from gridtally.plans.jobs import DEFAULT_FILES, coverage_job, days_between, kpi_job
 from gridtally.plans.session import staging_path
 from gridtally.sources.calls import CALL_COLUMNS, calls_from_events
 from gridtally.sources.sinks import read_csv, write_csv
@@ -38,7 +39,8 @@ def test_weekly_jobs_end_to_end(spark):
     assert got.count() == want.count() > 0
     assert got.exceptAll(want.select(*got.columns)).count() == 0
 
-    paths = coverage_job(spark, root, as_of, staging_path(spark, "cover"), kind="gnb")
+    paths = coverage_job(spark, root, as_of, staging_path(spark, "cover"), kind="gnb",
+                         files={100: 3, 1000: 2, 10000: 1})
     days = days_between("20240114", "20240117")
     wcalls = calls.filter(F.col("UTC_date").isin(days))
     want = coverage(wcalls, id_col="serving_nr_cell_id", id_name="gnb", date_td="20240117")
@@ -56,7 +58,7 @@ def test_trailing_window_sample_and_file_order(spark):
     kpi_job(spark, root, "2024-01-20", out, trailing=3, sample_fraction=0.5)
     got = spark.read.parquet(out)
     part = sample_by_hash(calls.filter(F.col("UTC_date").between("20240118", "20240120")),
-                          ["subscriber_id"], 0.5)
+                          ["subscriber_id"], 0.5)  # no subscriber is NULL here
     want = grid_kpi(part, start_week="20240118", end_week="20240120")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want.select(*got.columns)).count() == 0
@@ -92,10 +94,31 @@ def test_cli_runs_a_coverage_job(spark):
         assert cells == sorted(cells)
 
 
-def test_sizing_conf_bounds():
-    from gridtally.plans.session import sizing_conf
-
-    big = sizing_conf(100 * 2**40, 3000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 12800
-    assert int(sizing_conf(10**6, 8)["spark.sql.shuffle.partitions"]) == 16
-    assert int(sizing_conf(10**18, 8)["spark.sql.shuffle.partitions"]) == 32768
+def test_missing_days_fail_and_leave_the_old_output(spark):
+    root, _ = _stage_calls(spark)
+    out = staging_path(spark, "kpi_kept")
+    kpi_job(spark, root, "2024-01-17", out)
+    before = spark.read.parquet(out).count()
+    assert before > 0
+    for allow in (False, True):  # no day of that window exists
+        with pytest.raises(FileNotFoundError, match="20250106"):
+            kpi_job(spark, root, "2025-01-15", out, allow_missing=allow)
+        with pytest.raises(FileNotFoundError):
+            coverage_job(spark, root, "2025-01-15", out, allow_missing=allow)
+    assert spark.read.parquet(out).count() == before
+    # the data begin on 1 January: a window from 30 December has some of its days
+    cover = staging_path(spark, "cover_partial")
+    with pytest.raises(FileNotFoundError, match="20231230"):
+        coverage_job(spark, root, "2024-01-03", cover, resolutions=(10000,))
+    paths = coverage_job(spark, root, "2024-01-03", cover, resolutions=(10000,),
+                         files={10000: 1}, allow_missing=True)
+    assert spark.read.option("header", True).csv(paths[10000]).count() > 0
+
+
+def test_file_counts_follow_the_resolution():
+    from gridtally.plans.__main__ import file_counts
+
+    assert file_counts(None, [100]) is None
+    assert file_counts("3", [100, 1000]) == {100: 3, 1000: 3}
+    assert file_counts("100=200,1000=20", [100, 1000]) == {100: 200, 1000: 20}
+    assert DEFAULT_FILES["gnb"][100] == 500 and DEFAULT_FILES["enb"][10000] == 2

@@ -7,10 +7,7 @@ import __spark_entry__ as E
 from tests.conftest import SF01
 from tests.oracle_check import SPARK_TO_DUCK, digest, duck
 
-# A representative, quick subset; tests/oracle_check.py runs all of them.
-NAMES = ["enb_cover_1000", "gnb_cover_all", "nation_top_customers", "grid_kpi",
-         "grid_coarsen", "access_burst", "freshness_gaps", "order_day_gaps", "id_reconcile",
-         "doc_token_counts", "weekly_window_counts", "cast_all_except", "json_alerts"]
+NAMES = sorted(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gridtally.functions.columns import cast_all_except, env_tag, whitespace_tokens
 from gridtally.operators.quality import (
-    day_gaps, freshness, md5_threshold, profile, reconcile, sample_by_hash,
+    day_gaps, dedup_keys, freshness, md5_threshold, profile, reconcile, sample_by_hash,
 )
 
 
@@ -77,7 +77,8 @@ def test_day_gaps_with_bounds(spark):
     got = sorted(tuple(r) for r in day_gaps(df, F.col("day"), by=["src"],
                                             start="2024-01-01", end="2024-01-06").collect())
     want = [("s1", dt.date(2024, 1, k)) for k in (1, 2, 4, 6)]
-    assert got == want  # s2 has no day inside the bounds, so it has no calendar
+    want += [("s2", dt.date(2024, 1, k)) for k in range(1, 7)]  # no day inside: all are missing
+    assert got == want
     glob = sorted(r[0] for r in day_gaps(df, F.col("day")).collect())
     assert glob == [dt.date(2024, 1, k) for k in (4, 6, 7, 8, 9, 10, 11)]
 
@@ -91,3 +92,64 @@ def test_global_freshness_and_approx_profile(spark):
     many = spark.range(5000).select((F.col("id") % 1000).alias("k"))
     p = profile(many, ["k"], exact=False).first()
     assert p.records == 5000 and 950 <= p.distinct_k <= 1050  # HyperLogLog++ estimate
+
+
+def test_gaps_of_empty_and_absent_sources(spark):
+    empty = spark.createDataFrame([], "src string, day date")
+    days = [dt.date(2024, 1, k) for k in (1, 2, 3)]
+    got = day_gaps(empty, F.col("day"), start="2024-01-01", end="2024-01-03")
+    assert sorted(r[0] for r in got.collect()) == days
+    assert day_gaps(empty, F.col("day")).count() == 0
+    one = spark.createDataFrame([("s1", days[1]), (None, days[0])], "src string, day date")
+    listed = spark.createDataFrame([("s1",), ("s9",), (None,)], "src string")
+    got = day_gaps(one, F.col("day"), by=["src"], start="2024-01-01", end="2024-01-03",
+                   sources=listed).collect()
+    assert sorted((r.src or "", r.missing_day) for r in got) == [
+        ("", days[1]), ("", days[2]), ("s1", days[0]), ("s1", days[2]),
+        *[("s9", d) for d in days]]
+    # a window that ends before the source begins is empty, not reversed
+    assert day_gaps(one, F.col("day"), by=["src"], start="2024-02-01").count() == 0
+
+
+def test_stale_and_unseen_sources_stay(spark):
+    rows = [("old", dt.date(2022, 5, 1)), ("new", dt.date(2024, 1, 4)), ("new", dt.date(2024, 3, 1))]
+    df = spark.createDataFrame(rows, "src string, day date")
+    listed = spark.createDataFrame([("never",), ("old",)], "src string")
+    got = {r.src: (r.expected_present, r.latest_day, r.lag_days) for r in freshness(
+        df, F.col("day"), "2024-01-06", 1, by=["src"], sources=listed).collect()}
+    assert got == {"old": (False, None, None), "never": (False, None, None),
+                   "new": (False, dt.date(2024, 1, 4), 1)}
+    none = freshness(df.limit(0), F.col("day"), "2024-01-06").collect()
+    assert [(r.expected_present, r.latest_day, r.lag_days) for r in none] == [(False, None, None)]
+
+
+def test_sample_keeps_a_share_of_rows_without_key(spark):
+    df = spark.range(10000).select("id", F.lit(None).cast("string").alias("k"))
+    for share in (0.1, 0.5, 0.9):
+        n = sample_by_hash(df, ["k"], share, rows_without_key=["id"]).count()
+        assert abs(n - 10000 * share) < 250
+    # ("a|b", "c") and ("a", "b|c"), (NULL, "x") and ("x", NULL) are different keys
+    pairs = spark.createDataFrame([(f"a{i}|b", "c") for i in range(300)]
+                                  + [(f"a{i}", "b|c") for i in range(300)], "x string, y string")
+    kept = sample_by_hash(pairs, ["x", "y"], 0.5).collect()
+    left = {r.x.split("|")[0] for r in kept if r.y == "c"}
+    right = {r.x for r in kept if r.y == "b|c"}
+    assert left != right
+
+
+def test_dedup_keys_is_deterministic(spark):
+    rows = [("a", 1, "x"), ("a", 3, "y"), ("a", 3, "z"), (None, 1, "p"), (None, 2, None), ("b", 1, "q")]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    for order in (rows, rows[::-1]):
+        shuffled = spark.createDataFrame(order, df.schema).repartition(3)
+        got = sorted(map(tuple, dedup_keys(shuffled, ["k"], ["t"]).collect()), key=str)
+        assert got == sorted([("a", 3, "z"), (None, 2, None), ("b", 1, "q")], key=str)
+
+
+def test_reconcile_counts_copies_in_one_shuffle(spark):
+    a = spark.createDataFrame([("x",)] * 5 + [(None,)] * 2, "id string")
+    b = spark.createDataFrame([("x",)] * 2 + [(None,)] + [("y",)] * 3, "id string")
+    out = reconcile(a, b, "id")
+    got = sorted(((r.id or "", r.side) for r in out.collect()))
+    assert got == [("", "left_only")] + [("x", "left_only")] * 3 + [("y", "right_only")] * 3
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

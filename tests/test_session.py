@@ -1,21 +1,22 @@
-from gridtally.plans.session import shared_dir, spread, staging_path
-
-
-def test_spread_only_narrow_plans(spark):
-    one = spark.range(0, 1000, 1, 1)
-    wide = spread(one)
-    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert wide.count() == 1000
-    shuffled = one.groupBy((one.id % 3).alias("k")).count()
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup())
-    assert spread(shuffled) is shuffled  # plans with a shuffle are left alone
-    assert len(tracker.getJobIdsForGroup()) == before  # and nothing was run
-    many = spark.range(0, 1000, 1, 64)
-    assert spread(many) is many
+from gridtally.plans.session import DEFAULT_CONF, shared_dir, sizing_conf, staging_path
 
 
 def test_shared_dir_from_session(spark):
     d = shared_dir(spark)
     assert d == spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
     assert staging_path(spark, "x").startswith(d + "/staged/x-")
+
+
+def test_defaults_leave_the_optimizer_alone():
+    assert not any("optimizer" in k for k in DEFAULT_CONF)
+
+
+def test_sizing_follows_the_input_without_a_clamp():
+    big = sizing_conf(100 * 2**40, 3000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    share = sizing_conf(100 * 2**40, 3000, shuffle_share=1 / 32)
+    assert int(share["spark.sql.shuffle.partitions"]) == 12800
+    small = sizing_conf(10**9, 300)
+    assert int(small["spark.sql.shuffle.partitions"]) == 600
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == -(-10**9 // 600)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridtally.plans.session import staging_path
 from gridtally.sources.alerts import ALERT_FIELDS, read_alerts
 from gridtally.sources.calls import CALL_COLUMNS, STRING_COLUMNS
-from gridtally.sources.scan import missing_days, scan_days, scan_range
+from gridtally.sources.scan import day_report, missing_days, read_day, scan_days, scan_range
 from gridtally.sources.sinks import preview, read_csv, write_csv, write_parquet
 
 
@@ -26,25 +26,46 @@ def test_call_columns():
     assert "submkt" in STRING_COLUMNS and "submkt" not in CALL_COLUMNS
 
 
-def test_scan_days_absent_and_by_name(spark, tmp_path):
+def test_scan_days_by_header(spark, tmp_path):
     root = str(tmp_path / "trc")
     cols = ["a", "b", "c"]
     _write_day(root, "20240101", cols, [("1", "x", "p"), ("2", "y", "q")])
     _write_day(root, "20240103", cols, [("3", "z", "r")])
     _write_day(root, "20240104", ["b", "a", "c"], [("w", "4", "s")])  # reordered header
+    _write_day(root, "20240105", ["a", "c", "extra", "submkt"], [("5", "t", "e", "m")])
     days = ["20240101", "20240102", "20240103"]
     assert missing_days(spark, root, days) == ["20240102"]
     df = scan_days(spark, root, days, columns=cols)
     assert sorted(tuple(r) for r in df.collect()) == [
         ("1", "x", "p", "20240101"), ("2", "y", "q", "20240101"), ("3", "z", "r", "20240103")]
-    # a file whose header order differs fails loudly on the fast path ...
-    with pytest.raises(Exception):
-        scan_days(spark, root, ["20240101", "20240104"], columns=cols).collect()
-    # ... and is read correctly by name
-    byname = scan_days(spark, root, ["20240101", "20240104"], columns=cols, by_name=True)
-    assert ("4", "w", "s", "20240104") in [tuple(r) for r in byname.collect()]
+    assert [d for _, d in df.dtypes] == ["string"] * 4
+    mixed = scan_days(spark, root, ["20240101", "20240104", "20240105"], columns=cols + ["submkt"])
+    got = [tuple(r) for r in mixed.collect()]
+    assert ("4", "w", "s", None, "20240104") in got
+    assert ("5", None, "t", "m", "20240105") in got and len(got) == 4
+    assert scan_days(spark, root, ["20240102"], columns=cols).count() == 0
     rng = scan_range(spark, root, "20240102", "20240103", columns=cols)
     assert [tuple(r) for r in rng.collect()] == [("3", "z", "r", "20240103")]
+    report = day_report(spark, root, ["20240100", *days])
+    assert [tuple(r) for r in report.collect()] == [
+        ("20240100", False, None), ("20240101", True, "20240101"),
+        ("20240102", False, "20240101"), ("20240103", True, "20240103")]
+
+
+def test_hour_folders_on_some_days_and_swapped_headers_in_a_day(spark, tmp_path):
+    root = str(tmp_path / "trc")
+    _write_day(root, "20240101", ["a", "b"], [("a0", "b0")])
+    _write_day(root, "20240102/UTC_hour=00", ["a", "b"], [("a1", "b1")])
+    _write_day(root, "20240102/UTC_hour=01", ["b", "a"], [("b2", "a2")])
+    df = scan_days(spark, root, ["20240101", "20240102"], columns=["a", "b"])
+    assert df.columns == ["a", "b", "UTC_date"]
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("a0", "b0", "20240101"), ("a1", "b1", "20240102"), ("a2", "b2", "20240102")]
+    one = read_day(spark, root, "20240102", columns=["b"])
+    assert sorted(tuple(r) for r in one.collect()) == [("b1", "20240102"), ("b2", "20240102")]
+    _write_day(root, "20240103", ["a", "a"], [("1", "2")])
+    with pytest.raises(ValueError, match="named twice"):
+        scan_days(spark, root, ["20240103"], columns=["a"])
 
 
 def test_sink_round_trips(spark):
@@ -87,3 +108,15 @@ def test_json_alerts_lines_and_array(spark, tmp_path):
     assert a[0].abnormal_kpi_count == 1 and a[0].nrb_ticket_counts == 10
     assert str(a[0].alert_day) == "2023-11-13"
     assert a[1].event_day is None and a[1].nrb_ticket_counts is None
+
+
+def test_broken_alert_lines(spark, tmp_path):
+    good = json.dumps(dict(zip(ALERT_FIELDS, ["080001", "s", "r", "2023-11-13", "2023-11-08",
+                                              "1", "10", "0", "v"])))
+    path = tmp_path / "alerts.jsonl"
+    path.write_text(good + "\n{broken\n" + good[:30] + "\n")
+    kept = read_alerts(spark, str(path), keep_corrupt=True).collect()
+    assert [r.corrupt_record for r in kept] == [None, "{broken", good[:30]]
+    assert kept[0].enodeb == "080001" and kept[1].enodeb is None
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_alerts(spark, str(path)).collect()
