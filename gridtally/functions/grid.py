@@ -53,10 +53,15 @@ def _c(x) -> Column:
 
 
 def utm_zone(lat: Column, lon: Column) -> Column:
-    """UTM zone number with the Norway and Svalbard exceptions (bigint)."""
+    """UTM zone number with the Norway and Svalbard exceptions (bigint).
+
+    NULL out of range (NaN and infinities too), before any arithmetic that could
+    overflow; all that follows from the zone is NULL then.
+    """
     base = F.floor((lon + 180.0) / 6.0) + 1
     return (
-        F.when((lat >= 56.0) & (lat < 64.0) & (lon >= 3.0) & (lon < 12.0), F.lit(32))
+        F.when(~lat.between(-80.0, 84.0) | ~lon.between(-180.0, 180.0), F.lit(None))
+        .when((lat >= 56.0) & (lat < 64.0) & (lon >= 3.0) & (lon < 12.0), F.lit(32))
         .when((lat >= 72.0) & (lon >= 0.0) & (lon < 9.0), F.lit(31))
         .when((lat >= 72.0) & (lon >= 9.0) & (lon < 21.0), F.lit(33))
         .when((lat >= 72.0) & (lon >= 21.0) & (lon < 33.0), F.lit(35))
@@ -122,13 +127,9 @@ def _check(precision: int) -> None:
 
 
 def _inputs(lat, lon) -> tuple[Column, Column]:
-    """Coordinates as doubles; both NULL unless both are in range (no NaN, no
-    infinities), so that no later arithmetic can overflow."""
     lat = _c(lat).try_cast("double")
-    lon = _c(lon).try_cast("double")
-    good = lat.between(-80.0, 84.0) & lon.between(-180.0, 180.0)
-    return (F.when(good, lat),
-            F.when(good, F.when(lon == 180.0, F.lit(-180.0)).otherwise(lon)))
+    lon_raw = _c(lon).try_cast("double")
+    return lat, F.when(lon_raw == 180.0, F.lit(-180.0)).otherwise(lon_raw)
 
 
 def located(lat, lon) -> Column:
@@ -162,8 +163,9 @@ def _d(x: float) -> str:
 
 
 def _zone_sql(lat: str, lon: str) -> str:
-    return (f"CAST(CASE WHEN {lat} >= 56.0D AND {lat} < 64.0D AND {lon} >= 3.0D AND {lon} < 12.0D "
-            f"THEN 32 WHEN {lat} >= 72.0D AND {lon} >= 0.0D AND {lon} < 9.0D THEN 31 "
+    return (f"CAST(CASE WHEN NOT {lat} BETWEEN -80.0D AND 84.0D "
+            f"OR NOT {lon} BETWEEN -180.0D AND 180.0D THEN NULL WHEN {lat} >= 56.0D AND {lat} < 64.0D AND "
+            f"{lon} >= 3.0D AND {lon} < 12.0D THEN 32 WHEN {lat} >= 72.0D AND {lon} >= 0.0D AND {lon} < 9.0D THEN 31 "
             f"WHEN {lat} >= 72.0D AND {lon} >= 9.0D AND {lon} < 21.0D THEN 33 "
             f"WHEN {lat} >= 72.0D AND {lon} >= 21.0D AND {lon} < 33.0D THEN 35 "
             f"WHEN {lat} >= 72.0D AND {lon} >= 33.0D AND {lon} < 42.0D THEN 37 "
