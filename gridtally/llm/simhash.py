@@ -142,13 +142,14 @@ def _refined(mask: int, radius: int) -> list[int]:
 
 
 def _deal(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
-    """Rows (mask, fp) to (mask, key, fp), once for each refined mask."""
-    chosen = None
-    for old, new in masks.items():
-        value = F.array(*[F.lit(_signed(m)).cast("long") for m in new])
-        cond = F.col("mask") == F.lit(_signed(old))
-        chosen = F.when(cond, value) if chosen is None else chosen.when(cond, value)
-    dealt = rows.select("fp", F.explode(chosen).alias("mask"))
+    """Rows (mask, fp) to (mask, key, fp), once for each refined mask.
+
+    The table of masks is broadcast. Each level halves the free bits, so there
+    are at most six levels and, for radius 2, 6^5 masks before the last.
+    """
+    pairs = [(_signed(old), _signed(m)) for old, new in masks.items() for m in new]
+    table = rows.sparkSession.createDataFrame(pairs, "mask long, finer long")
+    dealt = rows.join(F.broadcast(table), "mask").select(F.col("finer").alias("mask"), "fp")
     return dealt.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
@@ -166,8 +167,9 @@ def near_links(points: DataFrame, max_distance: int = 2, shard_bound: int = 2048
         masks = sorted({m for new in level.values() for m in new})
         sizes = dealt.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"))
         hot = cut(sizes.where(F.col("n") > shard_bound).select("mask", "key"))
+        # at most as many rows as there are masks
         over = {m & (1 << BITS) - 1 for m, in hot.select("mask").distinct().collect()}
-        if not over:  # at most as many rows as there are masks
+        if not over:
             ready.append(dealt)
             break
         ready.append(dealt.join(hot, ["mask", "key"], "left_anti"))

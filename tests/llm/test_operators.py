@@ -38,12 +38,12 @@ def test_hot_shards_are_dealt_anew_without_losing_links(spark):
     rng = random.Random(9)
     centre = rng.getrandbits(63)
     codes = {centre}
-    while len(codes) < 700:  # one dense cloud, in which most codes share shards
+    while len(codes) < 400:  # one dense cloud, in which most codes share shards
         c = rng.choice([centre, rng.choice(sorted(codes))])
         codes.add(c ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)))
     points = spark.createDataFrame([(c,) for c in codes], "fp long")
     want = brute_components(codes)
-    for bound in (2048, 20):
+    for bound in (2048, 60):
         links = near_links(points, 2, shard_bound=bound)
         got = connected_components(links).collect()
         roots = {c: c for c in codes} | {r.node: r.root for r in got}
