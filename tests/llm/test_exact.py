@@ -104,3 +104,42 @@ def test_near_dedup_keeps_one_of_each_class(odd):
         classes.setdefault(root, []).append(low if docs[i][0] is None else docs[i][0])
     got = Counter(low if r.doc_id is None else r.doc_id for r in kept.collect())
     assert got == Counter(map(min, classes.values()))
+
+
+def test_license_query_equals_all_templates_on_all_passages(spark, pairs):
+    from gridtally.llm.licenses import TEMPLATES
+
+    def bag(text):
+        words = brute.ITEM_WORD.findall(text.translate(brute.LOWER))
+        return Counter(zip(words, words[1:]))
+
+    known = [(n, bag(t)) for n, texts in TEMPLATES.items() for t in texts]
+
+    def best(passage):
+        mine = bag(passage)
+        scores = [(-2 * (mine & t).total() / (mine.total() + t.total()), n) for n, t in known]
+        score, name = min(scores)
+        return (score, name) if mine and -score >= 0.8 else None
+
+    want = []
+    for d, text in pairs:
+        lines = (text or "").split("\n")
+        passages = [x for x in lines if brute.ITEM_WORD.search(x)]
+        block, blocks = [], []
+        for x in [*lines, ""]:
+            if brute.ITEM_WORD.search(x):
+                block.append(x)
+            else:
+                blocks.append(block)
+                block = []
+        passages += ["\n".join(b) for b in blocks if len(b) > 1]
+        whole = sum(bool(brute.ITEM_WORD.search(x)) for x in lines) > 1
+        passages += [text] if whole else []
+        if whole and len(lines) == max(map(len, blocks)):
+            passages.pop()  # the only paragraph is the whole text
+        hits = [h for h in map(best, passages) if h]
+        score, name = min(hits, default=(0.0, None), key=lambda h: (h[0], h[1] or ""))
+        want.append((d, name, -score, len(hits)))
+    got = Q.op10_license_scan(spark, SF01).collect()
+    assert Counter((r.doc_id, r.license, round(r.score, 9), r.n_matches) for r in got) == Counter(
+        (d, n, round(s, 9) + 0.0, k) for d, n, s, k in want)

@@ -290,3 +290,22 @@ def test_licence_scan_equals_all_pairs():
                 scores.append((2 * (ca & cb).total() / max(1, ca.total() + cb.total()), name))
         best = min(scores, key=lambda x: (-x[0], x[1]))
         assert got == (best if best[0] >= 0.6 else None)
+
+
+def test_lookup_table_equals_written_out_preferences():
+    from hashlib import md5
+
+    names, size = ["a", "b", "c", "d", "e"], 103
+    orders = []
+    for name in names:
+        h = md5(name.encode()).hexdigest()
+        offset, skip = int(h[:8], 16) % size, int(h[8:16], 16) % (size - 1) + 1
+        orders.append([(offset + k * skip) % size for k in range(size)])
+        assert sorted(orders[-1]) == list(range(size))
+    free, want, turn = set(range(size)), {}, 0
+    while free:
+        slot = next(x for x in orders[turn % len(names)] if x in free)
+        free.remove(slot)
+        want[slot] = names[turn % len(names)]
+        turn += 1
+    assert lookup_table(names, size) == [want[i] for i in range(size)]
