@@ -25,6 +25,8 @@ def builder(app_name: str = "gridtally", shuffle_partitions: int | None = None,
             conf: dict | None = None) -> SparkSession.Builder:
     """A SparkSession builder with the job defaults; the caller adds a master."""
     b = SparkSession.builder.appName(app_name)
+    # checkpoint files go when their DataFrame is no longer used
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -86,3 +88,11 @@ def shared_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one staged table."""
     return f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``staging_path`` named, once nothing reads it any more."""
+    if not path.startswith(f"{shared_dir(spark)}/staged/"):
+        raise ValueError(f"not a staged folder: {path}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -1,4 +1,10 @@
-from gridtally.plans.session import DEFAULT_CONF, shared_dir, sizing_conf, staging_path
+import os
+
+import pytest
+
+from gridtally.plans.session import (
+    DEFAULT_CONF, drop_staged, shared_dir, sizing_conf, staging_path,
+)
 
 
 def test_shared_dir_from_session(spark):
@@ -20,3 +26,13 @@ def test_sizing_follows_the_input_without_a_clamp():
     small = sizing_conf(10**9, 300)
     assert int(small["spark.sql.shuffle.partitions"]) == 600
     assert int(small["spark.sql.files.maxPartitionBytes"]) == -(-10**9 // 600)
+
+
+def test_only_staged_folders_are_dropped(spark, tmp_path):
+    path = staging_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop_staged(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
+    with pytest.raises(ValueError):
+        drop_staged(spark, str(tmp_path))
+    assert spark.sparkContext.getConf().get("spark.cleaner.referenceTracking.cleanCheckpoints") == "true"
