@@ -14,7 +14,7 @@ import json
 import sys
 
 from gridtally.plans.jobs import coverage_job, days_between, job_days, kpi_job
-from gridtally.plans.session import builder, sizing_conf
+from gridtally.plans.session import JOB_ONLY_CONF, builder, sizing_conf
 from gridtally.sources.scan import missing_days
 
 
@@ -52,7 +52,9 @@ def file_counts(text: str | None, resolutions: list[int]) -> dict[int, int] | No
 
 def main(argv: list[str] | None = None) -> int:
     a = parse(sys.argv[1:] if argv is None else argv)
-    conf = sizing_conf(int(a.input_bytes), a.cores, a.shuffle_share) if a.input_bytes else {}
+    conf = dict(JOB_ONLY_CONF)
+    if a.input_bytes:
+        conf |= sizing_conf(int(a.input_bytes), a.cores, a.shuffle_share)
     spark = builder(f"gridtally-{a.job}", conf=conf).getOrCreate()
     start, end = job_days(a.as_of, a.job, a.trailing)
     absent = missing_days(spark, a.root, days_between(start, end))
