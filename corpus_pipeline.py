@@ -16,7 +16,7 @@ from gridtally.llm.line_dedup import dedup_lines
 from gridtally.llm.quality_rules import keep_good
 from gridtally.llm.queries import tokenizer_files
 from gridtally.llm.simhash import near_dedup
-from gridtally.plans.session import staging_path
+from gridtally.plans.session import drop_staged, staging_path
 
 
 def _columns(df: DataFrame) -> list:
@@ -76,10 +76,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages; each one's rows are written to the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply all stages; each one's rows are written to the shared folder.
+
+    A stage's folder goes when the next one is written; the one that the lazy
+    result reads stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = staging_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_staged(spark, before)  # nothing reads it any more
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
