@@ -147,9 +147,13 @@ def _deal(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
     The table of masks is broadcast. Each level halves the free bits, so there
     are at most six levels and, for radius 2, 6^5 masks before the last.
     """
-    pairs = [(_signed(old), _signed(m)) for old, new in masks.items() for m in new]
-    table = rows.sparkSession.createDataFrame(pairs, "mask long, finer long")
-    dealt = rows.join(F.broadcast(table), "mask").select(F.col("finer").alias("mask"), "fp")
+    if len(masks) == 1:  # all rows have that mask
+        finer = F.array(*[F.lit(_signed(m)).cast("long") for m in next(iter(masks.values()))])
+        dealt = rows.select("fp", F.explode(finer).alias("mask"))
+    else:
+        pairs = [(_signed(old), _signed(m)) for old, new in masks.items() for m in new]
+        table = rows.sparkSession.createDataFrame(pairs, "mask long, finer long")
+        dealt = rows.join(F.broadcast(table), "mask").select("fp", F.col("finer").alias("mask"))
     return dealt.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
