@@ -54,15 +54,16 @@ class Monoid:
         if whole is not None:
             return [whole]
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
+        none = 1 << 62  # above every rank
+        pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) < none:
+            at = pairs.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
+            if at < len(pairs):
+                pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
         return [ranks[p] for p in parts]
 
     def stands(self, a: int, b: int) -> bool:
