@@ -105,6 +105,20 @@ def test_wrapper_induction_drops_unmarked_template(spark):
     assert got[51] == got[52] == "" and len(got) == 15
 
 
+@pytest.mark.parametrize("odd_page", [None, "<html><body><p>moved</p></body></html>"])
+def test_odd_pages_do_not_switch_off_their_hosts_wrapper(spark, odd_page):
+    page = ("<html><body><div>Site name</div><div><h1>T{0}</h1><p>story {0} is told here</p>"
+            "<p>This long notice stands below every story of the site, word for word.</p></div>{1}")
+    extra = "<section><p>Second layout only</p></section>"
+    pages = [(i, f"http://h.example/{i}", page.format(i, extra if i % 2 else "")) for i in range(16)]
+    pages.append((99, "http://h.example/odd", odd_page))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(df, "url", "html", [F.col("page_id")]).collect()}
+    for i in range(16):
+        assert got[i] == f"T{i}\nstory {i} is told here", i
+    assert got[99] == ("moved" if odd_page else "")
+
+
 def test_pages_query_keeps_articles_only(spark):
     rows = Q.op6_html_extraction(spark, SF01).collect()
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF01}/pages.parquet").collect()}
