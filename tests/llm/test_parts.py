@@ -197,6 +197,25 @@ def test_page_text(source, want):
     assert _text(source) == want
 
 
+@pytest.mark.parametrize(("source", "want"), [
+    ("<div class='content-sidebar-wrap'><main><p>a</p></main></div>", "a"),
+    ("<div id=page class=has-sidebar><p>a</p></div>", "a"),
+    ("<article class='post no-comments'><p>a</p></article>", "a"),
+    ("<div class='ad'><article><p>a</p></article></div>", "a"),
+    ("<form id=aspnetForm><main><p>a</p></main></form>", "a"),
+    ("<article><section id='social-history'><p>a</p></section><p class='share-price'>b</p></article>",
+     "a\nb"),
+    ("<article><p><a href='/view?id=related-5'>a</a> <b data-role='share'>b</b></p></article>", "a b"),
+    ("<article>a<div class='ad-slot'>x</div><div class='adSlot'>x</div><div ID=site-footer-2>x</div>"
+     "<div data-x='1' role=navigation>x</div><ol class=comments><article>x</article></ol></article>",
+     "a"),
+    ("<aside><article>card</article></aside><article>a</article>", "a"),
+    ("<aside><article>a</article></aside>", "a"),
+])
+def test_only_whole_names_drop_an_element(source, want):
+    assert _text(source) == want
+
+
 def test_tree_matching_aligns_equal_texts_in_order():
     a = _tree("<div><p>x</p><p>y</p></div>")
     b = _tree("<div><p>new</p><p>x</p><h2>t</h2><p>y</p></div>")
