@@ -216,6 +216,22 @@ def test_only_whole_names_drop_an_element(source, want):
     assert _text(source) == want
 
 
+@pytest.mark.parametrize(("source", "want"), [
+    ("<div class=content><p>the whole long story</p></div><main></main>", "the whole long story"),
+    ("<div class=content><p>a b c d</p></div>" + "<article class=card>card</article>" * 9,
+     "a b c d" + "\ncard" * 9),
+    ("<p>長い本文がここにある</p><article>card one</article>", "長い本文がここにある\ncard one"),
+    ("<div>by the way</div><main><article>a b</article><article>c d</article></main>", "a b\nc d"),
+])
+def test_text_outside_small_articles_is_kept(source, want):
+    assert _text(source) == want
+
+
+def test_an_article_of_template_text_does_not_count():
+    page = Page("<article>Please enable scripts to read this</article><p>the story</p>")
+    assert page.text(page.zones(), {1}) == "the story"
+
+
 def test_tree_matching_aligns_equal_texts_in_order():
     a = _tree("<div><p>x</p><p>y</p></div>")
     b = _tree("<div><p>new</p><p>x</p><h2>t</h2><p>y</p></div>")
