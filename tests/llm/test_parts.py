@@ -232,6 +232,25 @@ def test_an_article_of_template_text_does_not_count():
     assert page.text(page.zones(), {1}) == "the story"
 
 
+@pytest.mark.parametrize(("source", "want"), [
+    ("<div id=page><article>" + "<div>" * 300 + "text" + "</div>" * 300 + "<p>after</article></div>",
+     "text\nafter"),
+    ("<div>" * 250 + "<nav><ul><li>menu</ul></nav>story", "story"),
+    ("<article>" + "<i>" * 70_000 + "a</article><article>b</article>", "a\nb"),
+])
+def test_deep_pages(source, want):
+    assert _text(source) == want
+
+
+@pytest.mark.parametrize("depth", [300, 70_000, 140_000])
+def test_deep_trees_are_aligned(depth):
+    page = "<div>" * depth + "<p>{0}</p><p>x</p>" + "</div>" * depth + "<p>y</p>"
+    a, b = _tree(page.format("one")), _tree(page.format("two"))
+    assert len(a.labels) == depth + 6 and len(a.roots) == 2
+    pairs = simple_tree_matching(a, b)
+    assert sorted(pairs) == [(i, i) for i in range(depth + 6)]
+
+
 def test_tree_matching_aligns_equal_texts_in_order():
     a = _tree("<div><p>x</p><p>y</p></div>")
     b = _tree("<div><p>new</p><p>x</p><h2>t</h2><p>y</p></div>")
