@@ -7,11 +7,19 @@ words of ASCII letters, digits and non-ASCII characters) and compared by
 repeats. For a threshold t no pair scores that high unless the smaller side has
 at least t / (2 - t) times the bigrams of the larger one; so a passage meets
 only the templates within those size bounds, and most passages meet none.
+
+A notice may share its line or paragraph with other words. So every place of the
+text is compared too: windows of each template's size range slide over all word
+bigrams. The best window of a spot starts and ends with a bigram of the template
+(others only lower its score), and a text meets only the templates of which it
+holds as many bigrams as the threshold asks for; counts grow bigram by bigram.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -100,6 +108,10 @@ class TemplateSet:
         self.ratio = threshold / (2 - threshold)
         sizes = [n for n, _, _ in self.known] or [0]
         self.least, self.most = sizes[0] * self.ratio, sizes[-1] / self.ratio
+        self.holders: dict[tuple, list[int]] = {}
+        for k, (_, _, grams) in enumerate(self.known):
+            for g in grams:
+                self.holders.setdefault(g, []).append(k)
 
     def best(self, words: list[bytes]) -> tuple[float, str] | None:
         """Highest score of a passage and its licence; ties: the first name."""
@@ -116,16 +128,61 @@ class TemplateSet:
                 found = (score, name)
         return found
 
+    def windows(self, words: list[bytes]) -> list[tuple[int, int, str, float]]:
+        """(first word, last word, licence, score): the best windows that do not overlap.
+
+        Higher scores go first, then earlier, shorter ones and names.
+        """
+        places: dict[int, list[int]] = {}
+        shared = [(i, g) for i, g in enumerate(zip(words, words[1:])) if g in self.holders]
+        for i, g in shared:
+            for k in self.holders[g]:
+                places.setdefault(k, []).append(i)
+        found = []
+        for k, at in places.items():
+            size, name, grams = self.known[k]
+            # the smallest window allowed needs so many common bigrams
+            needed = self.threshold * (size + size * self.ratio) / 2 - 1e-9
+            if len(at) < needed:
+                continue
+            most = size / self.ratio + 1e-9
+            for s, start in enumerate(at):
+                # as many places must follow within the longest window
+                if (last := s + int(-(-needed // 1)) - 1) >= len(at) or at[last] - start >= most:
+                    continue
+                seen, common = Counter(), 0
+                for end in at[s:]:
+                    n = end - start + 1
+                    if n > most:
+                        break
+                    g = words[end], words[end + 1]
+                    seen[g] += 1
+                    common += seen[g] <= grams[g]
+                    score = 2 * common / (n + size)
+                    if score >= self.threshold:
+                        found.append((-score, start, end + 1, name))
+        taken, out = Spans(), []
+        for score, start, last, name in sorted(found):
+            if taken.add(start, last):
+                out.append((start, last, name, -score))
+        return sorted(out)
+
     def scan(self, text: bytes) -> list[tuple[int, int, str, float]]:
-        """(first line, lines, licence, score) of every passage that matches."""
+        """(first line, lines, licence, score) of every passage that matches, then
+        of every window that shares no word with a passage of the same licence."""
         hits, block, at = [], [], 0
+        spans: dict[str, Spans] = {}  # words of the matching passages
+
+        lines = [item_words(x) for x in text.split(b"\n")]
+        starts = [0, *accumulate(map(len, lines))]
+        everything = [w for x in lines for w in x]
 
         def look(first, count, words):
             found = self.best(words)
             if found:
                 hits.append((first, count, found[1], found[0]))
+                spans.setdefault(found[1], Spans()).join(starts[first], starts[first + count] - 1)
 
-        lines = [item_words(x) for x in text.split(b"\n")]
         for i, words in enumerate([*lines, []]):
             if words:
                 look(i, 1, words)
@@ -135,18 +192,52 @@ class TemplateSet:
                 look(at, len(block), [w for x in block for w in x])
             block, at = [], i + 1
         if sum(map(bool, lines)) > 1:
-            look(0, len(lines), [w for x in lines for w in x])
+            look(0, len(lines), everything)
+        for start, last, name, score in self.windows(everything):
+            if name not in spans or not spans[name].meets(start, last):
+                first, end = (bisect_right(starts, w) - 1 for w in (start, last))
+                hits.append((first, end - first + 1, name, score))
         return hits
 
 
+class Spans:
+    """Disjoint spans of words, both ends included."""
+
+    def __init__(self) -> None:
+        self.firsts: list[int] = []
+        self.lasts: list[int] = []
+
+    def meets(self, first: int, last: int) -> bool:
+        """Does a span share a word with this one?"""
+        k = bisect_right(self.firsts, last) - 1
+        return k >= 0 and self.lasts[k] >= first
+
+    def add(self, first: int, last: int) -> bool:
+        """Add a span unless it meets one."""
+        if self.meets(first, last):
+            return False
+        k = bisect_right(self.firsts, first)
+        self.firsts.insert(k, first)
+        self.lasts.insert(k, last)
+        return True
+
+    def join(self, first: int, last: int) -> None:
+        """Add a span, united with those that it meets."""
+        while self.meets(first, last):
+            k = bisect_right(self.firsts, last) - 1
+            first, last = min(first, self.firsts.pop(k)), max(last, self.lasts.pop(k))
+        self.add(first, last)
+
+
 def scan_licenses(df: DataFrame, text_col: str, keep: list, threshold: float = 0.8,
                   templates: dict[str, list[str]] | None = None) -> DataFrame:
     """``keep`` columns plus the licences found in every whole text.
 
     ``license`` is the best match's (highest score, then name), null if none;
     ``score`` its Dice coefficient, 0 if none; ``matches`` lists every passage
-    that matches: first line, number of lines, licence, score. Null and empty
-    texts match nothing. One pass, no shuffle.
+    that matches, and every window that is no part of one of the same licence:
+    first line, number of lines, licence, score. Null and empty texts match
+    nothing. One pass, no shuffle.
     """
     chosen = TEMPLATES if templates is None else templates
 

@@ -102,7 +102,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan_licenses(_table(spark, sf_dir, "documents"), "text", [F.col("doc_id")])
     return rows.select("doc_id", "license", "score",
-                       F.size("matches").cast("long").alias("n_matches"))
+                       F.size("matches").cast("long").alias("n_matches"),
+                       F.array_sort(F.array_distinct("matches.license")).alias("licenses"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,6 +200,16 @@ def test_placement_is_a_lookup(spark):
     assert len(rows) > 100
 
 
+def test_license_query_lists_all_licences(spark, tmp_path):
+    text = ("Dual work, Released under the MIT License. Or take it as Licensed under the Apache "
+            "License, Version 2.0. Choose one.")
+    df = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.licenses, r.n_matches) for r in
+           Q.op10_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {1: (["Apache-2.0", "MIT"], 2), 2: ([], 0)}
+
+
 def test_license_query_finds_planted_lines(spark, odd):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
     rows = {r.doc_id: r for r in Q.op10_license_scan(spark, SF01).collect()}

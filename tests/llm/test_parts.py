@@ -346,6 +346,42 @@ def test_licence_scan_equals_all_pairs():
         assert got == (best if best[0] >= 0.6 else None)
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("Copyright (c) 2020 Jo. Released under the MIT License.", [(0, 1, "MIT", 1.0)]),
+    ("some words before a notice\nthat is Released under\nthe MIT License. And more words\nfollow",
+     [(1, 2, "MIT", 1.0)]),
+    ("# Licensed under the Apache License, Version 2.0.\nimport os\nx = 1\ny = 2\nz = x + y",
+     [(0, 1, "Apache-2.0", 1.0)]),
+    ("Dual work of ours, which is Released under the MIT License. You may as well take it as "
+     "Licensed under the Apache License, Version 2.0. Choose one of the two.",
+     [(0, 1, "MIT", 1.0), (0, 1, "Apache-2.0", 1.0)]),
+    ("nothing of that kind is under the sun, the License is not named", []),
+])
+def test_notices_among_other_words_are_found(text, want):
+    assert sorted(TemplateSet(TEMPLATES, 0.8).scan(text.encode())) == sorted(want)
+
+
+def test_windows_equal_all_windows():
+    rng = random.Random(8)
+    known = TemplateSet({"A": ["a b c d e"], "B": ["a b a b f g h"]}, 0.8)
+    for _ in range(300):
+        words = [rng.choice("aabbcdefgh").encode() for _ in range(30)]
+        if rng.random() < 0.7:
+            words[7:7] = rng.choice([b"a b c d e", b"a b a b f g h", b"a b c x d e"]).split()
+        scores = {}
+        for i in range(len(words)):
+            for j in range(i + 2, len(words) + 1):
+                found = known.best(words[i:j])
+                if found:
+                    scores[i, j - 1] = found[0]
+        got = known.windows(words)
+        assert bool(got) == bool(scores)
+        for i, j, _, score in got:
+            assert abs(scores[i, j] - score) < 1e-9
+        for (i, j), score in scores.items():  # each place is reported, or a better one that it meets
+            assert any(a <= j and b >= i and s >= score - 1e-9 for a, b, _, s in got)
+
+
 def test_lookup_table_equals_written_out_preferences():
     from hashlib import md5
 
