@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm.common import map_text, shipped, unpacked
+from gridtally.llm.common import map_text, shipped, unpacked, utf8
 from gridtally.llm.decontaminate import item_words
 from gridtally.llm.training import labelled_sample
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
+BINS = 1024  # of scores, for the thresholds
 KNOWN_WORDS = 150_000  # distinct words that a task remembers before it starts over
 
 
@@ -185,44 +186,69 @@ class TextCnn:
         return self
 
 
-def best_threshold(scored: list[tuple[float, int]]) -> float:
-    """The cut with the fewest errors; in the widest gap of equally good ones."""
-    if not any(y for _, y in scored) or all(y for _, y in scored):
+def binned_threshold(counts: dict[int, list[int]]) -> float:
+    """The cut with the fewest errors; in the widest gap of equally good ones.
+
+    ``counts``: rows labelled 0 and rows labelled 1 by score bin.
+    """
+    if not all(sum(c[y] for c in counts.values()) for y in (0, 1)):
         return 0.5
-    order = sorted(scored)
-    errors = sum(1 - y for _, y in order)  # everything flagged
-    cuts = [(errors, 0.0, order[0][0])]
-    for i, (s, y) in enumerate(order):
-        errors += 1 if y else -1
-        cuts.append((errors, s, order[i + 1][0] if i + 1 < len(order) else 1.0))
-    least = min(e for e, a, b in cuts if b > a)
-    _, a, b = max((c for c in cuts if c[0] == least and c[2] > c[1]), key=lambda c: c[2] - c[1])
+    bins = sorted(counts)
+    errors = sum(c[0] for c in counts.values())  # everything flagged
+    cuts = [(errors, 0.0, bins[0] / BINS)]
+    for i, b in enumerate(bins):
+        errors += counts[b][1] - counts[b][0]
+        cuts.append((errors, (b + 1) / BINS, bins[i + 1] / BINS if i + 1 < len(bins) else 1.0))
+    least = min(e for e, _, _ in cuts)
+    _, a, b = max((c for c in cuts if c[0] == least), key=lambda c: c[2] - c[1])
     return (a + b) / 2
 
 
+def calibrate(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+              lang_col: str, usable: Column, model: TextCnn, fitted: list[tuple]) -> dict:
+    """Thresholds by language from all usable labelled rows but the ``fitted`` (id, text hash).
+
+    Only counts by language, score bin and label reach the driver.
+    """
+    given = labels.where(usable & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
+        F.col(id_col).alias("_gt_id")).agg((F.max(label_col) > 0).cast("int").alias("_gt_label"))
+    scored = score_toxicity(
+        docs.where(usable & F.col(id_col).isNotNull()), text_col,
+        [F.col(id_col).alias("_gt_id"), F.col(lang_col).cast("string").alias("_gt_tongue"),
+         F.xxhash64(utf8(text_col)).alias("_gt_hash")], model)
+    kind = docs.schema[id_col].dataType
+    taken = docs.sparkSession.createDataFrame(fitted, T.StructType(
+        [T.StructField("_gt_id", kind), T.StructField("_gt_hash", T.LongType())]))
+    left = scored.join(F.broadcast(taken), ["_gt_id", "_gt_hash"], "left_anti").join(given, "_gt_id")
+    bins = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int")
+    langs: dict = {}
+    for lang, b, label, n in left.groupBy("_gt_tongue", bins.alias("b"), "_gt_label").count().collect():
+        for key in {lang, None}:
+            langs.setdefault(key, {}).setdefault(b, [0, 0])[label] += n
+    cuts = {None: binned_threshold(langs.get(None, {}))}
+    for lang, counts in langs.items():
+        if all(sum(c[y] for c in counts.values()) for y in (0, 1)):
+            cuts[lang] = binned_threshold(counts)
+    return cuts
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                    label_col: str, lang_col: str, usable: Column, max_rows: int = 6000,
                    max_bytes: int = 65536) -> tuple[TextCnn | None, dict]:
     """The fitted classifier and the thresholds by language (None: all others).
 
-    Without usable rows, or with one label only, there is no classifier.
+    Without usable rows, or with one label only, there is no classifier. Every
+    fifth row of the sample is not fitted, and the thresholds rest on all usable
+    labelled rows that are not. ``usable`` is a condition on the id.
     """
     rows = labelled_sample(docs, labels, id_col, text_col, label_col, usable, max_rows,
-                           max_bytes, [F.col(lang_col).cast("string")])
-    fit, hold = [], []
-    for i, (text, label, lang) in enumerate(rows):
-        (hold if i % 5 == 0 else fit).append((text, 1 if label > 0 else 0, lang))
-    if len({y for _, y, _ in fit}) < 2:
+                           max_bytes, [F.col(id_col), F.xxhash64(utf8(text_col))])
+    fit = [r for i, r in enumerate(rows) if i % 5]
+    if len({label > 0 for _, label, *_ in fit}) < 2:
         return None, {None: 0.5}
-    model = TextCnn().fit([(t, y) for t, y, _ in fit])
-    score = model.scorer()
-    scored = [(score(t), y, lang) for t, y, lang in hold]
-    cuts = {None: best_threshold([(s, y) for s, y, _ in scored])}
-    for lang in {x for _, _, x in scored if x is not None}:
-        mine = [(s, y) for s, y, x in scored if x == lang]
-        if len({y for _, y in mine}) == 2:
-            cuts[lang] = best_threshold(mine)
-    return model, cuts
+    model = TextCnn().fit([(text, 1 if label > 0 else 0) for text, label, *_ in fit])
+    return model, calibrate(docs, labels, id_col, text_col, label_col, lang_col, usable, model,
+                            [(key, digest) for _, _, key, digest in fit])
 
 
 def score_toxicity(df: DataFrame, text_col: str, keep: list, model: TextCnn | None,

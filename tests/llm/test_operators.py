@@ -200,6 +200,18 @@ def test_placement_is_a_lookup(spark):
     assert len(rows) > 100
 
 
+def test_thresholds_rest_on_all_labelled_rows(spark):
+    rows = [(i, ("vile " if i % 2 else "kind ") * 5 + f"word{i}", "xx" if i < 8 else "en", i % 2)
+            for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    model, cuts = train_toxicity(docs.drop("toxic"), labels, "doc_id", "text", "toxic", "lang",
+                                 F.lit(True), max_rows=50)
+    assert model is not None and set(cuts) == {None, "en", "xx"}
+    got = score_toxicity(docs, "text", [F.col("toxic")], model, F.col("lang"), cuts).collect()
+    assert all(r.flagged == bool(r.toxic) for r in got)
+
+
 def test_license_query_lists_all_licences(spark, tmp_path):
     text = ("Dual work, Released under the MIT License. Or take it as Licensed under the Apache "
             "License, Version 2.0. Choose one.")
