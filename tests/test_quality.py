@@ -17,6 +17,16 @@ def test_reconcile_multiset(spark):
     assert same == 0
 
 
+def test_reconcile_deals_out_the_copies_of_a_hot_id(spark):
+    a = spark.range(45_001).selectExpr("cast(null as string) id")
+    b = spark.createDataFrame([("x",)] * 3, "id string")
+    rows = reconcile(a, b, "id")
+    assert sorted(map(tuple, rows.groupBy("id", "side").count().collect()), key=str) == [
+        ("x", "right_only", 3), (None, "left_only", 45_001)]
+    per_task = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_task) < 45_001
+
+
 def test_freshness_and_gaps(spark):
     d = dt.date(2024, 1, 1)
     rows = [("s1", d), ("s1", d + dt.timedelta(days=1)), ("s1", d + dt.timedelta(days=4)),
