@@ -21,8 +21,11 @@ from gridtally.llm.sharding import place
 from gridtally.llm.simhash import simhash_components
 from gridtally.llm.toxicity import score_toxicity, train_toxicity
 from gridtally.llm.training import remainder
+from gridtally.llm.wavelet import read_shards, write_shards
+from gridtally.plans.session import staging_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_TOKENIZER, END_ID = "word_bpe_49k.json", 1
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 TABLE_SIZE = 65537
 
@@ -106,6 +109,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_sort(F.array_distinct("matches.license")).alias("licenses"))
 
 
+def op13_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(WORD_TOKENIZER), encoding="utf-8") as f:
+        tokenizer = f.read()
+    path = staging_path(spark, "token-shards")
+    write_shards(_table(spark, sf_dir, "documents"), "text", "doc_id", path, tokenizer, END_ID)
+    return read_shards(spark, path).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,7 +130,7 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         op1_simhash, op2_line_dedup, op3_decontamination, op4_toxicity, op5_bpe,
         op6_html_extraction, op7_quality, op8_quality_rules, op9_sharding, op10_license_scan,
-        pipeline)}
+        op13_token_shards, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
