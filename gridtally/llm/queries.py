@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridtally.llm import sql
 from gridtally.llm.bpe import bpe_decode, bpe_encode, read_ranks, token_digests
 from gridtally.llm.decontaminate import contamination_summary, find_contamination
+from gridtally.llm.hard_negatives import mine_hard_negatives
 from gridtally.llm.html_extract import extract_text
 from gridtally.llm.licenses import scan_licenses
 from gridtally.llm.line_dedup import dedup_lines
@@ -22,6 +23,7 @@ from gridtally.llm.simhash import simhash_components
 from gridtally.llm.toxicity import score_toxicity, train_toxicity
 from gridtally.llm.training import remainder
 from gridtally.llm.wavelet import read_shards, write_shards
+from gridtally.llm.whitening import whiten
 from gridtally.plans.session import staging_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -109,6 +111,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_sort(F.array_distinct("matches.license")).alias("licenses"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whiten(_table(spark, sf_dir, "embeddings"), [F.col("vec_id")], "embedding", scale=256,
+                  components=4)
+    return rows.select("kept.vec_id", "component", "n", F.col("deviation").cast("long").alias(
+        "deviation"), "whitened", "explained", "identity_error")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label,
+                               F.col("vec_id") % 50 == 0)
+
+
 def op13_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -130,7 +145,7 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         op1_simhash, op2_line_dedup, op3_decontamination, op4_toxicity, op5_bpe,
         op6_html_extraction, op7_quality, op8_quality_rules, op9_sharding, op10_license_scan,
-        op13_token_shards, pipeline)}
+        op11_whitening, op12_hard_negatives, op13_token_shards, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
