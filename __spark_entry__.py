@@ -115,6 +115,20 @@ def q_grid_coarsen(spark, sf_dir):
     return fine.select("event_id", *[coarsen("g5", p, 5).alias(f"g{p}") for p in (3, 2, 1)])
 
 
+def q_polar_grid_ids(spark, sf_dir):
+    """Ids of points around both poles, some of them on the meridians that part squares."""
+    points = _table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "CASE event_id % 4 WHEN 0 THEN 84D + ((event_id * 37) % 6001) / 1000D"
+        " WHEN 1 THEN -80D - ((event_id * 41) % 10001) / 1000D"
+        " WHEN 2 THEN 90D - ((event_id * 43) % 977) / 100000D"
+        " ELSE -90D + ((event_id * 47) % 89) * 0.25D END AS lat",
+        "CASE WHEN event_id % 5 = 0 THEN ((event_id div 5) % 9) * 45D - 180D"
+        " ELSE ((event_id * 7919) % 360001) / 1000D - 180D END AS lon")
+    fine = with_mgrs(points, "lat", "lon", {"g5": 5, "g3": 3})
+    return fine.withColumns({f"g{p}": coarsen("g3", p) for p in (2, 1)})
+
+
 def q_cast_all_except(spark, sf_dir):
     ev = _table(spark, sf_dir, "events")
     text = ev.select(
@@ -366,6 +380,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "grid_kpi": q_grid_kpi,
         "grid_of_points": q_grid_of_points,
         "grid_coarsen": q_grid_coarsen,
+        "polar_grid_ids": q_polar_grid_ids,
         "cast_all_except": q_cast_all_except,
         "env_tag_counts": q_env_tag_counts,
         "date_range_scan": q_date_range_scan,

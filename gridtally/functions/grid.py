@@ -6,14 +6,18 @@ WGS84 point: two-digit zone, latitude band, two 100 km square letters, then
 p=1: 10 km). Digits are truncated, so a coarser id is a prefix of each axis of
 a finer one and ``coarsen`` can derive it from the string alone.
 
+Beyond latitudes -80 and 84 the id is that of the polar grid: a letter (A and B in
+the south, Y and Z in the north, west and east of the 0-180 meridian), two 100 km
+square letters and the digits, from the polar stereographic projection.
+
 The transverse Mercator projection uses the Krueger series to fourth order in
 the third flattening n (Karney 2011, "Transverse Mercator with an accuracy of a
 few nanometers"; Snyder, USGS PP 1395). The whole computation is built-in math
 functions, so it stays inside whole-stage codegen and Catalyst's common
 subexpression elimination evaluates the shared terms once per row.
 
-Points outside latitudes [-80, 84] (the polar UPS areas), outside longitudes
-[-180, 180], NULL or NaN give NULL.
+Points outside latitudes [-90, 90] or longitudes [-180, 180], NULL or NaN give
+NULL.
 """
 
 from __future__ import annotations
@@ -33,6 +37,17 @@ LAT_BANDS = "CDEFGHJKLMNPQRSTUVWXX"  # 8 degree bands from -80; X also covers 80
 COLUMN_LETTERS = ("ABCDEFGH", "JKLMNPQR", "STUVWXYZ")  # by (zone - 1) % 3
 ROW_LETTERS_ODD = "ABCDEFGHJKLMNPQRSTUV"  # odd zones
 ROW_LETTERS_EVEN = "FGHJKLMNPQRSTUVABCDE"  # even zones
+# polar grid (UPS): scale at the pole, the pole's easting and northing, and the
+# square letters: columns west of the pole from 800 km, east of it from 2000 km, rows
+# from 800 km in the south and from 1300 km in the north
+UPS_SCALE = 0.994
+UPS_POLE = 2000000.0
+UPS_WEST_COLUMNS = "JKLPQRSTUXYZ"
+UPS_EAST_COLUMNS = "ABCFGHJKLPQR"
+UPS_ROWS = "ABCDEFGHJKLMNPQRSTUVWXYZ"
+UPS_FIRST_WEST = 800000.0
+UPS_FIRST_ROW_SOUTH = 800000.0
+UPS_FIRST_ROW_NORTH = 1300000.0
 DEG = math.pi / 180.0
 # ---------------------------------------------------------------------------
 
@@ -40,6 +55,9 @@ _n = FLATTENING / (2 - FLATTENING)
 _RECTIFYING_RADIUS = SEMI_MAJOR_AXIS / (1 + _n) * (1 + _n**2 / 4 + _n**4 / 64)
 ECC = math.sqrt(FLATTENING * (2 - FLATTENING))
 K0A = UTM_SCALE * _RECTIFYING_RADIUS
+# metres from the pole for each unit of exp(-isometric latitude)
+UPS_RADIUS = (2 * SEMI_MAJOR_AXIS * UPS_SCALE
+              / math.sqrt((1 + ECC) ** (1 + ECC) * (1 - ECC) ** (1 - ECC)))
 ALPHA = (
     _n / 2 - 2 * _n**2 / 3 + 5 * _n**3 / 16 + 41 * _n**4 / 180,
     13 * _n**2 / 48 - 3 * _n**3 / 5 + 557 * _n**4 / 1440,
@@ -113,12 +131,43 @@ def _square_id(lat: Column, lon: Column, zone: Column, easting: Column,
     return F.when(valid, F.concat(F.lpad(zone.cast("string"), 2, "0"), band, square))
 
 
+def _polar(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """(polar?, easting, northing) on the polar stereographic grid."""
+    inside = ((lat > 84.0) & (lat <= 90.0)) | ((lat < -80.0) & (lat >= -90.0))
+    radius = (F.tan((90.0 - F.abs(lat)) * (DEG / 2))
+              * F.exp(F.atanh(F.sin(F.abs(lat) * DEG) * ECC) * ECC) * UPS_RADIUS)
+    # the 0-180 meridian is exactly the pole's easting, and 90 degrees its northing
+    sin = F.when(lon.isin(0.0, -180.0), 0.0).otherwise(F.sin(lon * DEG))
+    cos = F.when(F.abs(lon) == 90.0, 0.0).otherwise(F.cos(lon * DEG))
+    return (inside & lon.between(-180.0, 180.0), radius * sin + UPS_POLE,
+            F.lit(UPS_POLE) - radius * F.sign(lat) * cos)
+
+
+def _polar_square(lat: Column, easting: Column, northing: Column) -> Column:
+    """Polar letter and 100 km square letters."""
+    east, north = easting >= UPS_POLE, lat > 0.0
+    letter = F.when(north, F.when(east, "Z").otherwise("Y")).otherwise(
+        F.when(east, "B").otherwise("A"))
+
+    def nth(letters: str, metres: Column) -> Column:
+        return F.substr(F.lit(letters), (F.floor(metres / 100000.0) + 1).cast("int"), F.lit(1))
+
+    column = F.when(east, nth(UPS_EAST_COLUMNS, easting - UPS_POLE)).otherwise(
+        nth(UPS_WEST_COLUMNS, easting - UPS_FIRST_WEST))
+    first = F.when(north, UPS_FIRST_ROW_NORTH).otherwise(UPS_FIRST_ROW_SOUTH)
+    return F.concat(letter, column, nth(UPS_ROWS, northing - first))
+
+
 def _grid_string(lat: Column, lon: Column, zone: Column, easting: Column,
                  northing: Column, precision: int) -> Column:
-    prefix = _square_id(lat, lon, zone, easting, northing)
-    if not precision:
-        return prefix
-    return F.concat(prefix, _digits(easting, precision), _digits(northing, precision))
+    def spelt(prefix: Column, e: Column, n: Column) -> Column:
+        if not precision:
+            return prefix
+        return F.concat(prefix, _digits(e, precision), _digits(n, precision))
+
+    polar, e, n = _polar(lat, lon)
+    return F.when(polar, spelt(_polar_square(lat, e, n), e, n)).otherwise(
+        spelt(_square_id(lat, lon, zone, easting, northing), easting, northing))
 
 
 def _check(precision: int) -> None:
@@ -139,7 +188,7 @@ def located(lat, lon) -> Column:
     cheap, reaches the scan, and does not drag the projection into a filter.
     """
     lat, lon = _c(lat).try_cast("double"), _c(lon).try_cast("double")
-    return F.coalesce(lat.between(-80.0, 84.0) & lon.between(-180.0, 180.0), F.lit(False))
+    return F.coalesce(lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0), F.lit(False))
 
 
 def mgrs(lat, lon, precision: int = 3) -> Column:
@@ -186,11 +235,44 @@ def _square_sql(lat: str, lon: str, zone: str, e: str, n: str) -> str:
             f"substring({row_set}, CAST({row_idx} AS INT), 1)) END")
 
 
+def _polar_radius_sql(lat: str, lon: str) -> str:
+    """Metres from the pole on the polar grid; NULL outside the polar areas."""
+    return (f"CASE WHEN ({lat} > 84.0D AND {lat} <= 90.0D OR {lat} < -80.0D AND {lat} >= -90.0D) "
+            f"AND {lon} BETWEEN -180.0D AND 180.0D THEN "
+            f"tan((90.0D - abs({lat})) * {_d(DEG / 2)}) "
+            f"* exp(atanh(sin(abs({lat}) * {_d(DEG)}) * {_d(ECC)}) * {_d(ECC)}) * {_d(UPS_RADIUS)} END")
+
+
+def _polar_easting_sql(lon: str, radius: str) -> str:
+    # the 0-180 meridian is exactly the pole's easting
+    return (f"{_d(UPS_POLE)} + {radius} * CASE WHEN {lon} IN (0.0D, -180.0D) THEN 0.0D "
+            f"ELSE sin({lon} * {_d(DEG)}) END")
+
+
+def _polar_northing_sql(lat: str, lon: str, radius: str) -> str:
+    return (f"{_d(UPS_POLE)} - {radius} * sign({lat}) * CASE WHEN abs({lon}) = 90.0D THEN 0.0D "
+            f"ELSE cos({lon} * {_d(DEG)}) END")
+
+
+def _polar_square_sql(lat: str, e: str, n: str) -> str:
+    east = f"{e} >= {_d(UPS_POLE)}"
+    first = (f"CASE WHEN {lat} > 0.0D THEN {_d(UPS_FIRST_ROW_NORTH)} "
+             f"ELSE {_d(UPS_FIRST_ROW_SOUTH)} END")
+    letter = (f"CASE WHEN {lat} > 0.0D THEN if({east}, 'Z', 'Y') ELSE if({east}, 'B', 'A') END")
+    column = (f"if({east}, substring('{UPS_EAST_COLUMNS}', "
+              f"CAST(floor(({e} - {_d(UPS_POLE)}) / 100000.0D) + 1 AS INT), 1), "
+              f"substring('{UPS_WEST_COLUMNS}', "
+              f"CAST(floor(({e} - {_d(UPS_FIRST_WEST)}) / 100000.0D) + 1 AS INT), 1))")
+    row = (f"substring('{UPS_ROWS}', "
+           f"CAST(floor(({n} - ({first})) / 100000.0D) + 1 AS INT), 1)")
+    return f"concat({letter}, {column}, {row})"
+
+
 def with_mgrs(df: DataFrame, lat, lon, precisions: dict[str, int] | None = None) -> DataFrame:
     """Add MGRS id columns ``{name: precision}`` (default ``{"gridid": 3}``).
 
     The projection runs in stages (inputs, zone, the projection's shared
-    terms, easting/northing, the zone/band/square prefix and the metres
+    terms, easting/northing, the zone/band/square or polar prefix and the metres
     within the square, then one short string per precision). Each stage refers
     to the one before by name, so the plan stays small and every term is
     evaluated once per row; Catalyst keeps the stages apart because their
@@ -202,13 +284,15 @@ def with_mgrs(df: DataFrame, lat, lon, precisions: dict[str, int] | None = None)
     for p in precisions.values():
         _check(p)
     lat_c, lon_c = _inputs(lat, lon)
-    names = ("lat", "lon", "zone", "sin", "lam", "t", "xi", "eta", "e", "n", "sq", "e5", "n5")
+    names = ("lat", "lon", "zone", "sin", "lam", "t", "xi", "eta", "rho", "e", "n", "sq", "e5",
+             "n5")
     t = {k: f"_mgrs_{k}" for k in names}
     out = df.select("*", lat_c.alias(t["lat"]), lon_c.alias(t["lon"]))
     out = out.selectExpr("*", f"{_zone_sql(t['lat'], t['lon'])} AS {t['zone']}")
     out = out.selectExpr(
         "*", f"sin({t['lat']} * {_d(DEG)}) AS {t['sin']}",
-        f"({t['lon']} - ({t['zone']} * 6 - 183)) * {_d(DEG)} AS {t['lam']}")
+        f"({t['lon']} - ({t['zone']} * 6 - 183)) * {_d(DEG)} AS {t['lam']}",
+        f"{_polar_radius_sql(t['lat'], t['lon'])} AS {t['rho']}")
     out = out.selectExpr(
         "*", f"sinh(atanh({t['sin']}) - atanh({t['sin']} * {_d(ECC)}) * {_d(ECC)}) AS {t['t']}")
     out = out.selectExpr(
@@ -219,12 +303,15 @@ def with_mgrs(df: DataFrame, lat, lon, precisions: dict[str, int] | None = None)
         k = _d(2.0 * j)
         e_sum = f"({e_sum} + cos({t['xi']} * {k}) * sinh({t['eta']} * {k}) * {_d(a)})"
         n_sum = f"({n_sum} + sin({t['xi']} * {k}) * cosh({t['eta']} * {k}) * {_d(a)})"
+    utm = f"CASE WHEN {t['rho']} IS NULL THEN"
     out = out.selectExpr(
-        "*", f"{e_sum} * {_d(K0A)} + {_d(FALSE_EASTING)} AS {t['e']}",
-        f"{n_sum} * {_d(K0A)} + CASE WHEN {t['lat']} < 0.0D THEN {_d(FALSE_NORTHING_SOUTH)} "
-        f"ELSE 0.0D END AS {t['n']}")
+        "*", f"{utm} {e_sum} * {_d(K0A)} + {_d(FALSE_EASTING)} "
+        f"ELSE {_polar_easting_sql(t['lon'], t['rho'])} END AS {t['e']}",
+        f"{utm} {n_sum} * {_d(K0A)} + CASE WHEN {t['lat']} < 0.0D THEN {_d(FALSE_NORTHING_SOUTH)} "
+        f"ELSE 0.0D END ELSE {_polar_northing_sql(t['lat'], t['lon'], t['rho'])} END AS {t['n']}")
     out = out.selectExpr(
-        "*", f"{_square_sql(t['lat'], t['lon'], t['zone'], t['e'], t['n'])} AS {t['sq']}",
+        "*", f"{utm} {_square_sql(t['lat'], t['lon'], t['zone'], t['e'], t['n'])} "
+        f"ELSE {_polar_square_sql(t['lat'], t['e'], t['n'])} END AS {t['sq']}",
         f"floor({t['e']}) % 100000 AS {t['e5']}", f"floor({t['n']}) % 100000 AS {t['n5']}")
 
     def digits(c: str, p: int) -> str:
@@ -247,8 +334,9 @@ def coarsen(gridid, precision: int, from_precision: int = 3) -> Column:
     g = _c(gridid)
     if precision == from_precision:
         return g
+    # all but the digits: five characters, or three on the polar grid
+    prefix = F.length(g) - 2 * from_precision
     return F.concat(
-        F.substring(g, 1, 5),
-        F.substring(g, 6, precision),
-        F.substring(g, 6 + from_precision, precision),
+        F.substr(g, F.lit(1), prefix + precision),
+        F.substr(g, prefix + 1 + from_precision, F.lit(precision)),
     )

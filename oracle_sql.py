@@ -21,6 +21,14 @@ LAT_BANDS = "CDEFGHJKLMNPQRSTUVWXX"
 COLUMN_LETTERS = ("ABCDEFGH", "JKLMNPQR", "STUVWXYZ")
 ROW_LETTERS_ODD = "ABCDEFGHJKLMNPQRSTUV"
 ROW_LETTERS_EVEN = "FGHJKLMNPQRSTUVABCDE"
+# polar grid: metres from the pole a unit of exp(-isometric latitude), with the scale 0.994
+POLAR_RADIUS = 12637318.498257403
+POLAR = {  # letter -> (column letters, first easting, row letters, first northing)
+    "A": ("JKLPQRSTUXYZ", 800000, "ABCDEFGHJKLMNPQRSTUVWXYZ", 800000),
+    "B": ("ABCFGHJKLPQR", 2000000, "ABCDEFGHJKLMNPQRSTUVWXYZ", 800000),
+    "Y": ("JKLPQRSTUXYZ", 800000, "ABCDEFGHJKLMNP", 1300000),
+    "Z": ("ABCFGHJ", 2000000, "ABCDEFGHJKLMNP", 1300000),
+}
 # output column -> SQL over the call columns
 KPI = {
     "rsrp_dbm": "avg(rsrp_dbm)",
@@ -135,6 +143,44 @@ def mgrs(lat: str, lon_in: str, p: int) -> str:
     return f"(CASE WHEN {valid} THEN ({' || '.join(parts)}) END)"
 
 
+#: Points of the polar areas, one for each event.
+POLAR_POINTS = """
+SELECT event_id,
+  CASE event_id % 4 WHEN 0 THEN 84e0 + ((event_id * 37) % 6001) / 1000e0
+                    WHEN 1 THEN -80e0 - ((event_id * 41) % 10001) / 1000e0
+                    WHEN 2 THEN 90e0 - ((event_id * 43) % 977) / 1e5
+                    ELSE -90e0 + ((event_id * 47) % 89) * 25e-2 END AS lat,
+  CASE WHEN event_id % 5 = 0 THEN ((event_id // 5) % 9) * 45e0 - 180e0
+       ELSE ((event_id * 7919) % 360001) / 1000e0 - 180e0 END AS lon
+FROM events"""
+
+
+def polar_grid_ids(precisions: dict[str, int]) -> str:
+    """Ids of POLAR_POINTS; points short of the polar areas take the other grid."""
+    t = (f"tan((90e0 - abs(lat)) * {d(DEG / 2)}) "
+         f"* exp(atanh(sin(abs(lat) * {d(DEG)}) * {d(ECC)}) * {d(ECC)})")
+    lines = " ".join(
+        f"""WHEN '{k}' THEN '{k}' || substr('{cols}', CAST(floor((e - {fe}) / 1e5) AS BIGINT) + 1, 1)
+            || substr('{rows}', CAST(floor((n - {fn}) / 1e5) AS BIGINT) + 1, 1)"""
+        for k, (cols, fe, rows, fn) in POLAR.items())
+    ids = ", ".join(
+        f"CASE WHEN polar THEN sq || " + " || ".join(
+            f"lpad(CAST((CAST(floor({x}) AS BIGINT) % 100000) // {10 ** (5 - p)} AS VARCHAR), {p}, '0')"
+            for x in ("e", "n")) + f" ELSE {mgrs('lat', 'lon', p)} END AS {name}"
+        for name, p in precisions.items())
+    return f"""
+WITH points AS ({POLAR_POINTS}),
+r AS (SELECT *, (lat > 84e0 OR lat < -80e0) AS polar, {t} * {d(POLAR_RADIUS)} AS radius FROM points),
+en AS (SELECT *,
+         2e6 + radius * CASE WHEN lon IN (0e0, 180e0, -180e0) THEN 0e0 ELSE sin(lon * {d(DEG)}) END AS e,
+         2e6 - radius * sign(lat) * CASE WHEN abs(lon) = 90e0 THEN 0e0 ELSE cos(lon * {d(DEG)}) END
+           AS n FROM r),
+q AS (SELECT *, CASE WHEN lat > 0 THEN CASE WHEN e >= 2e6 THEN 'Z' ELSE 'Y' END
+                     ELSE CASE WHEN e >= 2e6 THEN 'B' ELSE 'A' END END AS zone FROM en),
+s AS (SELECT *, CASE WHEN polar THEN CASE zone {lines} END END AS sq FROM q)
+SELECT event_id, lat, lon, {ids} FROM s"""
+
+
 def grid_cte(p: int, id_col: str, where: str = "") -> str:
     """CTE body: (id, gridid) per call row at precision ``p``."""
     return (f"SELECT {id_col} AS id, {mgrs('end_latitude', 'end_longitude', p)} AS gridid "
@@ -217,6 +263,7 @@ GROUP BY n_name, c_custkey"""
         f"WITH calls AS ({CALLS}) SELECT event_id, "
         + ", ".join(f"{mgrs('end_latitude', 'end_longitude', p)} AS g{p}" for p in (3, 2, 1))
         + " FROM calls")
+    o["polar_grid_ids"] = polar_grid_ids({"g5": 5, "g3": 3, "g2": 2, "g1": 1})
     o["cast_all_except"] = """
 SELECT CAST(event_id AS DOUBLE) AS event_id, ts, CAST(user_id AS DOUBLE) AS user_id, event_type,
        value, TRY_CAST(props AS DOUBLE) AS props,

@@ -31,7 +31,7 @@ def test_single_column_form_matches_staged(spark):
 
 
 def test_edge_inputs(spark):
-    rows = [(None, "1.0"), ("95", "1.0"), ("abc", "2"), ("NaN", "3"), ("-80.5", "3"),
+    rows = [(None, "1.0"), ("95", "1.0"), ("abc", "2"), ("NaN", "3"), ("-90.5", "3"),
             ("10", "181"), ("10", "180"), ("84", "0"), ("-80", "0"), (" 21.3069", "-157.8583")]
     df = spark.createDataFrame(rows, "lat string, lon string")
     out = with_mgrs(df, "lat", "lon", {"g": 3}).select("g", located("lat", "lon").alias("ok"))
@@ -81,8 +81,47 @@ def test_column_and_sql_forms_agree_worldwide(spark):
 def test_unbounded_coordinates_give_null(spark):
     """Under ANSI rules one huge or infinite value must not end the job."""
     rows = [("10", x) for x in ("1e20", "Infinity", "-Infinity", "NaN", "-1e308", "180.0001")]
-    rows += [(x, "10") for x in ("1e20", "Infinity", "-Infinity", "NaN", "84.0001", "")]
+    rows += [(x, "10") for x in ("1e20", "Infinity", "-Infinity", "NaN", "90.0001", "")]
     df = spark.createDataFrame(rows, "lat string, lon string")
     assert all(r.g is None for r in with_mgrs(df, "lat", "lon", {"g": 3}).collect())
     assert all(r.g is None for r in df.select(mgrs("lat", "lon", 3).alias("g")).collect())
     assert not any(r.ok for r in df.select(located("lat", "lon").alias("ok")).collect())
+
+
+# (lat, lon, id). The first has published coordinates, 1530125.78 E 2426773.60 N (DMA TM
+# 8358.2); the poles are the grid's origins; the rest follow from the letter tables.
+POLAR = [
+    (84 + 17 / 60 + 14.042 / 3600, -(132 + 14 / 60 + 52.761 / 3600), "YTM3012526773"),
+    (90.0, 0.0, "ZAH0000000000"), (90.0, -77.0, "ZAH0000000000"),
+    (-90.0, 0.0, "BAN0000000000"), (-90.0, 180.0, "BAN0000000000"),
+    (88.0, 90.0, "ZCH2206900000"), (88.0, -90.0, "YXH7793000000"),
+    (84.0, 0.0, "31XDP6500529005"), (-80.0, 0.0, "31CDM4186716915"),  # the other grid's edge
+    (84.0001, 0.0, "ZAA0000033283"), (-80.0001, 180.0, "BAA0000087060"),
+    (-80.0001, -180.0, "BAA0000087060"),
+]
+
+
+def test_polar_vectors_and_their_coarse_cells(spark):
+    df = spark.createDataFrame([p[:2] for p in POLAR], "lat double, lon double")
+    out = with_mgrs(df, "lat", "lon", {"g": 5, "square": 0}).select(
+        "*", mgrs("lat", "lon", 5).alias("one"), located("lat", "lon").alias("ok"),
+        *[coarsen("g", p, 5).alias(f"c{p}") for p in (3, 0)]).collect()
+    for r, (_, _, want) in zip(out, POLAR):
+        head, digits = want[:-10], want[-10:]
+        assert (r.g, r.one, r.ok, r.square) == (want, want, True, head)
+        assert (r.c3, r.c0) == (head + digits[:3] + digits[5:8], head)
+
+
+def test_polar_forms_agree_and_squares_are_all_known(spark):
+    rng = random.Random(11)
+    pts = [(rng.choice([1, -1]) * rng.uniform(79.5, 90.0), rng.uniform(-180, 180))
+           for _ in range(20_000)]
+    df = spark.createDataFrame(pts, "lat double, lon double")
+    rows = with_mgrs(df, "lat", "lon", {"a": 4}).select(
+        "a", mgrs("lat", "lon", 4).alias("b"), "lat", "lon").collect()
+    for r in rows:
+        assert r.a == r.b and r.a
+        if r.lat > 84:
+            assert len(r.a) == 11 and r.a[0] == ("Z" if r.lon >= 0 else "Y")
+        elif r.lat < -80:
+            assert len(r.a) == 11 and r.a[0] == ("B" if r.lon >= 0 else "A")
