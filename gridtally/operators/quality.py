@@ -20,8 +20,9 @@ def reconcile(left: DataFrame, right: DataFrame, col: str,
     Duplicates count: an id twice on the left and once on the right is reported
     once. Left rows weigh +1 and right rows -1; one partial aggregation by id
     gives both sides in one shuffle, and an id's rows are then repeated by its
-    weight: cut into chunks of ``COPIES``, which are dealt to all tasks, so that no
-    id makes one large array or rests in one task. NULL ids are one id.
+    weight: cut into chunks of ``COPIES``, which are dealt by ranges of (id, chunk), so
+    that no id makes one large array or rests in one task and a retried task deals
+    alike. NULL ids are one id.
     """
     weighed = left.select(col, F.lit(1).alias("_w")).unionByName(
         right.select(col, F.lit(-1).alias("_w")))
@@ -29,9 +30,9 @@ def reconcile(left: DataFrame, right: DataFrame, col: str,
     n, chunk = F.abs("_w"), F.lit(COPIES).cast("long")
     chunks = rest.select(col, "_w", F.explode(F.sequence(F.lit(0).cast("long"), n - 1, chunk)).alias(
         "_from")).select(col, F.when(F.col("_w") > 0, labels[0]).otherwise(labels[1]).alias("_side"),
-                         F.least(chunk, n - F.col("_from")).cast("int").alias("_n"))
+                         "_from", F.least(chunk, n - F.col("_from")).cast("int").alias("_n"))
     width = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = chunks.repartition(width)
+    dealt = chunks.repartitionByRange(width, col, "_from")
     return dealt.select(col, F.explode(F.array_repeat("_side", F.col("_n"))).alias("side"))
 
 
