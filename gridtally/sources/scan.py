@@ -1,18 +1,20 @@
 """Day-partitioned CSV scans of call records.
 
 Layout: ``<root>/UTC_date=<yyyyMMdd>/`` (on some days with ``UTC_hour=`` folders
-below), headered CSV, all text. Files are taken by their own header: the first
-line of every file is read on the driver (metadata only), files are grouped by
-header and folder depth, and each group is one scan, so columns are never mixed
-up, whether headers differ between days, between hours or between files. A
-source whose layout never changes is one scan.
+below), headered CSV, all text. Files are taken by their own header: one Spark job
+reads the first line of every file, many files a task, and counts headers by folder;
+folders are grouped by header and depth, and each group is one scan, so columns are
+never mixed up, whether headers differ between days, between hours or between files. A
+source whose layout never changes is one scan. The driver sees one row for each folder
+and header in it, and files by name only where a folder holds several headers.
 """
 
 from __future__ import annotations
 
 import csv
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,55 +63,121 @@ def day_report(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame
     return spark.createDataFrame(rows, "day string, present boolean, latest_day string")
 
 
-def _files(spark: SparkSession, folder: str) -> list[str]:
-    """Data files below a folder; hidden and empty ones are left out."""
-    p, fs = _filesystem(spark, folder)
-    found, listing = [], fs.listFiles(p, True)
-    while listing.hasNext():
-        status = listing.next()
-        below = status.getPath().toString()[len(fs.makeQualified(p).toString()):]
-        if status.getLen() and not any(x[:1] in ("_", ".") for x in below.split("/") if x):
-            found.append(status.getPath().toString())
-    return sorted(found)
+#: Each file is one split of its own, of which only the first line is asked for.
+_FIRST_LINE_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(1 << 60),
+    "spark.sql.files.openCostInBytes": str(1 << 60),
+    "spark.sql.adaptive.enabled": "false",
+}
+#: Files that a task opens; a reader is closed when its task ends.
+_FILES_A_TASK = 256
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """A CSV file's column names, from its first line."""
-    jvm = spark.sparkContext._jvm
-    p, fs = _filesystem(spark, path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
-    stream = fs.open(p)
-    stream = codec.createInputStream(stream) if codec is not None else stream
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        line = reader.readLine()
-    finally:
-        reader.close()
-    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+def _first_of_each_partition(df: DataFrame) -> DataFrame:
+    """The first row of every partition: the limit that Spark puts below a global one.
+
+    The DataFrame API has no name for it by itself. A task stops reading at its row.
+    """
+    spark = df.sparkSession
+    local = df.limit(1)._jdf.logicalPlan().child()  # the global limit's child
+    rows = spark.sparkContext._jvm.org.apache.spark.sql.classic.Dataset.ofRows(
+        spark._jsparkSession, local)
+    return DataFrame(rows, spark)
+
+
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(folder, name, line): the first line of every data file below ``paths``.
+
+    Hidden and empty files are left out. A task takes many files, one after the other,
+    and reads no further than a buffer into each.
+    """
+    apart = spark.newSession()  # its settings are for this scan alone
+    for k, v in _FIRST_LINE_CONF.items():
+        apart.conf.set(k, v)
+    lines = apart.read.option("recursiveFileLookup", True).text(list(paths))
+    first = _first_of_each_partition(lines.select(F.col("_metadata.file_path").alias("path"), "value"))
+    files = first._jdf.queryExecution().toRdd().getNumPartitions()
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-files // _FILES_A_TASK))
+    return first.coalesce(tasks).select(
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"),
+        F.regexp_extract("path", "([^/]*)$", 1).alias("name"), F.col("value").alias("line"))
+
+
+def _one_file_a_folder(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The first data file by name of every folder below ``paths`` (metadata only)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    found = files.where("length > 0").select("path").groupBy(
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).agg(F.min("path").alias("path"))
+    return [r["path"] for r in found.collect()]
+
+
+def _parsed(line: str) -> tuple[str, ...]:
+    """Column names of a CSV header line."""
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
+
+
+def _glob(name: str) -> str:
+    return "".join("\\" + c if c in "\\*?[]{}," else c for c in name)
+
+
+def layouts(spark: SparkSession, paths: Sequence[str],
+            same_in_folder: bool = False) -> dict[tuple, list[str]]:
+    """(column names, partition keys of the path) -> paths to read with that header.
+
+    A path is a folder whose files share the header, or else a pattern of file names.
+    ``same_in_folder`` is the caller's word that all files of a folder have the same
+    header: one file a folder is opened. A column named twice in a header is an error.
+    """
+    if not paths:
+        return {}
+    opened = _one_file_a_folder(spark, paths) if same_in_folder else paths
+    if not opened:
+        return {}
+    lines = _first_lines(spark, opened)
+    headers = defaultdict(list)
+    for r in lines.groupBy("folder", "line").agg(F.min("name").alias("name")).collect():
+        headers[unquote(r["folder"])].append((r["line"], r["name"]))
+    for folder, found in headers.items():
+        for line, name in found:
+            names = _parsed(line)
+            if len(set(names)) < len(names):
+                raise ValueError(f"{folder}/{unquote(name)}: a column is named twice")
+
+    parents = {f.rsplit("/", k)[0] for f in headers for k in range(1, f.count("/"))}
+    groups: dict[tuple, list[str]] = defaultdict(list)
+
+    def add(folder: str, line: str, path: str) -> None:
+        keys = tuple(x.split("=")[0] for x in folder.split("/") if "=" in x)
+        groups[_parsed(line), keys].append(path)
+
+    # a folder is read as one unless it has several headers or data folders below
+    mixed = [f for f, found in headers.items() if len(found) > 1 or f in parents]
+    for folder in headers.keys() - set(mixed):
+        add(folder, headers[folder][0][0], folder)
+    if mixed:
+        by_name = defaultdict(list)
+        inside = set(mixed)
+        for r in _first_lines(spark, mixed).collect():
+            if unquote(r["folder"]) in inside:
+                by_name[unquote(r["folder"]), r["line"]].append(unquote(r["name"]))
+        for (folder, line), names in by_name.items():
+            add(folder, line, folder + "/{" + ",".join(map(_glob, sorted(names))) + "}")
+    return {k: sorted(v) for k, v in groups.items()}
 
 
 def scan_days(spark: SparkSession, root: str, days: Iterable[str],
-              columns: Sequence[str] = CALL_COLUMNS) -> DataFrame:
+              columns: Sequence[str] = CALL_COLUMNS, same_in_folder: bool = False) -> DataFrame:
     """Rows of the listed days, all text, plus ``UTC_date``.
 
     Columns are found by header name; a column that a file does not have is NULL
     there, and columns that were not asked for are ignored. ``UTC_hour=``
     folders are read and need not exist on every day. Days without a folder
     give no rows (see ``missing_days``). A column named twice in one header is
-    an error.
+    an error. ``same_in_folder``: see ``layouts``.
     """
     root = root.rstrip("/")
-    files = [f for d in days if _exists(spark, day_path(root, d))
-             for f in _files(spark, day_path(root, d))]
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda f: _header(spark, f), files))
-    groups: dict[tuple, list[str]] = {}
-    for f, header in zip(files, headers):
-        if len(set(header)) < len(header):
-            raise ValueError(f"{f}: a column is named twice")
-        depth = tuple(x.split("=")[0] for x in f.split("/") if "=" in x)
-        groups.setdefault((header, depth), []).append(f)
+    present = [day_path(root, d) for d in dict.fromkeys(days) if _exists(spark, day_path(root, d))]
+    groups = layouts(spark, present, same_in_folder)
     out = spark.createDataFrame([], text_schema(columns).add(DAY_PARTITION, T.StringType()))
     for n, ((header, _), members) in enumerate(sorted(groups.items())):
         raw = (spark.read.schema(text_schema(header)).option("header", True)

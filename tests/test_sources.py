@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 
@@ -68,6 +69,75 @@ def test_hour_folders_on_some_days_and_swapped_headers_in_a_day(spark, tmp_path)
         scan_days(spark, root, ["20240103"], columns=["a"])
 
 
+def _small_files(root, days, per_day, header=lambda day, k: ["a", "b"]):
+    for day in days:
+        d = os.path.join(root, f"UTC_date={day}")
+        os.makedirs(d, exist_ok=True)
+        for k in range(per_day):
+            names = header(day, k)
+            with open(os.path.join(d, f"part-{k:05d}.csv"), "w") as f:
+                f.write(",".join(names) + "\n" + ",".join(f"{n}{day}{k}" for n in names) + "\n")
+
+
+def test_ten_thousand_small_files_with_some_swapped_headers(spark, tmp_path):
+    root, days = str(tmp_path / "many"), [f"202401{d:02d}" for d in range(1, 11)]
+    # day 4 holds both headers, day 7 the other one only
+    _small_files(root, days, 1000, lambda day, k: ["b", "a"] if day == "20240107" or (
+        day == "20240104" and k % 10 == 3) else ["a", "b"])
+    for same in (False, True):
+        if same:
+            days = [d for d in days if d != "20240104"]
+        df = scan_days(spark, root, days, columns=["a", "b"], same_in_folder=same)
+        bad = df.where(~F.expr("a like 'a' || UTC_date || '%' and substr(a, 2) = substr(b, 2)"))
+        assert df.count() == 1000 * len(days) == df.distinct().count() and bad.count() == 0
+
+
+def test_gateway_calls_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    client = spark.sparkContext._gateway._gateway_client
+    send, calls = client.send_command, []
+
+    def counted(command, *args, **kwargs):
+        if command.startswith("c\n"):  # a method call, not the release of an old object
+            calls.append(command)
+        return send(command, *args, **kwargs)
+
+    monkeypatch.setattr(client, "send_command", counted)
+
+    def cost(name, per_day, **options):
+        root = str(tmp_path / name)
+        _small_files(root, ["20240101", "20240102"], per_day,
+                     lambda day, k: ["a", "b"] if day == "20240101" or k else ["b", "a"])
+        calls.clear()
+        days = ["20240101", "20240102"] if not options else ["20240101"]
+        scan_days(spark, root, days, columns=["a", "b"], **options)
+        return len(calls)
+
+    cost("first", 3)  # class names are looked up once
+    assert abs(cost("few", 3) - cost("more", 90)) <= 3
+    assert abs(cost("few_same", 3, same_in_folder=True) - cost("more_same", 90, same_in_folder=True)) <= 3
+
+
+def test_layouts_of_odd_folders(spark, tmp_path):
+    root = str(tmp_path / "odd place")  # a blank in the path
+    _write_day(root, "20240101", ["a", "b"], [("a1", "b1")])
+    _write_day(root, "20240101/UTC_hour=05", ["a", "b"], [("a2", "b2")])  # files beside folders
+    day = os.path.join(root, "UTC_date=20240102")
+    os.makedirs(day)
+    for name, text in (("x{1},[y].csv", "a,b\na3,b3\n"), ("x2.csv", "b,a\nb4,a4\n"),
+                       ("_hidden.csv", "z\n1\n"), (".dot.csv", "z\n1\n"), ("empty.csv", ""),
+                       ("bom.csv", "\ufeffa,b\na5,b5\n"), ("only_header.csv", "a,b\n")):
+        with open(os.path.join(day, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    with gzip.open(os.path.join(day, "z.csv.gz"), "wt") as f:
+        f.write("b,a\nb6,a6\n")
+    os.makedirs(os.path.join(root, "UTC_date=20240103"))  # a day without files
+    df = scan_days(spark, root, ["20240101", "20240102", "20240103"], columns=["a", "b"])
+    assert sorted(map(tuple, df.collect())) == [
+        (f"a{k}", f"b{k}", "20240101" if k < 3 else "20240102") for k in range(1, 7)]
+    assert scan_days(spark, root, ["20240103"], columns=["a"]).count() == 0
+    assert scan_days(spark, root, ["20240103"], columns=["a"], same_in_folder=True).count() == 0
+
+
 def test_sink_round_trips(spark):
     df = spark.range(100).select(
         F.col("id"), (F.col("id") / 3).alias("x"),
