@@ -37,7 +37,9 @@ from gridtally.plans.session import staging_path  # noqa: E402
 from gridtally.sources.alerts import ALERT_FIELDS, read_alerts  # noqa: E402
 from gridtally.sources.calls import calls_from_events  # noqa: E402
 from gridtally.sources.scan import day_report, scan_days  # noqa: E402
-from gridtally.sources.sinks import preview, read_csv, write_csv, write_parquet  # noqa: E402
+from gridtally.sources.sinks import (  # noqa: E402
+    preview, read_csv, read_prefix, write_csv, write_parquet, write_ranged,
+)
 
 # The training-data operators are an optional subpackage: without its folder and
 # corpus_pipeline.py the other queries still register. An error inside it is raised.
@@ -325,6 +327,17 @@ def _csv_round_trip(gzip: bool):
     return run
 
 
+PREFIX = "04QFJ5"
+
+
+def q_grid_prefix_read(spark, sf_dir):
+    """eNB coverage at 100 m, written in ranges of grid id and rank; one prefix is read."""
+    path = staging_path(spark, "enb_cover_100_ranged")
+    write_ranged(_cover("current_enodeb_id", "enb", 100)(spark, sf_dir), path,
+                 ["gridid", "is_other", "rank"], files=16)
+    return read_prefix(spark, path, "gridid", PREFIX)
+
+
 def alerts_from_calls(calls: DataFrame) -> DataFrame:
     """Alert-shaped text records per (eNB, day), derived from call rows."""
     day = F.to_date("ts")
@@ -400,6 +413,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parquet_round_trip": q_parquet_round_trip,
         "csv_round_trip": _csv_round_trip(False),
         "csv_gzip_round_trip": _csv_round_trip(True),
+        "grid_prefix_read": q_grid_prefix_read,
         "json_alerts": q_json_alerts,
         "preview_20": q_preview_20,
         "missing_day_report": q_missing_day_report,

@@ -104,7 +104,8 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
     n + 1 rows per cell), and each resolution is written as CSV
     (``<out_root>/<kind>_cover_<r>``). ``stamp`` defaults to the window's
     first day for eNB and its last day for gNB. Rows are ordered by grid and
-    rank inside each output file (``sort_within``). With ``keep_going`` a
+    rank (``sort_within``) inside each output file, and files hold ranges of that order,
+    so a cell's rows are in one file or in neighbours. With ``keep_going`` a
     failed resolution does not stop the others; the first error is raised
     after all were attempted. ``reference_layout`` writes only the original
     five columns (``date_td, cnt, <kind>, gridid, pct``) for readers of the
@@ -132,11 +133,14 @@ def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
             n_files = files.get(r)
             if reference_layout:
                 # shape and order the files first, then keep the five columns
-                df = df.repartition(n_files) if n_files else df
+                if n_files and sort_within:
+                    df = df.repartitionByRange(n_files, *sort_within)
+                elif n_files:
+                    df = df.repartition(n_files)
                 df = df.sortWithinPartitions(*sort_within) if sort_within else df
                 write_csv(df.select("date_td", "cnt", kind, "gridid", "pct"), path, gzip=gzip)
             else:
-                write_csv(df, path, files=n_files, gzip=gzip, sort_within=sort_within)
+                write_csv(df, path, files=n_files, gzip=gzip, sort_within=sort_within, ranges=True)
             paths[r] = path
         except Exception as e:  # noqa: BLE001 - reported after the other resolutions
             if not keep_going:

@@ -413,6 +413,8 @@ SELECT * FROM events QUALIFY row_number() OVER (
     o["parquet_round_trip"] = cov
     o["csv_round_trip"] = cov
     o["csv_gzip_round_trip"] = cov
+    o["grid_prefix_read"] = (f"SELECT * FROM ({coverage('current_enodeb_id', 'enb', 3, date_td)}) "
+                             "WHERE gridid LIKE '04QFJ5%'")
     o["json_alerts"] = f"""
 WITH calls AS ({CALLS}),
 g AS (SELECT current_enodeb_id AS enodeb, CAST(ts AS DATE) AS day,
