@@ -27,11 +27,16 @@ from gridtally.functions.columns import (  # noqa: E402
 from gridtally.functions.dates import day_str, trailing_days, weekly_window  # noqa: E402
 from gridtally.functions.grid import coarsen, mgrs, with_mgrs  # noqa: E402
 from gridtally.operators.bursts import access_bursts, burst_witnesses  # noqa: E402
-from gridtally.operators.cover import coverage, coverage_all, topn_with_others  # noqa: E402
+from gridtally.operators.cover import (  # noqa: E402
+    coverage, coverage_all, coverage_from_pairs, topn_with_others,
+)
 from gridtally.operators.kpi import grid_kpi  # noqa: E402
 from gridtally.operators.quality import (  # noqa: E402
     day_gaps, dedup_keys, freshness, profile, reconcile, sample_by_hash,
 )
+from gridtally.operators.states import (  # noqa: E402
+    add_days, kpi_from_states, pairs_of_days, slide_pairs, stored_days,
+)
 from gridtally.operators.text import corpus_token_counts, doc_token_counts  # noqa: E402
 from gridtally.plans.session import staging_path  # noqa: E402
 from gridtally.sources.alerts import ALERT_FIELDS, read_alerts  # noqa: E402
@@ -105,6 +110,59 @@ def q_grid_kpi(spark, sf_dir):
                     start_week=KPI_WEEK[0], end_week=KPI_WEEK[1])
 
 
+ALL_DAYS = ("20231201", "20240229")  # holds every event
+
+
+def _day_states(spark, sf_dir) -> str:
+    """The day states of all calls, stored; the calls are not needed again."""
+    root = staging_path(spark, "day_states")
+    calls = _calls(spark, sf_dir)
+    days = [r[0] for r in calls.select("UTC_date").distinct().collect()]
+    add_days(calls, root, days, {"enb": "current_enodeb_id", "gnb": "serving_nr_cell_id"})
+    return root
+
+
+def q_kpi_from_day_states(spark, sf_dir):
+    """The KPI table over all days, merged from the states of each day."""
+    return kpi_from_states(spark, _day_states(spark, sf_dir), *ALL_DAYS)
+
+
+def q_kpi_coarse_from_day_states(spark, sf_dir):
+    """One week at 1 km from the same 100 m states."""
+    return kpi_from_states(spark, _day_states(spark, sf_dir), *KPI_WEEK, precision=2)
+
+
+def q_enb_cover_slid(spark, sf_dir):
+    """eNB coverage at 1 km of the last ten days, reached by sliding a window of ten days
+    over all days, four at a time (the last step takes what is left)."""
+    root = _day_states(spark, sf_dir)
+    days = stored_days(spark, root)
+    lo, hi = 0, min(10, len(days)) - 1
+    state = pairs_of_days(spark, root, "enb", days[lo], days[hi])
+    while hi < len(days) - 1:
+        n = min(4, len(days) - 1 - hi)
+        added = pairs_of_days(spark, root, "enb", days[hi + 1], days[hi + n])
+        dropped = pairs_of_days(spark, root, "enb", days[lo], days[lo + n - 1])
+        state = slide_pairs(state, added, dropped).checkpoint(eager=True)
+        lo, hi = lo + n, hi + n
+    pairs = state.withColumnRenamed("id", "current_enodeb_id")
+    return coverage_from_pairs(pairs, "current_enodeb_id", 3, 1000, date_td=DATE_TD)
+
+
+def q_subscriber_sketches(spark, sf_dir):
+    """Distinct subscribers at 10 km from stored sketches, held against the exact counts:
+    an estimate may be off by three standard errors (1.04 / sqrt(4096) each) and one."""
+    root = _day_states(spark, sf_dir)
+    exact, close = (kpi_from_states(spark, root, *ALL_DAYS, exact_distinct=e, precision=1).select(
+        "gridid", "env_tag", F.col("unique_imsi_cnt").alias(n)).alias(n)
+        for e, n in ((True, "n_exact"), (False, "n_sketch")))
+    both = exact.join(close, F.col("n_exact.gridid").eqNullSafe(F.col("n_sketch.gridid"))
+                      & (F.col("n_exact.env_tag") == F.col("n_sketch.env_tag")))
+    off = F.abs(F.col("n_sketch") - F.col("n_exact"))
+    return both.select("n_exact.gridid", "n_exact.env_tag", F.col("n_exact").alias("unique_imsi_cnt"),
+                       (off <= F.col("n_exact") * 0.04875 + 1).alias("sketch_is_close"))
+
+
 def q_grid_of_points(spark, sf_dir):
     calls = _calls(spark, sf_dir).select("event_id", "end_latitude", "end_longitude")
     return with_mgrs(calls, "end_latitude", "end_longitude",
@@ -391,6 +449,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q.update({
         "nation_top_customers": q_nation_top_customers,
         "grid_kpi": q_grid_kpi,
+        "kpi_from_day_states": q_kpi_from_day_states,
+        "kpi_coarse_from_day_states": q_kpi_coarse_from_day_states,
+        "enb_cover_slid": q_enb_cover_slid,
+        "subscriber_sketches": q_subscriber_sketches,
         "grid_of_points": q_grid_of_points,
         "grid_coarsen": q_grid_coarsen,
         "polar_grid_ids": q_polar_grid_ids,

@@ -16,6 +16,7 @@ from gridtally.functions.dates import window_bounds
 from gridtally.operators.quality import sample_by_hash
 from gridtally.operators.cover import RESOLUTIONS, grid_pairs, rank_resolutions
 from gridtally.operators.kpi import grid_kpi
+from gridtally.operators.states import add_days, kpi_from_states, stored_days
 from gridtally.plans.session import shared_dir
 from gridtally.sources.calls import DATE_COLUMNS, STRING_COLUMNS
 from gridtally.sources.scan import DAY_PARTITION, missing_days, scan_days
@@ -87,6 +88,31 @@ def kpi_job(spark: SparkSession, root: str, as_of: str, out: str,
     return kpi
 
 
+def kpi_state_job(spark: SparkSession, root: str, state_root: str, as_of: str, out: str,
+                  files: int | None = None, exact_distinct: bool = True, allow_missing: bool = False,
+                  trailing: int | None = None) -> list[str]:
+    """``kpi_job`` from stored day states: only days that are not stored yet are scanned.
+
+    Returns those days. The states (``operators.states``) hold the pair counts of both
+    coverage jobs as well. A day of the window must be stored or have a folder, unless
+    ``allow_missing``.
+    """
+    start, end = job_days(as_of, "kpi", trailing)
+    window = days_between(start, end)
+    wanted = sorted(set(window) - set(stored_days(spark, state_root)))
+    absent = missing_days(spark, root, wanted)
+    if absent and (not allow_missing or len(absent) == len(window)):
+        raise FileNotFoundError(f"no data under {root} for {', '.join(absent)}")
+    new = [d for d in wanted if d not in absent]
+    if new:
+        typed = cast_all_except(scan_days(spark, root, new),
+                                [*STRING_COLUMNS, *DATE_COLUMNS, DAY_PARTITION])
+        add_days(typed, state_root, new, ID_COLUMN)
+    kpi = kpi_from_states(spark, state_root, start, end, exact_distinct)
+    write_parquet(kpi, out, files=files)
+    return new
+
+
 def coverage_job(spark: SparkSession, root: str, as_of: str, out_root: str,
                  kind: str = "enb", resolutions: Sequence[int] = (100, 1000, 10000),
                  n: int = 10, files: dict[int, int] | None = None, gzip: bool | None = None,

@@ -221,10 +221,10 @@ def coverage_all(id_col: str, id_name: str, date_td: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-def grid_kpi(week: tuple[str, str]) -> str:
+def grid_kpi(week: tuple[str, str], p: int = 3) -> str:
     aggs = [f"{e if e.startswith('avg') else f'CAST({e} AS DOUBLE)'} AS {out}"
             for out, e in KPI.items()]
-    g = mgrs("end_latitude", "end_longitude", 3)
+    g = mgrs("end_latitude", "end_longitude", p)
     return f"""
 WITH calls AS ({CALLS}),
 t AS (SELECT *, CASE WHEN indoor_outdoor_indicator_name = 'Indoor' THEN 'Indoor'
@@ -255,6 +255,16 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 GROUP BY n_name, c_custkey"""
     o["nation_top_customers"] = topn_others(nation_pairs, "n_name", "customer")
     o["grid_kpi"] = grid_kpi(kpi_week)
+    every = ("20231201", "20240229")
+    o["kpi_from_day_states"] = grid_kpi(every)
+    o["kpi_coarse_from_day_states"] = grid_kpi(kpi_week, 2)
+    slid = grid_cte(2, "current_enodeb_id", "WHERE UTC_date IN (SELECT DISTINCT UTC_date FROM calls "
+                    "ORDER BY UTC_date DESC LIMIT 10)")
+    slid = topn_others(f"SELECT gridid, id, count(*) AS cnt FROM ({slid}) GROUP BY gridid, id", "gridid",
+                       "enb", extra_select=f"'{date_td}' AS date_td,")
+    o["enb_cover_slid"] = f"WITH calls AS ({CALLS}) SELECT * FROM ({slid}) q"
+    o["subscriber_sketches"] = (f"SELECT gridid, env_tag, unique_imsi_cnt, true AS sketch_is_close "
+                                f"FROM ({grid_kpi(every, 1)})")
     o["grid_of_points"] = (
         f"WITH calls AS ({CALLS}) SELECT event_id, end_latitude, end_longitude, "
         + ", ".join(f"{mgrs('end_latitude', 'end_longitude', p)} AS g{p}" for p in (5, 3, 2, 1))
