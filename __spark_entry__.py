@@ -22,7 +22,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_sql as osql  # noqa: E402
 from gridtally.functions.columns import (  # noqa: E402
-    cast_all_except, clock_decimal_hours, clock_minutes, clock_to_timestamp, env_tag,
+    cast_all_except, cast_all_except_counted, cast_losses, clock_decimal_hours, clock_minutes,
+    clock_to_timestamp, env_tag,
 )
 from gridtally.functions.dates import day_str, trailing_days, weekly_window  # noqa: E402
 from gridtally.functions.grid import coarsen, mgrs, with_mgrs  # noqa: E402
@@ -32,7 +33,7 @@ from gridtally.operators.cover import (  # noqa: E402
 )
 from gridtally.operators.kpi import grid_kpi  # noqa: E402
 from gridtally.operators.quality import (  # noqa: E402
-    day_gaps, dedup_keys, freshness, profile, reconcile, sample_by_hash,
+    day_gaps, dedup_keys, freshness, profile, reconcile, sample_by_hash, sample_k,
 )
 from gridtally.operators.states import (  # noqa: E402
     add_days, kpi_from_states, pairs_of_days, slide_pairs, stored_days,
@@ -41,7 +42,7 @@ from gridtally.operators.text import corpus_token_counts, doc_token_counts  # no
 from gridtally.plans.session import staging_path  # noqa: E402
 from gridtally.sources.alerts import ALERT_FIELDS, read_alerts  # noqa: E402
 from gridtally.sources.calls import calls_from_events  # noqa: E402
-from gridtally.sources.scan import day_report, scan_days  # noqa: E402
+from gridtally.sources.scan import day_report, hour_report, scan_days  # noqa: E402
 from gridtally.sources.sinks import (  # noqa: E402
     preview, read_csv, read_prefix, write_csv, write_parquet, write_ranged,
 )
@@ -199,6 +200,22 @@ def q_cast_all_except(spark, sf_dir):
     return cast_all_except(text, keep=["ts", "event_type"])
 
 
+def q_cast_losses(spark, sf_dir):
+    """Texts of three columns that are no numbers, counted while the numbers are written."""
+    ev = _table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    text = ev.select(
+        "event_type", k.cast("string").alias("event_id"),
+        F.when(k % 7 == 0, "n/a").when(k % 11 == 0, None).when(k % 13 == 0, "")
+        .otherwise(F.col("value").cast("string")).alias("value"),
+        F.when(k % 5 == 0, F.concat(F.lit("u"), "user_id")).otherwise(
+            F.concat(F.lit(" "), "user_id")).alias("user_id"))
+    typed, seen = cast_all_except_counted(text, ["event_type"])
+    write_parquet(typed, staging_path(spark, "typed_events"))
+    return spark.createDataFrame([(c, *n) for c, n in cast_losses(seen).items()],
+                                 "column_name string, n_present long, n_lost long")
+
+
 def q_env_tag_counts(spark, sf_dir):
     calls = _calls(spark, sf_dir)
     located = calls.filter(F.col("end_latitude").isNotNull() & F.col("end_longitude").isNotNull())
@@ -231,6 +248,19 @@ def q_missing_day_report(spark, sf_dir):
     return day_report(spark, root, SCAN_DAYS)
 
 
+def q_missing_hours(spark, sf_dir):
+    """Hours without events: some are left out, and some days have no hour folders."""
+    ev = _table(spark, sf_dir, "events").select(
+        "event_id", day_str("ts").alias("UTC_date"), F.hour("ts").alias("h"), F.dayofmonth("ts").alias("d"))
+    root = staging_path(spark, "event_hours")
+    flat = F.col("d") % 5 == 0
+    kept = ev.where((F.col("d") + F.col("h")) % 7 != 0)
+    hourly = kept.where(~flat).withColumn("UTC_hour", F.lpad(F.col("h").cast("string"), 2, "0"))
+    write_parquet(hourly.drop("h", "d"), root, partition_by=["UTC_date", "UTC_hour"])
+    write_parquet(kept.where(flat).drop("h", "d"), root, partition_by=["UTC_date"], mode="append")
+    return hour_report(spark, root, SCAN_DAYS, rows=True).where("state <> 'present'")
+
+
 def q_weekly_window_counts(spark, sf_dir):
     windows = [(v, weekly_window(AS_OF, v)) for v in ("kpi", "enb", "gnb")]
     windows.append(("trailing_9", trailing_days(AS_OF, 9)))
@@ -346,6 +376,13 @@ def q_sample_md5(spark, sf_dir):
     return sample_by_hash(ev, ["group_id"], 0.1, rows_without_key=["event_id"])
 
 
+def q_sample_k_per_type(spark, sf_dir):
+    """Twenty events of each type, and of those without one."""
+    ev = _table(spark, sf_dir, "events").withColumn(
+        "kind", F.when(F.col("event_id") % 9 != 0, F.col("event_type")))
+    return sample_k(ev, ["kind"], ["user_id", "event_id"], 20)
+
+
 def q_table_profile(spark, sf_dir):
     return profile(_calls(spark, sf_dir),
                    distinct_cols=["subscriber_id", "current_enodeb_id", "serving_nr_cell_id"],
@@ -468,6 +505,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "data_freshness": q_data_freshness,
         "order_day_gaps": q_order_day_gaps,
         "sample_md5": q_sample_md5,
+        "sample_k_per_type": q_sample_k_per_type,
+        "cast_losses": q_cast_losses,
+        "missing_hours": q_missing_hours,
         "table_profile": q_table_profile,
         "doc_token_counts": q_doc_token_counts,
         "corpus_token_counts": q_corpus_token_counts,

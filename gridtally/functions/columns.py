@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,36 @@ def cast_all_except(df: DataFrame, keep: Iterable[str], to: str = "double") -> D
                       for c in df.columns])
 
 
+def cast_all_except_counted(df: DataFrame, keep: Iterable[str], to: str = "double",
+                            counted: Iterable[str] | None = None) -> tuple[DataFrame, Observation]:
+    """``cast_all_except`` that also counts the texts it could not read.
+
+    The counts are metrics of the same pass (``DataFrame.observe``): once an action has
+    run on the result, ``cast_losses`` turns the observation into (present, lost) by
+    column. ``counted`` names the columns (default: all that are cast); only these are
+    read in addition to what the action needs. Rows that a limit or a retry reads
+    more than once, or not at all, count accordingly.
+    """
+    keep = set(keep)
+    names = [c for c in df.columns if c not in keep] if counted is None else list(counted)
+    seen = Observation()
+    if not names:
+        return cast_all_except(df, keep, to), seen
+    metrics = []
+    for k, c in enumerate(names):
+        metrics += [F.count(F.col(c)).alias(f"present_{k}"),
+                    F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(to).isNull()).alias(f"lost_{k}")]
+    seen._gt_names = names
+    return cast_all_except(df.observe(seen, *metrics), keep, to), seen
+
+
+def cast_losses(seen: Observation) -> dict[str, tuple[int, int]]:
+    """Column -> (texts present, texts that became NULL), after an action has run."""
+    names = getattr(seen, "_gt_names", [])
+    found = seen.get if names else {}
+    return {c: (found[f"present_{k}"], found[f"lost_{k}"]) for k, c in enumerate(names)}
+
+
 def env_tag(indicator, indoor: str = "Indoor", outdoor: str = "Outdoor") -> Column:
     """``Indoor`` when the indicator equals it, else ``Outdoor`` (NULL too)."""
     c = F.col(indicator) if isinstance(indicator, str) else indicator

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.functions.dates import _day
@@ -134,20 +134,42 @@ def sample_by_hash(df: DataFrame, cols: Sequence[str], fraction: float,
     and are kept or dropped together, unless ``rows_without_key`` names other
     columns that decide for them one by one.
     """
-    def spelt(names: Sequence[str]) -> Column:
-        texts = [F.col(c).cast("string") for c in names]
-        return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t),
-                                     F.lit("-")) for t in texts])
-
-    key = spelt(cols)
+    key = _spelt(cols)
     if rows_without_key:
         empty = F.lit(True)
         for c in cols:
             empty = empty & F.col(c).isNull()
-        key = F.when(empty, spelt([*cols, *rows_without_key])).otherwise(key)
+        key = F.when(empty, _spelt([*cols, *rows_without_key])).otherwise(key)
     return df.filter(F.substring(F.md5(key), 1, 8) < F.lit(md5_threshold(fraction)))
 
 
+def _spelt(names: Sequence[str]) -> Column:
+    texts = [F.col(c).cast("string") for c in names]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t),
+                                 F.lit("-")) for t in texts])
+
+
+def sample_k(df: DataFrame, by: Sequence[str], key: Sequence[str], k: int) -> DataFrame:
+    """A repeatable sample of exactly ``k`` rows per group (all of them, if fewer).
+
+    The rows whose md5 of the key (spelt as in ``sample_by_hash``) is smallest; ties, which
+    only equal keys make, go by the key itself. Bottom-k samples merge: the sample of a
+    union is the sample of the union of the samples, so days can be sampled apart. Every
+    task passes on at most ``k`` rows of a group (``WindowGroupLimit``), however hot it
+    is; ``k`` is at most 1000, where Spark stops doing so. NULL groups and keys are
+    values of their own; without ``by`` the table is one group.
+    """
+    if not 1 <= k <= 1000:
+        raise ValueError("k must be between 1 and 1000")
+    marked = df.withColumn("_order", F.md5(_spelt(key)))
+    order = ["_order", *[F.col(c).asc_nulls_first() for c in key]]
+    if not by:  # a top-k of the whole table: Spark merges the tasks' own
+        return marked.orderBy(*order).limit(k).drop("_order")
+    window = Window.partitionBy(*by).orderBy(*order)
+    return marked.withColumn("_nth", F.row_number().over(window)).where(
+        F.col("_nth") <= k).drop("_order", "_nth")
+
+
 def profile(df: DataFrame, distinct_cols: Sequence[str] = (), null_cols: Sequence[str] = (),
             exact: bool = True) -> DataFrame:
     """One row: ``records`` plus ``distinct_<c>`` and ``nulls_<c>`` per column.

@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.functions.columns import cast_all_except
+from gridtally.functions.columns import cast_all_except, cast_all_except_counted, cast_losses
 from gridtally.functions.dates import window_bounds
 from gridtally.operators.quality import sample_by_hash
 from gridtally.operators.cover import RESOLUTIONS, grid_pairs, rank_resolutions
-from gridtally.operators.kpi import grid_kpi
+from gridtally.operators.kpi import KPI_MEASURES, grid_kpi
 from gridtally.operators.states import add_days, kpi_from_states, stored_days
 from gridtally.plans.session import shared_dir
 from gridtally.sources.calls import DATE_COLUMNS, STRING_COLUMNS
@@ -77,14 +77,21 @@ def kpi_job(spark: SparkSession, root: str, as_of: str, out: str,
     as_of), written as Parquet. ``sample_fraction`` keeps that share of
     subscribers. Fails, with the old output intact, if a day of the window is
     missing; ``allow_missing`` accepts that as long as one day is there.
-    Returns the (lazy) result; the write is the only action.
+    Prints how many texts of the columns it uses were no numbers, counted in the same
+    pass. Returns the (lazy) result; the write is the only action.
     """
     start, end = job_days(as_of, "kpi", trailing)
     days, _ = window_days(spark, root, start, end, allow_missing)
     calls = _sampled(scan_days(spark, root, days), sample_fraction, "subscriber_id")
-    typed = cast_all_except(calls, [*STRING_COLUMNS, *DATE_COLUMNS, DAY_PARTITION])
-    kpi = grid_kpi(typed, start_week=start, end_week=end, exact_distinct=exact_distinct)
+    kept = [*STRING_COLUMNS, *DATE_COLUMNS, DAY_PARTITION]
+    used = sorted({src for src, _, _ in KPI_MEASURES}) + ["end_latitude", "end_longitude"]
+    counted, seen = cast_all_except_counted(calls, kept, counted=used)
+    kpi = grid_kpi(counted, start_week=start, end_week=end, exact_distinct=exact_distinct,
+                   subscribers_of=cast_all_except(calls, kept))
     write_parquet(kpi, out, files=files)
+    for column, (present, lost) in cast_losses(seen).items():
+        if lost:
+            print(f"{column}: {lost} of {present} texts are no numbers")
     return kpi
 
 

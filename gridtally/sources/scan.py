@@ -189,6 +189,51 @@ def scan_days(spark: SparkSession, root: str, days: Iterable[str],
     return out
 
 
+def hour_report(spark: SparkSession, root: str, days: Sequence[str],
+                rows: bool = False) -> DataFrame:
+    """``(day, hour, state, n)`` of an expected day-by-hour grid.
+
+    A day with ``UTC_hour=`` folders gives 24 rows, ``present`` or ``missing``; a day
+    whose files lie in the day folder gives one row ``no hour folders`` and a day without
+    data files one row ``no data``, both with a NULL hour. A day that has both kinds of
+    files gives both. ``n`` is the number of bytes, from one listing; with ``rows`` the
+    files are Parquet, and it is the number of rows, from their footers. Hidden and
+    empty files do not count.
+    """
+    days = sorted(set(days))
+    present = [day_path(root, d) for d in days if _exists(spark, day_path(root, d))]
+    schema = "day string, hour int, n long"
+    if not present:
+        found = spark.createDataFrame([], schema)
+    else:
+        kind = "parquet" if rows else "binaryFile"
+        reader = spark.read.format(kind).option("recursiveFileLookup", True)
+        if rows:
+            # no column is asked for, so a file gives its footer's count
+            files = reader.schema("_none string").load(present).groupBy(
+                F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+        else:
+            files = reader.load(present).where("length > 0").select("path", F.col("length").alias("n"))
+        hour = F.regexp_extract("path", "/UTC_hour=([0-9]+)/", 1)
+        found = files.select(
+            F.regexp_extract("path", f"/{DAY_PARTITION}=([^/]+)/", 1).alias("day"),
+            hour.try_cast("int").alias("hour"), "n").groupBy("day", "hour").agg(F.sum("n").alias("n"))
+    asked = spark.createDataFrame([(d,) for d in days], "day string")
+    kinds = asked.join(found.groupBy("day").agg(
+        F.max(F.col("hour").isNotNull()).alias("hours"), F.max(F.col("hour").isNull()).alias("flat")),
+        "day", "left")
+    hours = kinds.where("hours").select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
+    hourly = hours.join(found, ["day", "hour"], "left").select(
+        "day", "hour", F.when(F.col("n").isNull(), "missing").otherwise("present").alias("state"),
+        F.coalesce("n", F.lit(0)).alias("n"))
+    flat = found.where("hour is null").select(
+        "day", "hour", F.lit("no hour folders").alias("state"), "n")
+    none = kinds.where("hours is null").select(
+        "day", F.lit(None).cast("int").alias("hour"), F.lit("no data").alias("state"),
+        F.lit(0).cast("long").alias("n"))
+    return hourly.unionByName(flat).unionByName(none)
+
+
 def read_day(spark: SparkSession, root: str, day: str,
              columns: Sequence[str] = CALL_COLUMNS) -> DataFrame:
     """One day's rows, text columns taken by header name."""

@@ -397,6 +397,33 @@ k AS (SELECT *, CASE WHEN group_id IS NULL
              ELSE len(CAST(group_id AS VARCHAR)) || ':' || CAST(group_id AS VARCHAR) END AS key
       FROM x)
 SELECT * EXCLUDE (key) FROM k WHERE substr(md5(key), 1, 8) < '19999999'"""
+    o["sample_k_per_type"] = """
+SELECT * FROM (SELECT *, CASE WHEN event_id % 9 <> 0 THEN event_type END AS kind FROM events)
+QUALIFY row_number() OVER (PARTITION BY kind ORDER BY
+  md5(len(CAST(user_id AS VARCHAR)) || ':' || CAST(user_id AS VARCHAR)
+      || len(CAST(event_id AS VARCHAR)) || ':' || CAST(event_id AS VARCHAR)), user_id, event_id) <= 20"""
+    o["cast_losses"] = """
+SELECT 'event_id' AS column_name, count(*) AS n_present, CAST(0 AS BIGINT) AS n_lost FROM events
+UNION ALL
+SELECT 'value', count(*) FILTER (WHERE event_id % 7 = 0 OR event_id % 11 <> 0),
+       count(*) FILTER (WHERE event_id % 7 = 0 OR (event_id % 11 <> 0 AND event_id % 13 = 0))
+FROM events
+UNION ALL
+SELECT 'user_id', count(user_id), count(*) FILTER (WHERE event_id % 5 = 0) FROM events"""
+    o["missing_hours"] = f"""
+WITH days AS (SELECT unnest([{', '.join(f"'{x}'" for x in scan_days)}]) AS day),
+kept AS (SELECT strftime(ts, '%Y%m%d') AS day, hour(ts) AS h, day(ts) % 5 = 0 AS flat FROM events
+         WHERE (day(ts) + hour(ts)) % 7 <> 0),
+grid AS (SELECT day, CAST(x AS INTEGER) AS h FROM (SELECT DISTINCT day FROM kept WHERE NOT flat),
+         generate_series(0, 23) t(x))
+SELECT day, h AS hour, 'missing' AS state, CAST(0 AS BIGINT) AS n FROM grid
+WHERE NOT EXISTS (SELECT 1 FROM kept WHERE kept.day = grid.day AND kept.h = grid.h)
+  AND day IN (SELECT day FROM days)
+UNION ALL
+SELECT day, NULL, 'no hour folders', count(*) FROM kept WHERE flat AND day IN (SELECT day FROM days)
+GROUP BY day
+UNION ALL
+SELECT day, NULL, 'no data', 0 FROM days WHERE day NOT IN (SELECT day FROM kept)"""
     o["table_profile"] = f"""
 WITH calls AS ({CALLS})
 SELECT count(*) AS records,

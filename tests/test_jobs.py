@@ -122,3 +122,14 @@ def test_file_counts_follow_the_resolution():
     assert file_counts("3", [100, 1000]) == {100: 3, 1000: 3}
     assert file_counts("100=200,1000=20", [100, 1000]) == {100: 200, 1000: 20}
     assert DEFAULT_FILES["gnb"][100] == 500 and DEFAULT_FILES["enb"][10000] == 2
+
+
+def test_kpi_job_prints_texts_that_are_no_numbers(spark, capsys):
+    calls = calls_from_events(spark.read.parquet(f"{SF01}/events.parquet")).where("UTC_date < '20240103'")
+    text = calls.select(*[F.col(c).cast("string").alias(c) if c in calls.columns
+                          else F.lit("?").alias(c) for c in CALL_COLUMNS], "UTC_date").withColumn(
+        "rsrp_dbm", F.when(F.col("subscriber_id") == "7", "bad").otherwise(F.col("rsrp_dbm")))
+    root, n = staging_path(spark, "trc"), calls.where("subscriber_id = '7'").count()
+    write_csv(text, root, partition_by=["UTC_date"])
+    kpi_job(spark, root, "2024-01-02", staging_path(spark, "kpi"), trailing=2)
+    assert capsys.readouterr().out == f"rsrp_dbm: {n} of {calls.count()} texts are no numbers\n" and n

@@ -1,10 +1,13 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from gridtally.functions.columns import cast_all_except, env_tag, whitespace_tokens
+from gridtally.functions.columns import (
+    cast_all_except, cast_all_except_counted, cast_losses, env_tag, whitespace_tokens,
+)
 from gridtally.operators.quality import (
-    day_gaps, dedup_keys, freshness, md5_threshold, profile, reconcile, sample_by_hash,
+    day_gaps, dedup_keys, freshness, md5_threshold, profile, reconcile, sample_by_hash, sample_k,
 )
 
 
@@ -164,3 +167,35 @@ def test_reconcile_counts_copies_in_one_shuffle(spark):
     assert got == [("", "left_only")] + [("x", "left_only")] * 3 + [("y", "right_only")] * 3
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_sample_k_is_exact_and_merges(spark):
+    df = spark.range(3000).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else 'g' || id % 40 end g")
+    whole = {tuple(r) for r in sample_k(df, ["g"], ["id"], 7).collect()}
+    sizes = {r.g: r["count"] for r in df.groupBy("g").count().collect()}
+    for g, n in sizes.items():
+        assert sum(x[1] == g for x in whole) == min(7, n)
+    parts = [sample_k(df.where(f"id % 4 = {k}"), ["g"], ["id"], 7) for k in range(4)]
+    union = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    assert {tuple(r) for r in sample_k(union, ["g"], ["id"], 7).collect()} == whole
+    assert {tuple(r) for r in sample_k(df.repartition(5), ["g"], ["id"], 7).collect()} == whole
+    assert sample_k(df, [], ["id"], 9).count() == 9
+    plan = sample_k(df, ["g"], ["id"], 7)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan  # each task's own k
+    with pytest.raises(ValueError):
+        sample_k(df, ["g"], ["id"], 0)
+
+
+def test_cast_losses_come_from_the_same_pass(spark):
+    df = spark.createDataFrame([("1", "x", "k"), (" 2.5", None, "k"), ("", "7", "k"), ("NaN", "1e3", "k")],
+                               "a string, b string, `keep me` string")
+    typed, seen = cast_all_except_counted(df, ["keep me"])
+    assert str(typed.collect()) == str(cast_all_except(df, ["keep me"]).collect())
+    assert cast_losses(seen) == {"a": (4, 1), "b": (3, 1)}
+    typed, seen = cast_all_except_counted(df, ["keep me"], counted=["b"])
+    assert typed.count() == 4 and cast_losses(seen) == {"b": (3, 1)}
+    typed, seen = cast_all_except_counted(df, df.columns)
+    assert typed.count() == 4 and cast_losses(seen) == {}
+    typed, seen = cast_all_except_counted(df.limit(0), ["keep me"])
+    assert typed.count() == 0 and cast_losses(seen) == {"a": (0, 0), "b": (0, 0)}

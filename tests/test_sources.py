@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from gridtally.plans.session import staging_path
 from gridtally.sources.alerts import ALERT_FIELDS, read_alerts
 from gridtally.sources.calls import CALL_COLUMNS, STRING_COLUMNS
-from gridtally.sources.scan import day_report, missing_days, read_day, scan_days, scan_range
+from gridtally.sources.scan import (
+    day_report, hour_report, missing_days, read_day, scan_days, scan_range,
+)
 from gridtally.sources.sinks import preview, read_csv, write_csv, write_parquet
 
 
@@ -190,3 +192,20 @@ def test_broken_alert_lines(spark, tmp_path):
     assert kept[0].enodeb == "080001" and kept[1].enodeb is None
     with pytest.raises(Exception, match="(?i)malformed"):
         read_alerts(spark, str(path)).collect()
+
+
+def test_hours_of_a_listing(spark, tmp_path):
+    root = str(tmp_path / "hours")
+    for day in ("20240101/UTC_hour=00", "20240101/UTC_hour=23", "20240102", "20240103/UTC_hour=7", "20240103"):
+        _write_day(root, day, ["a"], [("1",)])
+    os.makedirs(os.path.join(root, "UTC_date=20240104", "UTC_hour=05"))
+    with open(os.path.join(root, "UTC_date=20240101", "UTC_hour=23", "_SUCCESS"), "w") as f:
+        f.write("x")
+    rows = hour_report(spark, root, [f"2024010{d}" for d in range(1, 6)]).collect()
+    by = {(r.day, r.hour): (r.state, r.n) for r in rows}
+    assert len(rows) == len(by) == 24 + 1 + 25 + 1 + 1
+    assert by["20240101", 23] == ("present", 4) and by["20240101", 22] == ("missing", 0)
+    assert by["20240102", None] == ("no hour folders", 4)
+    assert by["20240103", 7][0] == "present" and by["20240103", None][0] == "no hour folders"
+    assert by["20240104", None] == by["20240105", None] == ("no data", 0)
+    assert hour_report(spark, root, ["20300101"]).collect()[0].state == "no data"
