@@ -14,7 +14,10 @@ from hypothesis import strategies as st
 from gridtally.llm import queries as Q
 from gridtally.llm.bpe import Monoid, parse_ranks, read_ranks
 from gridtally.llm.decontaminate import WuManber, item_words, merged, tables_of
-from gridtally.llm.html_extract import COMPACT, Page, Tree, page_votes, simple_tree_matching
+from gridtally.llm import html_extract
+from gridtally.llm.html_extract import (
+    COMPACT, Page, References, Tree, page_votes, simple_tree_matching,
+)
 from gridtally.llm.licenses import TEMPLATES, TemplateSet
 from gridtally.llm.line_dedup import CuckooFilter
 from gridtally.llm.quality_fm import FactorisationMachine
@@ -399,3 +402,70 @@ def test_lookup_table_equals_written_out_preferences():
         want[slot] = names[turn % len(names)]
         turn += 1
     assert lookup_table(names, size) == [want[i] for i in range(size)]
+
+
+def _all_alignments(a, b, x, y):
+    """The largest weight of aligning two lists of nodes, by brute force recursion."""
+    if not x or not y:
+        return 0
+    i, j = x[0], y[0]
+    best = max(_all_alignments(a, b, x[1:], y), _all_alignments(a, b, x, y[1:]))
+    if a.labels[i] == b.labels[j]:
+        text = a.labels[i] == html_extract._TEXT
+        own = 1 + (text and a.hashes[i] == b.hashes[j])
+        best = max(best, own + _all_alignments(a, b, a.kids[i], b.kids[j])
+                   + _all_alignments(a, b, x[1:], y[1:]))
+    return best
+
+
+def _random_page(rng, depth=0):
+    parts = []
+    for _ in range(rng.randrange(1, 5 if depth else 4)):
+        if depth > 2 or rng.random() < 0.35:
+            parts.append(f"<b>{rng.choice('abc')}</b>" if rng.random() < 0.5 else rng.choice(["x ", "y "]))
+        else:
+            tag = rng.choice(["div", "span", "i"])
+            parts.append(f"<{tag}>{_random_page(rng, depth + 1)}</{tag}>")
+    return "".join(parts)
+
+
+def test_matching_has_the_largest_weight():
+    rng = random.Random(8)
+    for _ in range(60):
+        a, b = (_tree(_random_page(rng)) for _ in range(2))
+        if len(a.labels) > 22 or len(b.labels) > 22:
+            continue
+        pairs = simple_tree_matching(a, b)
+        got = sum(1 + (a.labels[i] == html_extract._TEXT and a.hashes[i] == b.hashes[j]) for i, j in pairs)
+        assert got == _all_alignments(a, b, a.roots, b.roots)
+        assert len({i for i, _ in pairs}) == len(pairs) == len({j for _, j in pairs})
+
+
+def test_long_lists_of_siblings_take_time_in_proportion():
+    import time
+
+    def page(n, word, odd):
+        items = [f"<p>{word} {k}</p>" for k in range(n)]
+        items[n // 3] = "<p>shared once</p>"
+        if odd:
+            items.insert(n // 2, "<div>more</div>")
+        return _tree(f"<div><h1>top</h1>{''.join(items)}<i>end</i></div>")
+
+    start = time.process_time()
+    a, b = page(5000, "one", False), page(5000, "two", True)
+    pairs = simple_tree_matching(a, b)
+    assert time.process_time() - start < 10  # a table of all pairs takes minutes
+    same = {(a.hashes[i], b.hashes[j]) for i, j in pairs if a.hashes[i] and a.hashes[i] == b.hashes[j]}
+    assert len(same) == 3 and len(pairs) > 2 * 4990
+    assert all(a.labels[i] == b.labels[j] for i, j in pairs)
+
+
+def test_a_page_takes_the_references_of_its_layout():
+    def row(source, layout):
+        page = Page(source)
+        nodes = page.compact(page.zones())[0]
+        return {"layout": layout, "n": len(nodes), "tree": nodes.tobytes()}
+
+    refs = References([row("<p>a</p>" * 3, 1), row("<p>a</p>" * 9, 1), row("<ul><li>a</ul>" * 9, 2)])
+    assert refs.aligned(1, _tree("<p>b</p>" * 4)) == [0, 1]
+    assert refs.aligned(7, _tree("<ul><li>b</ul>")) == [2]
