@@ -76,19 +76,31 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _check_shared(folder: str, scheme: str, master: str) -> None:
+    """A local file system will do only where executors run on the driver's machine."""
+    if scheme == "file" and not master.startswith("local"):
+        raise ValueError(f"{folder} is a folder of the driver's machine, which the executors of "
+                         f"{master} do not see; set spark.checkpoint.dir to a shared folder")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
     It is ``spark.checkpoint.dir``, or a checkpoint folder set before; where
-    neither is set, a folder in the session's warehouse, which driver and
-    executors share too. Never a machine-local temporary folder.
+    neither is set, a folder in the session's warehouse. By default that is a folder
+    of the driver's machine, which executors elsewhere do not see: on a cluster a
+    warehouse on a local file system is refused, and ``spark.checkpoint.dir`` must be set.
     """
     sc = spark.sparkContext
     held = sc._jsc.sc().getCheckpointDir()
     d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and held.isDefined():
+        d = held.get()
     if not d:
-        d = held.get() if held.isDefined() else (
-            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_gridtally")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_gridtally"
+        path = sc._jvm.org.apache.hadoop.fs.Path(d)
+        scheme = path.getFileSystem(sc._jsc.hadoopConfiguration()).getUri().getScheme()
+        _check_shared(d, scheme, sc.master)
     if held.isEmpty():
         sc.setCheckpointDir(d)
     return d.rstrip("/")

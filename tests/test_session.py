@@ -36,3 +36,14 @@ def test_only_staged_folders_are_dropped(spark, tmp_path):
     with pytest.raises(ValueError):
         drop_staged(spark, str(tmp_path))
     assert spark.sparkContext.getConf().get("spark.cleaner.referenceTracking.cleanCheckpoints") == "true"
+
+
+def test_a_local_warehouse_is_refused_on_a_cluster():
+    from gridtally.plans.session import _check_shared
+
+    for master in ("local", "local[8]", "local-cluster[3,2,1024]"):
+        _check_shared("file:/home/x/spark-warehouse/_gridtally", "file", master)
+    _check_shared("hdfs://store/warehouse/_gridtally", "hdfs", "yarn")
+    for master in ("yarn", "spark://head:7077", "k8s://https://head"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            _check_shared("file:/home/x/spark-warehouse/_gridtally", "file", master)
