@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm.common import map_text
+from gridtally.llm.common import kept_beside, map_text
 
 LEAF = 24  # bytes: shorter matches are merged directly
 CACHE = 200_000  # matches whose tokens a task remembers before it starts over
@@ -156,12 +156,14 @@ def bpe_encode(df: DataFrame, text_col: str, keep: list, raw_ranks: bytes, patte
 
 
 def bpe_decode(df: DataFrame, ids_col: str, raw_ranks: bytes, out: str = "decoded") -> DataFrame:
-    """All columns of ``df`` plus the bytes that the ids stand for.
+    """All columns of ``df`` (but for one called ``out``) plus the bytes of the ids.
 
     Null ids decode to no bytes; an id outside the vocabulary is an error.
     """
+    df = df.select(*kept_beside(df, [F.col(f"`{c}`") for c in df.columns], out))
     ranks = df.sparkSession.sparkContext.broadcast(raw_ranks)
-    at = df.columns.index(ids_col)
+    at, titles = df.columns.index(ids_col), df.columns
+    df = df.toDF(*[f"_gt_c{i}" for i in range(len(titles))])  # names without dots
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator):
@@ -181,7 +183,7 @@ def bpe_decode(df: DataFrame, ids_col: str, raw_ranks: bytes, out: str = "decode
                     [*piece.columns, pa.array(made, pa.binary())], names=schema.names)
                 start += 64
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, schema).toDF(*titles, out)
 
 
 def token_digests(ids_col: str = "ids", decoded_col: str = "decoded") -> list:

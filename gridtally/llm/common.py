@@ -35,6 +35,29 @@ def id_or_lowest(col: str) -> Column:
     return F.coalesce(F.col(col).cast("long"), F.lit(LOWEST_ID))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, made longer where ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def kept_beside(df: DataFrame, keep: list[Column], *results: str) -> list[Column]:
+    """``keep`` without columns that are called like a result column.
+
+    The rule of all operators of this subpackage: a result column keeps its name, and a
+    kept column of that name, in whatever case, gives way.
+    """
+    names = df.select(*keep).columns if keep else []
+    taken = {r.lower() for r in results}
+    return [c for c, n in zip(keep, names) if n.lower() not in taken]
+
+
 def row_hash(df: DataFrame) -> Column:
     """One hash of all hashable columns: tells rows of one id apart."""
     plain = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
@@ -55,13 +78,16 @@ def map_text(df: DataFrame, columns: list[Column], text: str, func: Callable,
              out: list[T.StructField]) -> DataFrame:
     """Apply ``func`` to the UTF-8 bytes of a text column, batch by batch.
 
-    ``columns`` (aliased) travel along unchanged. ``func()`` is called once per
+    ``columns`` (aliased) travel along unchanged; see ``kept_beside``. ``func()`` is called once per
     task and returns the function that turns one text into a tuple of values,
     one for each field of ``out``.
     """
-    kept = df.select(*columns)
-    given = df.select(*columns, utf8(text).alias("_gt_text"))
-    schema = T.StructType(list(kept.schema.fields) + out)
+    columns = kept_beside(df, columns, *[f.name for f in out])
+    titles = df.select(*columns).schema.fields if columns else []
+    # names without dots, which mapInArrow would read as fields
+    inner = [f"_gt_c{i}" for i in range(len(columns))]
+    given = df.select(*[c.alias(n) for c, n in zip(columns, inner)], utf8(text).alias("_gt_text"))
+    schema = T.StructType(list(given.schema.fields[:-1]) + out)
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -91,4 +117,6 @@ def map_text(df: DataFrame, columns: list[Column], text: str, func: Callable,
                     yield pa.RecordBatch.from_arrays(arrays, names=head + names)
                     start, size, cells = stop, 0, []
 
-    return given.mapInArrow(run, schema)
+    done = given.mapInArrow(run, schema)
+    return done.select(*[F.col(n).alias(f.name) for n, f in zip(inner, titles)],
+                       *[f.name for f in out])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm.common import utf8
+from gridtally.llm.common import kept_beside, utf8
 
 # Lower-cases A-Z, keeps digits, a-z and all bytes of non-ASCII characters;
 # every other byte becomes a space.
@@ -98,6 +98,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str, ite
     once; an item without id marks words, but names no item. ``docs`` may be
     empty, and so may ``benchmark``: then nothing is hit.
     """
+    keep = kept_beside(docs, keep, "n_words", "spans", "items")
     spark = docs.sparkSession
     sized = benchmark.select(F.col(item_col).cast("string").alias("item"),
                              utf8(item_text_col).alias("text"))

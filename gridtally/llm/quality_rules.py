@@ -17,7 +17,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import cut
+from gridtally.llm.common import cut, kept_beside
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -183,12 +183,15 @@ def judge(df: DataFrame, text_col: str, keep: list[Column], min_posterior: float
     """``keep`` columns, ``counts``, ``base_failed``, ``posterior`` and ``kept`` per row.
 
     The counts are checkpointed: a few longs per document, so that texts are
-    read and counted once. Equal texts get equal verdicts; empty tables none.
+    read and counted once. Equal texts get equal verdicts; empty tables none. Kept
+    columns that are called like a result column give way.
     """
-    counted = cut(with_counts(df, text_col, keep))
+    keep = kept_beside(df, keep, "counts", "base_failed", "posterior", "kept")
+    held = [F.struct(*keep).alias("_gt_kept")] if keep else []
+    counted = cut(with_counts(df, text_col, held))
     model = learn_rules(counted)
     packed = F.struct(*[F.col(f"_gt_{k}").alias(k) for k in COUNTS]).alias("counts")
-    own = [F.col(f"`{c}`") for c in counted.columns[:len(keep)]]
+    own = ["_gt_kept.*"] if keep else []
     verdict = ~base_failed() & (posterior(model) >= min_posterior)
     return counted.select(*own, packed, base_failed().alias("base_failed"),
                           posterior(model).alias("posterior"), verdict.alias("kept"))
@@ -202,11 +205,10 @@ def keep_good(df: DataFrame, text_col: str, min_posterior: float = 0.5) -> DataF
     """
     counted = cut(with_counts(df, text_col, []))
     model = learn_rules(counted)
-    rows = with_counts(df, text_col, [F.col(f"`{c}`") for c in df.columns])
+    rows = with_counts(df, text_col, [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_gt_kept")])
     passed = ~base_failed() & (posterior(model) >= min_posterior)
     # Catalyst pushes a filter below deterministic columns and would write the
     # counts out again for each of their uses in it; a row number among them
     # keeps it above, so that texts are counted once.
     rows = rows.withColumn("_gt_row", F.monotonically_increasing_id())
-    return rows.filter(passed & (F.col("_gt_row") >= 0)).select(
-        *[F.col(f"`{c}`") for c in df.columns])
+    return rows.filter(passed & (F.col("_gt_row") >= 0)).select("_gt_kept.*")

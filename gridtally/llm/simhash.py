@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtally.llm.common import cut, id_or_lowest, map_text, row_hash
+from gridtally.llm.common import cut, free_names, id_or_lowest, map_text, row_hash
 from gridtally.llm.components import connected_components, join_own
 
 BITS = 64
@@ -249,14 +249,16 @@ def near_dedup(df: DataFrame, id_col: str, text_col: str, shingle: int = 3,
     """The rows of ``df``, one of each class: that of the smallest id.
 
     Rows without id come before all others. Among rows with one id the smallest
-    row hash decides; of rows equal in every column one stays.
+    row hash decides; of rows equal in every column one stays. Columns may have any
+    names; an empty table gives no rows, and texts are read whole, however long.
     """
-    keyed = [id_or_lowest(id_col).alias("_gt_id"), row_hash(df).alias("_gt_row")]
+    ident, row = free_names(df, "_gt_id", "_gt_row")
+    keyed = [id_or_lowest(id_col).alias(ident), row_hash(df).alias(row)]
     fps = cut(with_fingerprint(df, text_col, keyed, shingle))
     classes = fingerprint_classes(fps, max_distance)
-    firsts = fps.groupBy("fp").agg(F.min(F.struct("_gt_id", "_gt_row")).alias("first"))
+    firsts = fps.groupBy("fp").agg(F.min(F.struct(ident, row)).alias("first"))
     best = firsts.join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    keepers = cut(best.select("first._gt_id", "first._gt_row"))
-    rows = df.withColumns({"_gt_id": id_or_lowest(id_col), "_gt_row": row_hash(df)})
-    kept = rows.join(keepers, ["_gt_id", "_gt_row"], "left_semi")
-    return kept.dropDuplicates(["_gt_id", "_gt_row"]).select(*[f"`{c}`" for c in df.columns])
+    keepers = cut(best.select(f"first.{ident}", f"first.{row}"))
+    rows = df.withColumns({ident: id_or_lowest(id_col), row: row_hash(df)})
+    kept = rows.join(keepers, [ident, row], "left_semi")
+    return kept.dropDuplicates([ident, row]).select(*[f"`{c}`" for c in df.columns])

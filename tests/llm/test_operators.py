@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridtally.llm import queries as Q
+from gridtally.llm.bpe import bpe_decode, bpe_encode
 from gridtally.llm.common import cut
 from gridtally.llm.components import connected_components
+from gridtally.llm.decontaminate import find_contamination
 from gridtally.llm.html_extract import extract_text
 from gridtally.llm.licenses import scan_licenses
 from gridtally.llm.line_dedup import build_index, delete, drop_repeated_lines, insert
-from gridtally.llm.quality_rules import judge
+from gridtally.llm.quality_rules import judge, keep_good
 from gridtally.llm.sharding import lookup_table, place
-from gridtally.llm.simhash import near_links
+from gridtally.llm.simhash import near_dedup, near_links
 from gridtally.llm.toxicity import score_toxicity, train_toxicity
 from gridtally.plans.session import staging_path
 from tests.conftest import SF01
@@ -287,3 +289,30 @@ def test_kept_rows_are_counted_once(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     plan = corpus_pipeline.quality_rules(spark, docs, SF01)._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("sort_array") == 1
+
+
+@pytest.mark.parametrize("call, results", [
+    (lambda d, k: judge(d, "text", k), ["counts", "base_failed", "posterior", "kept"]),
+    (lambda d, k: find_contamination(d, d.limit(1), "text", "doc_id", "text", k),
+     ["n_words", "spans", "items"]),
+    (lambda d, k: scan_licenses(d, "text", k), ["license", "score", "matches"]),
+    (lambda d, k: extract_text(d, "source", "text", k), ["text"]),
+    (lambda d, k: bpe_decode(bpe_encode(d, "text", k, *Q.tokenizer_files()), "ids",
+                             Q.tokenizer_files()[0]), ["ids", "decoded"]),
+])
+def test_kept_columns_called_like_a_result_give_way(odd, call, results):
+    extra = {n: F.lit("mine") for n in (*results, "_gt_n_words", "_gt_k0", "_gt_row", "N_Words")
+             if n not in ("text", "N_Words")}
+    docs = odd.withColumns(extra).limit(9)
+    got = call(docs, [F.col(f"`{c}`") for c in docs.columns])
+    names = [c for c in docs.columns if c.lower() not in results] + results
+    assert got.columns == names and got.count() == 9
+    assert {r["_gt_n_words"] for r in got.select("_gt_n_words").collect()} == {"mine"}
+
+
+def test_stages_return_columns_with_inner_names_unchanged(odd):
+    docs = odd.withColumns({n: F.lit("mine") for n in ("_gt_id", "_gt_row", "_gt_n_words", "_gt_kept")})
+    for rows in (near_dedup(docs, "doc_id", "text"), keep_good(docs, "text")):
+        assert rows.columns == docs.columns
+        assert all(r["_gt_id"] == r["_gt_row"] == r["_gt_n_words"] == r["_gt_kept"] == "mine"
+                   for r in rows.collect())
