@@ -131,8 +131,8 @@ def op13_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokenizer = f.read()
     path = staging_path(spark, "token-shards")
     write_shards(_table(spark, sf_dir, "documents"), "text", "doc_id", path, tokenizer, END_ID)
-    return read_shards(spark, path).select(
-        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    rows = read_shards(spark, path, out=F.crc32("ids").alias("ids_crc32"))
+    return rows.withColumnRenamed("key", "doc_id")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

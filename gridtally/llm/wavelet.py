@@ -29,7 +29,7 @@ BLOCK = 64  # bytes of a plane for each entry of its directory
 #: Tokens of a shard; a longer document has a shard of its own.
 SHARD_TOKENS = 1 << 21
 #: Bytes of text that are encoded in one go.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
 
 
 class WaveletMatrix:
@@ -333,11 +333,14 @@ def shard_starts(shards: DataFrame) -> DataFrame:
         "part", "seq", (F.col("before") + inside - F.col("n_tokens")).alias("shard_start"))
 
 
-def read_shards(spark: SparkSession, path: str, key_type: str = "long") -> DataFrame:
+def read_shards(spark: SparkSession, path: str, key_type: str = "long",
+                out: Column | None = None) -> DataFrame:
     """Documents decoded from the files: key, start, n_tokens, ids.
 
     ``start`` counts the tokens of all documents before; ``ids`` holds the ids as
-    little-endian unsigned 32-bit integers. A shard is decoded whole by one task.
+    little-endian unsigned 32-bit integers. ``out``, an expression over ``ids``, is
+    returned in their stead, and they are not shuffled then. A shard is decoded whole
+    by one task.
     """
     shards = shard_table(spark, path)
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()),
@@ -357,10 +360,11 @@ def read_shards(spark: SparkSession, path: str, key_type: str = "long") -> DataF
                 "key": docs.column("key").combine_chunks(), "offset": starts, "n_tokens": n,
                 "ids": [raw[a:a + b].tobytes() for a, b in zip(starts.tolist(), n.tolist())]}
 
-    rows = _map_shards(shards, decode, schema)
+    rows = _map_shards(shards, decode, schema).select(
+        "part", "seq", "key", "offset", "n_tokens", F.col("ids") if out is None else out)
     starts = shard_starts(shards)
     return rows.join(starts, ["part", "seq"]).select(
-        "key", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", "ids")
+        "key", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", rows.columns[-1])
 
 
 def count_token(spark: SparkSession, path: str, token: int) -> DataFrame:

@@ -64,15 +64,10 @@ class WordEncoder:
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Ids of words not met before, from one call to the library."""
         import numpy as np
 
-        if len(self.words) > KEPT:
-            self.words = {}
-        new = [w for w in words if w not in self.words]
-        if not new:
-            return
         ids = np.array(self.words_only.encode(" ".join(new), add_special_tokens=False).ids,
                        self.dtype)
         stops = np.flatnonzero(self.ends[ids]) + 1
@@ -87,20 +82,29 @@ class WordEncoder:
         """Ids of distinct pieces."""
         import numpy as np
 
+        if len(self.words) > KEPT:
+            self.words = {}
         if len(self.pieces) > KEPT // 2:
             self.pieces = {}
-        got = list(map(self.pieces.get, pieces))
+        words, got = self.words, list(map(self.pieces.get, pieces))
         new = [p for p, ids in zip(pieces, got) if ids is None]
-        split = [_WORDS.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None
-                 for p in new]
-        seen = {w for ws in split if ws for w in ws}
-        self._learn(seen)
-        if not seen <= self.words.keys():  # the words were started anew
-            self._learn(seen)
-        words = self.words
-        rest = iter(self.whole.encode_batch([p for p, ws in zip(new, split) if ws is None],
-                                            add_special_tokens=False))
-        ids = [np.array(next(rest).ids, self.dtype).tobytes() if ws is None else
+        split, rest, unknown = [], [], {}
+        for p in new:
+            # printable ASCII is plain; a word of letters needs no splitting
+            plain = p.isascii() and p.isprintable() or _PLAIN.fullmatch(p)
+            if not plain or "<|" in p:
+                split.append(None)
+                rest.append(p)
+                continue
+            ws = (p.lower(),) if p.isalpha() else _WORDS.findall(p.lower())
+            split.append(ws)
+            for w in ws:
+                if w not in words:
+                    unknown[w] = None
+        if unknown:
+            self._learn(list(unknown))
+        others = iter(self.whole.encode_batch(rest, add_special_tokens=False))
+        ids = [np.array(next(others).ids, self.dtype).tobytes() if ws is None else
                words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in split]
         self.pieces.update(zip(new, ids))
         more = iter(ids)
