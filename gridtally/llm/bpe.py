@@ -1,23 +1,30 @@
 """Byte-level BPE encoding and decoding by monoid tree reduction.
 
 A text is split by the tokenizer's pattern; each match is encoded on its own.
-A match longer than ``LEAF`` bytes is halved, the halves are encoded
-recursively, and neighbours are joined: the tokens at the boundary are taken
-back into bytes and encoded anew over a window that grows on both sides until
-its first and last token stand in valid pairs with the tokens left outside.
+A match longer than ``LEAF`` bytes is cut into leaves that are merged directly,
+and neighbours are joined up a tree: the tokens at the boundary are taken back
+into bytes and encoded anew over a window that grows on both sides until its
+first and last token stand in valid pairs with the tokens left outside.
 BPE merges are local: a token sequence is the encoding of its bytes exactly if
 every neighbouring pair is the encoding of its own two tokens. So once the two
 seams are valid nothing outside the window can change, and the join is exact.
 
 Joining is associative with the empty sequence as identity, so the tree's shape
-does not matter; the work on a match of n bytes is O(n log n), where merging in
-one piece is quadratic. Decoding concatenates the tokens' bytes up a tree.
+does not matter, and equal nodes of a level are joined once. A window is merged
+with a heap in O(w log w). In most text windows are a few tokens wide. In a run
+(one letter or a short period repeated) they grow to the whole node, as merging
+moves the odd bytes to the run's end; there nearly all nodes of a level are
+equal, so the whole tree costs about as much as merging the run a few times.
+The worst case, windows as wide as their nodes and no equal ones, is
+O(n log^2 n) for a match of n bytes. Decoding concatenates the tokens' bytes up
+a tree.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +33,7 @@ from pyspark.sql import types as T
 from gridtally.llm.common import kept_beside, map_text
 
 LEAF = 24  # bytes: shorter matches are merged directly
+SCAN = 256  # bytes up to which looking for the lowest pair beats a heap
 CACHE = 200_000  # matches whose tokens a task remembers before it starts over
 
 
@@ -53,6 +61,8 @@ class Monoid:
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
+        if len(piece) > SCAN:
+            return self._merge_long(piece)
         parts = [piece[i:i + 1] for i in range(len(piece))]
         none = 1 << 62  # above every rank
         pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
@@ -66,6 +76,42 @@ class Monoid:
                 pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
         return [ranks[p] for p in parts]
 
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """``merge`` over a linked list, the pairs in a heap by rank and place."""
+        ranks, n = self.ranks, len(piece)
+        parts: list = [piece[i:i + 1] for i in range(n)]
+        after = list(range(1, n + 1))  # start of the next part
+        before = list(range(-1, n - 1))
+        width = n.bit_length()
+        place = (1 << width) - 1
+        # the rank of the pair that starts here; a heap entry that differs is stale
+        pairs: list = [ranks.get(piece[i:i + 2]) for i in range(n - 1)] + [None]
+        heap = [rank << width | i for i, rank in enumerate(pairs) if rank is not None]
+        heapify(heap)
+        while heap:
+            best = heappop(heap)
+            at = best & place
+            if pairs[at] != best >> width:
+                continue
+            gone = after[at]
+            right = after[gone]
+            parts[at] = both = parts[at] + parts[gone]
+            parts[gone] = pairs[gone] = None
+            after[at] = right
+            if right < n:
+                before[right] = at
+                pairs[at] = rank = ranks.get(both + parts[right])
+                if rank is not None:
+                    heappush(heap, rank << width | at)
+            else:
+                pairs[at] = None
+            left = before[at]
+            if left >= 0:
+                pairs[left] = rank = ranks.get(parts[left] + both)
+                if rank is not None:
+                    heappush(heap, rank << width | left)
+        return [ranks[p] for p in parts if p is not None]
+
     def stands(self, a: int, b: int) -> bool:
         """Whether two neighbouring tokens are the encoding of their bytes."""
         held = self._valid.get((a, b))
@@ -92,13 +138,33 @@ class Monoid:
             bad_right = inner and not self.stands(middle[-1], inner[0])
             if not bad_left and not bad_right:
                 return outer + middle + inner
-            i, j = 2 * i if bad_left else i, 2 * j if bad_right else j
+            # a window that stays open is most likely in a run: grow faster
+            step = 2 if len(span) <= SCAN else 8
+            i, j = step * i if bad_left else i, step * j if bad_right else j
 
     def encode(self, piece: bytes) -> list[int]:
         if len(piece) <= LEAF:
             return self.merge(piece) if piece else []
-        half = len(piece) // 2
-        return self.join(self.encode(piece[:half]), self.encode(piece[half:]))
+        made: list[list[int]] = []  # the tokens of a level's distinct nodes
+        known: dict = {}
+        level: list[int] = []  # the level's nodes, as places in made
+        for at in range(0, len(piece), LEAF):
+            leaf = piece[at:at + LEAF]
+            node = known.setdefault(leaf, len(made))
+            if node == len(made):
+                made.append(self.merge(leaf))
+            level.append(node)
+        while len(level) > 1:
+            below, made, known, up = made, [], {}, []
+            for at in range(0, len(level), 2):
+                pair = tuple(level[at:at + 2])
+                node = known.setdefault(pair, len(made))
+                if node == len(made):
+                    made.append(self.join(below[pair[0]], below[pair[1]])
+                                if len(pair) > 1 else below[pair[0]])
+                up.append(node)
+            level = up
+        return made[level[0]]
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes, concatenated pairwise up a tree over leaves of 1024 tokens."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridtally.llm import queries as Q
-from gridtally.llm.bpe import Monoid, parse_ranks, read_ranks
+from gridtally.llm.bpe import SCAN, Monoid, parse_ranks, read_ranks
 from gridtally.llm.decontaminate import WuManber, item_words, merged, tables_of
 from gridtally.llm import html_extract
 from gridtally.llm.html_extract import (
@@ -163,6 +164,24 @@ def test_tree_reduction_equals_the_tokenizer(monoid, encoding, piece):
     assert monoid.decode(monoid.encode(piece)) == piece
 
 
+@pytest.mark.parametrize("piece", [
+    b"a" * 1_000_000, b"=" * 1_000_001, b" " + b"ab" * 500_000, b"xy" + b"=" * 999_999 + b"z",
+    b"q" * 300_000 + b"w" * 300_000 + b"abc" * 100_000])
+def test_runs_of_a_megabyte_take_seconds(monoid, encoding, piece):
+    started = time.process_time()
+    tokens = monoid.encode(piece)
+    assert time.process_time() - started < 20
+    assert tokens == encoding._encode_single_piece(piece)
+    assert monoid.decode(tokens) == piece
+
+
+def test_heap_merge_equals_scan(monoid, encoding):
+    made = random.Random(5)
+    for letters in (b"a", b"ab", b"abc ", bytes(range(256))):
+        piece = bytes(made.choice(letters) for _ in range(3 * SCAN))
+        assert monoid.merge(piece) == encoding._encode_single_piece(piece)
+
+
 def test_join_is_associative_with_identity(monoid):
     a, b, c = (monoid.encode(x) for x in (b"internat", b"ionalisa", b"tions"))
     assert monoid.join(monoid.join(a, b), c) == monoid.join(a, monoid.join(b, c))
