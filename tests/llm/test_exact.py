@@ -54,14 +54,14 @@ def test_contamination_query(spark, pairs):
     same(Q.op3_decontamination(spark, SF01), want)
 
 
-@pytest.mark.parametrize("part_words", [2_000_000, 40])
-def test_contamination_odd(spark, odd, part_words):
+@pytest.mark.parametrize("part_bytes", [4 << 20, 240])
+def test_contamination_odd(spark, odd, part_bytes):
     items = [(1, "one two"), (2, "one"), (3, None), (4, "...!"), (None, "no id at all"),
              (5, "AB ab ab ab ab cd ef gh ab ab ab AB ab"), (5, "under the same"),
              (6, odd_documents()[0][1]), (60, "déjà3"), (7, "line line")]
     table = spark.createDataFrame(items, "item_id int, text string")
     found = find_contamination(odd, table, "text", "item_id", "text", [F.col("doc_id")],
-                               part_words=part_words)
+                               part_bytes=part_bytes)
     same(contamination_summary(found), brute.contamination(odd_documents(), items))
 
 

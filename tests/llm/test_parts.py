@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 
 from gridtally.llm import queries as Q
 from gridtally.llm.bpe import SCAN, Monoid, parse_ranks, read_ranks
-from gridtally.llm.decontaminate import WuManber, item_words, merged, tables_of
+from gridtally.llm.decontaminate import item_pieces, item_words, merged, tables_of
 from gridtally.llm import html_extract
 from gridtally.llm.html_extract import (
     COMPACT, Page, References, Tree, page_votes, simple_tree_matching,
@@ -122,8 +123,7 @@ def test_wu_manber_equals_brute_force(items, text, window):
 
 
 def test_wu_manber_jumps_over_foreign_blocks():
-    table = WuManber(10)
-    table.add(tuple(f"w{i}".encode() for i in range(10)), 1)
+    table, = tables_of([(1, b" ".join(f"w{i}".encode() for i in range(10)))], 10)
     looked = []
 
     class Spy(dict):
@@ -131,11 +131,44 @@ def test_wu_manber_jumps_over_foreign_blocks():
             looked.append(key)
             return dict.get(self, key, default)
 
-    table.shift = Spy(table.shift)
+    table.vocab = Spy(table.vocab)
     assert not list(table.search([b"x"] * 1000))
     assert len(looked) <= 1000 // 9 + 1
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bb", "ccc"]), max_size=40), st.integers(1, 5),
+       st.integers(1, 30))
+def test_pieces_hold_all_windows_of_an_item(words, window, size):
+    pieces = [x.decode().split() for x in item_pieces(" ".join(words).encode(), window, size)]
+
+    def windows(x):
+        n = min(window, len(words))
+        return {tuple(x[i:i + n]) for i in range(len(x) - n + 1)} if n else set()
+
+    assert set().union(*map(windows, pieces)) == windows(words)
+    assert all(sum(len(w) + 1 for w in x) < size + 4 or len(x) <= window for x in pieces)
+
+
+def test_tables_of_a_part_are_bounded():
+    made = random.Random(2)
+    words = ["".join(made.choices("abcdefghij", k=made.randint(2, 9))) for _ in range(20_000)]
+    texts = [(str(i), " ".join(made.choices(words, k=1000)).encode()) for i in range(100)]
+    tracemalloc.start()
+    tables = tables_of(texts, 10)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    size = sum(len(t) for _, t in texts)
+    assert held < 30 * size and peak < 60 * size, (held / size, peak / size)
+    assert [i for _, i in tables[0].search(item_words(texts[7][1]))] == [{"7"}] * 991
+
+
+def test_a_window_that_one_item_repeats_is_held_once():
+    table, = tables_of([("x", b"again " * 50_000), ("y", b"again " * 20)], 10)
+    assert len(table.start) == 2
+    assert [i for _, i in table.search([b"again"] * 11)] == [{"x", "y"}] * 2
+
+
 def test_item_words_follow_the_contract():
     text = "A\x00b-C9_d{é}日本\x7f x\u0085y z  q"
     assert [w.decode() for w in item_words(text.encode())] == brute.ITEM_WORD.findall(
