@@ -113,9 +113,57 @@ class TextCnn:
 
         return score
 
+    def gradients(self, ids, label: int, weight: float = 1.0):
+        """Derivatives of a text's weighted log loss, None where it is as good as zero.
+
+        ``ids`` holds the features of the text's words, one row a word. For the
+        output's bias, for the other parameters in order (filters, biases,
+        outputs), then the touched embedding rows and theirs.
+        """
+        import numpy as np
+
+        widest = max(WIDTHS)
+        emb = self.emb[ids].mean(axis=1) if len(ids) else np.zeros((0, DIM), np.float32)
+        if len(emb) < widest:  # as if zero words followed
+            emb = np.concatenate([emb, np.zeros((widest - len(emb), DIM), np.float32)])
+        pooled, places = [], []
+        for k, w in enumerate(WIDTHS):
+            m = len(emb) - w + 1
+            act = sum(emb[j:j + m] @ self.conv[k][j] for j in range(w))
+            top = act.argmax(axis=0)
+            places.append(top)
+            pooled.append(np.maximum(act[top, np.arange(FILTERS)] + self.bias[k], 0))
+        pooled = np.stack(pooled)
+        logit = (pooled * self.out).sum() + self.out_bias
+        err = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label
+        if abs(err) < 0.01:
+            return None
+        err = np.float32(err * weight)
+        back = err * self.out * (pooled > 0)
+        grads, touched, pulls = [], [], []
+        for k, w in enumerate(WIDTHS):
+            g = np.zeros_like(self.conv[k])
+            for j in range(w):
+                spot = places[k] + j
+                g[j] = (emb[spot] * back[k][:, None]).T
+                inside = spot < len(ids)
+                touched.append(ids[spot[inside]])
+                pulls.append((self.conv[k][j].T * back[k][:, None])[inside])
+            grads.append(g)
+        grads += [back[k] for k in range(len(WIDTHS))] + [err * pooled]
+        pull = np.repeat(np.concatenate(pulls) / 4, 4, axis=0)  # four features a word
+        spots, where = np.unique(np.concatenate(touched).ravel(), return_inverse=True)
+        pulled = np.zeros((len(spots), DIM), np.float32)
+        np.add.at(pulled, where, pull)
+        return err, grads, spots, pulled
+
     def fit(self, samples: list[tuple[bytes, int]], rounds: int = 4, rate: float = 0.05,
             seed: int = 7) -> TextCnn:
-        """Adagrad over whole training texts, one text a step."""
+        """Adagrad over whole training texts, one text a step.
+
+        Texts with the label weigh as the root of clean texts per text with it
+        (at least 1): a missed one costs more than a false alarm.
+        """
         import numpy as np
 
         rng = np.random.default_rng(seed)
@@ -137,52 +185,23 @@ class TextCnn:
         # a feature that is rare among texts says little either way
         weight = (seen[0] + seen[1]) / (seen[0] + seen[1] + 5.0)
         self.emb[:, 0] = 0.5 * odds * weight
-        widest = max(WIDTHS)
+        weights = (1.0, max(1.0, (n[0] / n[1]) ** 0.5))
         past = [np.full_like(x, 1e-2) for x in (*self.conv, *self.bias, self.out)]
         past_emb, past_out = np.full_like(self.emb, 1e-2), 1e-2
         for _ in range(rounds):
             for at in rng.permutation(len(docs)):
                 ids, label = docs[at]
-                emb = self.emb[ids].mean(axis=1) if len(ids) else np.zeros((0, DIM), np.float32)
-                if len(emb) < widest:
-                    emb = np.concatenate([emb, np.zeros((widest - len(emb), DIM), np.float32)])
-                pooled, places = [], []
-                for k, w in enumerate(WIDTHS):
-                    m = len(emb) - w + 1
-                    act = sum(emb[j:j + m] @ self.conv[k][j] for j in range(w))
-                    top = act.argmax(axis=0)
-                    places.append(top)
-                    pooled.append(np.maximum(act[top, np.arange(FILTERS)] + self.bias[k], 0))
-                pooled = np.stack(pooled)
-                logit = (pooled * self.out).sum() + self.out_bias
-                err = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label
-                if abs(err) < 0.01:
+                step = self.gradients(ids, label, weights[label])
+                if step is None:
                     continue
-                back = err * self.out * (pooled > 0)
-                grads, touched, pulls = [], [], []
-                for k, w in enumerate(WIDTHS):
-                    g = np.zeros_like(self.conv[k])
-                    for j in range(w):
-                        spot = places[k] + j
-                        g[j] = (emb[spot] * back[k][:, None]).T
-                        inside = spot < len(ids)
-                        touched.append(ids[spot[inside]])
-                        pulls.append((self.conv[k][j].T * back[k][:, None])[inside])
-                    grads.append(g)
-                grads += [back[k] for k in range(len(WIDTHS))] + [err * pooled]
+                err, grads, spots, pulled = step
                 for p, g, h in zip((*self.conv, *self.bias, self.out), grads, past):
                     h += g * g
                     p -= rate * g / np.sqrt(h)
                 past_out += err * err
                 self.out_bias -= rate * err / np.sqrt(past_out)
-                if touched:
-                    rows = np.concatenate(touched).ravel()
-                    pull = np.repeat(np.concatenate(pulls) / 4, 4, axis=0)
-                    spots, where = np.unique(rows, return_inverse=True)
-                    g = np.zeros((len(spots), DIM), np.float32)
-                    np.add.at(g, where, pull)
-                    past_emb[spots] += g * g
-                    self.emb[spots] -= rate * g / np.sqrt(past_emb[spots])
+                past_emb[spots] += pulled * pulled
+                self.emb[spots] -= rate * pulled / np.sqrt(past_emb[spots])
         return self
 
 
@@ -212,14 +231,16 @@ def calibrate(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     """
     given = labels.where(usable & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("_gt_id")).agg((F.max(label_col) > 0).cast("int").alias("_gt_label"))
-    scored = score_toxicity(
-        docs.where(usable & F.col(id_col).isNotNull()), text_col,
-        [F.col(id_col).alias("_gt_id"), F.col(lang_col).cast("string").alias("_gt_tongue"),
-         F.xxhash64(utf8(text_col)).alias("_gt_hash")], model)
     kind = docs.schema[id_col].dataType
     taken = docs.sparkSession.createDataFrame(fitted, T.StructType(
         [T.StructField("_gt_id", kind), T.StructField("_gt_hash", T.LongType())]))
-    left = scored.join(F.broadcast(taken), ["_gt_id", "_gt_hash"], "left_anti").join(given, "_gt_id")
+    # labelled rows alone are scored
+    rows = docs.where(usable & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("_gt_id"), F.col(lang_col).cast("string").alias("_gt_tongue"),
+        F.col(text_col).alias("_gt_body")).join(given, "_gt_id").withColumn(
+        "_gt_hash", F.xxhash64(utf8("_gt_body"))).join(
+        F.broadcast(taken), ["_gt_id", "_gt_hash"], "left_anti")
+    left = score_toxicity(rows, "_gt_body", [F.col("_gt_tongue"), F.col("_gt_label")], model)
     bins = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int")
     langs: dict = {}
     for lang, b, label, n in left.groupBy("_gt_tongue", bins.alias("b"), "_gt_label").count().collect():

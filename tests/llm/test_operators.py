@@ -147,6 +147,16 @@ def test_classifiers_on_held_out_rows(spark, query, label, most_errors):
     assert errors <= most_errors, errors
 
 
+def test_toxic_documents_are_found_among_held_out_rows(spark):
+    folder = SF01.replace("sf0.01", "sf0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    held = Q.op4_toxicity(spark, folder).where("held_out").join(labels, "doc_id").collect()
+    toxic = [r.predicted for r in held if r.toxic == 1]
+    clean = [r.predicted for r in held if r.toxic == 0]
+    assert len(toxic) > 90 and sum(toxic) / len(toxic) >= 0.9
+    assert sum(clean) / len(clean) <= 0.02
+
+
 def test_classifiers_ignore_labels_lang_source_and_id_when_scoring(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(50)
     labels = spark.read.parquet(f"{SF01}/labels.parquet")

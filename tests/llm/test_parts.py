@@ -26,6 +26,7 @@ from gridtally.llm.quality_fm import FactorisationMachine
 from gridtally.llm.quality_rules import RULES, fit_rules
 from gridtally.llm.sharding import lookup_table
 from gridtally.llm.simhash import BITS, BKTree, _refined, shard_links
+from gridtally.llm.toxicity import DIM, FILTERS, WIDTHS, TextCnn, word_features
 from tests.llm import brute
 
 
@@ -222,6 +223,55 @@ def test_join_is_associative_with_identity(monoid):
     assert monoid.decode([]) == b""
 
 
+# ---- toxicity
+def _plain_logit(model, words):
+    """The classifier written out over one position and one filter at a time."""
+    vectors = [np.mean([model.emb[i] for i in word_features(w)], axis=0) for w in words]
+    vectors += [np.zeros(DIM)] * (max(WIDTHS) - len(words))
+    total = float(model.out_bias)
+    for k, w in enumerate(WIDTHS):
+        for f in range(FILTERS):
+            best = max(sum(float(vectors[at + j] @ model.conv[k][j][:, f]) for j in range(w))
+                       for at in range(len(vectors) - w + 1))
+            total += max(0.0, best + float(model.bias[k][f])) * float(model.out[k][f])
+    return total
+
+
+@pytest.mark.parametrize("text", [b"", b"one", b"two words", b"you are a vile and foul thing, vile!",
+                                  " ".join(f"w{i % 7}" for i in range(40)).encode()])
+def test_forward_pass_and_gradients_equal_the_written_out_model(text):
+    model = TextCnn(seed=3)
+    for bias in model.bias:
+        bias += 0.1  # off the rectifier's bend, where there is no slope
+    words = item_words(text)
+    want = 1 / (1 + np.exp(-_plain_logit(model, words)))
+    assert model.scorer()(text) == pytest.approx(want, abs=1e-5)
+    ids = np.array([word_features(w) for w in words], np.int32).reshape(-1, 4)
+    err, grads, spots, pulled = model.gradients(ids, 1, weight=2.0)
+    assert err == pytest.approx(2 * (want - 1), abs=1e-4)
+
+    def loss():
+        return 2 * np.log1p(np.exp(-_plain_logit(model, words)))
+
+    def slope(array, place):
+        held, size = array[place], 1e-3
+        array[place] = held + size
+        up = loss()
+        array[place] = held - size
+        down = loss()
+        array[place] = held
+        return (up - down) / (2 * size)
+
+    made = random.Random(1)
+    for array, grad in zip((*model.conv, *model.bias, model.out), grads):
+        for _ in range(6):
+            place = tuple(made.randrange(n) for n in array.shape)
+            assert slope(array, place) == pytest.approx(float(grad[place]), abs=5e-3)
+    for row in range(min(3, len(spots))):
+        for d in range(DIM):
+            assert slope(model.emb, (spots[row], d)) == pytest.approx(float(pulled[row, d]), abs=5e-3)
+
+
 # ---- HTML
 def _tree(source):
     page = Page(source)
