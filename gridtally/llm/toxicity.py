@@ -27,6 +27,7 @@ from gridtally.llm.decontaminate import item_words
 from gridtally.llm.training import labelled_sample
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
+MARKS = 1 << 23  # bits for the ids of labelled rows
 BINS = 1024  # of scores, for the thresholds
 KNOWN_WORDS = 150_000  # distinct words that a task remembers before it starts over
 
@@ -223,6 +224,25 @@ def binned_threshold(counts: dict[int, list[int]]) -> float:
     return (a + b) / 2
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``_gt_id`` may be among ``ids``, without moving any of them.
+
+    A bitmap of ``MARKS`` bits (1 MB, whatever the input) is broadcast. Where ids share
+    a bit, and that is everywhere with far more ids than bits, rows too many are left,
+    which the exact join on their scores drops.
+    """
+    slot = F.pmod(F.xxhash64("_gt_id"), F.lit(MARKS))
+    bits = ids.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("_gt_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("_gt_bits"))
+    at = F.bitmap_bit_position("_gt_slot").cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_gt_bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10)
+    held = byte.cast("int").bitwiseAND(F.element_at(
+        F.array(*[F.lit(1 << i) for i in range(8)]), at % 8 + 1)) > 0
+    return rows.withColumn("_gt_slot", slot).withColumn(
+        "_gt_bucket", F.bitmap_bucket_number("_gt_slot")).join(
+        F.broadcast(bits), "_gt_bucket").where(held).select(*rows.columns)
+
+
 def calibrate(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
               lang_col: str, usable: Column, model: TextCnn, fitted: list[tuple]) -> dict:
     """Thresholds by language from all usable labelled rows but the ``fitted`` (id, text hash).
@@ -232,15 +252,15 @@ def calibrate(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     given = labels.where(usable & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("_gt_id")).agg((F.max(label_col) > 0).cast("int").alias("_gt_label"))
     kind = docs.schema[id_col].dataType
+    given = given.withColumn("_gt_id", F.col("_gt_id").cast(kind))
     taken = docs.sparkSession.createDataFrame(fitted, T.StructType(
         [T.StructField("_gt_id", kind), T.StructField("_gt_hash", T.LongType())]))
-    # labelled rows alone are scored
-    rows = docs.where(usable & F.col(id_col).isNotNull()).select(
+    rows = _marked(docs.where(usable & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_gt_id"), F.col(lang_col).cast("string").alias("_gt_tongue"),
-        F.col(text_col).alias("_gt_body")).join(given, "_gt_id").withColumn(
-        "_gt_hash", F.xxhash64(utf8("_gt_body"))).join(
-        F.broadcast(taken), ["_gt_id", "_gt_hash"], "left_anti")
-    left = score_toxicity(rows, "_gt_body", [F.col("_gt_tongue"), F.col("_gt_label")], model)
+        F.col(text_col).alias("_gt_body")), given)
+    scored = score_toxicity(rows, "_gt_body", [
+        F.col("_gt_id"), F.col("_gt_tongue"), F.xxhash64(utf8("_gt_body")).alias("_gt_hash")], model)
+    left = scored.join(F.broadcast(taken), ["_gt_id", "_gt_hash"], "left_anti").join(given, "_gt_id")
     bins = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int")
     langs: dict = {}
     for lang, b, label, n in left.groupBy("_gt_tongue", bins.alias("b"), "_gt_label").count().collect():

@@ -19,7 +19,7 @@ from gridtally.llm.line_dedup import build_index, delete, drop_repeated_lines, i
 from gridtally.llm.quality_rules import judge, keep_good
 from gridtally.llm.sharding import lookup_table, place
 from gridtally.llm.simhash import near_dedup, near_links
-from gridtally.llm.toxicity import score_toxicity, train_toxicity
+from gridtally.llm.toxicity import _marked, score_toxicity, train_toxicity
 from gridtally.plans.session import staging_path
 from tests.conftest import SF01
 from tests.llm import brute
@@ -212,6 +212,14 @@ def test_placement_is_a_lookup(spark):
     assert len(rows) > 100
 
 
+def test_marked_rows_hold_all_ids_and_few_others(spark):
+    rows = spark.range(-3000, 3000).select(F.col("id").alias("_gt_id"))
+    ids = rows.where("_gt_id % 3 = 0")
+    got = {r[0] for r in _marked(rows, ids).collect()}
+    assert {r[0] for r in ids.collect()} <= got and len(got) < 2050
+    assert _marked(rows, ids.limit(0)).count() == 0
+
+
 def test_thresholds_rest_on_all_labelled_rows(spark):
     rows = [(i, ("vile " if i % 2 else "kind ") * 5 + f"word{i}", "xx" if i < 8 else "en", i % 2)
             for i in range(600)]
