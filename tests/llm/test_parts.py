@@ -18,7 +18,7 @@ from gridtally.llm.bpe import SCAN, Monoid, parse_ranks, read_ranks
 from gridtally.llm.decontaminate import item_pieces, item_words, merged, tables_of
 from gridtally.llm import html_extract
 from gridtally.llm.html_extract import (
-    COMPACT, Page, References, Tree, page_votes, simple_tree_matching,
+    COMPACT, Page, References, Tree, Wrappers, page_votes, simple_tree_matching,
 )
 from gridtally.llm.licenses import TEMPLATES, TemplateSet
 from gridtally.llm.line_dedup import CuckooFilter
@@ -571,3 +571,33 @@ def test_a_page_takes_the_references_of_its_layout():
     refs = References([row("<p>a</p>" * 3, 1), row("<p>a</p>" * 9, 1), row("<ul><li>a</ul>" * 9, 2)])
     assert refs.aligned(1, _tree("<p>b</p>" * 4)) == [0, 1]
     assert refs.aligned(7, _tree("<ul><li>b</ul>")) == [2]
+
+
+def test_skipped_wrappers_could_take_nothing():
+    def nodes(source):
+        page = Page(source)
+        return page.compact(page.zones())
+
+    rng = random.Random(11)
+    texts = ["Home", "News", "All rights", "Site", "About us"]
+
+    def source(n):
+        return "".join(f"<{t}>{rng.choice(texts + [str(rng.random())])}</{t}>" if rng.random() < 0.8 else
+                       f"<div><nav>{rng.choice(texts)}</nav><p>{rng.choice(texts)}</p></div>"
+                       for t in rng.choices(["p", "div", "h2"], k=n))
+
+    rows = []
+    for _ in range(12):
+        held = nodes(source(8))[0]
+        tree = Tree(held)
+        spots = [i for i, x in enumerate(tree.labels) if tree.sizes[i] and rng.random() < 0.4]
+        rows.append({"tree": held.tobytes(), "slots": spots})
+    wrappers = Wrappers(rows)
+    for _ in range(60):
+        mine, kept = nodes(source(9))
+        page = Tree(mine)
+        want = {kept[j] for k, r in enumerate(rows)
+                for i, j in simple_tree_matching(wrappers.tree(k), page)
+                if i in r["slots"] and wrappers.tree(k).hashes[i] == page.hashes[j] and page.zones[j]}
+        got = wrappers.template(mine, kept)
+        assert {i for i in got if page.zones[kept.index(i)]} == want
