@@ -29,7 +29,7 @@ BLOCK = 64  # bytes of a plane for each entry of its directory
 #: Tokens of a shard; a longer document has a shard of its own.
 SHARD_TOKENS = 1 << 21
 #: Bytes of text that are encoded in one go.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 class WaveletMatrix:
@@ -64,14 +64,15 @@ class WaveletMatrix:
         """The whole sequence: planes are undone from the last to the first."""
         import numpy as np
 
-        out = np.zeros(self.n, dtype)
+        # ids of at most 16 bits: half the bytes to move
+        out = np.zeros(self.n, np.uint16 if self.levels <= 16 else dtype)
         for k in range(self.levels - 1, -1, -1):
             bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             z, before = self.zeros[k], np.empty_like(out)
             before[np.flatnonzero(~bit)] = out[:z]
             before[np.flatnonzero(bit)] = out[z:] | out.dtype.type(1 << (self.levels - 1 - k))
             out = before
-        return out
+        return out.astype(dtype, copy=False)
 
     def _rank1(self, k: int, at):
         """Ones of plane ``k`` before each position of ``at``."""

@@ -18,7 +18,8 @@ from __future__ import annotations
 import json
 import re
 
-#: Words that a worker keeps, and half as many pieces; beyond it they start anew (memory only).
+#: Pieces and words that a worker keeps: the half met last, and one half that was met
+#: before; what is met again changes over, the rest goes (memory only).
 KEPT = 1 << 20
 
 # ---- fixed values: the split pattern that the vocabulary was made for
@@ -61,54 +62,72 @@ class WordEncoder:
         self.ends = np.zeros(size, bool)
         for token, i in self.whole.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        # of pieces and words: a word by itself is a piece of that one word
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _learn(self, new: list[str]) -> None:
         """Ids of words not met before, from one call to the library."""
         import numpy as np
 
-        ids = np.array(self.words_only.encode(" ".join(new), add_special_tokens=False).ids,
-                       self.dtype)
+        # without the places in the text, which nothing reads
+        made, = self.words_only.encode_batch_fast([" ".join(new)], add_special_tokens=False)
+        ids = np.array(made.ids, self.dtype)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(new):
             raise ValueError("the vocabulary does not end every word with </w>")
         raw, start = ids.tobytes(), 0
         for w, stop in zip(new, (stops * self.dtype.itemsize).tolist()):
-            self.words[w] = raw[start:stop]
+            self.known[w] = raw[start:stop]
             start = stop
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces."""
         import numpy as np
 
-        if len(self.words) > KEPT:
-            self.words = {}
-        if len(self.pieces) > KEPT // 2:
-            self.pieces = {}
-        words, got = self.words, list(map(self.pieces.get, pieces))
-        new = [p for p, ids in zip(pieces, got) if ids is None]
-        split, rest, unknown = [], [], {}
-        for p in new:
-            # printable ASCII is plain; a word of letters needs no splitting
-            plain = p.isascii() and p.isprintable() or _PLAIN.fullmatch(p)
-            if not plain or "<|" in p:
-                split.append(None)
-                rest.append(p)
+        if len(self.known) > KEPT // 2:
+            self.known, self.before = {}, self.known
+        before = self.before
+        known, got = self.known, list(map(self.known.get, pieces))
+        words, places, mixed, cuts, rest, unknown = [], [], [], [], [], {}
+
+        def meet(w: str) -> None:
+            if (ids := before.get(w)) is None:
+                unknown[w] = None
+            else:
+                known[w] = ids
+
+        for at, (p, ids) in enumerate(zip(pieces, got)):
+            if ids is not None:
                 continue
-            ws = (p.lower(),) if p.isalpha() else _WORDS.findall(p.lower())
-            split.append(ws)
-            for w in ws:
-                if w not in words:
-                    unknown[w] = None
+            if (ids := before.get(p)) is not None:
+                got[at] = known[p] = ids
+            elif p.isascii() and p.isalpha():  # a word of letters needs no splitting
+                w = p.lower()
+                if w not in known:
+                    meet(w)
+                words.append(w)
+                places.append(at)
+            # printable ASCII is plain
+            elif "<|" not in p and (p.isascii() and p.isprintable() or _PLAIN.fullmatch(p)):
+                ws = _WORDS.findall(p.lower())
+                for w in ws:
+                    if w not in known:
+                        meet(w)
+                cuts.append(ws)
+                mixed.append(at)
+            else:
+                rest.append(at)
         if unknown:
             self._learn(list(unknown))
-        others = iter(self.whole.encode_batch(rest, add_special_tokens=False))
-        ids = [np.array(next(others).ids, self.dtype).tobytes() if ws is None else
-               words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in split]
-        self.pieces.update(zip(new, ids))
-        more = iter(ids)
-        return [next(more) if i is None else i for i in got]
+        for at, w in zip(places, words):
+            got[at] = known[pieces[at]] = known[w]
+        for at, ws in zip(mixed, cuts):
+            got[at] = known[pieces[at]] = b"".join([known[w] for w in ws])
+        for at, made in zip(rest, self.whole.encode_batch_fast(
+                [pieces[at] for at in rest], add_special_tokens=False)):
+            got[at] = known[pieces[at]] = np.array(made.ids, self.dtype).tobytes()
+        return got
 
     def encode(self, texts):
         """An Arrow string array without nulls -> (ids of all texts in a row, how many a text).
@@ -132,6 +151,7 @@ class WordEncoder:
         per_piece = lens[where]
         ends = np.concatenate([[0], np.cumsum(per_piece)])
         # of each piece, where it starts among the distinct ones, less where it goes
-        shift = np.repeat(starts[where] - ends[:-1], per_piece)
-        shift += np.arange(len(shift))
-        return flat[shift], np.diff(ends[offsets])
+        short = np.int32 if ends[-1] < 1 << 31 else np.int64  # less memory to move
+        shift = np.repeat((starts[where] - ends[:-1]).astype(short), per_piece)
+        shift += np.arange(len(shift), dtype=short)
+        return flat.take(shift), np.diff(ends[offsets])

@@ -88,6 +88,22 @@ def test_encoder_starts_anew_when_it_is_full(tokenizer, pairs, monkeypatch):
             tokenizer, texts[i:i + 7])
 
 
+def test_an_encoder_keeps_a_bounded_number_of_pieces(tokenizer, monkeypatch):
+    import gridtally.llm.word_bpe as word_bpe
+
+    monkeypatch.setattr(word_bpe, "KEPT", 2000)
+    encoder, sizes = WordEncoder(tokenizer), []
+    for i in range(12):
+        texts = [f"{'met again ' * 3} only{chr(97 + i)}{'xyz'[j % 3] * (j // 3 + 1)} A{i}b{j}." for j in range(90)]
+        ids, n = encoder.encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == library_ids(tokenizer, texts)
+        held = [x for x in vars(encoder).values() if isinstance(x, dict)]
+        sizes.append(sum(map(len, held)))
+        assert "again" in encoder.known  # what is met in each batch stays
+    # of pieces and words together, and what one batch adds at most
+    assert max(sizes) <= 2000 + 2 * 400 and max(sizes) > 1000
+
+
 def test_other_tokenizers_are_refused(tokenizer):
     with pytest.raises(ValueError):
         WordEncoder(tokenizer.replace("Lowercase", "NFD"))
