@@ -175,25 +175,28 @@ class Monoid:
         return level[0] if level else b""
 
 
-def text_encoder(raw_ranks: bytes, pattern: str):
-    """A function from UTF-8 bytes to the tokens as packed 32-bit integers."""
-    from array import array
+class Known(dict):
+    """Packed tokens of the matches met last, made when they are asked for."""
 
-    import regex
+    def __init__(self, monoid: Monoid) -> None:
+        self.monoid = monoid
+
+    def __missing__(self, match: str) -> bytes:
+        from array import array
 
-    monoid = Monoid(parse_ranks(raw_ranks))
-    find = regex.compile(pattern).findall
+        if len(self) >= CACHE:
+            self.clear()
+        packed = array("i", self.monoid.encode(match.encode("utf-8"))).tobytes()
+        if len(match) <= 64:
+            self[match] = packed
+        return packed
 
-    class Known(dict):
-        def __missing__(self, match: str) -> bytes:
-            if len(self) >= CACHE:
-                self.clear()
-            packed = array("i", monoid.encode(match.encode("utf-8"))).tobytes()
-            if len(match) <= 64:
-                self[match] = packed
-            return packed
 
-    known = Known()
+def text_encoder(monoid: Monoid, pattern: str):
+    """A function from UTF-8 bytes to the tokens as packed 32-bit integers."""
+    import regex
+
+    find, known = regex.compile(pattern).findall, Known(monoid)
 
     def encode(text: bytes) -> bytes:
         return b"".join(map(known.__getitem__, find(text.decode("utf-8", "replace"))))
@@ -201,6 +204,26 @@ def text_encoder(raw_ranks: bytes, pattern: str):
     return encode
 
 
+def _of_worker(raw_ranks: bytes, pattern: str | None = None):
+    """The vocabulary of a worker process, or its encoder for ``pattern``; one of each.
+
+    Tasks that built their own left theirs behind in a worker that serves many, as
+    functions sent by value are freed by a full garbage collection only. It hangs on a
+    module that workers import: this one reaches them by value, task by task.
+    """
+    import pyspark
+
+    kept = pyspark.__dict__.setdefault("_gt_byte_bpe", {})
+    if kept.get("ranks") != raw_ranks:
+        kept.clear()
+        kept.update(ranks=raw_ranks, monoid=Monoid(parse_ranks(raw_ranks)))
+    if pattern is None:
+        return kept["monoid"]
+    if kept.get("pattern") != pattern:
+        kept.update(pattern=pattern, encode=text_encoder(kept["monoid"], pattern))
+    return kept["encode"]
+
+
 def bpe_encode(df: DataFrame, text_col: str, keep: list, raw_ranks: bytes, pattern: str,
                out: str = "ids") -> DataFrame:
     """``keep`` columns plus the token ids of every whole text.
@@ -214,7 +237,7 @@ def bpe_encode(df: DataFrame, text_col: str, keep: list, raw_ranks: bytes, patte
     def start():
         import numpy as np
 
-        encode = text_encoder(ranks.value, pattern)
+        encode = _of_worker(ranks.value, pattern)
         return lambda text: (np.frombuffer(encode(text), dtype="<i4"),)
 
     return map_text(df, keep, text_col, start,
@@ -237,7 +260,7 @@ def bpe_decode(df: DataFrame, ids_col: str, raw_ranks: bytes, out: str = "decode
 
         monoid = None
         for batch in batches:
-            monoid = monoid or Monoid(parse_ranks(ranks.value))
+            monoid = monoid or _of_worker(ranks.value)
             lists, start = batch.column(at), 0
             while start < batch.num_rows:
                 # a few rows at a time: ids and bytes of long texts stay bounded
@@ -254,7 +277,9 @@ def bpe_decode(df: DataFrame, ids_col: str, raw_ranks: bytes, out: str = "decode
 
 def token_digests(ids_col: str = "ids", decoded_col: str = "decoded") -> list:
     """n_tokens, ids_sha256 and decoded_sha256 as columns."""
-    text = F.array_join(F.col(ids_col).cast("array<string>"), ",")
+    # "[1,2]" without its brackets: no string object for each id
+    text = F.to_json(ids_col)
+    text = F.substring(text, F.lit(2), F.length(text) - 2)
     return [F.size(ids_col).cast("long").alias("n_tokens"),
             F.sha2(text.cast("binary"), 256).alias("ids_sha256"),
             F.sha2(F.col(decoded_col), 256).alias("decoded_sha256")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import time
 import tracemalloc
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridtally.llm import queries as Q
-from gridtally.llm.bpe import SCAN, Monoid, parse_ranks, read_ranks
+from gridtally.llm.bpe import SCAN, Monoid, _of_worker, parse_ranks, read_ranks, text_encoder
 from gridtally.llm.decontaminate import item_pieces, item_words, merged, tables_of
 from gridtally.llm import html_extract
 from gridtally.llm.html_extract import (
@@ -209,6 +210,28 @@ def test_runs_of_a_megabyte_take_seconds(monoid, encoding, piece):
     assert monoid.decode(tokens) == piece
 
 
+def test_tasks_of_a_worker_leave_no_vocabulary_behind():
+    ranks, pattern = Q.tokenizer_files()
+
+    def vocabularies():
+        return sum(type(x) is Monoid for x in gc.get_objects())
+
+    before, enabled = vocabularies(), gc.isenabled()
+    gc.disable()  # a full collection is rare in a worker
+    try:
+        for _ in range(3):  # each task reads its own copy of the broadcast
+            encode = _of_worker(bytes(bytearray(ranks)), pattern)
+            assert len(encode(b"Some text")) == 8
+            assert _of_worker(bytes(bytearray(ranks))).decode([]) == b""
+        assert vocabularies() - before <= 1
+        for _ in range(3):
+            text_encoder(Monoid(parse_ranks(ranks)), pattern)(b"Some text")
+        assert vocabularies() - before <= 1  # nothing in a cycle
+    finally:
+        if enabled:
+            gc.enable()
+
+
 def test_heap_merge_equals_scan(monoid, encoding):
     made = random.Random(5)
     for letters in (b"a", b"ab", b"abc ", bytes(range(256))):
