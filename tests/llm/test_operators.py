@@ -278,7 +278,7 @@ def test_license_query_finds_planted_lines(spark, odd):
 
 def test_every_operator_takes_empty_tables(spark, tmp_path):
     folder = str(tmp_path)
-    for t in ("documents", "labels", "benchmark", "pages"):
+    for t in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{SF01}/{t}.parquet").limit(0).write.parquet(f"{folder}/{t}.parquet")
     for name, query in Q.queries().items():
         assert query(spark, folder).count() == 0, name
