@@ -585,6 +585,44 @@ def test_long_lists_of_siblings_take_time_in_proportion():
     assert all(a.labels[i] == b.labels[j] for i, j in pairs)
 
 
+def test_unlike_texts_under_the_same_labels_need_no_tables(monkeypatch):
+    def page(word, menu, more):
+        links = "".join(f"<li><a href='/{k}'>{menu} {k % 7}</a></li>" for k in range(40))
+        story = "".join(f"<p>{word} {k}</p><p><b>{word} b{k}</b></p>" for k in range(20 + more))
+        return _tree(f"<nav><ul>{links}</ul></nav><article><h1>{word}</h1>{story}</article>")
+
+    made, gaps = [], html_extract._gaps
+    monkeypatch.setattr(html_extract, "_gaps", lambda *x: made.append(x) or gaps(*x))
+    a, b = page("one", "see", 0), page("two", "go", 2)
+    pairs = simple_tree_matching(a, b)
+    assert len(made) < 10  # pairs of links and paragraphs: 2924
+    # the menu in order, the last 40 paragraphs, the heading
+    assert len(pairs) == len(set(pairs)) == 2 + 3 * 40 + 1 + 2 + 20 * 5
+    assert all(a.labels[i] == b.labels[j] for i, j in pairs)
+    made.clear()  # texts that stand in both menus, at other places
+    c = page("two", "see", 2)
+    same = [i for i, j in simple_tree_matching(a, c) if a.hashes[i] and a.hashes[i] == c.hashes[j]]
+    assert len(made) < 10 and len(same) == 40
+
+
+@settings(deadline=None)
+@given(st.text(st.sampled_from("ab \t\n\x00\x1c\x85\xa0\u2003\u200b"), min_size=1))
+def test_white_space_in_a_text_becomes_one_space(piece):
+    import re
+
+    assert html_extract.spaced(piece) == re.sub(r"[\s\x00]+", " ", piece)
+    assert Page(piece).texts == [re.sub(r"[\s\x00]+", " ", piece)]
+
+
+def test_tokens_read_before_are_read_alike():
+    source = "<P class=ad>a<p CLASS=ad>b<script>'</p>'</script><br/></br><li>c<li id=x>d</li></q>" * 2
+    pages = [Page(source), Page(source)]
+    assert pages[0].tags == pages[1].tags and pages[0].unwanted == pages[1].unwanted
+    want = ["p", "#text", "p", "#text", "script", "br", "br", "li", "#text", "li", "#text", "/"]
+    assert pages[0].tags == want * 2
+    assert [x for t, x in zip(pages[0].tags, pages[0].unwanted) if t == "p"] == [True] * 4
+
+
 def test_a_page_takes_the_references_of_its_layout():
     def row(source, layout):
         page = Page(source)
